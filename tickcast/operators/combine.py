@@ -33,7 +33,7 @@ def latest_quotes(quotes: DataFrame, order_col: str = "fetched_at", payload: str
 
 
 def combine(
-    predicted: DataFrame,
+    predicted: DataFrame | None,
     daily: DataFrame,
     quotes: DataFrame | None = None,
     processing: str = "millis",
@@ -42,21 +42,29 @@ def combine(
 ) -> DataFrame:
     """Predicted prices ⋈ daily sentiment → the 12 combined columns.
 
-    ``predicted`` is the output of ``predict_next_close``; ``daily`` of
-    ``daily_sentiment``; ``quotes`` is (symbol, current_price) or None.
+    ``predicted`` is the output of ``predict_next_close`` (None: no price
+    feed yet, every row is a fallback row); ``daily`` of ``daily_sentiment``; ``quotes`` is (symbol, current_price) or None.
     ``processing`` is "millis" (batch) or "timestamp" (streaming); ``now``
     fixes the processing clock.
     """
-    p = predicted.select(
-        "symbol",
-        "date",
-        F.col("close").alias("close_price"),
-        F.col("prediction").alias("close_price_prediction"),
-        F.lit(True).alias("_matched"),
-    )
-    rows = daily.join(p, ["symbol", "date"], "left").withColumn(
-        "_matched", F.coalesce(F.col("_matched"), F.lit(False))
-    )
+    if predicted is None:
+        rows = daily.select(
+            "*",
+            F.lit(None).cast("double").alias("close_price"),
+            F.lit(None).cast("double").alias("close_price_prediction"),
+            F.lit(False).alias("_matched"),
+        )
+    else:
+        p = predicted.select(
+            "symbol",
+            "date",
+            F.col("close").alias("close_price"),
+            F.col("prediction").alias("close_price_prediction"),
+            F.lit(True).alias("_matched"),
+        )
+        rows = daily.join(p, ["symbol", "date"], "left").withColumn(
+            "_matched", F.coalesce(F.col("_matched"), F.lit(False))
+        )
     matched = F.col("_matched")
     if fallback:
         rows = rows.withColumn("_any", F.max(matched).over(Window.partitionBy("symbol")))

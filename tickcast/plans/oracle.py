@@ -51,7 +51,7 @@ EV_BARS = """bars AS (
   GROUP BY symbol, CAST(ts AS DATE))"""
 
 EV_NEWS = f"""news AS (
-  SELECT date_trunc('second', ts) AS time_published, symbol AS ticker,
+  SELECT event_id, date_trunc('second', ts) AS time_published, symbol AS ticker,
          (value - 50.0) / 100.0 AS ticker_sentiment_score,
          {label5('(value - 50.0) / 100.0')} AS ticker_sentiment_label,
          CAST(json_extract_string(props, '$.k') AS DOUBLE) / 100.0 AS relevance_score,
@@ -195,6 +195,47 @@ def combined_select(src: str = "comb") -> str:
 FROM {src}"""
 
 
+def documents_select(src: str) -> str:
+    """Typed index documents (counts as INTEGER) with the collection name."""
+    return f"""SELECT symbol, {iso_date('date')} AS date, {snap('close_price')} AS close_price,
+       {snap('close_price_prediction')} AS close_price_prediction,
+       CAST(positive_news_amount AS INTEGER) AS positive_news_amount,
+       CAST(negative_news_amount AS INTEGER) AS negative_news_amount,
+       {snap('ticker_sentiment_score_mean', 1e9)} AS ticker_sentiment_score_mean,
+       ticker_sentiment_score_mean_label,
+       {snap('overall_sentiment_score_mean', 1e9)} AS overall_sentiment_score_mean,
+       overall_sentiment_score_mean_label, timestamp,
+       {snap('current_price')} AS current_price, lower(symbol) AS "index"
+FROM {src}"""
+
+
+# Pair-and-reset as the reference's two-slot fold, message by message, with a
+# recursive CTE: independent of the window form used on the Spark side.
+PAIR_FOLD = """WITH RECURSIVE msgs AS (
+  SELECT 'S' || CAST(user_id % 5 AS VARCHAR) AS symbol, event_id AS seq,
+         CASE WHEN event_type = 'purchase' THEN 'prices' ELSE 'news' END AS kind,
+         event_type = 'error' AS empty,
+         row_number() OVER (PARTITION BY 'S' || CAST(user_id % 5 AS VARCHAR) ORDER BY event_id) AS rn
+  FROM events),
+fold(symbol, rn, n_seq, p_seq, e_seq, e_news, e_prices) AS (
+  SELECT DISTINCT symbol, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT),
+         CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)
+  FROM msgs
+  UNION ALL
+  SELECT symbol, rn,
+         CASE WHEN emit THEN NULL WHEN kind = 'news' THEN (CASE WHEN empty THEN NULL ELSE seq END) ELSE n_seq END,
+         CASE WHEN emit THEN NULL WHEN kind = 'prices' THEN (CASE WHEN empty THEN NULL ELSE seq END) ELSE p_seq END,
+         CASE WHEN emit THEN seq END,
+         CASE WHEN emit THEN (CASE WHEN kind = 'news' THEN seq ELSE n_seq END) END,
+         CASE WHEN emit THEN (CASE WHEN kind = 'prices' THEN seq ELSE p_seq END) END
+  FROM (SELECT f.symbol, m.rn, m.kind, m.empty, m.seq, f.n_seq, f.p_seq,
+               (NOT m.empty AND ((m.kind = 'news' AND f.p_seq IS NOT NULL)
+                                 OR (m.kind = 'prices' AND f.n_seq IS NOT NULL))) AS emit
+        FROM fold f JOIN msgs m ON m.symbol = f.symbol AND m.rn = f.rn + 1) s)
+SELECT symbol, e_seq AS seq, e_news AS news_seq, e_prices AS prices_seq
+FROM fold WHERE e_seq IS NOT NULL"""
+
+
 def daily_select(src: str = "daily_l") -> str:
     return f"""SELECT symbol, {iso_date('date')} AS date, positive_news_amount, negative_news_amount,
        {snap('ticker_sentiment_score_mean', 1e9)} AS ticker_sentiment_score_mean,

@@ -31,8 +31,19 @@ from tickcast.plans import oracle as O
 from tickcast.schemas import PRICE_MEASURES
 from tickcast.session import ensure_session
 from tickcast.sources import proxy
-from tickcast.sources.documents import news_rows, parse_news, parse_prices
-from tickcast.sources.sinks import row_batches
+from tickcast.functions.scalar import symbol_from_path
+from tickcast.operators.pairing import pair_latest_reset
+from tickcast.operators.recent import recent_news
+from tickcast.session import scratch_path
+from tickcast.sources.documents import (
+    news_rows,
+    parse_news,
+    parse_prices,
+    read_raw_news,
+    read_raw_prices,
+    with_validity,
+)
+from tickcast.sources.sinks import land, read_documents, row_batches, write_documents
 
 # Fixed parameters of the registered queries: the split dates inside each
 # proxy's date range and the processing clock (2024-02-01T00:00:00Z).
@@ -40,13 +51,17 @@ EV_AS_OF = "2024-01-25"
 ORD_AS_OF = "2001-06-30"
 NOW = "2024-02-01 00:00:00"
 NOW_MILLIS = 1706745600000
+NOW_EARLIER = "2024-01-31 00:00:00"
+NOW_EARLIER_MILLIS = 1706659200000
 FALLBACK_SYMBOLS = ["S3"]  # bars removed for these symbols in combine_fallback
+RECENT_FROM = "2024-01-20 12:34:56"  # P15 bound: start of this day
+RECENT_LIMIT = 200  # L1: the upstream request limit
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 # ------------------------------------------------------------------ reports
-def iso_date(c: str) -> Column:
+def iso_date(c: str | Column) -> Column:
     """Dates travel as ISO text in reports, so no engine's date mapping
     matters when results are compared."""
     return F.date_format(F.to_date(c), "yyyy-MM-dd")
@@ -91,7 +106,7 @@ def report_bars(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
     )
 
 
-def report_combined(df: DataFrame) -> DataFrame:
+def report_combined(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return df.select(
         "symbol",
         iso_date("date").alias("date"),
@@ -105,6 +120,7 @@ def report_combined(df: DataFrame) -> DataFrame:
         "overall_sentiment_score_mean_label",
         "timestamp",
         snap("current_price").alias("current_price"),
+        *(keep or []),
     )
 
 
@@ -232,6 +248,75 @@ def q_bench_combine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_combined(_combine(spark, bars, proxy.order_news(spark, sf_dir), ORD_AS_OF))
 
 
+def q_recent_news_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest 200 articles per symbol since the start of a day."""
+    news = proxy.event_news(spark, sf_dir, with_id=True)
+    top = recent_news(news, RECENT_LIMIT, RECENT_FROM, key="ticker", tiebreak="event_id")
+    return top.select("ticker", "event_id", iso_time("time_published").alias("time_published"), "rank")
+
+
+def q_pair_latest_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6, T3 (batch form): latest news × latest prices message per symbol,
+    emitted and reset; empty messages clear their slot."""
+    pairs = pair_latest_reset(proxy.event_messages(spark, sf_dir))
+    return pairs.select("symbol", "seq", "news_seq", "prices_seq")
+
+
+def q_landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """News documents landed by kind and symbol, read
+    back by path, ticker taken from the path, formatted."""
+    base = scratch_path(spark, "landing")
+    land(proxy.event_news_documents(spark, sf_dir), base, "news")
+    raw = read_raw_news(spark, f"{base}/kind=news")
+    return report_news(format_news(raw, ticker=symbol_from_path("_path")))
+
+
+def q_ticker_from_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price documents landed per symbol; ticker
+    from the path and from the payload agree, day counts per symbol."""
+    base = scratch_path(spark, "landing")
+    land(proxy.event_price_documents(spark, sf_dir), base, "prices")
+    raw = read_raw_prices(spark, f"{base}/kind=prices")
+    rows = format_prices(raw.withColumn("path_symbol", symbol_from_path("_path")), keep=["path_symbol"])
+    return rows.groupBy("path_symbol", "symbol").agg(
+        F.count(F.lit(1)).alias("days"), iso_date(F.max("date")).alias("last_date")
+    )
+
+
+def q_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Combined rows written as typed per-symbol documents
+    (append), read back."""
+    bars = proxy.event_bars(spark, sf_dir)
+    combined = _combine(spark, bars, proxy.event_news(spark, sf_dir), EV_AS_OF)
+    path = scratch_path(spark, "documents")
+    write_documents(combined, path, mode="append")
+    docs = read_documents(spark, path)
+    return report_combined(docs, keep=["index"])
+
+
+def q_upsert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S10 upsert: a load before the price feed (all fallback rows), then
+    the full load; the newest document per (symbol, date) wins."""
+    bars = proxy.event_bars(spark, sf_dir)
+    news = proxy.event_news(spark, sf_dir)
+    quotes = latest_quotes(proxy.quote_payloads(bars))
+    daily = daily_sentiment(news)
+    path = scratch_path(spark, "documents")
+    first = combine(None, daily, quotes, processing="millis", now=NOW_EARLIER)
+    write_documents(first, path, mode="upsert", load_id=1)
+    second = combine(predict_next_close(bars, EV_AS_OF), daily, quotes, processing="millis", now=NOW)
+    write_documents(second, path, mode="upsert", load_id=2)
+    docs = read_documents(spark, path)
+    return report_combined(docs, keep=["index"])
+
+
+def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Malformed payloads are flagged and counted per symbol instead of
+    stopping the consumer."""
+    flagged = with_validity(proxy.event_payloads(spark, sf_dir))
+    return flagged.groupBy("symbol", "valid").agg(F.count(F.lit(1)).alias("messages"))
+
+
 def _ensured(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(ensure_session(spark), sf_dir)
@@ -255,6 +340,13 @@ QUERIES: dict[str, Query] = {
     "combine_fallback": q_combine_fallback,
     "quote_enrich": q_quote_enrich,
     "pair_by_symbol": q_pair_by_symbol,
+    "recent_news_topk": q_recent_news_topk,
+    "pair_latest_reset": q_pair_latest_reset,
+    "landing_roundtrip": q_landing_roundtrip,
+    "ticker_from_path": q_ticker_from_path,
+    "documents": q_documents,
+    "upsert_documents": q_upsert_documents,
+    "quarantine": q_quarantine,
     "bench_combine": q_bench_combine,
 }
 
@@ -309,6 +401,34 @@ FROM nx RIGHT JOIN s ON nx.symbol = s.symbol AND nx.date = s.date""",
 FROM (SELECT ticker AS symbol, count(*) AS news_rows FROM news GROUP BY 1) n
 JOIN (SELECT symbol, count(*) AS price_rows, min(date) AS first_price_date,
              max(date) AS last_price_date FROM bars GROUP BY 1) p ON n.symbol = p.symbol""",
+        "recent_news_topk": ev_news
+        + f"""SELECT ticker, event_id, {O.iso_time('time_published')} AS time_published, rank
+FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY time_published DESC, event_id) AS rank
+      FROM news WHERE time_published >= date_trunc('day', TIMESTAMP '{RECENT_FROM}'))
+WHERE rank <= {RECENT_LIMIT}""",
+        "pair_latest_reset": O.PAIR_FOLD,
+        "landing_roundtrip": ev_news + O.news_select(),
+        "ticker_from_path": ev_bars
+        + f"""SELECT symbol AS path_symbol, symbol, count(*) AS days, {O.iso_date('max(date)')} AS last_date
+FROM bars GROUP BY symbol""",
+        "documents": O.with_(O.EV, O.EV_NEWS, O.DAILY, O.EV_BARS, O.combined(EV_AS_OF, NOW_MILLIS))
+        + O.documents_select("comb"),
+        "upsert_documents": O.with_(O.EV, O.EV_NEWS, O.DAILY, O.EV_BARS, O.combined(EV_AS_OF, NOW_MILLIS))
+        + f""", first_load AS (
+  SELECT d.symbol, d.date, CAST(0.0 AS DOUBLE) AS close_price, CAST(0.0 AS DOUBLE) AS close_price_prediction,
+         d.positive_news_amount, d.negative_news_amount, d.ticker_sentiment_score_mean,
+         d.ticker_sentiment_score_mean_label, d.overall_sentiment_score_mean,
+         d.overall_sentiment_score_mean_label, CAST({NOW_EARLIER_MILLIS} AS BIGINT) AS timestamp,
+         q.current_price AS current_price
+  FROM daily_l d LEFT JOIN quotes q ON d.symbol = q.symbol),
+merged AS (
+  SELECT * FROM comb
+  UNION ALL
+  SELECT * FROM first_load f
+  WHERE NOT EXISTS (SELECT 1 FROM comb c WHERE c.symbol = f.symbol AND c.date IS NOT DISTINCT FROM f.date))
+{O.documents_select('merged')}""",
+        "quarantine": O.with_(O.EV)
+        + """SELECT symbol, event_type <> 'error' AS valid, count(*) AS messages FROM ev GROUP BY 1, 2""",
         "bench_combine": O.with_(O.SEG, O.ORD_NEWS, O.DAILY, O.ORD_BARS, O.combined(ORD_AS_OF, NOW_MILLIS))
         + O.combined_select(),
     }

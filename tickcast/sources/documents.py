@@ -75,3 +75,11 @@ def price_rows(df: DataFrame, value: str = "value", keep: list[str] | None = Non
 def with_validity(df: DataFrame, value: str = "value") -> DataFrame:
     """T7 helper: flag messages whose payload is not valid JSON."""
     return df.withColumn("valid", F.try_parse_json(F.col(value)).isNotNull())
+
+
+def split_valid(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(valid, quarantined) messages. The reference stops its consumer
+    loop on the first malformed message; here the bad ones go to a side
+    table and the rest keep flowing."""
+    flagged = with_validity(df, value)
+    return flagged.filter(F.col("valid")).drop("valid"), flagged.filter(~F.col("valid")).drop("valid")

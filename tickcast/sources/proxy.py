@@ -211,17 +211,33 @@ def price_documents(bars: DataFrame) -> DataFrame:
 
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-symbol message log: one message per event, kind news|prices, in
-    event-id order — the input of the pair-and-reset operator."""
+    """Per-symbol message log in the formatted-topic shape (a JSON array of
+    JSON-row texts): one message per event, kind prices for purchases and
+    news otherwise, in event-id order. Error events are empty news messages
+    (``[]``), which clear the news slot of the pair-and-reset operator."""
     ev = events(spark, sf_dir)
+    row = row_json("event_id", "event_type", "value")
+    value = F.when(F.col("event_type") == EMPTY_MENTION_TYPE, F.lit("[]")).otherwise(
+        F.to_json(F.array(row))
+    )
     return ev.select(
         "symbol",
         F.col("event_id").alias("seq"),
         F.when(F.col("event_type") == BAR_TYPE, F.lit("prices")).otherwise(F.lit("news")).alias("kind"),
-        row_json("event_id", "event_type", "value").alias("value"),
+        value.alias("value"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
     )
 
 
+def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One raw message per event; error events carry a broken payload (an
+    unbalanced brace) — the input of the quarantine operator."""
+    ev = events(spark, sf_dir)
+    body = row_json("event_id", "event_type", "value")
+    value = F.when(F.col("event_type") == EMPTY_MENTION_TYPE, F.concat(F.lit("{"), body)).otherwise(body)
+    return ev.select("symbol", F.col("event_id").alias("seq"), value.alias("value"))
+
+
 # --------------------------------------------------------------------- orders
 def segment_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
