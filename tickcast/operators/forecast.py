@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -230,11 +231,19 @@ def predict_next_close(
     as_of: str | Column | None = None,
     features: list[str] | None = None,
     shift: str = "calendar",
+    persist: bool = True,
 ) -> DataFrame:
     """Prices → (symbol, date, 8 measures, next_day_close,
-    prediction), one row per scored day, dated the next day."""
+    prediction), one row per scored day, dated the next day.
+
+    The labelled bars feed both the fit and the scoring; they are daily
+    aggregates (one row per symbol and day), so they are persisted once
+    (memory, spilling to disk; recomputed from lineage if an executor is
+    lost) instead of recomputing the upstream joins twice."""
     features = list(features or FEATURES)
     labelled = with_next_rows(prices)
+    if persist:
+        labelled = labelled.persist(StorageLevel.MEMORY_AND_DISK)
     coefficients = fit_next_close(labelled, as_of, features)
     scored = score(scoring_rows(labelled, as_of), coefficients, features)
     return shift_right_join(scored, shift)

@@ -260,3 +260,66 @@ def bars_select(src: str = "bars", extra: str = "") -> str:
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+def stream_combined(as_of: str, now: str, block: int) -> str:
+    """Streaming combine: document-level messages (news: one per (symbol,
+    block of event ids); prices: one per (symbol, month)), paired by the
+    two-slot fold, then each pair combined on its own rows (inner join
+    only, processing time as a timestamp)."""
+    pair_bars = EV_BARS.replace("bars AS (", "bars0 AS (")
+    news_cols = EV_NEWS[EV_NEWS.index("SELECT") + len("SELECT"):EV_NEWS.index("FROM ev")]
+    news_cols = news_cols.replace("symbol AS ticker,", "p.symbol || '#' || CAST(p.pseq AS VARCHAR) AS ticker,")
+    return f"""WITH RECURSIVE {EV},
+{pair_bars},
+nb AS (
+  SELECT symbol, floor(event_id / {block}) AS block, max(event_id) AS seq,
+         count(*) FILTER (WHERE event_type IN ('view', 'click', 'signup')) = 0 AS empty
+  FROM ev WHERE event_type <> 'purchase' GROUP BY 1, 2),
+pm AS (
+  SELECT symbol, date_trunc('month', CAST(ts AS DATE)) AS month, max(event_id) AS seq
+  FROM ev WHERE event_type = 'purchase' GROUP BY 1, 2),
+msgs AS (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY seq) AS rn FROM (
+    SELECT symbol, seq, 'news' AS kind, empty FROM nb
+    UNION ALL SELECT symbol, seq, 'prices' AS kind, false AS empty FROM pm)),
+fold(symbol, rn, n_seq, p_seq, e_seq, e_news, e_prices) AS (
+  SELECT DISTINCT symbol, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT),
+         CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)
+  FROM msgs
+  UNION ALL
+  SELECT symbol, rn,
+         CASE WHEN emit THEN NULL WHEN kind = 'news' THEN (CASE WHEN empty THEN NULL ELSE seq END) ELSE n_seq END,
+         CASE WHEN emit THEN NULL WHEN kind = 'prices' THEN (CASE WHEN empty THEN NULL ELSE seq END) ELSE p_seq END,
+         CASE WHEN emit THEN seq END,
+         CASE WHEN emit THEN (CASE WHEN kind = 'news' THEN seq ELSE n_seq END) END,
+         CASE WHEN emit THEN (CASE WHEN kind = 'prices' THEN seq ELSE p_seq END) END
+  FROM (SELECT f.symbol, m.rn, m.kind, m.empty, m.seq, f.n_seq, f.p_seq,
+               (NOT m.empty AND ((m.kind = 'news' AND f.p_seq IS NOT NULL)
+                                 OR (m.kind = 'prices' AND f.n_seq IS NOT NULL))) AS emit
+        FROM fold f JOIN msgs m ON m.symbol = f.symbol AND m.rn = f.rn + 1) s),
+pairs AS (
+  SELECT f.symbol, f.e_seq AS pseq, f.e_news, pm.month AS month
+  FROM fold f JOIN pm ON pm.symbol = f.symbol AND pm.seq = f.e_prices
+  WHERE f.e_seq IS NOT NULL),
+news AS (
+  SELECT {news_cols}
+  FROM ev JOIN pairs p ON ev.symbol = p.symbol AND floor(ev.event_id / {block}) = floor(p.e_news / {block})
+  WHERE ev.event_type IN ('view', 'click', 'signup')),
+bars AS (
+  SELECT p.symbol || '#' || CAST(p.pseq AS VARCHAR) AS symbol, b.date, b.open, b.high, b.low, b.close,
+         b.adjusted_close, b.volume, b.dividend_amount, b.split_coefficient
+  FROM bars0 b JOIN pairs p ON b.symbol = p.symbol AND date_trunc('month', b.date) = p.month),
+{DAILY},
+{predicted(as_of)},
+inner_rows AS (
+  SELECT p.symbol AS pkey, p.date AS date, p.close AS close_price, p.prediction AS close_price_prediction,
+         d.positive_news_amount, d.negative_news_amount, d.ticker_sentiment_score_mean,
+         d.ticker_sentiment_score_mean_label, d.overall_sentiment_score_mean, d.overall_sentiment_score_mean_label
+  FROM pred p JOIN daily_l d ON p.symbol = d.symbol AND p.date = d.date),
+quotes AS (SELECT symbol, arg_max(close, date) AS current_price FROM bars0 GROUP BY symbol),
+comb AS (
+  SELECT split_part(i.pkey, '#', 1) AS symbol, i.* EXCLUDE (pkey),
+         '{now}' AS timestamp, q.current_price AS current_price
+  FROM inner_rows i LEFT JOIN quotes q ON split_part(i.pkey, '#', 1) = q.symbol)
+{documents_select('comb')}"""

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +52,7 @@ EV_AS_OF = "2024-01-25"
 ORD_AS_OF = "2001-06-30"
 NOW = "2024-02-01 00:00:00"
 NOW_MILLIS = 1706745600000
+STREAM_AS_OF = "2024-01-31"  # the streaming combine splits at "yesterday" of NOW
 NOW_EARLIER = "2024-01-31 00:00:00"
 NOW_EARLIER_MILLIS = 1706659200000
 FALLBACK_SYMBOLS = ["S3"]  # bars removed for these symbols in combine_fallback
@@ -126,6 +128,8 @@ def report_combined(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 # ------------------------------------------------------------------ building blocks
 def _combine(spark: SparkSession, bars: DataFrame, news: DataFrame, as_of: str) -> DataFrame:
+    # Bars feed the model and the quotes: daily aggregates, persisted once.
+    bars = bars.persist(StorageLevel.MEMORY_AND_DISK)
     predicted = predict_next_close(bars, as_of)
     quotes = latest_quotes(proxy.quote_payloads(bars))
     return combine(predicted, daily_sentiment(news), quotes, processing="millis", now=NOW)
@@ -435,8 +439,17 @@ merged AS (
 
 
 def queries() -> dict[str, Query]:
-    return {name: _ensured(fn) for name, fn in QUERIES.items()}
+    from tickcast.plans.stream_queries import STREAM_QUERIES
+
+    return {name: _ensured(fn) for name, fn in {**QUERIES, **STREAM_QUERIES}.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return _oracles()
+    o = _oracles()
+    o["stream_format_news"] = o["format_news"]
+    o["stream_format_prices"] = o["format_prices"]
+    o["stream_daily_sentiment"] = o["daily_sentiment"]
+    o["stream_pair"] = o["pair_latest_reset"]
+    o["run_batch_available_now"] = o["documents"]
+    o["stream_combine"] = O.stream_combined(STREAM_AS_OF, NOW, proxy.ITEMS_PER_DOCUMENT)
+    return o

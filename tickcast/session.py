@@ -8,8 +8,10 @@ setting is absent, which happens in unit tests.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -54,9 +56,37 @@ def ensure_session(spark: SparkSession) -> SparkSession:
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tickcast`` importable in Python workers (what ``--py-files``
+    does at submit time): zip the package once and add it to the context.
+    Arrow functions of the library reference package code by name."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    fd, zpath = tempfile.mkstemp(prefix="tickcast-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _, files in os.walk(pkg_dir):
+            if "__pycache__" in dirpath:
+                continue
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(dirpath, name)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a private one only when unset."""
     sc = spark.sparkContext

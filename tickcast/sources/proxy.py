@@ -58,17 +58,21 @@ def _event_symbol(offset: int = 0) -> Column:
     )
 
 
-def _bar_aggs(price: Column, volume: Column, order_key: Column) -> list[Column]:
-    return [
+def _bars(rows: DataFrame, day: Column, price: Column, volume: Column, order_key: Column) -> DataFrame:
+    """Daily bars: open/close are the first/last price by a unique order
+    key (no ties), adjusted close = close, no dividends or splits."""
+    agg = rows.groupBy("symbol", day.alias("date")).agg(
         F.min_by(price, order_key).alias("open"),
         F.max(price).alias("high"),
         F.min(price).alias("low"),
         F.max_by(price, order_key).alias("close"),
-        F.max_by(price, order_key).alias("adjusted_close"),
         F.sum(volume).alias("volume"),
-        F.lit(0.0).alias("dividend_amount"),
-        F.lit(1.0).alias("split_coefficient"),
-    ]
+    )
+    return agg.select(
+        "symbol", "date", "open", "high", "low", "close",
+        F.col("close").alias("adjusted_close"), "volume",
+        F.lit(0.0).alias("dividend_amount"), F.lit(1.0).alias("split_coefficient"),
+    )
 
 
 # --------------------------------------------------------------------- events
@@ -79,9 +83,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars (symbol, date, 8 measures) from purchase events."""
     ev = events(spark, sf_dir).filter(F.col("event_type") == BAR_TYPE)
-    return ev.groupBy("symbol", F.to_date("ts").alias("date")).agg(
-        *_bar_aggs(F.col("value"), F.col("value"), F.col("event_id"))
-    )
+    return _bars(ev, F.to_date("ts"), F.col("value"), F.col("value"), F.col("event_id"))
 
 
 def _event_scores(ev: DataFrame) -> DataFrame:
@@ -163,7 +165,9 @@ def event_news_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "block", F.floor(F.col("event_id") / F.lit(ITEMS_PER_DOCUMENT))
     )
     docs = arts.groupBy("symbol", "block").agg(
-        F.collect_list("article").alias("feed"), F.max("ts").alias("fetched_at")
+        F.collect_list("article").alias("feed"),
+        F.max("ts").alias("fetched_at"),
+        F.max("event_id").alias("seq"),
     )
     doc = F.struct(
         F.size("feed").cast("string").alias("items"),
@@ -173,15 +177,22 @@ def event_news_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("symbol").alias("ticker"),
     )
     return docs.select(
-        "symbol", "block", "fetched_at", F.to_json(doc).alias("value")
+        "symbol", "block", "fetched_at", "seq", F.to_json(doc).alias("value")
     )
 
 
 def event_price_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw price documents, one per (symbol, month) of bars, as JSON text.
-    Values are strings, the series is an object keyed by date."""
-    bars = event_bars(spark, sf_dir)
-    return price_documents(bars)
+    Values are strings, the series is an object keyed by date. ``seq`` is
+    the last purchase event id of the month (the document's arrival)."""
+    docs = price_documents(event_bars(spark, sf_dir))
+    last = (
+        events(spark, sf_dir)
+        .filter(F.col("event_type") == BAR_TYPE)
+        .groupBy("symbol", F.date_trunc("month", F.to_date("ts")).cast("date").alias("month"))
+        .agg(F.max("event_id").alias("seq"))
+    )
+    return docs.join(last, ["symbol", "month"], "left")
 
 
 def price_documents(bars: DataFrame) -> DataFrame:
@@ -259,9 +270,7 @@ def order_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = li.join(seg, li.l_orderkey == seg.o_orderkey, "inner")
     unit = F.col("l_extendedprice") / F.col("l_quantity")
     key = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return rows.groupBy("symbol", F.to_date("l_shipdate").alias("date")).agg(
-        *_bar_aggs(unit, F.col("l_quantity"), key)
-    )
+    return _bars(rows, F.to_date("l_shipdate"), unit, F.col("l_quantity"), key)
 
 
 def order_news(spark: SparkSession, sf_dir: str) -> DataFrame:

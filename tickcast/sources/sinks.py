@@ -87,10 +87,25 @@ def write_documents(
     docs.write.mode("append").partitionBy("index").format(fmt).save(path)
 
 
-def read_documents(spark: SparkSession, path: str, fmt: str = "parquet", resolve: bool = True) -> DataFrame:
+# Stored document columns (batch processing time as epoch millis).
+DOCUMENT_STORED = (
+    "symbol string, date date, close_price double, close_price_prediction double, "
+    "positive_news_amount int, negative_news_amount int, ticker_sentiment_score_mean double, "
+    "ticker_sentiment_score_mean_label string, overall_sentiment_score_mean double, "
+    "overall_sentiment_score_mean_label string, timestamp long, current_price double, index string"
+)
+
+
+def read_documents(
+    spark: SparkSession, path: str, fmt: str = "parquet", resolve: bool = True, schema: str | None = None
+) -> DataFrame:
     """Read documents back; with ``resolve`` and upserted data, keep the
-    newest load per (symbol, date) as one aggregate (map-side partial)."""
-    docs = spark.read.format(fmt).load(path)
+    newest load per (symbol, date) as one aggregate (map-side partial).
+    A declared ``schema`` also reads a collection that is still empty."""
+    reader = spark.read.format(fmt)
+    if schema:
+        reader = reader.schema(schema)
+    docs = reader.load(path)
     if not resolve or "_load" not in docs.columns:
         return docs
     rest = [c for c in docs.columns if c not in ("symbol", "date", "_load")]

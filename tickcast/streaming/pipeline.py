@@ -1,0 +1,207 @@
+"""Streaming pipeline stages (T4, T5, T8, T9) and their sinks.
+
+* T9 ``daily_sentiment_stream``: event-time daily windows with a watermark,
+  so per-day state is dropped once the watermark passes the day.
+* T4/T5 ``combine_pairs``: the micro-batch function run by ``foreachBatch``
+  on the stream of emitted pairs — the batch combine on exactly the rows of
+  each pair, then per-symbol documents and combined messages.
+* T8 ``run_available_now``: the periodic batch run as a streaming query with
+  ``trigger(availableNow=True)``: only files landed since the last run are
+  formatted; the combine then runs over the formatted tables.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from tickcast.functions.scalar import BEARISH, BULLISH, sentiment_label
+from tickcast.operators.combine import combine, latest_quotes
+from tickcast.operators.forecast import predict_next_close
+from tickcast.operators.formatting import format_news, format_prices
+from tickcast.operators.sentiment import daily_sentiment
+from tickcast.schemas import NEWS, PRICES, RAW_NEWS, RAW_PRICES
+from tickcast.sources.documents import explode_row_batches
+from tickcast.sources.sinks import read_documents, to_messages, write_documents
+from tickcast.functions.scalar import symbol_from_path
+
+PAIR_SEP = "#"
+
+
+# --------------------------------------------------------------------- T9
+def daily_sentiment_stream(news_rows: DataFrame, watermark: str = "1 day") -> DataFrame:
+    """Formatted news rows (streaming) → daily sentiment per (symbol, UTC
+    day), updated as articles arrive; run in ``update`` output mode."""
+    rows = news_rows.withWatermark("time_published", watermark)
+    agg = rows.groupBy(F.col("ticker").alias("symbol"), F.window("time_published", "1 day").alias("w")).agg(
+        F.sum(F.when(F.col("ticker_sentiment_label") == BULLISH, 1).otherwise(0)).alias("positive_news_amount"),
+        F.sum(F.when(F.col("ticker_sentiment_label") == BEARISH, 1).otherwise(0)).alias("negative_news_amount"),
+        F.avg("ticker_sentiment_score").alias("ticker_sentiment_score_mean"),
+        F.avg("overall_sentiment_score").alias("overall_sentiment_score_mean"),
+    )
+    return agg.select(
+        "symbol",
+        F.to_date(F.col("w.start")).alias("date"),
+        "positive_news_amount",
+        "negative_news_amount",
+        "ticker_sentiment_score_mean",
+        sentiment_label("ticker_sentiment_score_mean").alias("ticker_sentiment_score_mean_label"),
+        "overall_sentiment_score_mean",
+        sentiment_label("overall_sentiment_score_mean").alias("overall_sentiment_score_mean_label"),
+    )
+
+
+def upsert_batches(path: str, keys: list[str]):
+    """foreachBatch sink for update-mode results: append each micro-batch
+    with its batch id; readers keep the newest row per key (see
+    :func:`latest_rows`)."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("_batch", F.lit(batch_id).cast("long")).write.mode("append").parquet(path)
+
+    return write
+
+
+def latest_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    df = spark.read.parquet(path)
+    rest = [c for c in df.columns if c not in keys and c != "_batch"]
+    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("_batch")).alias("_r"))
+    return latest.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
+
+
+# --------------------------------------------------------------------- T4/T5
+def pair_rows(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Emitted pairs → (news rows, price rows) of each pair. The batch
+    operators are keyed by symbol, so for the length of one micro-batch the
+    symbol column carries ``symbol#seq``: two pairs of one symbol in the same
+    micro-batch stay two separate combines, as in the reference."""
+    pk = F.concat_ws(PAIR_SEP, F.col("symbol"), F.col("seq").cast("string"))
+    news = explode_row_batches(pairs.select(pk.alias("_pair"), F.col("news_value").alias("value")), NEWS, keep=["_pair"])
+    prices = explode_row_batches(pairs.select(pk.alias("_pair"), F.col("prices_value").alias("value")), PRICES, keep=["_pair"])
+    return (
+        news.withColumn("ticker", F.col("_pair")).drop("_pair"),
+        prices.withColumn("symbol", F.col("_pair")).drop("_pair"),
+    )
+
+
+def combine_pairs(
+    pairs: DataFrame,
+    quotes: DataFrame | None = None,
+    as_of: str | None = None,
+    now: str | None = None,
+) -> DataFrame:
+    """T4: the streaming combine of a batch of pairs: no fallback, the
+    processing time as a timestamp (F7). Adds ``pair_seq``."""
+    news, prices = pair_rows(pairs)
+    combined = combine(
+        predict_next_close(prices, as_of, persist=False),
+        daily_sentiment(news),
+        None,
+        processing="timestamp",
+        now=now,
+        fallback=False,
+    )
+    parts = F.split(F.col("symbol"), PAIR_SEP)
+    out = combined.withColumn("pair_seq", parts.getItem(1).cast("long")).withColumn("symbol", parts.getItem(0))
+    if quotes is not None:
+        out = out.drop("current_price").join(quotes.select("symbol", "current_price"), "symbol", "left")
+    return out
+
+
+def combine_sink(documents: str, messages: str | None = None, quotes: DataFrame | None = None,
+                 as_of: str | None = None, now: str | None = None):
+    """T5 (+S9): foreachBatch function writing the combined rows of each
+    micro-batch as per-symbol documents and, optionally, as messages."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        out = combine_pairs(batch, quotes, as_of, now).persist()
+        try:
+            write_documents(out.drop("pair_seq"), documents, mode="append")
+            if messages:
+                msgs = to_messages(out.drop("pair_seq"), "symbol").withColumn("batch", F.lit(batch_id))
+                msgs.write.mode("append").json(messages)
+        finally:
+            out.unpersist()
+
+    return write
+
+
+# --------------------------------------------------------------------- T8
+@dataclass
+class PipelineConfig:
+    """Paths of one deployment; all on shared storage."""
+
+    landing: str  # raw documents: <landing>/kind=news|prices/symbol=<s>/
+    formatted: str  # formatted tables: <formatted>/news, <formatted>/prices
+    documents: str  # per-symbol documents
+    checkpoint: str  # streaming checkpoints
+    quotes: DataFrame | None = None  # (symbol, current_price)
+    as_of: str | None = None  # split date; None = yesterday
+    now: str | None = None  # processing clock; None = now
+    documents_mode: str = "upsert"
+
+
+def format_landed(spark: SparkSession, cfg: PipelineConfig) -> tuple[DataFrame, DataFrame]:
+    """C1 + C2 over everything landed (batch)."""
+    news = spark.read.schema(RAW_NEWS).json(f"{cfg.landing}/kind=news")
+    prices = spark.read.schema(RAW_PRICES).json(f"{cfg.landing}/kind=prices")
+    return format_news(news), format_prices(prices)
+
+
+def combine_formatted(spark: SparkSession, cfg: PipelineConfig, news: DataFrame, prices: DataFrame) -> DataFrame:
+    return combine(predict_next_close(prices, cfg.as_of), daily_sentiment(news), cfg.quotes, "millis", cfg.now)
+
+
+def run_batch(spark: SparkSession, cfg: PipelineConfig, load_id: int = 0) -> None:
+    """The whole batch pipeline: landed documents → formatted tables →
+    combined → documents."""
+    news, prices = format_landed(spark, cfg)
+    news.write.mode("overwrite").parquet(f"{cfg.formatted}/news")
+    prices.write.mode("overwrite").parquet(f"{cfg.formatted}/prices")
+    news = spark.read.parquet(f"{cfg.formatted}/news")
+    prices = spark.read.parquet(f"{cfg.formatted}/prices")
+    write_documents(combine_formatted(spark, cfg, news, prices), cfg.documents, cfg.documents_mode, load_id)
+
+
+def _append_formatted(path: str, kind: str):
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = format_news(batch, ticker=symbol_from_path("_path")) if kind == "news" else format_prices(batch)
+        rows.write.mode("append").parquet(path)
+
+    return write
+
+
+def run_available_now(spark: SparkSession, cfg: PipelineConfig, load_id: int = 0) -> list[StreamingQuery]:
+    """Format only newly landed files (availableNow file streams with
+    checkpoints), then combine over the formatted tables and write
+    documents. Returns the finished streaming queries."""
+    done = []
+    for kind, schema in (("news", RAW_NEWS), ("prices", RAW_PRICES)):
+        src = (
+            spark.readStream.schema(schema)
+            .json(f"{cfg.landing}/kind={kind}")
+            .withColumn("_path", F.col("_metadata.file_path"))
+        )
+        q = (
+            src.writeStream.foreachBatch(_append_formatted(f"{cfg.formatted}/{kind}", kind))
+            .option("checkpointLocation", f"{cfg.checkpoint}/format_{kind}")
+            .trigger(availableNow=True)
+            .start()
+        )
+        q.awaitTermination()
+        done.append(q)
+    news = spark.read.parquet(f"{cfg.formatted}/news")
+    prices = spark.read.parquet(f"{cfg.formatted}/prices")
+    write_documents(combine_formatted(spark, cfg, news, prices), cfg.documents, cfg.documents_mode, load_id)
+    return done
+
+
+def read_pipeline_documents(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
+    return read_documents(spark, cfg.documents)
+
+
+def latest_quote_table(quotes: DataFrame) -> DataFrame:
+    return latest_quotes(quotes)
