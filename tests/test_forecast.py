@@ -125,3 +125,14 @@ def test_symbol_without_training_rows_scores_null(spark):
     df = spark.createDataFrame(bars("A", [date(2023, 5, 19)], 8), SCHEMA)
     out = predict_next_close(df, "2023-05-19").collect()
     assert len(out) == 1 and out[0].prediction is None
+
+
+def test_dedup_keeps_latest_document_row(spark):
+    days = [date(2023, 5, 18), date(2023, 5, 19), date(2023, 5, 22)]
+    old = [r + (1,) for r in bars("A", days, 9)]
+    new = [r + (2,) for r in bars("A", days[1:], 10)]
+    df = spark.createDataFrame(old + new, SCHEMA + ", fetched int")
+    out = predict_next_close(df, "2023-05-22", dedup_by="fetched").collect()
+    assert len(out) == 3  # one per scored day, not per duplicate
+    nxt = {r.date: r.close for r in out}
+    assert nxt[date(2023, 5, 19)] == new[0][5]  # Friday's row comes from the newer document

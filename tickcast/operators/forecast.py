@@ -232,6 +232,7 @@ def predict_next_close(
     features: list[str] | None = None,
     shift: str = "calendar",
     persist: bool = True,
+    dedup_by: str | None = None,
 ) -> DataFrame:
     """Prices → (symbol, date, 8 measures, next_day_close,
     prediction), one row per scored day, dated the next day.
@@ -239,8 +240,16 @@ def predict_next_close(
     The labelled bars feed both the fit and the scoring; they are daily
     aggregates (one row per symbol and day), so they are persisted once
     (memory, spilling to disk; recomputed from lineage if an executor is
-    lost) instead of recomputing the upstream joins twice."""
+    lost) instead of recomputing the upstream joins twice.
+
+    ``dedup_by`` names a document-order column: overlapping documents repeat
+    days, and only the latest document's row per (symbol, date) is kept
+    before the window (otherwise ``lead`` would be ambiguous)."""
     features = list(features or FEATURES)
+    if dedup_by:
+        from tickcast.operators.formatting import latest_bars
+
+        prices = latest_bars(prices.withColumn("date", F.to_date("date")), dedup_by)
     labelled = with_next_rows(prices)
     if persist:
         labelled = labelled.persist(StorageLevel.MEMORY_AND_DISK)

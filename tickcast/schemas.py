@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 META_DATA = "Meta Data"
 TIME_SERIES = "Time Series (Daily)"
 META_SYMBOL = "2. Symbol"
+META_LAST_REFRESHED = "3. Last Refreshed"
 META_KEYS = [
     "1. Information",
     "2. Symbol",

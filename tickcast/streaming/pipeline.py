@@ -23,7 +23,7 @@ from tickcast.operators.combine import combine, latest_quotes
 from tickcast.operators.forecast import predict_next_close
 from tickcast.operators.formatting import format_news, format_prices
 from tickcast.operators.sentiment import daily_sentiment
-from tickcast.schemas import NEWS, PRICES, RAW_NEWS, RAW_PRICES
+from tickcast.schemas import META_DATA, META_LAST_REFRESHED, NEWS, PRICES, RAW_NEWS, RAW_PRICES
 from tickcast.sources.documents import explode_row_batches
 from tickcast.sources.sinks import read_documents, to_messages, write_documents
 from tickcast.functions.scalar import symbol_from_path
@@ -144,15 +144,33 @@ class PipelineConfig:
     documents_mode: str = "upsert"
 
 
+FETCHED = "_fetched"
+
+
+def _fetch_order(raw: DataFrame) -> DataFrame:
+    """Document order of landed price documents: the document's own
+    refresh date, then the landing file's time and name (deterministic)."""
+    return raw.withColumn(
+        FETCHED,
+        F.struct(
+            F.col(f"`{META_DATA}`")[META_LAST_REFRESHED].alias("refreshed"),
+            F.col("_metadata.file_modification_time").alias("landed"),
+            F.col("_metadata.file_path").alias("path"),
+        ),
+    )
+
+
 def format_landed(spark: SparkSession, cfg: PipelineConfig) -> tuple[DataFrame, DataFrame]:
-    """C1 + C2 over everything landed (batch)."""
+    """C1 + C2 over everything landed (batch); price rows keep their
+    document order so overlapping documents can be resolved."""
     news = spark.read.schema(RAW_NEWS).json(f"{cfg.landing}/kind=news")
     prices = spark.read.schema(RAW_PRICES).json(f"{cfg.landing}/kind=prices")
-    return format_news(news), format_prices(prices)
+    return format_news(news), format_prices(_fetch_order(prices), keep=[FETCHED])
 
 
 def combine_formatted(spark: SparkSession, cfg: PipelineConfig, news: DataFrame, prices: DataFrame) -> DataFrame:
-    return combine(predict_next_close(prices, cfg.as_of), daily_sentiment(news), cfg.quotes, "millis", cfg.now)
+    predicted = predict_next_close(prices, cfg.as_of, dedup_by=FETCHED)
+    return combine(predicted, daily_sentiment(news), cfg.quotes, "millis", cfg.now)
 
 
 def run_batch(spark: SparkSession, cfg: PipelineConfig, load_id: int = 0) -> None:
@@ -168,7 +186,10 @@ def run_batch(spark: SparkSession, cfg: PipelineConfig, load_id: int = 0) -> Non
 
 def _append_formatted(path: str, kind: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = format_news(batch, ticker=symbol_from_path("_path")) if kind == "news" else format_prices(batch)
+        if kind == "news":
+            rows = format_news(batch, ticker=symbol_from_path("_path"))
+        else:
+            rows = format_prices(batch, keep=[FETCHED])
         rows.write.mode("append").parquet(path)
 
     return write
@@ -185,6 +206,8 @@ def run_available_now(spark: SparkSession, cfg: PipelineConfig, load_id: int = 0
             .json(f"{cfg.landing}/kind={kind}")
             .withColumn("_path", F.col("_metadata.file_path"))
         )
+        if kind == "prices":
+            src = _fetch_order(src)
         q = (
             src.writeStream.foreachBatch(_append_formatted(f"{cfg.formatted}/{kind}", kind))
             .option("checkpointLocation", f"{cfg.checkpoint}/format_{kind}")
