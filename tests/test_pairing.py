@@ -6,10 +6,11 @@ from hypothesis import strategies as st
 from tickcast.operators.pairing import fold_pairs, pair_latest_reset
 
 
-def run_window(spark, msgs):
+def run_window(spark, msgs, chunk_size=4):
     rows = [("A", s, k, "[]" if e else '["x"]') for s, k, e in msgs]
     df = spark.createDataFrame(rows, "symbol string, seq long, kind string, value string")
-    return sorted((r.seq, r.news_seq, r.prices_seq) for r in pair_latest_reset(df).collect())
+    out = pair_latest_reset(df, chunk_size=chunk_size).collect()
+    return sorted((r.seq, r.news_seq, r.prices_seq) for r in out)
 
 
 def test_examples(spark):
@@ -18,7 +19,8 @@ def test_examples(spark):
             (7, "news", False), (8, "news", True), (9, "prices", False),     # empty news clears: no emit
             (10, "news", False)]                                             # emit (10,9)
     assert fold_pairs(msgs) == [(3, 2, 3), (6, 6, 5), (10, 10, 9)]
-    assert run_window(spark, msgs) == fold_pairs(msgs)
+    for chunk in (1, 2, 3, 100):
+        assert run_window(spark, msgs, chunk) == fold_pairs(msgs)
 
 
 def test_random_logs_match_fold(spark):
@@ -29,8 +31,17 @@ def test_random_logs_match_fold(spark):
         rows += [(f"S{sym}", s, k, "[]" if e else '["x"]') for s, k, e in msgs]
         expected += [(f"S{sym}",) + p for p in fold_pairs(msgs)]
     df = spark.createDataFrame(rows, "symbol string, seq long, kind string, value string")
-    got = sorted((r.symbol, r.seq, r.news_seq, r.prices_seq) for r in pair_latest_reset(df).collect())
-    assert got == sorted(expected)
+    for chunk in (5, 16, 1 << 20):
+        got = sorted((r.symbol, r.seq, r.news_seq, r.prices_seq) for r in pair_latest_reset(df, chunk_size=chunk).collect())
+        assert got == sorted(expected)
+
+
+def test_long_alternating_island_across_chunks(spark):
+    # N P N P ... with no repeats forms one island spanning every chunk.
+    msgs = [(i, "news" if i % 2 == 0 else "prices", False) for i in range(50)]
+    msgs += [(50, "news", True), (51, "prices", False), (52, "prices", True), (53, "news", False), (54, "prices", False)]
+    for chunk in (3, 4, 7):
+        assert run_window(spark, msgs, chunk) == fold_pairs(msgs)
 
 
 @settings(max_examples=15, deadline=None)

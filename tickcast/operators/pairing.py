@@ -14,19 +14,28 @@ sequence order; message i of kind k emits exactly when
 
 So with c_i = the first two conditions, emit_i = c_i AND NOT emit_{i-1}:
 inside every maximal run ("island") of consecutive c = 1 messages the
-emitters are the 1st, 3rd, 5th ... — a parity test on a row number. All
-steps are windows partitioned by symbol on one hash partitioning (one
-shuffle), spillable, with no Python. The streaming form is
+emitters are the 1st, 3rd, 5th ... — a parity test on a position.
+
+Hot symbols: a symbol may own a large share of all messages, so no window
+runs over a whole symbol. Messages are cut into chunks of ``chunk_size``
+consecutive sequence numbers; row-level windows run per (symbol, chunk)
+(bounded groups). What crosses a chunk boundary — the previous non-empty
+message, the empties seen since it, and the parity of the island running
+into the chunk — is computed from one small summary row per chunk with
+windows per symbol over those summaries (a two-level scan), then joined
+back. Raw messages are shuffled once. The streaming form is
 :mod:`tickcast.streaming.pairing`.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 NEWS = "news"
 PRICES = "prices"
+DEFAULT_CHUNK = 1 << 20
 
 
 def empty_payload(value: str | Column) -> Column:
@@ -35,6 +44,10 @@ def empty_payload(value: str | Column) -> Column:
     return F.coalesce(F.size(F.from_json(v, "array<string>")), F.lit(0)) <= 0
 
 
+def _count(cond: Column) -> Column:
+    return F.sum(cond.cast("long"))
+
+
 def pair_latest_reset(
     messages: DataFrame,
     key: str = "symbol",
@@ -42,44 +55,116 @@ def pair_latest_reset(
     kind: str = "kind",
     value: str = "value",
     empty: str | Column | None = None,
+    chunk_size: int = DEFAULT_CHUNK,
 ) -> DataFrame:
-    """Messages (key, seq, kind news|prices, value) → one row per emitted
-    pair: (key, seq of the emitting message, news_seq, prices_seq,
-    news_value, prices_value)."""
+    """Messages (key, seq unique per key, kind news|prices, value) → one row
+    per emitted pair: (key, seq of the emitting message, news_seq,
+    prices_seq, news_value, prices_value)."""
     is_empty = empty_payload(value) if empty is None else (F.col(empty) if isinstance(empty, str) else empty)
     m = messages.select(
-        F.col(key).alias("_k"), F.col(seq).alias("_seq"), F.col(kind).alias("_kind"),
-        F.col(value).alias("_value"), is_empty.alias("_empty"),
+        F.col(key).alias("_k"),
+        F.col(seq).cast("long").alias("_seq"),
+        F.col(kind).alias("_kind"),
+        F.col(value).alias("_value"),
+        is_empty.alias("_empty"),
+        F.floor(F.col(seq) / F.lit(chunk_size)).alias("_chunk"),
+    )
+    in_chunk = Window.partitionBy("_k", "_chunk").orderBy("_seq")
+    run = in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    by_chunk = Window.partitionBy("_k").orderBy("_chunk")
+    before = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
+    upto = by_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    news_empty = F.col("_empty") & (F.col("_kind") == NEWS)
+    prices_empty = F.col("_empty") & (F.col("_kind") == PRICES)
+
+    # 1. empties seen so far inside the chunk (inclusive running counts).
+    #    Row-level frames feed both their chunk summary and the join back,
+    #    so they are persisted: the log is scanned and shuffled once.
+    m = m.select("*", _count(news_empty).over(run).alias("_en"), _count(prices_empty).over(run).alias("_ep"))
+    m = m.persist(StorageLevel.MEMORY_AND_DISK)
+
+    # 2. per chunk: empty totals and its last non-empty message
+    ne_struct = F.struct(
+        F.col("_seq").alias("seq"), F.col("_kind").alias("kind"), F.col("_value").alias("value"),
+        F.col("_en").alias("en"), F.col("_ep").alias("ep"),
+    )
+    chunks = m.groupBy("_k", "_chunk").agg(
+        _count(news_empty).alias("_tot_en"),
+        _count(prices_empty).alias("_tot_ep"),
+        F.max(F.when(~F.col("_empty"), ne_struct)).alias("_last"),
     )
-    by_seq = Window.partitionBy("_k").orderBy("_seq")
-    running = by_seq.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    m = m.select(
+    # 3. per symbol over chunk rows: empties before the chunk and the last
+    #    non-empty message of any earlier chunk (with global empty counts)
+    chunks = chunks.select(
         "*",
-        F.sum((F.col("_empty") & (F.col("_kind") == NEWS)).cast("long")).over(running).alias("_en"),
-        F.sum((F.col("_empty") & (F.col("_kind") == PRICES)).cast("long")).over(running).alias("_ep"),
+        F.coalesce(F.sum("_tot_en").over(before), F.lit(0)).alias("_cum_en"),
+        F.coalesce(F.sum("_tot_ep").over(before), F.lit(0)).alias("_cum_ep"),
     )
-    ne = m.filter(~F.col("_empty"))
-    prev = {c: F.lag(c).over(by_seq) for c in ("_kind", "_seq", "_value", "_en", "_ep")}
-    cleared = F.when(prev["_kind"] == NEWS, F.col("_en") - prev["_en"]).otherwise(F.col("_ep") - prev["_ep"])
+    last_global = F.when(
+        F.col("_last").isNotNull(),
+        F.struct(
+            F.col("_last.seq").alias("seq"), F.col("_last.kind").alias("kind"), F.col("_last.value").alias("value"),
+            (F.col("_cum_en") + F.col("_last.en")).alias("en"), (F.col("_cum_ep") + F.col("_last.ep")).alias("ep"),
+        ),
+    )
+    chunks = chunks.select(
+        "_k", "_chunk", "_cum_en", "_cum_ep",
+        F.last(last_global, ignorenulls=True).over(before).alias("_carry"),
+    )
+
+    # 4. non-empty rows with global empty counts; c_i from the previous
+    #    non-empty message (in the chunk, else carried in)
+    ne = m.filter(~F.col("_empty")).join(chunks, ["_k", "_chunk"], "inner")
     ne = ne.select(
-        "_k", "_seq", "_kind", "_value",
-        prev["_seq"].alias("_pseq"), prev["_value"].alias("_pvalue"),
-        (prev["_kind"].isNotNull() & (prev["_kind"] != F.col("_kind")) & (cleared == 0)).alias("_c"),
+        "_k", "_chunk", "_seq", "_kind", "_value",
+        (F.col("_cum_en") + F.col("_en")).alias("_gen"),
+        (F.col("_cum_ep") + F.col("_ep")).alias("_gep"),
+        "_carry",
     )
-    ne = ne.withColumn(
-        "_island", F.sum((~F.col("_c")).cast("long")).over(running)
+    prev_local = F.lag(
+        F.struct(
+            F.col("_seq").alias("seq"), F.col("_kind").alias("kind"), F.col("_value").alias("value"),
+            F.col("_gen").alias("en"), F.col("_gep").alias("ep"),
+        )
+    ).over(in_chunk)
+    ne = ne.withColumn("_prev", F.coalesce(prev_local, F.col("_carry"))).drop("_carry")
+    cleared = F.when(F.col("_prev.kind") == NEWS, F.col("_gen") - F.col("_prev.en")).otherwise(
+        F.col("_gep") - F.col("_prev.ep")
     )
-    pos = F.row_number().over(Window.partitionBy("_k", "_island").orderBy("_seq")) - 1
-    ne = ne.withColumn("_pos", pos)
-    emits = ne.filter(F.col("_c") & (F.col("_pos") % 2 == 1))
+    c = F.col("_prev").isNotNull() & (F.col("_prev.kind") != F.col("_kind")) & (cleared == 0)
+    ne = ne.withColumn("_c", c)
+    ne = ne.withColumn("_zeros", _count(~F.col("_c")).over(run))
+    ne = ne.withColumn("_pos", F.row_number().over(Window.partitionBy("_k", "_chunk", "_zeros").orderBy("_seq")))
+    ne = ne.persist(StorageLevel.MEMORY_AND_DISK)
+
+    # 5. island parity entering each chunk: position of the previous
+    #    non-empty chunk's last message inside its island (mod 2)
+    par = ne.groupBy("_k", "_chunk").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.max("_zeros").alias("_z"),
+        F.max_by("_pos", "_seq").alias("_last_pos"),
+    )
+    par = par.select(
+        "_k", "_chunk", "_n", "_z", "_last_pos",
+        F.sum("_n").over(upto).alias("_cum_n"),
+    )
+    anchor = F.when(F.col("_z") > 0, F.struct(F.col("_cum_n").alias("cum_n"), (F.col("_last_pos") - 1).alias("r")))
+    par = par.withColumn("_anchor", F.last(anchor, ignorenulls=True).over(upto))
+    par = par.withColumn("_pout", (F.col("_anchor.r") + F.col("_cum_n") - F.col("_anchor.cum_n")) % 2)
+    par = par.select("_k", "_chunk", F.lag("_pout").over(by_chunk).alias("_pin"))
+
+    # 6. emit at odd positions of each island
+    ne = ne.join(par, ["_k", "_chunk"], "inner")
+    position = F.when(F.col("_zeros") == 0, F.col("_pin") + F.col("_pos")).otherwise(F.col("_pos") - 1)
+    emits = ne.filter(F.col("_c") & (position % 2 == 1))
     news_now = F.col("_kind") == NEWS
     return emits.select(
         F.col("_k").alias(key),
         F.col("_seq").alias(seq),
-        F.when(news_now, F.col("_seq")).otherwise(F.col("_pseq")).alias("news_seq"),
-        F.when(news_now, F.col("_pseq")).otherwise(F.col("_seq")).alias("prices_seq"),
-        F.when(news_now, F.col("_value")).otherwise(F.col("_pvalue")).alias("news_value"),
-        F.when(news_now, F.col("_pvalue")).otherwise(F.col("_value")).alias("prices_value"),
+        F.when(news_now, F.col("_seq")).otherwise(F.col("_prev.seq")).alias("news_seq"),
+        F.when(news_now, F.col("_prev.seq")).otherwise(F.col("_seq")).alias("prices_seq"),
+        F.when(news_now, F.col("_value")).otherwise(F.col("_prev.value")).alias("news_value"),
+        F.when(news_now, F.col("_prev.value")).otherwise(F.col("_value")).alias("prices_value"),
     )
 
 
