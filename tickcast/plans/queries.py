@@ -251,8 +251,9 @@ def q_pair_by_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_bench_combine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything on the orders proxy: lineitem ⋈ orders ⋈ customer bars,
     orders ⋈ customer news, OLS, shifted join, fallback, quotes."""
-    bars = proxy.order_bars(spark, sf_dir)
-    return report_combined(_combine(spark, bars, proxy.order_news(spark, sf_dir), ORD_AS_OF))
+    seg = proxy.segment_orders(spark, sf_dir)
+    bars = proxy.order_bars(spark, sf_dir, seg)
+    return report_combined(_combine(spark, bars, proxy.order_news(spark, sf_dir, seg), ORD_AS_OF))
 
 
 def q_recent_news_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,8 +36,23 @@ N_EVENT_SYMBOLS = 5
 ITEMS_PER_DOCUMENT = 200  # the upstream request limit per news fetch
 
 
+# Declared schemas of the test tables this module reads (no inference job).
+TABLE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def article_label(score: Column) -> Column:
@@ -260,22 +275,22 @@ def segment_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(cust, orders.o_custkey == cust.c_custkey, "inner")
 
 
-def order_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_bars(spark: SparkSession, sf_dir: str, seg: DataFrame | None = None) -> DataFrame:
     """Daily bars per market segment from lineitem ⋈ orders ⋈ customer."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         "l_quantity", "l_extendedprice", "l_shipdate",
     )
-    seg = segment_orders(spark, sf_dir).select("o_orderkey", "symbol")
+    seg = (seg if seg is not None else segment_orders(spark, sf_dir)).select("o_orderkey", "symbol")
     rows = li.join(seg, li.l_orderkey == seg.o_orderkey, "inner")
     unit = F.col("l_extendedprice") / F.col("l_quantity")
     key = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     return _bars(rows, F.to_date("l_shipdate"), unit, F.col("l_quantity"), key)
 
 
-def order_news(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_news(spark: SparkSession, sf_dir: str, seg: DataFrame | None = None) -> DataFrame:
     """Formatted news rows per market segment from orders ⋈ customer."""
-    o = segment_orders(spark, sf_dir)
+    o = seg if seg is not None else segment_orders(spark, sf_dir)
     label = F.coalesce(
         *[F.when(F.col("o_orderpriority") == k, F.lit(v)) for k, v in PRIORITY_LABELS.items()]
     )
