@@ -33,3 +33,24 @@ def test_label_thresholds(spark):
     df = spark.createDataFrame([(0.35,), (0.3499,), (-0.35,), (-0.3499,), (None,)], "x double")
     got = [r[0] for r in df.select(sentiment_label("x")).collect()]
     assert got == ["Bullish", "Neutral", "Bearish", "Neutral", "Neutral"]
+
+
+def test_article_near_midnight_utc_stays_on_its_utc_day(spark):
+    rows = [
+        (datetime(2023, 5, 19, 23, 59, 59), "A", 0.5, "Bullish", 1.0, 0.5, "x"),
+        (datetime(2023, 5, 20, 0, 0, 0), "A", -0.5, "Bearish", 1.0, -0.5, "x"),
+    ]
+    out = {r.date.day: (r.positive_news_amount, r.negative_news_amount)
+           for r in daily_sentiment(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert out == {19: (1, 0), 20: (0, 1)}
+
+
+def test_published_text_parses_in_utc_whatever_the_host_zone(spark):
+    from tickcast.functions.scalar import parse_published, to_utc
+    from tickcast.session import ensure_session
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    ensure_session(spark)  # pins UTC again
+    got = spark.createDataFrame([("20230519T235959",)], "t string").select(
+        to_utc(parse_published("t")).cast("date").alias("d")).first().d
+    assert got.day == 19

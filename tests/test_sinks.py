@@ -65,3 +65,20 @@ def test_landing_and_ticker_from_path(spark, tmp_path):
     raw = read_raw_news(spark, str(p))
     assert raw.select(symbol_from_path("_path")).first()[0] == "GOOG"
     assert format_news(raw, ticker=symbol_from_path("_path")).count() == 1
+
+
+def test_micro_batch_writes_are_idempotent(spark):
+    from tickcast.sources.sinks import write_batch
+
+    rows = spark.createDataFrame([combined_row("AAPL", 19, 1.0, 1), combined_row("GOOG", 19, 2.0, 1)], COMBINED)
+    path = scratch_path(spark, "test-docs")
+    write_documents(rows, path, batch_id=0)
+    write_documents(rows, path, batch_id=0)  # the same micro-batch replayed after a failure
+    write_documents(rows.filter("symbol = 'AAPL'").withColumn("close_price", F.lit(5.0)), path, batch_id=1)
+    docs = read_documents(spark, path)
+    assert sorted((r.symbol, r.close_price) for r in docs.collect()) == [("AAPL", 5.0), ("GOOG", 2.0)]
+    assert read_documents(spark, path, resolve=False).count() == 3
+    other = scratch_path(spark, "test-batch")
+    write_batch(rows, other, 3)
+    write_batch(rows, other, 3)
+    assert spark.read.parquet(other).count() == 2

@@ -69,3 +69,24 @@ def test_stream_daily_sentiment_equals_batch(spark):
     want = daily_sentiment(rows)
     cols = ["symbol", "date", "positive_news_amount", "negative_news_amount", "ticker_sentiment_score_mean_label"]
     assert sorted(got.select(*cols).collect()) == sorted(want.select(*cols).collect())
+
+
+def test_batch_run_equals_available_now_run(spark):
+    from tickcast.operators.combine import latest_quotes
+    from tickcast.sources.sinks import land, read_documents
+    from tickcast.streaming.pipeline import PipelineConfig, run_available_now, run_batch
+
+    quotes = latest_quotes(proxy.quote_payloads(proxy.event_bars(spark, SF)))
+    results = []
+    for runner in (run_batch, run_available_now):
+        base = scratch_path(spark, "test-pipeline")
+        land(proxy.event_news_documents(spark, SF), f"{base}/landing", "news")
+        land(proxy.event_price_documents(spark, SF), f"{base}/landing", "prices")
+        cfg = PipelineConfig(f"{base}/landing", f"{base}/formatted", f"{base}/documents", f"{base}/ckpt",
+                             quotes=quotes, as_of="2024-01-25", now="2024-02-01 00:00:00")
+        runner(spark, cfg, 1)
+        if runner is run_available_now:
+            # a second periodic run with nothing new landed changes nothing
+            runner(spark, cfg, 2)
+        results.append(sorted(read_documents(spark, cfg.documents).collect()))
+    assert results[0] == results[1] and len(results[0]) > 0

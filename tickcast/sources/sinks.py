@@ -52,6 +52,21 @@ def row_batches(df: DataFrame, group: list[str], columns: list[str] | None = Non
     return rows.groupBy(*group).agg(F.to_json(F.collect_list("_row")).alias("value"))
 
 
+def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: list[str] | None = None, fmt: str = "parquet") -> None:
+    """Idempotent micro-batch write for ``foreachBatch``: the batch lands in
+    its own ``_batch=<id>`` partition with dynamic partition overwrite, so a
+    micro-batch re-run after a failure replaces its output instead of
+    appending it twice."""
+    (
+        df.withColumn("_batch", F.lit(int(batch_id)).cast("long"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*(partition_by or []), "_batch")
+        .format(fmt)
+        .save(path)
+    )
+
+
 def typed_documents(combined: DataFrame) -> DataFrame:
     """The typed index document (counts → int). The processing time
     keeps the type it was produced with (epoch millis or timestamp)."""
@@ -70,6 +85,7 @@ def write_documents(
     mode: str = "append",
     load_id: int | Column | None = None,
     fmt: str = "parquet",
+    batch_id: int | None = None,
 ) -> None:
     """One document per row into a per-symbol collection
     ``index=<lower(symbol)>`` (F14), created on first write.
@@ -77,13 +93,17 @@ def write_documents(
     ``append`` is the reference's behaviour (a rerun duplicates documents).
     ``upsert`` appends with a load sequence; :func:`read_documents` then
     returns the newest document per (symbol, date) — merge on read, so no
-    path is rewritten while it is being read."""
+    path is rewritten while it is being read. With ``batch_id`` (streaming)
+    the write is idempotent per micro-batch (:func:`write_batch`)."""
     docs = typed_documents(combined).withColumn("index", index_name("symbol"))
     if mode == "upsert":
         load = load_id if isinstance(load_id, Column) else F.lit(load_id if load_id is not None else 0)
         docs = docs.withColumn("_load", load.cast("long"))
     elif mode != "append":
         raise ValueError(f"documents mode must be 'append' or 'upsert', not {mode!r}")
+    if batch_id is not None:
+        write_batch(docs, path, batch_id, ["index"], fmt)
+        return
     docs.write.mode("append").partitionBy("index").format(fmt).save(path)
 
 
@@ -106,6 +126,9 @@ def read_documents(
     if schema:
         reader = reader.schema(schema)
     docs = reader.load(path)
+    if "_batch" in docs.columns:  # micro-batch partitions: later batch = later load
+        order = F.col("_batch") if "_load" not in docs.columns else F.struct("_load", "_batch")
+        docs = docs.withColumn("_load", order).drop("_batch")
     if not resolve or "_load" not in docs.columns:
         return docs
     rest = [c for c in docs.columns if c not in ("symbol", "date", "_load")]

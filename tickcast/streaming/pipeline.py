@@ -25,7 +25,7 @@ from tickcast.operators.formatting import format_news, format_prices
 from tickcast.operators.sentiment import daily_sentiment
 from tickcast.schemas import META_DATA, META_LAST_REFRESHED, NEWS, PRICES, RAW_NEWS, RAW_PRICES
 from tickcast.sources.documents import explode_row_batches
-from tickcast.sources.sinks import read_documents, to_messages, write_documents
+from tickcast.sources.sinks import read_documents, to_messages, write_batch, write_documents
 from tickcast.functions.scalar import symbol_from_path
 
 PAIR_SEP = "#"
@@ -60,7 +60,7 @@ def upsert_batches(path: str, keys: list[str]):
     :func:`latest_rows`)."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id).cast("long")).write.mode("append").parquet(path)
+        write_batch(batch, path, batch_id)
 
     return write
 
@@ -119,10 +119,9 @@ def combine_sink(documents: str, messages: str | None = None, quotes: DataFrame
     def write(batch: DataFrame, batch_id: int) -> None:
         out = combine_pairs(batch, quotes, as_of, now).persist()
         try:
-            write_documents(out.drop("pair_seq"), documents, mode="append")
+            write_documents(out.drop("pair_seq"), documents, mode="append", batch_id=batch_id)
             if messages:
-                msgs = to_messages(out.drop("pair_seq"), "symbol").withColumn("batch", F.lit(batch_id))
-                msgs.write.mode("append").json(messages)
+                write_batch(to_messages(out.drop("pair_seq"), "symbol"), messages, batch_id, fmt="json")
         finally:
             out.unpersist()
 
@@ -190,7 +189,7 @@ def _append_formatted(path: str, kind: str):
             rows = format_news(batch, ticker=symbol_from_path("_path"))
         else:
             rows = format_prices(batch, keep=[FETCHED])
-        rows.write.mode("append").parquet(path)
+        write_batch(rows, path, batch_id)
 
     return write
 
