@@ -17,7 +17,7 @@ when its measured size is under the broadcast threshold.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickcast.functions.scalar import processing_time, quote_price
@@ -106,8 +106,3 @@ def pair_by_symbol(news: DataFrame, prices: DataFrame, news_key: str = "ticker",
         F.max("date").alias("last_price_date"),
     )
     return n.join(p, "symbol", "inner")
-
-
-def with_symbol_column(df: DataFrame, symbol: Column) -> DataFrame:
-    """Overwrite ``symbol`` (the reference sets it from the file key)."""
-    return df.withColumn("symbol", symbol)

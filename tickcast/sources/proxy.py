@@ -282,7 +282,11 @@ def order_bars(spark: SparkSession, sf_dir: str, seg: DataFrame | None = None) -
         "l_quantity", "l_extendedprice", "l_shipdate",
     )
     seg = (seg if seg is not None else segment_orders(spark, sf_dir)).select("o_orderkey", "symbol")
-    rows = li.join(seg, li.l_orderkey == seg.o_orderkey, "inner")
+    # Fact-to-fact join on the order key: a sort-merge join (what the planner
+    # picks once orders outgrow the broadcast threshold) spreads the
+    # per-line aggregation over all shuffle partitions, independent of how
+    # many splits the lineitem files have. Never a forced broadcast.
+    rows = li.join(seg.hint("merge"), li.l_orderkey == seg.o_orderkey, "inner")
     unit = F.col("l_extendedprice") / F.col("l_quantity")
     key = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     return _bars(rows, F.to_date("l_shipdate"), unit, F.col("l_quantity"), key)

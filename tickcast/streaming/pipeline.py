@@ -18,14 +18,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickcast.functions.scalar import BEARISH, BULLISH, sentiment_label
-from tickcast.operators.combine import combine, latest_quotes
+from tickcast.functions.scalar import BEARISH, BULLISH, sentiment_label, symbol_from_path
+from tickcast.operators.combine import combine
 from tickcast.operators.forecast import predict_next_close
 from tickcast.operators.formatting import format_news, format_prices
 from tickcast.operators.sentiment import daily_sentiment
 from tickcast.schemas import META_DATA, META_LAST_REFRESHED, NEWS, PRICES, RAW_NEWS, RAW_PRICES
 from tickcast.sources.documents import explode_row_batches
-from tickcast.sources.sinks import read_documents, to_messages, write_batch, write_documents
+from tickcast.sources.sinks import to_messages, write_batch, write_documents, write_parquet
 from tickcast.functions.scalar import symbol_from_path
 
 PAIR_SEP = "#"
@@ -173,11 +173,13 @@ def combine_formatted(spark: SparkSession, cfg: PipelineConfig, news: DataFrame,
 
 
 def run_batch(spark: SparkSession, cfg: PipelineConfig, load_id: int = 0) -> None:
-    """The whole batch pipeline: landed documents → formatted tables →
-    combined → documents."""
+    """The whole batch pipeline: landed documents → formatted tables
+    (S7, rewritten) → combined → documents. The formatted tables are written
+    and read back, which also cuts the lineage before the combine. Use either
+    this or :func:`run_available_now` on one ``formatted`` folder."""
     news, prices = format_landed(spark, cfg)
-    news.write.mode("overwrite").parquet(f"{cfg.formatted}/news")
-    prices.write.mode("overwrite").parquet(f"{cfg.formatted}/prices")
+    write_parquet(news, f"{cfg.formatted}/news", mode="overwrite")
+    write_parquet(prices, f"{cfg.formatted}/prices", mode="overwrite")
     news = spark.read.parquet(f"{cfg.formatted}/news")
     prices = spark.read.parquet(f"{cfg.formatted}/prices")
     write_documents(combine_formatted(spark, cfg, news, prices), cfg.documents, cfg.documents_mode, load_id)
@@ -220,10 +222,3 @@ def run_available_now(spark: SparkSession, cfg: PipelineConfig, load_id: int = 0
     write_documents(combine_formatted(spark, cfg, news, prices), cfg.documents, cfg.documents_mode, load_id)
     return done
 
-
-def read_pipeline_documents(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
-    return read_documents(spark, cfg.documents)
-
-
-def latest_quote_table(quotes: DataFrame) -> DataFrame:
-    return latest_quotes(quotes)
