@@ -63,13 +63,18 @@ def ensure_session(spark: SparkSession) -> SparkSession:
 _SHIPPED: set[str] = set()
 
 
+SHIP_CONF = "spark.tickcast.shipPackage"
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make ``tickcast`` importable in Python workers (what ``--py-files``
     does at submit time): zip the package once and add it to the context.
-    Arrow functions of the library reference package code by name."""
+    Arrow functions of the library reference package code by name. Where
+    the package is installed on the executors (or passed with
+    ``--py-files``), set ``spark.tickcast.shipPackage=false``."""
     sc = spark.sparkContext
     app = sc.applicationId
-    if app in _SHIPPED:
+    if app in _SHIPPED or spark.conf.get(SHIP_CONF, "true").lower() == "false":
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg_dir)
