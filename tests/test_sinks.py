@@ -82,3 +82,10 @@ def test_micro_batch_writes_are_idempotent(spark):
     write_batch(rows, other, 3)
     write_batch(rows, other, 3)
     assert spark.read.parquet(other).count() == 2
+
+
+def test_documents_date_as_timestamp_option(spark):
+    rows = spark.createDataFrame([combined_row("AAPL", 19, 1.0, 1)], COMBINED)
+    path = scratch_path(spark, "test-docs")
+    write_documents(rows, path, date_as_timestamp=True)
+    assert dict(read_documents(spark, path).dtypes)["date"] == "timestamp"

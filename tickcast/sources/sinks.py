@@ -67,13 +67,17 @@ def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: list[str]
     )
 
 
-def typed_documents(combined: DataFrame) -> DataFrame:
+def typed_documents(combined: DataFrame, date_as_timestamp: bool = False) -> DataFrame:
     """The typed index document (counts → int). The processing time
-    keeps the type it was produced with (epoch millis or timestamp)."""
+    keeps the type it was produced with (epoch millis or timestamp). The
+    streaming indexer of the reference re-casts ``date`` to a timestamp;
+    ``date_as_timestamp`` does the same (default keeps the date)."""
     cols = []
     for f in DOCUMENT.fields:
         if isinstance(f.dataType, T.TimestampType):
             cols.append(F.col(f.name))
+        elif f.name == "date" and date_as_timestamp:
+            cols.append(F.col("date").cast("timestamp").alias("date"))
         else:
             cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
     return combined.select(*cols)
@@ -86,6 +90,7 @@ def write_documents(
     load_id: int | Column | None = None,
     fmt: str = "parquet",
     batch_id: int | None = None,
+    date_as_timestamp: bool = False,
 ) -> None:
     """One document per row into a per-symbol collection
     ``index=<lower(symbol)>`` (F14), created on first write.
@@ -95,7 +100,7 @@ def write_documents(
     returns the newest document per (symbol, date) — merge on read, so no
     path is rewritten while it is being read. With ``batch_id`` (streaming)
     the write is idempotent per micro-batch (:func:`write_batch`)."""
-    docs = typed_documents(combined).withColumn("index", index_name("symbol"))
+    docs = typed_documents(combined, date_as_timestamp).withColumn("index", index_name("symbol"))
     if mode == "upsert":
         load = load_id if isinstance(load_id, Column) else F.lit(load_id if load_id is not None else 0)
         docs = docs.withColumn("_load", load.cast("long"))

@@ -25,6 +25,7 @@ from tickcast.operators.formatting import format_news, format_prices
 from tickcast.operators.sentiment import daily_sentiment
 from tickcast.schemas import META_DATA, META_LAST_REFRESHED, NEWS, PRICES, RAW_NEWS, RAW_PRICES
 from tickcast.sources.documents import explode_row_batches
+from tickcast.streaming.sources import COMBINED
 from tickcast.sources.sinks import to_messages, write_batch, write_documents, write_parquet
 from tickcast.functions.scalar import symbol_from_path
 
@@ -121,7 +122,8 @@ def combine_sink(documents: str, messages: str | None = None, quotes: DataFrame
         try:
             write_documents(out.drop("pair_seq"), documents, mode="append", batch_id=batch_id)
             if messages:
-                write_batch(to_messages(out.drop("pair_seq"), "symbol"), messages, batch_id, fmt="json")
+                msgs = to_messages(out.drop("pair_seq"), "symbol").withColumn("topic", F.lit(COMBINED))
+                write_batch(msgs, messages, batch_id, fmt="json")
         finally:
             out.unpersist()
 
