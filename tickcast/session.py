@@ -25,6 +25,28 @@ SESSION_CONF = {
 }
 
 
+def cluster_settings(input_bytes: int, partition_bytes: int = 256 << 20, max_partitions: int = 100_000) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of input.
+
+    Start with enough shuffle partitions that each holds about
+    ``partition_bytes`` of the largest input (AQE then coalesces the small
+    post-aggregation stages to the advisory size and splits skewed join
+    partitions), and read files in splits of the same size. At 100 TB and
+    256 MiB that is ~400k, capped at ``max_partitions`` (100k); the heavy
+    shuffles (fact-to-fact joins, partial aggregates) see far less data
+    than the input, so the cap is not binding in practice.
+    """
+    n = max(8, min(max_partitions, -(-int(input_bytes) // int(partition_bytes))))
+    size = f"{int(partition_bytes) >> 20}m"
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
 def build_session(
     master: str | None = "local[*]",
     app_name: str = "tickcast",
