@@ -10,7 +10,7 @@ from tickcast.sources import proxy
 from tickcast.sources.documents import news_rows, parse_news
 from tickcast.streaming.formatting import news_rows_array, route
 from tickcast.streaming.pairing import pair_stream
-from tickcast.streaming.pipeline import daily_sentiment_stream
+from tickcast.streaming.jobs import daily_sentiment_stream
 from tickcast.streaming.sources import FORMAT_NEWS, FORMAT_PRICES, INGEST_NEWS, topic_stream
 from tickcast.schemas import MESSAGE
 
@@ -74,7 +74,7 @@ def test_stream_daily_sentiment_equals_batch(spark):
 def test_batch_run_equals_available_now_run(spark):
     from tickcast.operators.combine import latest_quotes
     from tickcast.sources.sinks import land, read_documents
-    from tickcast.streaming.pipeline import PipelineConfig, run_available_now, run_batch
+    from tickcast.streaming.jobs import PipelineConfig, run_available_now, run_batch
 
     quotes = latest_quotes(proxy.quote_payloads(proxy.event_bars(spark, SF)))
     results = []

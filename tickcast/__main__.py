@@ -13,7 +13,7 @@ import argparse
 
 from tickcast.operators.combine import latest_quotes
 from tickcast.session import build_session
-from tickcast.streaming.pipeline import PipelineConfig, run_available_now, run_batch
+from tickcast.streaming.jobs import PipelineConfig, run_available_now, run_batch
 
 
 def main(argv: list[str] | None = None) -> None:

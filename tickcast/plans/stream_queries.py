@@ -26,7 +26,7 @@ from tickcast.sources.documents import news_rows, price_rows
 from tickcast.sources.sinks import DOCUMENT_STORED, land, read_documents
 from tickcast.streaming.formatting import format_stream
 from tickcast.streaming.pairing import pair_stream
-from tickcast.streaming.pipeline import (
+from tickcast.streaming.jobs import (
     PipelineConfig,
     combine_sink,
     daily_sentiment_stream,
