@@ -260,7 +260,9 @@ def q_recent_news_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest 200 articles per symbol since the start of a day."""
     news = proxy.event_news(spark, sf_dir, with_id=True)
     top = recent_news(news, RECENT_LIMIT, RECENT_FROM, key="ticker", tiebreak="event_id")
-    return top.select("ticker", "event_id", iso_time("time_published").alias("time_published"), "rank")
+    return top.select(
+        "ticker", "event_id", iso_time("time_published").alias("time_published"), F.col("rank").cast("long").alias("rank")
+    )
 
 
 def q_pair_latest_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
