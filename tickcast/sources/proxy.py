@@ -175,7 +175,15 @@ def _articles(ev: DataFrame) -> DataFrame:
 def event_news_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw news documents, one per (symbol, block of ≤200 event ids) — the
     upstream per-fetch limit — as (symbol, fetched_at, value JSON)."""
-    ev = events(spark, sf_dir).filter(F.col("event_type") != BAR_TYPE)
+    # Collecting a list does not shrink anything map-side, so the narrow raw
+    # event rows are shuffled by document key first and the article structs
+    # are built after the shuffle; the grouping reuses that partitioning.
+    ev = (
+        events(spark, sf_dir)
+        .filter(F.col("event_type") != BAR_TYPE)
+        .withColumn("block", F.floor(F.col("event_id") / F.lit(ITEMS_PER_DOCUMENT)))
+        .repartition("symbol", "block")
+    )
     arts = _articles(ev).withColumn(
         "block", F.floor(F.col("event_id") / F.lit(ITEMS_PER_DOCUMENT))
     )
