@@ -44,6 +44,9 @@ def cluster_settings(input_bytes: int, partition_bytes: int = 256 << 20, max_par
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
         "spark.sql.files.maxPartitionBytes": size,
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # streaming state (daily windows, pair slots) off the JVM heap
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
 
 
