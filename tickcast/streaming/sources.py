@@ -72,3 +72,30 @@ def as_messages(df: DataFrame, topic: str, key: str, value: str, offset: str, ti
         F.col(offset).cast("long").alias("offset"),
         ts.alias("timestamp"),
     )
+
+
+def write_topic(messages: DataFrame, topic: str, bootstrap_servers: str) -> None:
+    """S9 batch sink: (key, value) messages to a topic with Spark's Kafka
+    writer (needs the Kafka connector on the class path)."""
+    (
+        messages.select("key", "value")
+        .write.format("kafka")
+        .option("kafka.bootstrap.servers", bootstrap_servers)
+        .option("topic", topic)
+        .save()
+    )
+
+
+def start_topic_sink(messages: DataFrame, topic: str, bootstrap_servers: str, checkpoint: str, trigger: dict | None = None):
+    """S9 streaming sink: a streaming frame of (key, value) messages to a
+    topic, with its checkpoint on shared storage."""
+    writer = (
+        messages.select("key", "value")
+        .writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", bootstrap_servers)
+        .option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+    )
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
