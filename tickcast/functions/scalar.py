@@ -93,4 +93,7 @@ def index_name(symbol: str | Column) -> Column:
 def snap(c: str | Column, scale: float = 1e6) -> Column:
     """Round half up to 1/scale with a double scale; used for reports that
     are compared across engines (plain round() differs on exact ties)."""
-    return F.floor(col(c) * F.lit(float(scale)) + F.lit(0.5)) / F.lit(float(scale))
+    k = float(scale)
+    if isinstance(c, str):  # one JVM-side parse instead of a chain of calls
+        return F.expr(f"floor(`{c}` * {k!r}D + 0.5D) / {k!r}D")
+    return F.floor(c * F.lit(k) + F.lit(0.5)) / F.lit(k)

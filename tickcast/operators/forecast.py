@@ -55,16 +55,15 @@ def with_next_rows(prices: DataFrame) -> DataFrame:
 
     Adds ``next_day_close`` = lead(close) and hidden ``_nx_*`` columns (the
     next row's date, measures and label) used by :func:`shift_right_join`.
+    The lead expressions share one window specification, so they run in a
+    single Window operator after one exchange by symbol.
     """
     p = prices.select("symbol", F.to_date("date").alias("date"), *PRICE_MEASURES)
-    w = Window.partitionBy("symbol").orderBy("date")
-    return p.select(
-        "*",
-        F.lead("close", 1).over(w).alias(LABEL),
-        F.lead("date", 1).over(w).alias(f"{_NEXT}date"),
-        *[F.lead(m, 1).over(w).alias(f"{_NEXT}{m}") for m in PRICE_MEASURES],
-        F.lead("close", 2).over(w).alias(f"{_NEXT}{LABEL}"),
-    )
+    over = "OVER (PARTITION BY symbol ORDER BY date)"
+    leads = [f"lead(close, 1) {over} AS {LABEL}", f"lead(date, 1) {over} AS {_NEXT}date"]
+    leads += [f"lead({m}, 1) {over} AS {_NEXT}{m}" for m in PRICE_MEASURES]
+    leads += [f"lead(close, 2) {over} AS {_NEXT}{LABEL}"]
+    return p.selectExpr("*", *leads)
 
 
 def next_day_close(prices: DataFrame) -> DataFrame:
@@ -72,21 +71,17 @@ def next_day_close(prices: DataFrame) -> DataFrame:
     return with_next_rows(prices).select("symbol", "date", *PRICE_MEASURES, LABEL)
 
 
-def _complete(c: str, dtype: str) -> Column:
-    ok = F.col(c).isNotNull()
-    if dtype in ("double", "float"):
-        ok = ok & ~F.isnan(F.col(c))
-    return ok
-
-
 def training_condition(labelled: DataFrame, as_of: str | Column | None = None) -> Column:
     """P10 + P11: ``date < as_of`` and no NULL/NaN in any visible column
     (a NULL adjusted close removes a row too, as ``na.drop()`` does)."""
-    cols = [(c, t) for c, t in labelled.dtypes if not c.startswith(_NEXT)]
-    cond = F.col("date") < as_of_date(as_of)
-    for c, t in cols:
-        cond = cond & _complete(c, t)
-    return cond
+    checks = []
+    for c, t in labelled.dtypes:
+        if c.startswith(_NEXT):
+            continue
+        checks.append(f"`{c}` IS NOT NULL")
+        if t in ("double", "float"):
+            checks.append(f"NOT isnan(`{c}`)")
+    return (F.col("date") < as_of_date(as_of)) & F.expr(" AND ".join(checks))
 
 
 def training_rows(labelled: DataFrame, as_of: str | Column | None = None) -> DataFrame:
@@ -106,15 +101,11 @@ def moments(train: DataFrame, features: list[str], label: str = LABEL) -> DataFr
     """Per-symbol sufficient statistics of an OLS fit: count, means and
     population co-moments. One hash aggregate with map-side partials."""
     k = len(features)
-    aggs = [F.count(F.lit(1)).alias("n_train"), F.avg(label).alias("_my")]
-    aggs += [F.avg(f).alias(f"_mx_{i}") for i, f in enumerate(features)]
-    aggs += [
-        F.covar_pop(features[i], features[j]).alias(_pair(i, j))
-        for i in range(k)
-        for j in range(i, k)
-    ]
-    aggs += [F.covar_pop(features[i], label).alias(_pair(i, k)) for i in range(k)]
-    return train.groupBy("symbol").agg(*aggs)
+    aggs = ["count(1) AS n_train", f"avg(`{label}`) AS _my"]
+    aggs += [f"avg(`{f}`) AS _mx_{i}" for i, f in enumerate(features)]
+    aggs += [f"covar_pop(`{features[i]}`, `{features[j]}`) AS {_pair(i, j)}" for i in range(k) for j in range(i, k)]
+    aggs += [f"covar_pop(`{features[i]}`, `{label}`) AS {_pair(i, k)}" for i in range(k)]
+    return train.groupBy("symbol").agg(*[F.expr(a) for a in aggs])
 
 
 def coefficient_schema(features: list[str]) -> T.StructType:
@@ -189,10 +180,8 @@ def score(rows: DataFrame, coefficients: DataFrame, features: list[str] | None =
     or the symbol has no model)."""
     features = list(features or FEATURES)
     joined = rows.join(coefficients.drop("n_train"), "symbol", "left")
-    pred = F.col("intercept")
-    for f in features:
-        pred = pred + F.col(f"b_{f}") * F.col(f)
-    return joined.select(*rows.columns, pred.alias("prediction"))
+    pred = " + ".join(["intercept"] + [f"`b_{f}` * `{f}`" for f in features])
+    return joined.select(*rows.columns, F.expr(pred).alias("prediction"))
 
 
 def shift_right_join(scored: DataFrame, shift: str = "calendar") -> DataFrame:
