@@ -90,3 +90,19 @@ def test_batch_run_equals_available_now_run(spark):
             runner(spark, cfg, 2)
         results.append(sorted(read_documents(spark, cfg.documents).collect()))
     assert results[0] == results[1] and len(results[0]) > 0
+
+
+def test_pair_stream_orders_by_a_cross_topic_column(spark):
+    from datetime import datetime, timedelta
+
+    t0 = datetime(2024, 1, 1)
+    # offsets restart per topic; the broker time orders across both topics
+    rows = [("A", '["n"]', FORMAT_NEWS, 0, t0), ("A", '["p"]', FORMAT_PRICES, 0, t0 + timedelta(seconds=1)),
+            ("A", '["n"]', FORMAT_NEWS, 1, t0 + timedelta(seconds=2)), ("A", '["p"]', FORMAT_PRICES, 1, t0 + timedelta(seconds=3))]
+    base = scratch_path(spark, "test-pair-ts")
+    spark.createDataFrame(rows, MESSAGE).coalesce(1).write.json(f"{base}/in")
+    src = topic_stream(spark, [FORMAT_NEWS, FORMAT_PRICES], path=f"{base}/in")
+    q = (pair_stream(src, seq=F.unix_micros("timestamp")).writeStream.format("memory").queryName("pairs_ts")
+         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert spark.sql("SELECT count(*) FROM pairs_ts").first()[0] == 2

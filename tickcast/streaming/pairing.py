@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -46,19 +46,23 @@ def _apply(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> It
 def pair_stream(
     messages: DataFrame,
     key: str = "key",
-    seq: str = "offset",
+    seq: str | Column = "offset",
     kind: str | None = None,
     news_topic: str = "format_news_topic",
     value: str = "value",
 ) -> DataFrame:
     """Formatted messages (key = symbol) → stream of emitted pairs.
 
-    ``kind`` names a column holding news|prices; by default it is derived
-    from the topic (news topic → news, anything else → prices)."""
+    ``seq`` orders a symbol's messages. Kafka offsets only order messages
+    within one topic partition; when news and prices come from two topics,
+    pass an order that spans both, e.g. ``F.unix_micros("timestamp")`` (the
+    broker append time). ``kind`` names a column holding news|prices; by
+    default it is derived from the topic (news topic → news, else prices)."""
     kind_col = F.col(kind) if kind else F.when(F.col("topic") == news_topic, F.lit(NEWS)).otherwise(F.lit(PRICES))
+    seq_col = F.col(seq) if isinstance(seq, str) else seq
     m = messages.select(
         F.col(key).alias("symbol"),
-        F.col(seq).cast("long").alias("seq"),
+        seq_col.cast("long").alias("seq"),
         kind_col.alias("kind"),
         F.col(value).alias("value"),
         empty_payload(value).alias("empty"),
