@@ -41,7 +41,7 @@ DEFAULT_CHUNK = 1 << 20
 def empty_payload(value: str | Column) -> Column:
     """A message whose JSON array is empty (or absent/unparsable)."""
     v = F.col(value) if isinstance(value, str) else value
-    return F.coalesce(F.size(F.from_json(v, "array<string>")), F.lit(0)) <= 0
+    return F.coalesce(F.json_array_length(v), F.lit(0)) <= 0
 
 
 def _count(cond: Column) -> Column:
