@@ -16,3 +16,12 @@ def test_session_pins_utc_and_uses_checkpoint_dir(spark):
     base = checkpoint_dir(spark)
     p1, p2 = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert p1 != p2 and p1.startswith(base.rstrip("/"))
+
+
+def test_session_conf_restores_caller_settings(spark):
+    from tickcast.session import session_conf, stream_settings
+
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    with session_conf(spark, stream_settings(spark, 3)):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"

@@ -20,7 +20,7 @@ from tickcast.plans.queries import (
     report_daily,
     report_news,
 )
-from tickcast.session import scratch_path
+from tickcast.session import scratch_path, session_conf, stream_settings
 from tickcast.sources import proxy
 from tickcast.sources.documents import news_rows, price_rows
 from tickcast.sources.sinks import DOCUMENT_STORED, land, read_documents
@@ -176,11 +176,22 @@ def q_run_batch_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_combined(read_documents(spark, cfg.documents), keep=["index"])
 
 
+def _sized(fn):
+    """Run a streaming query with its state partitions sized to the cores."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with session_conf(spark, stream_settings(spark)):
+            return fn(spark, sf_dir)
+
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    return run
+
+
 STREAM_QUERIES = {
-    "stream_format_news": q_stream_format_news,
-    "stream_format_prices": q_stream_format_prices,
-    "stream_daily_sentiment": q_stream_daily_sentiment,
-    "stream_pair": q_stream_pair,
-    "stream_combine": q_stream_combine,
-    "run_batch_available_now": q_run_batch_available_now,
+    "stream_format_news": _sized(q_stream_format_news),
+    "stream_format_prices": _sized(q_stream_format_prices),
+    "stream_daily_sentiment": _sized(q_stream_daily_sentiment),
+    "stream_pair": _sized(q_stream_pair),
+    "stream_combine": _sized(q_stream_combine),
+    "run_batch_available_now": _sized(q_run_batch_available_now),
 }

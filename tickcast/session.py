@@ -12,6 +12,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -137,3 +139,28 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A new, unique folder under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return "/".join([base, "tickcast", *parts, uuid.uuid4().hex])
+
+
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Apply runtime SQL settings for a block and restore the caller's."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def stream_settings(spark: SparkSession, state_partitions: int | None = None) -> dict[str, str]:
+    """Settings for starting a stateful streaming query. AQE does not apply
+    to streaming, and the shuffle partition count of a streaming query is
+    fixed in its checkpoint at first start, so it is sized on purpose: by
+    default one state partition per core of the cluster."""
+    n = state_partitions or max(1, spark.sparkContext.defaultParallelism)
+    return {"spark.sql.shuffle.partitions": str(n)}
