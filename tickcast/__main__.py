@@ -29,7 +29,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(args.master)
     quotes = None
     if args.quotes:
-        quotes = latest_quotes(spark.read.schema("symbol string, fetched_at timestamp, payload string").parquet(args.quotes))
+        # Parquet carries its schema; fetched_at may be a date or a timestamp.
+        quotes = latest_quotes(spark.read.parquet(args.quotes).select("symbol", "fetched_at", "payload"))
     cfg = PipelineConfig(args.landing, args.formatted, args.documents, args.checkpoint, quotes=quotes, as_of=args.as_of)
     (run_batch if args.mode == "batch" else run_available_now)(spark, cfg, args.load_id)
 
