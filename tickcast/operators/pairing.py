@@ -30,7 +30,7 @@ back. Raw messages are shuffled once. The streaming form is
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NEWS = "news"
@@ -44,10 +44,6 @@ def empty_payload(value: str | Column) -> Column:
     return F.coalesce(F.json_array_length(v), F.lit(0)) <= 0
 
 
-def _count(cond: Column) -> Column:
-    return F.sum(cond.cast("long"))
-
-
 def pair_latest_reset(
     messages: DataFrame,
     key: str = "symbol",
@@ -69,102 +65,81 @@ def pair_latest_reset(
         is_empty.alias("_empty"),
         F.floor(F.col(seq) / F.lit(chunk_size)).alias("_chunk"),
     )
-    in_chunk = Window.partitionBy("_k", "_chunk").orderBy("_seq")
-    run = in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    by_chunk = Window.partitionBy("_k").orderBy("_chunk")
-    before = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
-    upto = by_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    news_empty = F.col("_empty") & (F.col("_kind") == NEWS)
-    prices_empty = F.col("_empty") & (F.col("_kind") == PRICES)
+    in_chunk = "PARTITION BY _k, _chunk ORDER BY _seq"
+    run = f"OVER ({in_chunk} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    before = "OVER (PARTITION BY _k ORDER BY _chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    upto = "OVER (PARTITION BY _k ORDER BY _chunk ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    news_empty = f"CAST(_empty AND _kind = '{NEWS}' AS BIGINT)"
+    prices_empty = f"CAST(_empty AND _kind = '{PRICES}' AS BIGINT)"
 
     # 1. empties seen so far inside the chunk (inclusive running counts).
     #    Row-level frames feed both their chunk summary and the join back,
     #    so they are persisted: the log is scanned and shuffled once.
-    m = m.select("*", _count(news_empty).over(run).alias("_en"), _count(prices_empty).over(run).alias("_ep"))
+    m = m.selectExpr("*", f"sum({news_empty}) {run} AS _en", f"sum({prices_empty}) {run} AS _ep")
     m = m.persist(StorageLevel.MEMORY_AND_DISK)
 
     # 2. per chunk: empty totals and its last non-empty message
-    ne_struct = F.struct(
-        F.col("_seq").alias("seq"), F.col("_kind").alias("kind"), F.col("_value").alias("value"),
-        F.col("_en").alias("en"), F.col("_ep").alias("ep"),
-    )
     chunks = m.groupBy("_k", "_chunk").agg(
-        _count(news_empty).alias("_tot_en"),
-        _count(prices_empty).alias("_tot_ep"),
-        F.max(F.when(~F.col("_empty"), ne_struct)).alias("_last"),
+        F.expr(f"sum({news_empty}) AS _tot_en"),
+        F.expr(f"sum({prices_empty}) AS _tot_ep"),
+        F.expr(
+            "max(CASE WHEN NOT _empty THEN named_struct("
+            "'seq', _seq, 'kind', _kind, 'value', _value, 'en', _en, 'ep', _ep) END) AS _last"
+        ),
     )
     # 3. per symbol over chunk rows: empties before the chunk and the last
     #    non-empty message of any earlier chunk (with global empty counts)
-    chunks = chunks.select(
-        "*",
-        F.coalesce(F.sum("_tot_en").over(before), F.lit(0)).alias("_cum_en"),
-        F.coalesce(F.sum("_tot_ep").over(before), F.lit(0)).alias("_cum_ep"),
-    )
-    last_global = F.when(
-        F.col("_last").isNotNull(),
-        F.struct(
-            F.col("_last.seq").alias("seq"), F.col("_last.kind").alias("kind"), F.col("_last.value").alias("value"),
-            (F.col("_cum_en") + F.col("_last.en")).alias("en"), (F.col("_cum_ep") + F.col("_last.ep")).alias("ep"),
-        ),
-    )
-    chunks = chunks.select(
+    chunks = chunks.selectExpr(
+        "_k", "_chunk", "_last",
+        f"coalesce(sum(_tot_en) {before}, 0) AS _cum_en",
+        f"coalesce(sum(_tot_ep) {before}, 0) AS _cum_ep",
+    ).selectExpr(
         "_k", "_chunk", "_cum_en", "_cum_ep",
-        F.last(last_global, ignorenulls=True).over(before).alias("_carry"),
+        "last(CASE WHEN _last IS NOT NULL THEN named_struct('seq', _last.seq, 'kind', _last.kind, "
+        "'value', _last.value, 'en', _cum_en + _last.en, 'ep', _cum_ep + _last.ep) END, true) "
+        f"{before} AS _carry",
     )
 
     # 4. non-empty rows with global empty counts; c_i from the previous
     #    non-empty message (in the chunk, else carried in)
-    ne = m.filter(~F.col("_empty")).join(chunks, ["_k", "_chunk"], "inner")
-    ne = ne.select(
+    ne = m.filter("NOT _empty").join(chunks, ["_k", "_chunk"], "inner").selectExpr(
         "_k", "_chunk", "_seq", "_kind", "_value",
-        (F.col("_cum_en") + F.col("_en")).alias("_gen"),
-        (F.col("_cum_ep") + F.col("_ep")).alias("_gep"),
-        "_carry",
+        "_cum_en + _en AS _gen",
+        "_cum_ep + _ep AS _gep",
+        "coalesce(lag(named_struct('seq', _seq, 'kind', _kind, 'value', _value, "
+        f"'en', _cum_en + _en, 'ep', _cum_ep + _ep)) OVER ({in_chunk}), _carry) AS _prev",
     )
-    prev_local = F.lag(
-        F.struct(
-            F.col("_seq").alias("seq"), F.col("_kind").alias("kind"), F.col("_value").alias("value"),
-            F.col("_gen").alias("en"), F.col("_gep").alias("ep"),
-        )
-    ).over(in_chunk)
-    ne = ne.withColumn("_prev", F.coalesce(prev_local, F.col("_carry"))).drop("_carry")
-    cleared = F.when(F.col("_prev.kind") == NEWS, F.col("_gen") - F.col("_prev.en")).otherwise(
-        F.col("_gep") - F.col("_prev.ep")
-    )
-    c = F.col("_prev").isNotNull() & (F.col("_prev.kind") != F.col("_kind")) & (cleared == 0)
-    ne = ne.withColumn("_c", c)
-    ne = ne.withColumn("_zeros", _count(~F.col("_c")).over(run))
-    ne = ne.withColumn("_pos", F.row_number().over(Window.partitionBy("_k", "_chunk", "_zeros").orderBy("_seq")))
+    cleared = f"CASE WHEN _prev.kind = '{NEWS}' THEN _gen - _prev.en ELSE _gep - _prev.ep END"
+    ne = ne.selectExpr("*", f"_prev IS NOT NULL AND _prev.kind != _kind AND ({cleared}) = 0 AS _c")
+    ne = ne.selectExpr("*", f"sum(CAST(NOT _c AS BIGINT)) {run} AS _zeros")
+    ne = ne.selectExpr("*", "row_number() OVER (PARTITION BY _k, _chunk, _zeros ORDER BY _seq) AS _pos")
     ne = ne.persist(StorageLevel.MEMORY_AND_DISK)
 
     # 5. island parity entering each chunk: position of the previous
     #    non-empty chunk's last message inside its island (mod 2)
     par = ne.groupBy("_k", "_chunk").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.max("_zeros").alias("_z"),
-        F.max_by("_pos", "_seq").alias("_last_pos"),
+        F.expr("count(1) AS _n"), F.expr("max(_zeros) AS _z"), F.expr("max_by(_pos, _seq) AS _last_pos")
+    )
+    par = par.selectExpr("_k", "_chunk", "_z", "_last_pos", f"sum(_n) {upto} AS _cum_n").selectExpr(
+        "_k", "_chunk", "_cum_n",
+        f"last(CASE WHEN _z > 0 THEN named_struct('cum_n', _cum_n, 'r', _last_pos - 1) END, true) {upto} AS _anchor",
     )
-    par = par.select(
-        "_k", "_chunk", "_n", "_z", "_last_pos",
-        F.sum("_n").over(upto).alias("_cum_n"),
+    par = par.selectExpr(
+        "_k", "_chunk",
+        "lag((_anchor.r + _cum_n - _anchor.cum_n) % 2) OVER (PARTITION BY _k ORDER BY _chunk) AS _pin",
     )
-    anchor = F.when(F.col("_z") > 0, F.struct(F.col("_cum_n").alias("cum_n"), (F.col("_last_pos") - 1).alias("r")))
-    par = par.withColumn("_anchor", F.last(anchor, ignorenulls=True).over(upto))
-    par = par.withColumn("_pout", (F.col("_anchor.r") + F.col("_cum_n") - F.col("_anchor.cum_n")) % 2)
-    par = par.select("_k", "_chunk", F.lag("_pout").over(by_chunk).alias("_pin"))
 
     # 6. emit at odd positions of each island
-    ne = ne.join(par, ["_k", "_chunk"], "inner")
-    position = F.when(F.col("_zeros") == 0, F.col("_pin") + F.col("_pos")).otherwise(F.col("_pos") - 1)
-    emits = ne.filter(F.col("_c") & (position % 2 == 1))
-    news_now = F.col("_kind") == NEWS
-    return emits.select(
-        F.col("_k").alias(key),
-        F.col("_seq").alias(seq),
-        F.when(news_now, F.col("_seq")).otherwise(F.col("_prev.seq")).alias("news_seq"),
-        F.when(news_now, F.col("_prev.seq")).otherwise(F.col("_seq")).alias("prices_seq"),
-        F.when(news_now, F.col("_value")).otherwise(F.col("_prev.value")).alias("news_value"),
-        F.when(news_now, F.col("_prev.value")).otherwise(F.col("_value")).alias("prices_value"),
+    position = "CASE WHEN _zeros = 0 THEN _pin + _pos ELSE _pos - 1 END"
+    emits = ne.join(par, ["_k", "_chunk"], "inner").filter(f"_c AND ({position}) % 2 = 1")
+    news_now = f"_kind = '{NEWS}'"
+    return emits.selectExpr(
+        f"_k AS `{key}`",
+        f"_seq AS `{seq}`",
+        f"CASE WHEN {news_now} THEN _seq ELSE _prev.seq END AS news_seq",
+        f"CASE WHEN {news_now} THEN _prev.seq ELSE _seq END AS prices_seq",
+        f"CASE WHEN {news_now} THEN _value ELSE _prev.value END AS news_value",
+        f"CASE WHEN {news_now} THEN _prev.value ELSE _value END AS prices_value",
     )
 
 
