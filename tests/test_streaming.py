@@ -106,3 +106,12 @@ def test_pair_stream_orders_by_a_cross_topic_column(spark):
          .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
     q.awaitTermination()
     assert spark.sql("SELECT count(*) FROM pairs_ts").first()[0] == 2
+
+
+def test_stream_quarantine_collects_broken_payloads(spark):
+    from tickcast.plans.stream_queries import _formatted
+
+    formatted, quarantine = _formatted(spark, SF)
+    broken = proxy.event_payloads(spark, SF).filter(~F.col("value").startswith('{"')).count()
+    assert broken > 0 and spark.read.parquet(quarantine).count() == broken
+    assert spark.read.json(formatted).filter(F.col("topic") == FORMAT_NEWS).count() > 0
