@@ -106,6 +106,10 @@ def write_documents(
         docs = docs.withColumn("_load", load.cast("long"))
     elif mode != "append":
         raise ValueError(f"documents mode must be 'append' or 'upsert', not {mode!r}")
+    # One writer task per collection: documents are one row per symbol and
+    # day (bounded), and without this every task would leave a small file
+    # in every collection it touches (tasks × symbols files).
+    docs = docs.repartition("index").sortWithinPartitions("index", "date")
     if batch_id is not None:
         write_batch(docs, path, batch_id, ["index"], fmt)
         return
