@@ -1,4 +1,5 @@
 import random
+from datetime import date
 
 from pyspark.sql import functions as F
 
@@ -115,3 +116,36 @@ def test_stream_quarantine_collects_broken_payloads(spark):
     broken = proxy.event_payloads(spark, SF).filter(~F.col("value").startswith('{"')).count()
     assert broken > 0 and spark.read.parquet(quarantine).count() == broken
     assert spark.read.json(formatted).filter(F.col("topic") == FORMAT_NEWS).count() > 0
+
+
+def test_pipeline_counts_a_redelivered_article_once(spark):
+    import json as _json
+
+    from tickcast.sources.sinks import land, read_documents
+    from tickcast.streaming.jobs import PipelineConfig, run_available_now, run_batch
+
+    def doc(urls_scores):
+        feed = [{"url": u, "time_published": "20230519T120000", "overall_sentiment_score": 0.0,
+                 "overall_sentiment_label": "Neutral",
+                 "ticker_sentiment": [{"ticker": "AAA", "relevance_score": "1", "ticker_sentiment_score": sc,
+                                       "ticker_sentiment_label": "Bullish"}] * n}
+                for u, sc, n in urls_scores]
+        return _json.dumps({"feed": feed, "ticker": "AAA"})
+
+    prices = {"Meta Data": {"2. Symbol": "AAA", "3. Last Refreshed": "2023-05-19"},
+              "Time Series (Daily)": {d: {"1. open": "1", "2. high": "1", "3. low": "1", "4. close": c,
+                                          "5. adjusted close": c, "6. volume": "1", "7. dividend amount": "0",
+                                          "8. split coefficient": "1"}
+                                      for d, c in [("2023-05-17", "1"), ("2023-05-18", "2"), ("2023-05-19", "3")]}}
+    for runner in (run_batch, run_available_now):
+        base = scratch_path(spark, "test-redelivery")
+        # hour 1: article u1; hour 2: u1 again (re-delivered) and u2 naming the ticker twice
+        land(spark.createDataFrame([("AAA", doc([("u1", "0.5", 1)]))], "symbol string, value string"), f"{base}/landing", "news")
+        land(spark.createDataFrame([("AAA", doc([("u1", "0.5", 1), ("u2", "0.7", 2)]))], "symbol string, value string"),
+             f"{base}/landing", "news")
+        land(spark.createDataFrame([("AAA", _json.dumps(prices))], "symbol string, value string"), f"{base}/landing", "prices")
+        cfg = PipelineConfig(f"{base}/landing", f"{base}/formatted", f"{base}/documents", f"{base}/ckpt",
+                             as_of="2023-05-19", now="2023-05-20 00:00:00")
+        runner(spark, cfg, 1)
+        row = [r for r in read_documents(spark, cfg.documents).collect() if r.date == date(2023, 5, 19)]
+        assert len(row) == 1 and row[0].positive_news_amount == 3  # u1 once, u2's two mentions

@@ -7,14 +7,20 @@ and no value is pulled to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickcast.functions.scalar import parse_published, to_double, to_utc
 from tickcast.schemas import BAR_FIELDS, META_DATA, META_SYMBOL, TIME_SERIES
 
 
-def format_news(raw: DataFrame, ticker: str | Column = "ticker", source_tz: str = "UTC") -> DataFrame:
+def format_news(
+    raw: DataFrame,
+    ticker: str | Column = "ticker",
+    source_tz: str = "UTC",
+    keep: list[str] | None = None,
+    article_fields: list[str] | None = None,
+) -> DataFrame:
     """Raw news documents → one row per (article, mention of the document's
     own ticker), with the seven ``NEWS`` columns.
 
@@ -22,11 +28,17 @@ def format_news(raw: DataFrame, ticker: str | Column = "ticker", source_tz: str
     mentions, P3 flatten, P4 keep mentions of the document ticker, F1/F2
     parse the publication time. The ticker predicate is applied inside the
     mention array before the second explode, so rows for other tickers are
-    never generated; the result equals explode-then-filter.
+    never generated; the result equals explode-then-filter. ``keep`` carries
+    document columns and ``article_fields`` article fields (e.g. ``url``)
+    after the seven news columns.
     """
+    keep = keep or []
+    article_fields = article_fields or []
     doc_ticker = F.col(ticker) if isinstance(ticker, str) else ticker
-    articles = raw.select(doc_ticker.alias("_doc_ticker"), F.explode("feed").alias("a"))
+    articles = raw.select(*keep, doc_ticker.alias("_doc_ticker"), F.explode("feed").alias("a"))
     mentions = articles.select(
+        *keep,
+        *[F.col(f"a.{f}").alias(f) for f in article_fields],
         F.col("a.time_published").alias("time_published"),
         F.explode(
             F.filter("a.ticker_sentiment", lambda m: m["ticker"] == F.col("_doc_ticker"))
@@ -42,6 +54,22 @@ def format_news(raw: DataFrame, ticker: str | Column = "ticker", source_tz: str
         to_double("m.relevance_score").alias("relevance_score"),
         F.col("overall_sentiment_score").cast("double").alias("overall_sentiment_score"),
         F.col("overall_sentiment_label").alias("overall_sentiment_label"),
+        *article_fields,
+        *keep,
+    )
+
+
+def latest_articles(news: DataFrame, order_col: str, article: str = "url", ticker: str = "ticker") -> DataFrame:
+    """Re-delivered articles: hourly fetches return the same article again,
+    so each (ticker, article) is taken from the latest document that carries
+    it; repeated mentions inside that document still count, as in the
+    reference. A window per (ticker, article) — bounded by how often one
+    article is fetched. Articles without an identifier are all kept."""
+    w = Window.partitionBy(ticker, article)
+    return (
+        news.withColumn("_latest", F.max(order_col).over(w))
+        .filter(F.col(article).isNull() | (F.col(order_col) == F.col("_latest")))
+        .drop("_latest")
     )
 
 

@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tickcast.functions.scalar import BEARISH, BULLISH, sentiment_label, symbol_from_path
 from tickcast.operators.combine import combine
 from tickcast.operators.forecast import predict_next_close
-from tickcast.operators.formatting import format_news, format_prices
+from tickcast.operators.formatting import format_news, format_prices, latest_articles
 from tickcast.operators.sentiment import daily_sentiment
 from tickcast.schemas import META_DATA, META_LAST_REFRESHED, NEWS, PRICES, RAW_NEWS, RAW_PRICES
 from tickcast.sources.documents import explode_row_batches
@@ -160,17 +160,35 @@ def _fetch_order(raw: DataFrame) -> DataFrame:
     )
 
 
+def _news_order(raw: DataFrame) -> DataFrame:
+    """Document order of landed news documents: landing time, then name."""
+    return raw.withColumn(
+        FETCHED,
+        F.struct(
+            F.col("_metadata.file_modification_time").alias("landed"),
+            F.col("_metadata.file_path").alias("path"),
+        ),
+    )
+
+
+def _format_landed_news(raw: DataFrame, ticker="ticker") -> DataFrame:
+    return format_news(_news_order(raw), ticker=ticker, keep=[FETCHED], article_fields=["url"])
+
+
 def format_landed(spark: SparkSession, cfg: PipelineConfig) -> tuple[DataFrame, DataFrame]:
     """C1 + C2 over everything landed (batch); price rows keep their
     document order so overlapping documents can be resolved."""
     news = spark.read.schema(RAW_NEWS).json(f"{cfg.landing}/kind=news")
     prices = spark.read.schema(RAW_PRICES).json(f"{cfg.landing}/kind=prices")
-    return format_news(news), format_prices(_fetch_order(prices), keep=[FETCHED])
+    return _format_landed_news(news), format_prices(_fetch_order(prices), keep=[FETCHED])
 
 
 def combine_formatted(spark: SparkSession, cfg: PipelineConfig, news: DataFrame, prices: DataFrame) -> DataFrame:
+    """Combine over formatted tables that hold many fetches: each article
+    from its latest document, each price day from its latest document."""
     predicted = predict_next_close(prices, cfg.as_of, dedup_by=FETCHED)
-    return combine(predicted, daily_sentiment(news), cfg.quotes, "millis", cfg.now)
+    daily = daily_sentiment(latest_articles(news, FETCHED))
+    return combine(predicted, daily, cfg.quotes, "millis", cfg.now)
 
 
 def run_batch(spark: SparkSession, cfg: PipelineConfig, load_id: int = 0) -> None:
@@ -188,8 +206,8 @@ def run_batch(spark: SparkSession, cfg: PipelineConfig, load_id: int = 0) -> Non
 
 def _append_formatted(path: str, kind: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        if kind == "news":
-            rows = format_news(batch, ticker=symbol_from_path("_path"))
+        if kind == "news":  # the stream already carries the document order
+            rows = format_news(batch, ticker=symbol_from_path("_path"), keep=[FETCHED], article_fields=["url"])
         else:
             rows = format_prices(batch, keep=[FETCHED])
         write_batch(rows, path, batch_id)
@@ -208,8 +226,7 @@ def run_available_now(spark: SparkSession, cfg: PipelineConfig, load_id: int = 0
             .json(f"{cfg.landing}/kind={kind}")
             .withColumn("_path", F.col("_metadata.file_path"))
         )
-        if kind == "prices":
-            src = _fetch_order(src)
+        src = _fetch_order(src) if kind == "prices" else _news_order(src)
         q = (
             src.writeStream.foreachBatch(_append_formatted(f"{cfg.formatted}/{kind}", kind))
             .option("checkpointLocation", f"{cfg.checkpoint}/format_{kind}")
