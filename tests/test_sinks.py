@@ -89,3 +89,17 @@ def test_documents_date_as_timestamp_option(spark):
     path = scratch_path(spark, "test-docs")
     write_documents(rows, path, date_as_timestamp=True)
     assert dict(read_documents(spark, path).dtypes)["date"] == "timestamp"
+
+
+def test_landing_bounds_files_per_symbol(spark):
+    import glob
+    import os
+
+    docs = spark.range(200).selectExpr("CASE WHEN id % 3 = 0 THEN 'HOT' ELSE concat('S', id % 7) END AS symbol",
+                                       "to_json(named_struct('feed', array(), 'ticker', 'x', 'n', id)) AS value").repartition(16)
+    base = scratch_path(spark, "test-land")
+    land(docs, base, "news", files_per_symbol=2)
+    local = base.replace("file:", "")
+    for d in glob.glob(os.path.join(local, "kind=news", "symbol=*")):
+        assert len([f for f in os.listdir(d) if f.startswith("part-")]) <= 2
+    assert spark.read.text(f"{base}/kind=news").count() == 200

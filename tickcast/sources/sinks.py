@@ -13,18 +13,26 @@ from tickcast.functions.scalar import index_name, row_json
 from tickcast.schemas import DOCUMENT
 
 
-def land(docs: DataFrame, path: str, kind: str, value: str = "value", mode: str = "append") -> None:
+def land(
+    docs: DataFrame,
+    path: str,
+    kind: str,
+    value: str = "value",
+    mode: str = "append",
+    files_per_symbol: int | None = None,
+) -> None:
     """S11 + F17: raw JSON documents to ``path/kind=<kind>/symbol=<s>/``.
 
     The reference writes one object per ticker, kind and second; here the
     layout carries kind and symbol, and the document text is written as is
-    (one document per line)."""
-    (
-        docs.select(F.col(value).alias("value"), F.lit(kind).alias("kind"), "symbol")
-        .write.mode(mode)
-        .partitionBy("kind", "symbol")
-        .text(path)
-    )
+    (one document per line). For bulk landings, ``files_per_symbol`` bounds
+    the files per symbol: documents are spread by a hash of their text over
+    that many writer tasks per symbol (a hot symbol still uses several)."""
+    rows = docs.select(F.col(value).alias("value"), F.lit(kind).alias("kind"), "symbol")
+    if files_per_symbol:
+        salt = F.pmod(F.xxhash64("value"), F.lit(int(files_per_symbol)))
+        rows = rows.repartition("kind", "symbol", salt)
+    rows.write.mode(mode).partitionBy("kind", "symbol").text(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "errorifexists") -> None:
