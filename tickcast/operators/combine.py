@@ -43,7 +43,9 @@ def combine(
     """Predicted prices ⋈ daily sentiment → the 12 combined columns.
 
     ``predicted`` is the output of ``predict_next_close`` (None: no price
-    feed yet, every row is a fallback row); ``daily`` of ``daily_sentiment``; ``quotes`` is (symbol, current_price) or None.
+    feed yet, every row is a fallback row); ``daily`` of ``daily_sentiment``;
+    ``quotes`` is (symbol, current_price) with one row per symbol (as
+    :func:`latest_quotes` returns) or None.
     ``processing`` is "millis" (batch) or "timestamp" (streaming); ``now``
     fixes the processing clock.
     """
