@@ -149,3 +149,22 @@ def test_pipeline_counts_a_redelivered_article_once(spark):
         runner(spark, cfg, 1)
         row = [r for r in read_documents(spark, cfg.documents).collect() if r.date == date(2023, 5, 19)]
         assert len(row) == 1 and row[0].positive_news_amount == 3  # u1 once, u2's two mentions
+
+
+def test_daily_windows_close_with_the_watermark_in_append_mode(spark):
+    from datetime import datetime as dt
+
+    rows1 = [(dt(2024, 1, d, 12), "A", 0.5, "Bullish", 1.0, 0.1, "x") for d in (1, 2, 3)]
+    rows2 = [(dt(2024, 1, 10, 12), "A", -0.5, "Bearish", 1.0, 0.1, "x")]
+    base = scratch_path(spark, "test-append")
+    schema = ("time_published timestamp, ticker string, ticker_sentiment_score double, ticker_sentiment_label string, "
+              "relevance_score double, overall_sentiment_score double, overall_sentiment_label string")
+    for rows in (rows1, rows2):  # two files, read one per trigger
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    q = (daily_sentiment_stream(stream, watermark="1 day").writeStream.outputMode("append").format("memory")
+         .queryName("daily_append").option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    days = sorted(r.date.day for r in spark.sql("SELECT * FROM daily_append").collect())
+    # days 1-3 are final once day 10 moved the watermark; day 10 is still open
+    assert days == [1, 2, 3]
