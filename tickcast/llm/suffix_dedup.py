@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 from tickcast.llm.common import U64, arrow_settings, byte_codes, drop_stage, mix, partitions, powers, stage, text_bytes
 
 BLOCK = 32
-SEGMENT = 2 << 20  # windows handled at once, also of one long text
+SEGMENT = 1 << 19  # windows handled at once, also of one long text
 BASE = 0x5851F42D4C957F2D
 BASE_INV = pow(BASE, -1, 1 << 64)
-HELD = 1 << 21  # entries a map task gathers before it sends them
+HELD = 1 << 19  # entries a map task gathers before it sends them
 
 ENTRY = np.dtype([("key", "<u4"), ("span", "<u8"), ("doc", "<i8"), ("start", "<u4"), ("n", "<u4")])
 RUN = np.dtype([("doc", "<i8"), ("start", "<u4"), ("n", "<u4")])
@@ -147,7 +147,7 @@ def entries(docs: np.ndarray, data: np.ndarray, off: np.ndarray, min_len: int) -
         sums = prefix_sums(text)
         piece = np.searchsorted(ends, first, "right")
         rows = np.empty(len(first), ENTRY)
-        key = h[at[first]]
+        key = mix(h[at[first]])  # minima crowd at low values; spread them anew
         rows["span"] = span_hash(sums, first, stop - 1 + min_len)
         rows["n"] = stop - first
         row_of = np.array([r for r, _, _ in group])
@@ -294,7 +294,7 @@ class SuffixIndex:
 
     def __init__(self, spark: SparkSession, min_len: int = 100, parts: int | None = None):
         self.spark, self.min_len = spark, min_len
-        self.parts = parts or partitions(spark)
+        self.parts = parts or 4 * partitions(spark)
         self.levels: list[tuple[DataFrame, tuple[int, ...]] | None] = []
         self.seq = 0
         self.stages: list[DataFrame] = []
