@@ -222,7 +222,7 @@ def sent(rows: Iterator[tuple], limit: int = 8 << 20) -> Iterator[pa.RecordBatch
         yield packed_batch(held)
 
 
-def suffix_entries(parts: int, seq: int, min_len: int):
+def suffix_entries(parts: int, buckets: int, seq: int, min_len: int):
     """mapInArrow: documents -> packed entries by key part, repeats by document."""
 
     def flush(held):
@@ -231,7 +231,7 @@ def suffix_entries(parts: int, seq: int, min_len: int):
         part = ((key >> U64(32)) * U64(parts) >> U64(32)).astype(np.int64)
         rows["key"] = key & U64(0xFFFFFFFF)
         yield from sent(split(rows, part, ANCHOR, seq))
-        yield from sent(split(runs, doc_bucket(runs["doc"], parts), REMOVED, seq))
+        yield from sent(split(runs, doc_bucket(runs["doc"], buckets), REMOVED, seq))
 
     def run(batches):
         held, n = [], 0
@@ -251,7 +251,7 @@ def suffix_entries(parts: int, seq: int, min_len: int):
     return run
 
 
-def merge_scan(parts: int, seq: int, merged: tuple[int, ...], keep: bool):
+def merge_scan(buckets: int, seq: int, merged: tuple[int, ...], keep: bool):
     """applyInPandas over a key part: scan the batch against all levels.
 
     Rows with a smaller seq are levels. Gives repeats, unsure entries and,
@@ -273,13 +273,13 @@ def merge_scan(parts: int, seq: int, merged: tuple[int, ...], keep: bool):
             lead = np.maximum.accumulate(np.where(new_span, np.arange(len(rows)), 0))
             same = (rows["doc"] == rows["doc"][lead]) & (rows["start"] == rows["start"][lead])
             runs = as_runs(rows[~new_span & ~same & (age == seq)])
-            out += split(runs, doc_bucket(runs["doc"], parts), REMOVED, seq)
+            out += split(runs, doc_bucket(runs["doc"], buckets), REMOVED, seq)
             firsts, ages = rows[new_span], age[new_span]
             group = np.cumsum(new_key)[new_span] - 1
             unsure = (np.bincount(group)[group] > 1) & (np.bincount(group, ages == seq)[group] > 0)
             for a in np.unique(ages[unsure]):
                 pick = firsts[unsure & (ages == a)]
-                out += [(k, p, s, np.int32(part).tobytes() + x) for k, p, s, x in split(pick, doc_bucket(pick["doc"], parts), UNSURE, int(a))]
+                out += [(k, p, s, np.int32(part).tobytes() + x) for k, p, s, x in split(pick, doc_bucket(pick["doc"], buckets), UNSURE, int(a))]
             if keep:
                 for a in (*merged, seq):
                     level = firsts[ages == a]
@@ -294,7 +294,8 @@ class SuffixIndex:
 
     def __init__(self, spark: SparkSession, min_len: int = 100, parts: int | None = None):
         self.spark, self.min_len = spark, min_len
-        self.parts = parts or 4 * partitions(spark)
+        self.parts = parts or 2 * partitions(spark)
+        self.buckets = partitions(spark)
         self.levels: list[tuple[DataFrame, tuple[int, ...]] | None] = []
         self.seq = 0
         self.stages: list[DataFrame] = []
@@ -305,13 +306,13 @@ class SuffixIndex:
         Gives the packed repeats and unsure entries of the batch; ``keep``
         false leaves the levels as they are (a last batch)."""
         docs = batch.filter("doc_id is not null and length(text) > 0").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        rows = docs.mapInArrow(suffix_entries(self.parts, self.seq, self.min_len), PACKED)
+        rows = docs.mapInArrow(suffix_entries(self.parts, self.buckets, self.seq, self.min_len), PACKED)
         carry = next((i for i, x in enumerate(self.levels) if x is None), len(self.levels))
         merged = tuple(s for x in self.levels[:carry] for s in x[1])
         for level in self.levels:
             if level:
                 rows = rows.unionByName(level[0].withColumn("kind", F.lit(ANCHOR)))
-        out = stage(rows.groupBy("part").applyInPandas(merge_scan(self.parts, self.seq, merged, keep), PACKED), "suffix")
+        out = stage(rows.groupBy("part").applyInPandas(merge_scan(self.buckets, self.seq, merged, keep), PACKED), "suffix")
         self.stages.append(out)
         if keep:
             self.levels[:carry] = [None] * carry
@@ -367,7 +368,7 @@ def unsure_by_doc(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"doc_id": docs[cuts], "loads": [[x.tobytes()] for x in np.split(rows, cuts[1:])]})
 
 
-def window_scan(parts: int, min_len: int):
+def window_scan(buckets: int, min_len: int):
     """applyInPandas over a key part: windows that occur in an earlier window."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -396,7 +397,7 @@ def window_scan(parts: int, min_len: int):
         lead = np.maximum.accumulate(np.where(first, np.arange(len(rows)), 0))
         same = (rows["doc"] == rows["doc"][lead]) & (rows["start"] == rows["start"][lead])
         runs = merge_runs(rows[~first & ~same])
-        return pd.DataFrame(list(split(runs, doc_bucket(runs["doc"], parts), REMOVED, 0)), columns=["kind", "part", "seq", "payload"])
+        return pd.DataFrame(list(split(runs, doc_bucket(runs["doc"], buckets), REMOVED, 0)), columns=["kind", "part", "seq", "payload"])
 
     return run
 
@@ -448,7 +449,7 @@ def repeated_spans(docs: DataFrame, min_len: int = 100, batches: int = 2) -> Dat
     unsure = found.filter(F.col("kind") == UNSURE).groupBy("part").applyInPandas(unsure_by_doc, "doc_id long, loads array<binary>")
     loads = unsure.groupBy("doc_id").agg(F.flatten(F.collect_list("loads")).alias("loads"))
     texts = docs.filter("length(text) > 0").join(loads.hint("shuffle_hash"), "doc_id").mapInArrow(unsure_texts(min_len), PACKED)
-    partial = stage(texts.groupBy("part").applyInPandas(window_scan(index.parts, min_len), PACKED), "windows")
+    partial = stage(texts.groupBy("part").applyInPandas(window_scan(index.buckets, min_len), PACKED), "windows")
     removed = found.filter(F.col("kind") == REMOVED).unionByName(partial)
     out = stage(removed.groupBy("part").applyInPandas(spans_by_doc(min_len), "doc_id long, spans binary"), "spans")
     index.drop()
