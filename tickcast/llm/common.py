@@ -145,3 +145,58 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         raise RuntimeError("components did not settle")
     star = cur.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
     return star.unionAll(star.select(F.col("component").alias("node"), "component").distinct()).distinct()
+
+
+def word_hashes(data: np.ndarray, off: np.ndarray, lower: bool = True):
+    """Words ``[^\\x20\\x09-\\x0D]+`` of the texts: (hash, row, first byte, end).
+
+    ``lower`` maps A-Z first. The 64-bit hash covers the word's bytes.
+    """
+    if lower:
+        data = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
+    inside = (data != 32) & ((data < 9) | (data > 13))
+    begin = inside.copy()
+    begin[1:] &= ~inside[:-1]
+    heads = off[:-1][np.diff(off) > 0]
+    begin[heads] = inside[heads]
+    start = np.flatnonzero(begin)
+    if not len(start):
+        none = np.zeros(0, np.int64)
+        return np.zeros(0, U64), none, none, none
+    stop = inside.copy()
+    stop[:-1] &= ~inside[1:]
+    tails = off[1:][np.diff(off) > 0] - 1
+    stop[tails] = inside[tails]
+    end = np.flatnonzero(stop) + 1
+    size = end - start
+    at = np.flatnonzero(inside)
+    inner = at - np.repeat(start, size)
+    with np.errstate(over="ignore"):
+        code = byte_codes(5)[data[at]] * powers(0x9FB21C651E98DF25, int(size.max()))[inner]
+        h = mix(np.add.reduceat(code, np.cumsum(size) - size) + size.astype(U64))
+    return h, np.searchsorted(off, start, "right") - 1, start, end
+
+
+def shingle_sets(data: np.ndarray, off: np.ndarray, k: int = 5) -> list[np.ndarray]:
+    """Of each text the sorted distinct hashes of its k-word shingles; a text of
+    fewer words has its whole sequence as one, a text without words none."""
+    h, row, _, _ = word_hashes(data, off)
+    n = np.bincount(row, minlength=len(off) - 1)
+    first = np.cumsum(n) - n
+    with np.errstate(over="ignore"):
+        s = np.zeros(max(0, len(h) - k + 1), U64)
+        for i in range(k):
+            s += mix(h[i : len(h) - k + 1 + i] + U64(i + 1)) * U64(2 * i + 1)
+        s = mix(s)
+        out = []
+        for a, c in zip(first, n):
+            if c >= k:
+                out.append(np.unique(s[a : a + c - k + 1]))
+            elif c:
+                code = U64(c)
+                for x in h[a : a + c]:
+                    code = mix(np.array([code * U64(0xC2B2AE3D27D4EB4F) + x], U64))[0]
+                out.append(np.array([code], U64))
+            else:
+                out.append(np.zeros(0, U64))
+    return out

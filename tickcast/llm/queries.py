@@ -7,12 +7,18 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
+from tickcast.llm.bpe import op5_bpe
+from tickcast.llm.hyperminhash import op7_hyperminhash
+from tickcast.llm.packing import op3_best_fit_packing
 from tickcast.llm.suffix_dedup import op1_suffix_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
+        "op3_best_fit_packing": op3_best_fit_packing,
+        "op5_bpe": op5_bpe,
+        "op7_hyperminhash": op7_hyperminhash,
     }
 
 
