@@ -169,7 +169,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     pairs = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ra", "rb")
     pairs = stage(pairs.mapInArrow(likely(percent), "a long, b long, est double"), "pairs")
     drop_stage(members)
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    involved = pairs.select(F.col("a").alias("rep")).distinct().unionAll(pairs.select(F.col("b").alias("rep")).distinct()).distinct()
     texts = stage(docs.join(involved.hint("shuffle_hash"), F.col("doc_id") == F.col("rep")).select("rep", "text").dropDuplicates(["rep"]), "texts")
 
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("est", -F.col("a"))).alias("a")).select("a", "b")
