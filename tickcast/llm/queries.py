@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickcast.llm.bpe import op5_bpe
 from tickcast.llm.hyperminhash import op7_hyperminhash
+from tickcast.llm.language import op10_string_kernel
 from tickcast.llm.packing import op3_best_fit_packing
+from tickcast.llm.pii import op8_skip_chain
 from tickcast.llm.suffix_dedup import op1_suffix_dedup
 
 
@@ -19,6 +21,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_best_fit_packing": op3_best_fit_packing,
         "op5_bpe": op5_bpe,
         "op7_hyperminhash": op7_hyperminhash,
+        "op8_skip_chain": op8_skip_chain,
+        "op10_string_kernel": op10_string_kernel,
     }
 
 
