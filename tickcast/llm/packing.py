@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickcast.llm.bpe import encoder, vocabulary
-from tickcast.llm.common import arrow_settings, drop_stage, partitions, stage
+from tickcast.llm.common import arrow_settings, drop_stage, partitions, ranked, stage
 
 CAPACITY = 2048
 GROUPS = 1024
@@ -177,19 +177,6 @@ def histogram(df: DataFrame, key: str) -> dict[int, int]:
     return {int(k): int(n) for k, n in df.groupBy(key).count().collect()}
 
 
-def ranked(df: DataFrame, value: str, ties: list[str], buckets: int) -> DataFrame:
-    """``df`` with ``rank``: 0, 1, ... among the rows of equal ``value``.
-
-    Rows are numbered within (bucket, value); the buckets' counts give the
-    numbers before. A value that many rows share is split over all buckets.
-    """
-    df = df.withColumn("_b", F.pmod(F.xxhash64(*ties), F.lit(buckets)).cast("int"))
-    counts = df.groupBy(value, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    before = counts.withColumn("_before", F.sum("_n").over(W.partitionBy(value).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)))
-    own = df.withColumn("_own", F.row_number().over(W.partitionBy("_b", value).orderBy(*ties)))
-    return own.join(before.drop("_n"), [value, "_b"]).withColumn("rank", F.coalesce("_before", F.lit(0)) + F.col("_own") - 1).drop("_b", "_own", "_before")
-
-
 def above(hist: dict[int, int], capacity: int) -> np.ndarray:
     """For each length the number of longer pieces in ``hist``."""
     n = np.zeros(capacity + 2, np.int64)
