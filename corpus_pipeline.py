@@ -1,19 +1,75 @@
-"""The corpus pipeline: the stages of training-data preparation in order."""
+"""The corpus pipeline: the stages of training-data preparation in order.
+
+Each stage takes (spark, docs, sf_dir) with ``docs`` what the stage before
+kept, and returns a DataFrame with the columns of ``documents`` (the last one:
+the packed pieces). Texts change with a stage's decisions; n_chars follows.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tickcast.llm.bpe import vocabulary
+from tickcast.llm.common import arrow_settings, stage
+from tickcast.llm.hyperminhash import keep_one
+from tickcast.llm.language import held_out, identify, train
+from tickcast.llm.packing import pack_documents
+from tickcast.llm.pii import mask_pii
 from tickcast.llm.suffix_dedup import remove_repeats
 
 #: SQL can't express these stages; tests/llm hold them against brute force.
 ORACLE_SQL = None
 
 
-def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return remove_repeats(docs)
+def measured(docs: DataFrame) -> DataFrame:
+    if "n_chars" not in docs.columns:
+        return docs
+    kind = docs.schema["n_chars"].dataType
+    return docs.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.char_length("text")).otherwise(F.col("n_chars")).cast(kind))
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects texts in no language (null or without letters)."""
+    with arrow_settings(spark):
+        model = train(docs.filter(~held_out() & F.col("doc_id").isNotNull()))
+        named = identify(docs, model) if model else docs.withColumn("lang_pred", F.lit("any"))
+        kept = named.filter(F.col("text").isNotNull() & (F.col("lang_pred") != "und"))
+        return stage(kept.select(*docs.columns), "language")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the smallest doc_id of each near-duplicate group."""
+    return keep_one(docs)
+
+
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts repeated byte strings out; documents of which nothing is left go."""
+    cut = remove_repeats(docs).filter(F.length(F.regexp_replace("text", r"\s", "")) > 0)
+    return measured(cut)
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data by the name of its kind."""
+    return measured(mask_pii(docs))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs the token pieces of all documents into sequences."""
+    return pack_documents(docs, vocabulary(), with_ids=True)
 
 
 STAGES = [
-    ("suffix_dedup", drop_repeats),
+    ("language_id", language_id),
+    ("near_dedup", near_dedup),
+    ("suffix_dedup", suffix_dedup),
+    ("pii", pii),
+    ("packing", packing),
 ]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, step in STAGES[:-1]:
+        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -19,7 +19,8 @@ MAX_REPEAT_PERCENT = 50
 MIN_CHARS = 300  # for the character-class distance
 MIN_COMMON_WORDS = 100  # for the common-word distance
 MAX_CLASS_DISTANCE = 0.30
-MAX_WORD_DISTANCE = 0.65
+MAX_WORD_DISTANCE = 0.24  # plus WORD_NOISE / sqrt(words): short histograms scatter
+WORD_NOISE = 0.9
 MIN_REFERENCE = 30  # documents behind a language's own reference
 
 SYMBOLS = "#*$%&|<>"
@@ -141,7 +142,7 @@ def quality(docs: DataFrame) -> DataFrame:
     judged = judged.withColumn("rc", F.coalesce("ref_classes", "all_classes")).withColumn("rf", F.coalesce("ref_frequent", "all_frequent"))
     judged = judged.withColumn("class_distance", F.when(F.col("word_chars") >= MIN_CHARS, distance("classes_share", "rc")))
     judged = judged.withColumn("word_distance", F.when(F.col("n_words") >= MIN_COMMON_WORDS, distance("frequent_share", "rf")))
-    far = F.coalesce(F.col("class_distance") > MAX_CLASS_DISTANCE, F.lit(False)) | F.coalesce(F.col("word_distance") > MAX_WORD_DISTANCE, F.lit(False))
+    far = F.coalesce(F.col("class_distance") > MAX_CLASS_DISTANCE, F.lit(False)) | F.coalesce(F.col("word_distance") > MAX_WORD_DISTANCE + WORD_NOISE / F.sqrt("n_words"), F.lit(False))
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     out = stage(judged.select(*names, (~F.col("base_failed") & ~far).alias("kept"), "class_distance", "word_distance"), "quality")
     drop_stage(rows)
