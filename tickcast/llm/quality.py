@@ -22,6 +22,7 @@ MAX_CLASS_DISTANCE = 0.30
 MAX_WORD_DISTANCE = 0.24  # plus WORD_NOISE / sqrt(words): short histograms scatter
 WORD_NOISE = 0.9
 MIN_REFERENCE = 30  # documents behind a language's own reference
+LANGS = 64  # languages with a reference of their own, the most frequent: it bounds the broadcast
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -136,9 +137,10 @@ def quality(docs: DataFrame) -> DataFrame:
     rows = stage(rows.drop("classes", "frequent"), "counted")
     steady = rows.filter(~F.col("base_failed") & (F.col("word_chars") >= MIN_CHARS) & (F.col("n_words") >= MIN_COMMON_WORDS))
     own = mean_shares(steady.filter("lang is not null"), ["lang"]).filter(F.col("n_classes") >= MIN_REFERENCE)
+    own = F.broadcast(own.orderBy(F.desc("n_classes"), "lang").limit(LANGS).select("lang", "ref_classes", "ref_frequent"))
     every = steady.select(F.lit("").alias("_all"), "classes_share", "frequent_share")
     whole = mean_shares(every, ["_all"]).select("_all", F.col("ref_classes").alias("all_classes"), F.col("ref_frequent").alias("all_frequent"))
-    judged = rows.join(own.select("lang", "ref_classes", "ref_frequent"), "lang", "left").withColumn("_all", F.lit("")).join(whole, "_all", "left")
+    judged = rows.join(own, "lang", "left").withColumn("_all", F.lit("")).join(F.broadcast(whole), "_all", "left")
     judged = judged.withColumn("rc", F.coalesce("ref_classes", "all_classes")).withColumn("rf", F.coalesce("ref_frequent", "all_frequent"))
     judged = judged.withColumn("class_distance", F.when(F.col("word_chars") >= MIN_CHARS, distance("classes_share", "rc")))
     judged = judged.withColumn("word_distance", F.when(F.col("n_words") >= MIN_COMMON_WORDS, distance("frequent_share", "rf")))
