@@ -4,13 +4,14 @@ A document's shingle hashes fall into 128 buckets by their first bits; of each
 bucket's smallest hash a register keeps the count of leading zeros and the ten
 bits after them. Bands of four registers are the candidate keys (an empty
 register borrows the next one and its distance). Documents with equal shingle
-sets form one class first. In a band bucket every class is paired with at most
-eight centres, so a bucket of g classes gives at most 8 g pairs and a small
-one all its pairs. Pairs whose collision-corrected Jaccard estimate lies far
-below the threshold go; the rest is confirmed on the full shingle sets.
-
-The first round confirms each class's best pair; later pairs are confirmed
-only while they join different components.
+sets form one class first. Pairs whose collision-corrected Jaccard estimate
+lies far below the threshold go; the rest is confirmed on full shingle sets.
+
+The first round pairs a band bucket's classes with its smallest and confirms
+each class's best pair. The second takes the buckets that still hold several
+components: at most eight centres, of the rarest components first, against
+the classes of other components. So a bucket of g classes gives at most 9 g
+pairs, and a small one all it needs.
 """
 
 from __future__ import annotations
@@ -147,6 +148,18 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "ta", "tb").mapInArrow(confirmed(percent), "a long, b long")
 
 
+def promising(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(a, b, est) of the pairs whose registers don't rule out a link."""
+    side = lambda x: classes.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("regs").alias(f"r{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ra", "rb")
+    return both.mapInArrow(likely(percent), "a long, b long, est double")
+
+
+def involved_texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    reps = pairs.select(F.col("a").alias("rep")).distinct().unionAll(pairs.select(F.col("b").alias("rep")).distinct()).distinct()
+    return stage(docs.join(reps.hint("shuffle_hash"), F.col("doc_id") == F.col("rep")).select("rep", "text").dropDuplicates(["rep"]), "texts")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text).
 
@@ -160,35 +173,41 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     known = sig.filter("ident is not null and doc_id is not null")
     classes = stage(known.groupBy("ident").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("regs").alias("regs"), F.first("bands").alias("bands")), "classes")
     keys = classes.select("rep", F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").select("key")
+    shared = keys.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").select("key", "lo")
     members = stage(keys.join(shared, "key"), "members")
-    order = W.partitionBy("key").orderBy(F.xxhash64("rep", "key"), "rep")
-    centres = members.withColumn("i", F.row_number().over(order)).filter(F.col("i") <= CENTRES).select("key", F.col("rep").alias("c"))
-    pairs = members.join(centres, "key").filter("rep != c").select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct()
-    side = lambda x: classes.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("regs").alias(f"r{x}"))
-    pairs = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ra", "rb")
-    pairs = stage(pairs.mapInArrow(likely(percent), "a long, b long, est double"), "pairs")
-    drop_stage(members)
-    involved = pairs.select(F.col("a").alias("rep")).distinct().unionAll(pairs.select(F.col("b").alias("rep")).distinct()).distinct()
-    texts = stage(docs.join(involved.hint("shuffle_hash"), F.col("doc_id") == F.col("rep")).select("rep", "text").dropDuplicates(["rep"]), "texts")
 
+    # first round: a bucket's smallest document against the others
+    first = members.filter("rep != lo").select(F.col("lo").alias("a"), F.col("rep").alias("b")).distinct()
+    pairs = stage(promising(first, classes, percent), "pairs")
+    texts = involved_texts(docs, pairs)
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("est", -F.col("a"))).alias("a")).select("a", "b")
     links = stage(confirm(best, texts, percent), "links")
     comp = stage(components(links), "comp")
-    cx = comp.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    cy = comp.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    open_ = pairs.join(best, ["a", "b"], "left_anti").join(cx, "a", "left").join(cy, "b", "left")
-    open_ = open_.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-    more = stage(confirm(open_, texts, percent), "links")
+
+    # second round: buckets that still hold several components
+    named = members.select("key", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
+    named = stage(named.select("key", "rep", "comp"), "named")
+    sizes = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+    mixed = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("key")
+    mixed = stage(named.join(mixed, "key").join(sizes, ["key", "comp"]), "mixed")
+    order = W.partitionBy("key").orderBy("n", F.xxhash64("rep", "key"), "rep")
+    centres = mixed.withColumn("i", F.row_number().over(order)).filter(F.col("i") <= CENTRES).select("key", F.col("rep").alias("c"), F.col("comp").alias("cc"))
+    second = mixed.join(centres, "key").filter("comp != cc").select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct()
+    second = second.join(best, ["a", "b"], "left_anti")
+    more_pairs = stage(promising(second, classes, percent), "pairs")
+    more_texts = involved_texts(docs, more_pairs)
+    more = stage(confirm(more_pairs.select("a", "b"), more_texts, percent), "links")
     if more.limit(1).count():
         comp = stage(components(links.unionByName(more)), "comp")
+    for x in (members, named, mixed, pairs, texts, more_pairs, more_texts):
+        drop_stage(x)
 
     whole = classes.select("ident", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
     whole = whole.select("ident", F.coalesce("component", "rep").alias("whole"))
     out = sig.select("doc_id", "n_shingles", "ident").join(whole, "ident", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("whole", "doc_id")).alias("component_id")
     out = stage(out.select("doc_id", "n_shingles", component).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))), "groups")
-    for x in (sig, classes, pairs, texts):
+    for x in (sig, classes):
         drop_stage(x)
     return out
 
