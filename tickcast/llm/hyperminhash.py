@@ -1,16 +1,16 @@
 """Near-duplicate groups by HyperMinHash.
 
-A document's shingle hashes fall into 128 buckets by their first bits; of each
+A document's shingle hashes fall into 256 buckets by their first bits; of each
 bucket's smallest hash a register keeps the count of leading zeros and the ten
-bits after them. Bands of four registers are the candidate keys (an empty
+bits after them. Bands of eight registers are the candidate keys (an empty
 register borrows the next one and its distance). Documents with equal shingle
 sets form one class first. Pairs whose collision-corrected Jaccard estimate
 lies far below the threshold go; the rest is confirmed on full shingle sets.
 
 The first round pairs a band bucket's classes with its smallest and confirms
 each class's best pair. The second takes the buckets that still hold several
-components: at most eight centres, of the rarest components first, against
-the classes of other components. So a bucket of g classes gives at most 9 g
+components: at most four centres, of the rarest components first, against
+the classes of other components. So a bucket of g classes gives at most 5 g
 pairs, and a small one all it needs.
 """
 
@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 
 from tickcast.llm.common import U64, arrow_settings, components, drop_stage, mix, shingle_sets, stage, text_bytes
 
-BITS = 7  # 128 registers
+BITS = 8  # 256 registers
 MANTISSA = 10
-BAND = 4  # a pair of similarity 0.85 shares no band of 32 with probability 6e-11
-CENTRES = 8
+BAND = 8  # a pair of similarity 0.85 shares none of the 32 bands with probability 4e-5, of 0.9 with 2e-8
+CENTRES = 4
 MARGIN = 5.0  # standard deviations of the estimate below the threshold
 EMPTY = np.uint16(0xFFFF)
 
