@@ -3,9 +3,11 @@
 Links join documents of equal text. Members of a group are alike, so the state
 is the number of members each group has in each shard: at most one row a group
 and shard, however large the group. In every round a group's members ask to
-move to the shard that holds most of them (ties by hash); a shard admits
-requests up to its quota, in an order given by hash, partly if need be. A
-group larger than a quota fills one shard and stays spread over the others.
+move to the shard where most of them can gather, those already there and the
+places left (ties by count, then hash). What two shards ask
+of each other changes places; beyond that a shard admits requests up to its
+quota, in an order given by hash, partly if need be. A group larger than a
+quota stays spread.
 
 Documents without links have no preference; they fill the shards to sizes that
 differ by at most one row. That is the law ``rows``.
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tickcast.llm.common import arrow_settings, drop_stage, partitions, ranked, stage
 
-ROUNDS = 4
+ROUNDS = 6
 
 
 def running(df: DataFrame, key: str, order: list, amount: str, buckets: int) -> DataFrame:
@@ -36,11 +38,28 @@ def propagate(state: DataFrame, shards: int, quota: int, buckets: int, rounds: i
     """Rounds of moves over ``state`` (g, shard, c)."""
     for _ in range(rounds):
         load = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.sum("c").alias("n")).collect()}
-        free = F.create_map(*[F.lit(x) for s in range(shards) for x in (s, max(0, quota - load.get(s, 0)))])
-        votes = state.groupBy("g").agg(F.max_by("shard", F.struct("c", F.xxhash64("g", "shard"))).alias("target"))
+        # where most members can gather: those there and the free places, if need be
+        free = {s: max(0, quota - load.get(s, 0)) for s in range(shards)}
+        places = F.create_map(*[F.lit(x) for kv in free.items() for x in kv])
+        whole = state.groupBy("g").agg(F.sum("c").alias("all"))
+        gather = F.least("all", F.col("c") + places[F.col("shard")])
+        votes = state.join(whole, "g").groupBy("g").agg(F.max_by("shard", F.struct(gather, "c", F.xxhash64("g", "shard"))).alias("target"))
         asks = state.join(votes, "g").filter("shard != target").withColumn("_b", F.pmod(F.xxhash64("g"), F.lit(buckets)).cast("int"))
-        asks = running(asks, "target", ["c", "g", "shard"], "c", buckets)
-        grant = F.least(F.col("c"), F.greatest(F.lit(0), free[F.col("target")] - F.col("before")))
+        asks = asks.withColumn("way", F.col("shard") * shards + F.col("target"))
+        want = {r["way"]: r["n"] for r in asks.groupBy("way").agg(F.sum("c").alias("n")).collect()}  # shards squared at most
+        # what two shards ask of each other changes places; free places take more
+        grants = {}
+        for way, n in sorted(want.items()):
+            a, b = divmod(way, shards)
+            swap = min(n, want.get(b * shards + a, 0))
+            more = min(n - swap, free[b])
+            free[b] -= more
+            grants[way] = swap + more
+        if not grants:
+            break
+        limit = F.create_map(*[F.lit(x) for kv in grants.items() for x in kv])
+        asks = running(asks, "way", ["c", "g"], "c", buckets)
+        grant = F.least(F.col("c"), F.greatest(F.lit(0), limit[F.col("way")] - F.col("before")))
         asks = stage(asks.select("g", "shard", "target", grant.cast("long").alias("moved")).filter("moved > 0"), "moves")
         if not asks.limit(1).count():
             drop_stage(asks)

@@ -487,12 +487,12 @@ def kept_texts(batches):
     for batch in batches:
         data, off = text_bytes(batch.column("text"))
         texts = batch.column("text").to_pylist()
-        for i, raw in enumerate(batch.column("spans").to_pylist()):
+        for i, raw in enumerate(batch.column("__spans").to_pylist()):
             if raw:
                 left = cut_spans(data[off[i] : off[i + 1]], np.frombuffer(raw, "<i8").reshape(-1, 2))
                 texts[i] = left.decode("utf-8", "ignore")
-        cols = [pa.array(texts, pa.string()) if name == "text" else batch.column(name) for name in batch.schema.names if name != "spans"]
-        yield pa.RecordBatch.from_arrays(cols, names=[x for x in batch.schema.names if x != "spans"])
+        cols = [pa.array(texts, pa.string()) if name == "text" else batch.column(name) for name in batch.schema.names if name != "__spans"]
+        yield pa.RecordBatch.from_arrays(cols, names=[x for x in batch.schema.names if x != "__spans"])
 
 
 def remove_repeats(docs: DataFrame, min_len: int = 100, batches: int = 2) -> DataFrame:
@@ -500,9 +500,9 @@ def remove_repeats(docs: DataFrame, min_len: int = 100, batches: int = 2) -> Dat
     half goes too); all columns stay, a null text stays null."""
     with arrow_settings(docs.sparkSession):
         spans = repeated_spans(docs, min_len, batches)
-        joined = docs.join(spans.withColumnRenamed("doc_id", "_doc").withColumnRenamed("spans", "_spans").hint("shuffle_hash"), F.col("doc_id").cast("long") == F.col("_doc"), "left")
+        joined = docs.join(spans.withColumnRenamed("doc_id", "__doc").withColumnRenamed("spans", "__spans").hint("shuffle_hash"), F.col("doc_id").cast("long") == F.col("__doc"), "left")
         schema = docs.schema
-        return stage(joined.drop("_doc").withColumnRenamed("_spans", "spans").mapInArrow(kept_texts, schema), "kept")
+        return stage(joined.drop("__doc").mapInArrow(kept_texts, schema), "kept")
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
