@@ -5,7 +5,7 @@ def test_cluster_settings_scale_with_input():
     small = cluster_settings(10**9)
     big = cluster_settings(100 * 10**12)
     assert int(small["spark.sql.shuffle.partitions"]) == 8
-    assert int(big["spark.sql.shuffle.partitions"]) == 100_000
+    assert int(big["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (256 << 20))
     assert big["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "256m"
 
 
@@ -25,3 +25,14 @@ def test_session_conf_restores_caller_settings(spark):
     with session_conf(spark, stream_settings(spark, 3)):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_no_local_scratch_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    conf = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="yarn")
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=conf))

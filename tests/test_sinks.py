@@ -76,8 +76,12 @@ def test_micro_batch_writes_are_idempotent(spark):
     write_documents(rows, path, batch_id=0)  # the same micro-batch replayed after a failure
     write_documents(rows.filter("symbol = 'AAPL'").withColumn("close_price", F.lit(5.0)), path, batch_id=1)
     docs = read_documents(spark, path)
-    assert sorted((r.symbol, r.close_price) for r in docs.collect()) == [("AAPL", 5.0), ("GOOG", 2.0)]
-    assert read_documents(spark, path, resolve=False).count() == 3
+    # appended documents stay apart, also of one symbol and date
+    assert sorted((r.symbol, r.close_price) for r in docs.collect()) == [("AAPL", 1.0), ("AAPL", 5.0), ("GOOG", 2.0)]
+    newest = scratch_path(spark, "test-docs")
+    for n, price in ((0, 1.0), (1, 5.0)):
+        write_documents(rows.withColumn("close_price", F.lit(price)), newest, mode="upsert", load_id=7, batch_id=n)
+    assert {r.close_price for r in read_documents(spark, newest).collect()} == {5.0}  # equal load ids: the later batch
     other = scratch_path(spark, "test-batch")
     write_batch(rows, other, 3)
     write_batch(rows, other, 3)

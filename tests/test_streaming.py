@@ -130,14 +130,14 @@ def test_pipeline_counts_a_redelivered_article_once(spark):
                  "ticker_sentiment": [{"ticker": "AAA", "relevance_score": "1", "ticker_sentiment_score": sc,
                                        "ticker_sentiment_label": "Bullish"}] * n}
                 for u, sc, n in urls_scores]
-        return _json.dumps({"feed": feed, "ticker": "AAA"})
+        return _json.dumps({"feed": feed, "ticker": "AAA"} if own_ticker else {"feed": feed})
 
     prices = {"Meta Data": {"2. Symbol": "AAA", "3. Last Refreshed": "2023-05-19"},
               "Time Series (Daily)": {d: {"1. open": "1", "2. high": "1", "3. low": "1", "4. close": c,
                                           "5. adjusted close": c, "6. volume": "1", "7. dividend amount": "0",
                                           "8. split coefficient": "1"}
                                       for d, c in [("2023-05-17", "1"), ("2023-05-18", "2"), ("2023-05-19", "3")]}}
-    for runner in (run_batch, run_available_now):
+    for runner, own_ticker in ((run_batch, True), (run_batch, False), (run_available_now, False)):
         base = scratch_path(spark, "test-redelivery")
         # hour 1: article u1; hour 2: u1 again (re-delivered) and u2 naming the ticker twice
         land(spark.createDataFrame([("AAA", doc([("u1", "0.5", 1)]))], "symbol string, value string"), f"{base}/landing", "news")

@@ -24,7 +24,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--as-of", default=None)
     ap.add_argument("--quotes", default=None)
     ap.add_argument("--master", default=None)
-    ap.add_argument("--load-id", type=int, default=0)
+    ap.add_argument("--load-id", type=int, default=None)  # by default the run's time
     args = ap.parse_args(argv)
     spark = build_session(args.master)
     quotes = None

@@ -13,9 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_LIMIT = 200
-# Spark plans the partial per-task limit only up to this k
-# (spark.sql.optimizer.windowGroupLimitThreshold, default 1000).
-PARTIAL_LIMIT_MAX = 1000
 SALT_BUCKETS = 64
 
 
@@ -30,25 +27,20 @@ def recent_news(
     n: int = DEFAULT_LIMIT,
     time_from: str | Column | None = None,
     key: str = "ticker",
-    tiebreak: str | None = None,
-    salt_buckets: int | None = None,
+    *,
+    tiebreak: str,
+    salt_buckets: int = SALT_BUCKETS,
 ) -> DataFrame:
-    """Newest ``n`` news rows per ``key`` (ties broken by ``tiebreak``),
-    with their ``rank`` (1 = newest).
+    """Newest ``n`` news rows per ``key`` with their ``rank`` (1 = newest);
+    ``tiebreak`` names a column that is unique among a key's rows of one time.
 
-    For ``n`` above the size Spark limits per map task, the top-k runs in
-    two stages: first per (key, salt bucket) — a hot key is spread over
-    ``salt_buckets`` groups — then per key over at most
-    ``salt_buckets × n`` survivors. The result is the same."""
+    The top-k runs in two stages for every ``n``: first per (key, salt
+    bucket), so a hot key is spread over ``salt_buckets`` groups, then per key
+    over at most ``salt_buckets * n`` survivors."""
     rows = news if time_from is None else news.filter(since_day_start(time_from))
-    order = [F.col("time_published").desc()]
-    if tiebreak:
-        order.append(F.col(tiebreak).asc())
-    buckets = salt_buckets if salt_buckets is not None else (SALT_BUCKETS if n > PARTIAL_LIMIT_MAX else 0)
-    if buckets:
-        salt_cols = [F.col("time_published")] + ([F.col(tiebreak)] if tiebreak else [])
-        rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*salt_cols), F.lit(buckets)))
-        first = Window.partitionBy(key, "_salt").orderBy(*order)
-        rows = rows.withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= n).drop("_r", "_salt")
+    order = [F.col("time_published").desc(), F.col(tiebreak).asc()]
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("time_published", tiebreak), F.lit(salt_buckets)))
+    first = Window.partitionBy(key, "_salt").orderBy(*order)
+    rows = rows.withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= n).drop("_r", "_salt")
     w = Window.partitionBy(key).orderBy(*order)
     return rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)

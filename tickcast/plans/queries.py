@@ -457,5 +457,6 @@ def oracle_sql() -> dict[str, str]:
     o["stream_daily_sentiment"] = o["daily_sentiment"]
     o["stream_pair"] = o["pair_latest_reset"]
     o["run_batch_available_now"] = o["documents"]
+    o["run_batch"] = o["documents"]
     o["stream_combine"] = O.stream_combined(STREAM_AS_OF, NOW, proxy.ITEMS_PER_DOCUMENT)
     return o

@@ -31,7 +31,7 @@ from tickcast.streaming.jobs import (
     combine_sink,
     daily_sentiment_stream,
     latest_rows,
-    run_available_now,
+    run_available_now, run_batch,
     upsert_batches,
 )
 from tickcast.streaming.sources import (
@@ -176,6 +176,22 @@ def q_run_batch_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_combined(read_documents(spark, cfg.documents), keep=["index"])
 
 
+def q_run_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch run over landed documents that carry no ticker of
+    their own (the layout has it), formatted tables, documents."""
+    base = scratch_path(spark, "pipeline")
+    bare = F.regexp_replace("value", r',"ticker":"[^"]*"\}$', "}")
+    land(proxy.event_news_documents(spark, sf_dir).withColumn("value", bare), f"{base}/landing", "news")
+    land(proxy.event_price_documents(spark, sf_dir), f"{base}/landing", "prices")
+    quotes = latest_quotes(proxy.quote_payloads(proxy.event_bars(spark, sf_dir)))
+    cfg = PipelineConfig(
+        landing=f"{base}/landing", formatted=f"{base}/formatted", documents=f"{base}/documents",
+        checkpoint=f"{base}/ckpt", quotes=quotes, as_of=EV_AS_OF, now=NOW,
+    )
+    run_batch(spark, cfg)
+    return report_combined(read_documents(spark, cfg.documents), keep=["index"])
+
+
 def _sized(fn):
     """Run a streaming query with its state partitions sized to the cores."""
 
@@ -194,4 +210,5 @@ STREAM_QUERIES = {
     "stream_pair": _sized(q_stream_pair),
     "stream_combine": _sized(q_stream_combine),
     "run_batch_available_now": _sized(q_run_batch_available_now),
+    "run_batch": q_run_batch,
 }

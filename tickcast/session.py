@@ -27,18 +27,17 @@ SESSION_CONF = {
 }
 
 
-def cluster_settings(input_bytes: int, partition_bytes: int = 256 << 20, max_partitions: int = 100_000) -> dict[str, str]:
+def cluster_settings(input_bytes: int, partition_bytes: int = 256 << 20, max_partitions: int | None = None) -> dict[str, str]:
     """Settings for a cluster run over ``input_bytes`` of input.
 
     Start with enough shuffle partitions that each holds about
     ``partition_bytes`` of the largest input (AQE then coalesces the small
     post-aggregation stages to the advisory size and splits skewed join
     partitions), and read files in splits of the same size. At 100 TB and
-    256 MiB that is ~400k, capped at ``max_partitions`` (100k); the heavy
-    shuffles (fact-to-fact joins, partial aggregates) see far less data
-    than the input, so the cap is not binding in practice.
+    256 MiB that is ~400k; ``max_partitions`` is the caller's choice.
     """
-    n = max(8, min(max_partitions, -(-int(input_bytes) // int(partition_bytes))))
+    n = max(8, -(-int(input_bytes) // int(partition_bytes)))
+    n = min(n, max_partitions) if max_partitions else n
     size = f"{int(partition_bytes) >> 20}m"
     return {
         "spark.sql.shuffle.partitions": str(n),
@@ -129,7 +128,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
-        # Tests only: no cluster setting, so use a private local folder.
+        # One machine only: executors of a cluster don't share its folders.
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tickcast-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -138,14 +138,17 @@ def read_documents(
 ) -> DataFrame:
     """Read documents back; with ``resolve`` and upserted data, keep the
     newest load per (symbol, date) as one aggregate (map-side partial).
+    Appended data (no load id) keeps every row: two pairs of one symbol and
+    day in a micro-batch are two documents.
     A declared ``schema`` also reads a collection that is still empty."""
     reader = spark.read.format(fmt)
     if schema:
         reader = reader.schema(schema)
     docs = reader.load(path)
     if "_batch" in docs.columns:  # micro-batch partitions: later batch = later load
-        order = F.col("_batch") if "_load" not in docs.columns else F.struct("_load", "_batch")
-        docs = docs.withColumn("_load", order).drop("_batch")
+        if "_load" in docs.columns:
+            docs = docs.withColumn("_load", F.struct("_load", "_batch"))
+        docs = docs.drop("_batch")
     if not resolve or "_load" not in docs.columns:
         return docs
     rest = [c for c in docs.columns if c not in ("symbol", "date", "_load")]

@@ -12,9 +12,10 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -104,8 +105,10 @@ def combine_pairs(
         now=now,
         fallback=False,
     )
-    parts = F.split(F.col("symbol"), PAIR_SEP)
-    out = combined.withColumn("pair_seq", parts.getItem(1).cast("long")).withColumn("symbol", parts.getItem(0))
+    # the sequence follows the last separator; a symbol may hold one itself
+    seq = F.substring_index("symbol", PAIR_SEP, -1)
+    own = F.expr(f"substring(symbol, 1, length(symbol) - length(substring_index(symbol, '{PAIR_SEP}', -1)) - {len(PAIR_SEP)})")
+    out = combined.withColumn("pair_seq", seq.cast("long")).withColumn("symbol", own)
     if quotes is not None:
         out = out.drop("current_price").join(quotes.select("symbol", "current_price"), "symbol", "left")
     return out
@@ -117,6 +120,7 @@ def combine_sink(documents: str, messages: str | None = None, quotes: DataFrame
     micro-batch as per-symbol documents and, optionally, as messages."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # else each branch runs the pairing state again
         out = combine_pairs(batch, quotes, as_of, now).persist()
         try:
             write_documents(out.drop("pair_seq"), documents, mode="append", batch_id=batch_id)
@@ -125,6 +129,7 @@ def combine_sink(documents: str, messages: str | None = None, quotes: DataFrame
                 write_batch(msgs, messages, batch_id, fmt="json")
         finally:
             out.unpersist()
+            batch.unpersist()
 
     return write
 
@@ -175,12 +180,17 @@ def _format_landed_news(raw: DataFrame, ticker="ticker") -> DataFrame:
     return format_news(_news_order(raw), ticker=ticker, keep=[FETCHED], article_fields=["url"])
 
 
+def landed_ticker() -> Column:
+    return F.coalesce(F.col("ticker"), symbol_from_path("_path"))
+
+
 def format_landed(spark: SparkSession, cfg: PipelineConfig) -> tuple[DataFrame, DataFrame]:
     """C1 + C2 over everything landed (batch); price rows keep their
     document order so overlapping documents can be resolved."""
-    news = spark.read.schema(RAW_NEWS).json(f"{cfg.landing}/kind=news")
+    # a landed document need not carry its ticker; the layout does
+    news = spark.read.schema(RAW_NEWS).json(f"{cfg.landing}/kind=news").withColumn("_path", F.col("_metadata.file_path"))
     prices = spark.read.schema(RAW_PRICES).json(f"{cfg.landing}/kind=prices")
-    return _format_landed_news(news), format_prices(_fetch_order(prices), keep=[FETCHED])
+    return _format_landed_news(news, landed_ticker()), format_prices(_fetch_order(prices), keep=[FETCHED])
 
 
 def combine_formatted(spark: SparkSession, cfg: PipelineConfig, news: DataFrame, prices: DataFrame) -> DataFrame:
@@ -191,7 +201,12 @@ def combine_formatted(spark: SparkSession, cfg: PipelineConfig, news: DataFrame,
     return combine(predicted, daily, cfg.quotes, "millis", cfg.now)
 
 
-def run_batch(spark: SparkSession, cfg: PipelineConfig, load_id: int = 0) -> None:
+def load_number(load_id: int | None) -> int:
+    """The caller's load id, or one that grows with time."""
+    return time.time_ns() // 1_000_000 if load_id is None else load_id
+
+
+def run_batch(spark: SparkSession, cfg: PipelineConfig, load_id: int | None = None) -> None:
     """The whole batch pipeline: landed documents → formatted tables
     (S7, rewritten) → combined → documents. The formatted tables are written
     and read back, which also cuts the lineage before the combine. Use either
@@ -201,13 +216,13 @@ def run_batch(spark: SparkSession, cfg: PipelineConfig, load_id: int = 0) -> Non
     write_parquet(prices, f"{cfg.formatted}/prices", mode="overwrite")
     news = spark.read.parquet(f"{cfg.formatted}/news")
     prices = spark.read.parquet(f"{cfg.formatted}/prices")
-    write_documents(combine_formatted(spark, cfg, news, prices), cfg.documents, cfg.documents_mode, load_id)
+    write_documents(combine_formatted(spark, cfg, news, prices), cfg.documents, cfg.documents_mode, load_number(load_id))
 
 
 def _append_formatted(path: str, kind: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         if kind == "news":  # the stream already carries the document order
-            rows = format_news(batch, ticker=symbol_from_path("_path"), keep=[FETCHED], article_fields=["url"])
+            rows = format_news(batch, ticker=landed_ticker(), keep=[FETCHED], article_fields=["url"])
         else:
             rows = format_prices(batch, keep=[FETCHED])
         write_batch(rows, path, batch_id)
@@ -215,7 +230,7 @@ def _append_formatted(path: str, kind: str):
     return write
 
 
-def run_available_now(spark: SparkSession, cfg: PipelineConfig, load_id: int = 0) -> list[StreamingQuery]:
+def run_available_now(spark: SparkSession, cfg: PipelineConfig, load_id: int | None = None) -> list[StreamingQuery]:
     """Format only newly landed files (availableNow file streams with
     checkpoints), then combine over the formatted tables and write
     documents. Returns the finished streaming queries."""
@@ -237,6 +252,6 @@ def run_available_now(spark: SparkSession, cfg: PipelineConfig, load_id: int = 0
         done.append(q)
     news = spark.read.parquet(f"{cfg.formatted}/news")
     prices = spark.read.parquet(f"{cfg.formatted}/prices")
-    write_documents(combine_formatted(spark, cfg, news, prices), cfg.documents, cfg.documents_mode, load_id)
+    write_documents(combine_formatted(spark, cfg, news, prices), cfg.documents, cfg.documents_mode, load_number(load_id))
     return done
 
