@@ -172,12 +172,14 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     sig = stage(docs.mapInArrow(signatures, SIGNATURE), "signatures")
     known = sig.filter("ident is not null and doc_id is not null")
     classes = stage(known.groupBy("ident").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("regs").alias("regs"), F.first("bands").alias("bands")), "classes")
-    keys = classes.select("rep", F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").select("key", "lo")
+    near = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)  # noqa: E731  sizes bound the similarity
+    keys = classes.select("rep", "n", F.explode("bands").alias("key"))
+    shared = keys.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("lo"), F.max("rep").alias("hi")).filter("lo.rep < hi")
+    shared = shared.select("key", F.col("lo.rep").alias("lo"), F.col("lo.n").alias("lo_n"))
     members = stage(keys.join(shared, "key"), "members")
 
     # first round: a bucket's smallest document against the others
-    first = members.filter("rep != lo").select(F.col("lo").alias("a"), F.col("rep").alias("b")).distinct()
+    first = members.filter((F.col("rep") != F.col("lo")) & near("n", "lo_n")).select(F.col("lo").alias("a"), F.col("rep").alias("b")).distinct()
     pairs = stage(promising(first, classes, percent), "pairs")
     texts = involved_texts(docs, pairs)
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("est", -F.col("a"))).alias("a")).select("a", "b")
@@ -185,14 +187,14 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     comp = stage(components(links), "comp")
 
     # second round: buckets that still hold several components
-    named = members.select("key", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
-    named = stage(named.select("key", "rep", "comp"), "named")
-    sizes = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+    named = members.select("key", "rep", "n").join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
+    named = stage(named.select("key", "rep", "n", "comp"), "named")
+    sizes = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("alike"))
     mixed = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("key")
     mixed = stage(named.join(mixed, "key").join(sizes, ["key", "comp"]), "mixed")
-    order = W.partitionBy("key").orderBy("n", F.xxhash64("rep", "key"), "rep")
-    centres = mixed.withColumn("i", F.row_number().over(order)).filter(F.col("i") <= CENTRES).select("key", F.col("rep").alias("c"), F.col("comp").alias("cc"))
-    second = mixed.join(centres, "key").filter("comp != cc").select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct()
+    order = W.partitionBy("key").orderBy("alike", F.xxhash64("rep", "key"), "rep")
+    centres = mixed.withColumn("i", F.row_number().over(order)).filter(F.col("i") <= CENTRES).select("key", F.col("rep").alias("c"), F.col("n").alias("cn"), F.col("comp").alias("cc"))
+    second = mixed.join(centres, "key").filter((F.col("comp") != F.col("cc")) & near("n", "cn")).select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct()
     second = second.join(best, ["a", "b"], "left_anti")
     more_pairs = stage(promising(second, classes, percent), "pairs")
     more_texts = involved_texts(docs, more_pairs)
