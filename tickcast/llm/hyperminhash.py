@@ -6,6 +6,8 @@ bits after them. Bands of eight registers are the candidate keys (an empty
 register borrows the next one and its distance). Documents with equal shingle
 sets form one class first. Pairs whose collision-corrected Jaccard estimate
 lies far below the threshold go; the rest is confirmed on full shingle sets.
+A sketch of the registers, two mantissa bits of each, travels with the band
+keys of the second round and rules out most pairs before they are joined.
 
 The first round pairs a band bucket's classes with its smallest and confirms
 each class's best pair. The second takes the buckets that still hold several
@@ -83,25 +85,51 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tupl
     return np.clip((same - collisions(n, m)) / np.maximum(count, 1), 0, 1), count
 
 
+def sketch(reg: np.ndarray) -> np.ndarray:
+    """Bit planes of the registers as 64-bit words: in use, and the two last
+    mantissa bits."""
+    full = reg != EMPTY
+    planes = np.stack([full, full & (reg & 1 != 0), full & (reg & 2 != 0)])
+    return np.packbits(planes, axis=1).view(np.int64).ravel()
+
+
+def alike(s: str, t: str, percent: int, bits: int = BITS):
+    """Whether the sketches in columns ``s`` and ``t`` don't rule out a link.
+
+    A register in use on one side differs; one whose minima differ shows it in
+    two bits three times of four. The estimated count of differing registers
+    may lie MARGIN standard deviations over that of a pair at the threshold.
+    """
+    words = (1 << bits) // 64
+    total = lambda term: " + ".join(f"bit_count({term(i)})" for i in range(words))
+    used = total(lambda i: f"{s}[{i}] | {t}[{i}]")
+    one = total(lambda i: f"{s}[{i}] ^ {t}[{i}]")
+    both = total(lambda i: f"{s}[{i}] & {t}[{i}] & (({s}[{words + i}] ^ {t}[{words + i}]) | ({s}[{2 * words + i}] ^ {t}[{2 * words + i}]))")
+    far = 1 - percent / 100
+    spread = far * (1 - far) + far / 3
+    return F.expr(f"({one}) + 4D / 3 * ({both}) <= {far!r}D * ({used}) + {MARGIN!r}D * sqrt({spread!r}D * ({used}))")
+
+
 def signatures(batches):
     with np.errstate(over="ignore"):
         for batch in batches:
             data, off = text_bytes(batch.column("text"))
-            n, ident, regs, keys = [], [], [], []
+            n, ident, regs, keys, marks = [], [], [], [], []
             for s in shingle_sets(data, off):
                 n.append(len(s))
                 ident.append(np.array([mix(s).sum(), mix(s ^ U64(0xD1B54A32D192ED03)).sum(), len(s)], U64).tobytes() if len(s) else None)
                 reg = registers(s)
                 regs.append(reg.tobytes() if len(s) else None)
                 keys.append(bands(reg) if len(s) else np.zeros(0, np.int64))
+                marks.append(sketch(reg).tolist() if len(s) else None)
             start = np.append(0, np.cumsum([len(x) for x in keys])).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ident, pa.binary()), pa.array(regs, pa.binary()), pa.ListArray.from_arrays(pa.array(start), pa.array(np.concatenate(keys)))],
-                names=["doc_id", "n_shingles", "ident", "regs", "bands"],
+                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ident, pa.binary()), pa.array(regs, pa.binary()), pa.ListArray.from_arrays(pa.array(start), pa.array(np.concatenate(keys))), pa.array(marks, pa.list_(pa.int64()))],
+                names=["doc_id", "n_shingles", "ident", "regs", "bands", "sketch"],
             )
 
 
-SIGNATURE = "doc_id long, n_shingles long, ident binary, regs binary, bands array<long>"
+SIGNATURE = "doc_id long, n_shingles long, ident binary, regs binary, bands array<long>, sketch array<long>"
 
 
 def likely(percent: int):
@@ -171,7 +199,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sig = stage(docs.mapInArrow(signatures, SIGNATURE), "signatures")
     known = sig.filter("ident is not null and doc_id is not null")
-    classes = stage(known.groupBy("ident").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("regs").alias("regs"), F.first("bands").alias("bands")), "classes")
+    classes = stage(known.groupBy("ident").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("regs").alias("regs"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
     near = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)  # noqa: E731  sizes bound the similarity
     keys = classes.select("rep", "n", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("lo"), F.max("rep").alias("hi")).filter("lo.rep < hi")
@@ -187,14 +215,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     comp = stage(components(links), "comp")
 
     # second round: buckets that still hold several components
-    named = members.select("key", "rep", "n").join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
-    named = stage(named.select("key", "rep", "n", "comp"), "named")
+    now = classes.select("rep", "sketch").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
+    named = members.select("key", "rep", "n").join(now, "rep").withColumn("comp", F.coalesce("component", "rep"))
+    named = stage(named.select("key", "rep", "n", "comp", "sketch"), "named")
     sizes = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("alike"))
     mixed = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("key")
     mixed = stage(named.join(mixed, "key").join(sizes, ["key", "comp"]), "mixed")
     order = W.partitionBy("key").orderBy("alike", F.xxhash64("rep", "key"), "rep")
-    centres = mixed.withColumn("i", F.row_number().over(order)).filter(F.col("i") <= CENTRES).select("key", F.col("rep").alias("c"), F.col("n").alias("cn"), F.col("comp").alias("cc"))
-    second = mixed.join(centres, "key").filter((F.col("comp") != F.col("cc")) & near("n", "cn")).select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct()
+    centres = mixed.withColumn("i", F.row_number().over(order)).filter(F.col("i") <= CENTRES).select("key", F.col("rep").alias("c"), F.col("n").alias("cn"), F.col("comp").alias("cc"), F.col("sketch").alias("csketch"))
+    second = mixed.join(centres, "key").filter((F.col("comp") != F.col("cc")) & near("n", "cn") & alike("sketch", "csketch", percent)).select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct()
     second = second.join(best, ["a", "b"], "left_anti")
     more_pairs = stage(promising(second, classes, percent), "pairs")
     more_texts = involved_texts(docs, more_pairs)
