@@ -125,9 +125,10 @@ def train(docs: DataFrame) -> LanguageModel | None:
     if not langs:
         return None
     ids = rows.filter(F.col("lang").isin(langs) & F.col("text").rlike(r"\p{L}")).withColumn("h", F.xxhash64("text"))
-    edge = ids.select("lang", "h").distinct().withColumn("salt", F.pmod("h", F.lit(64)))
-    for key in (["lang", "salt"], ["lang"]):  # a frequent language is cut down in parts first
-        edge = edge.withColumn("i", F.row_number().over(W.partitionBy(*key).orderBy("h"))).filter(F.col("i") <= TRAIN_PER_LANG).drop("i")
+    edge = ids.select("lang", "h").distinct()
+    for parts in (256, 32, 4, 1):  # a frequent language is cut down in parts, of 8 x TRAIN_PER_LANG rows at most after the first cut
+        order = W.partitionBy("lang", F.pmod("h", F.lit(parts))).orderBy("h")
+        edge = edge.withColumn("i", F.row_number().over(order)).filter(F.col("i") <= TRAIN_PER_LANG).drop("i")
     cut = {r[0]: r[1] for r in edge.groupBy("lang").agg(F.max("h")).collect()}
     if not cut:
         return None
