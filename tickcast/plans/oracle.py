@@ -262,9 +262,10 @@ def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-def stream_combined(as_of: str, now: str, block: int) -> str:
+def stream_combined(as_of: str, now: str, block: int, fetch: int, history: int, first: str) -> str:
     """Streaming combine: document-level messages (news: one per (symbol,
-    block of event ids); prices: one per (symbol, month)), paired by the
+    block of event ids); prices: one per (symbol, longer block), with the
+    ``history`` days before the block's last day), paired by the
     two-slot fold, then each pair combined on its own rows (inner join
     only, processing time as a timestamp)."""
     pair_bars = EV_BARS.replace("bars AS (", "bars0 AS (")
@@ -277,8 +278,10 @@ nb AS (
          count(*) FILTER (WHERE event_type IN ('view', 'click', 'signup')) = 0 AS empty
   FROM ev WHERE event_type <> 'purchase' GROUP BY 1, 2),
 pm AS (
-  SELECT symbol, date_trunc('month', CAST(ts AS DATE)) AS month, max(event_id) AS seq
-  FROM ev WHERE event_type = 'purchase' GROUP BY 1, 2),
+  SELECT * FROM (
+    SELECT symbol, floor(event_id / {fetch}) AS part, max(event_id) AS seq, max(CAST(ts AS DATE)) AS day
+    FROM ev WHERE event_type = 'purchase' GROUP BY 1, 2)
+  WHERE day >= DATE '{first}'),
 msgs AS (
   SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY seq) AS rn FROM (
     SELECT symbol, seq, 'news' AS kind, empty FROM nb
@@ -299,7 +302,7 @@ fold(symbol, rn, n_seq, p_seq, e_seq, e_news, e_prices) AS (
                                  OR (m.kind = 'prices' AND f.n_seq IS NOT NULL))) AS emit
         FROM fold f JOIN msgs m ON m.symbol = f.symbol AND m.rn = f.rn + 1) s),
 pairs AS (
-  SELECT f.symbol, f.e_seq AS pseq, f.e_news, pm.month AS month
+  SELECT f.symbol, f.e_seq AS pseq, f.e_news, pm.day AS day
   FROM fold f JOIN pm ON pm.symbol = f.symbol AND pm.seq = f.e_prices
   WHERE f.e_seq IS NOT NULL),
 news AS (
@@ -309,7 +312,7 @@ news AS (
 bars AS (
   SELECT p.symbol || '#' || CAST(p.pseq AS VARCHAR) AS symbol, b.date, b.open, b.high, b.low, b.close,
          b.adjusted_close, b.volume, b.dividend_amount, b.split_coefficient
-  FROM bars0 b JOIN pairs p ON b.symbol = p.symbol AND date_trunc('month', b.date) = p.month),
+  FROM bars0 b JOIN pairs p ON b.symbol = p.symbol AND b.date < p.day AND b.date >= p.day - {history}),
 {DAILY},
 {predicted(as_of)},
 inner_rows AS (

@@ -28,10 +28,13 @@ from tickcast.streaming.formatting import format_stream
 from tickcast.streaming.pairing import pair_stream
 from tickcast.streaming.jobs import (
     PipelineConfig,
+    StreamConfig,
     combine_sink,
     daily_sentiment_stream,
     latest_rows,
-    run_available_now, run_batch,
+    run_available_now,
+    run_batch,
+    start_stream,
     upsert_batches,
 )
 from tickcast.streaming.sources import (
@@ -45,11 +48,11 @@ from tickcast.streaming.sources import (
 )
 
 
-def _ingest_messages(spark: SparkSession, sf_dir: str, path: str) -> None:
+def _ingest_messages(spark: SparkSession, sf_dir: str, path: str, prices: DataFrame | None = None) -> None:
     """Raw news and price documents (plus broken payloads) as ingest-topic
     message files."""
     news = proxy.event_news_documents(spark, sf_dir)
-    prices = proxy.event_price_documents(spark, sf_dir)
+    prices = prices if prices is not None else proxy.event_price_documents(spark, sf_dir)
     broken = proxy.event_payloads(spark, sf_dir).filter(~F.col("value").startswith('{"'))
     msgs = (
         as_messages(news, INGEST_NEWS, "symbol", "value", "seq", "fetched_at")
@@ -65,11 +68,11 @@ def _run(query) -> None:
         raise query.exception()
 
 
-def _formatted(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+def _formatted(spark: SparkSession, sf_dir: str, prices: DataFrame | None = None) -> tuple[str, str]:
     """T1, T2, T6, T7 + S8: ingest messages → formatted message files and
     a quarantine table; returns (formatted path, quarantine path)."""
     base = scratch_path(spark, "stream")
-    _ingest_messages(spark, sf_dir, f"{base}/ingest")
+    _ingest_messages(spark, sf_dir, f"{base}/ingest", prices)
     src = topic_stream(spark, [INGEST_NEWS, INGEST_PRICES], path=f"{base}/ingest")
     formatted, bad = format_stream(src)
     q1 = (
@@ -144,9 +147,10 @@ def q_stream_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_combine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Formatted document messages → pairs per symbol →
-    foreachBatch combine of each pair → documents and combined messages."""
-    formatted, _ = _formatted(spark, sf_dir)
+    """Formatted document messages (price documents fetched
+    again and again) → pairs per symbol → foreachBatch combine of each pair →
+    documents and combined messages."""
+    formatted, _ = _formatted(spark, sf_dir, proxy.event_price_fetches(spark, sf_dir))
     base = scratch_path(spark, "stream")
     quotes = latest_quotes(proxy.quote_payloads(proxy.event_bars(spark, sf_dir)))
     src = topic_stream(spark, [FORMAT_NEWS, FORMAT_PRICES], path=formatted)
@@ -156,9 +160,24 @@ def q_stream_combine(spark: SparkSession, sf_dir: str) -> DataFrame:
         .option("checkpointLocation", f"{base}/ckpt/combine").trigger(availableNow=True).start()
     )
     _run(q)
-    docs = read_documents(spark, f"{base}/documents", schema=DOCUMENT_STORED.replace("timestamp long", "timestamp timestamp"))
-    out = report_combined(docs.withColumn("timestamp", iso_time("timestamp")), keep=["index"])
-    return out
+    return _streamed_documents(spark, f"{base}/documents")
+
+
+def _streamed_documents(spark: SparkSession, path: str) -> DataFrame:
+    docs = read_documents(spark, path, schema=DOCUMENT_STORED.replace("timestamp long", "timestamp timestamp"))
+    return report_combined(docs.withColumn("timestamp", iso_time("timestamp")), keep=["index"])
+
+
+def q_stream_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole streaming pipeline over message files;
+    documents come from the combined messages."""
+    base = scratch_path(spark, "stream")
+    _ingest_messages(spark, sf_dir, f"{base}/messages/ingest", proxy.event_price_fetches(spark, sf_dir))
+    quotes = latest_quotes(proxy.quote_payloads(proxy.event_bars(spark, sf_dir)))
+    cfg = StreamConfig(f"{base}/messages", f"{base}/documents", f"{base}/ckpt", quotes=quotes, as_of=STREAM_AS_OF, now=NOW)
+    for q in start_stream(spark, cfg, {"availableNow": True}):
+        _run(q)
+    return _streamed_documents(spark, cfg.documents)
 
 
 def q_run_batch_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,6 +228,7 @@ STREAM_QUERIES = {
     "stream_daily_sentiment": _sized(q_stream_daily_sentiment),
     "stream_pair": _sized(q_stream_pair),
     "stream_combine": _sized(q_stream_combine),
+    "stream_pipeline": _sized(q_stream_pipeline),
     "run_batch_available_now": _sized(q_run_batch_available_now),
     "run_batch": q_run_batch,
 }

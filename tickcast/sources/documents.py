@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickcast.schemas import NEWS, PRICES, RAW_NEWS, RAW_PRICES
+from tickcast.schemas import DOCUMENT, META_DATA, META_SYMBOL, NEWS, PRICES, RAW_NEWS, RAW_PRICES, TIME_SERIES
 
 CORRUPT = "_corrupt_record"
 
@@ -32,6 +32,41 @@ def read_raw_prices(spark: SparkSession, path: str | list[str], multiline: bool
     return df.withColumn("_path", F.col("_metadata.file_path"))
 
 
+def _with_corrupt(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+
+
+def _lacks(get, kind: str) -> Column:
+    """Whether a parsed document is broken or without what formatting needs."""
+    if kind == "news":
+        return get(CORRUPT).isNotNull() | get("feed").isNull()
+    return get(CORRUPT).isNotNull() | get(TIME_SERIES).isNull() | get(META_DATA)[META_SYMBOL].isNull()
+
+
+def malformed_documents(spark: SparkSession, path: str | list[str], kind: str) -> DataFrame:
+    """S1/S2 quarantine: (path, record) of the landed documents of ``kind``
+    (news or prices) that formatting gets no rows from: broken JSON, or JSON
+    without a feed, or without a daily series and its symbol. ``record`` is
+    null where the JSON itself is whole."""
+    schema = _with_corrupt(RAW_NEWS if kind == "news" else RAW_PRICES)
+    raw = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    bad = raw.withColumn("path", F.col("_metadata.file_path")).filter(_lacks(lambda c: F.col(f"`{c}`"), kind))
+    return bad.select("path", F.col(CORRUPT).alias("record"))
+
+
+def valid_document(value: Column, kind: str) -> Column:
+    """Whether a message holds a document of ``kind`` that can be formatted."""
+    schema = _with_corrupt(RAW_NEWS if kind == "news" else RAW_PRICES)
+    doc = F.from_json(value, schema, {"columnNameOfCorruptRecord": CORRUPT})
+    return F.coalesce(~_lacks(lambda c: doc[c], kind), F.lit(False))
+
+
+def combined_rows(df: DataFrame, value: str = "value", keep: list[str] | None = None) -> DataFrame:
+    """S5 + P7: combined messages (one JSON row each) → typed document rows."""
+    rows = df.select(*(keep or []), F.from_json(value, DOCUMENT).alias("_d"))
+    return rows.select(*(keep or []), "_d.*")
+
+
 def parse_news(value: str | Column) -> Column:
     """S3: one news document per message value."""
     return F.from_json(F.col(value) if isinstance(value, str) else value, RAW_NEWS)
@@ -76,10 +111,3 @@ def with_validity(df: DataFrame, value: str = "value") -> DataFrame:
     """T7 helper: flag messages whose payload is not valid JSON."""
     return df.withColumn("valid", F.try_parse_json(F.col(value)).isNotNull())
 
-
-def split_valid(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """(valid, quarantined) messages. The reference stops its consumer
-    loop on the first malformed message; here the bad ones go to a side
-    table and the rest keep flowing."""
-    flagged = with_validity(df, value)
-    return flagged.filter(F.col("valid")).drop("valid"), flagged.filter(~F.col("valid")).drop("valid")

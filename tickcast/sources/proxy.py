@@ -34,6 +34,9 @@ EMPTY_MENTION_TYPE = "error"
 BAR_TYPE = "purchase"
 N_EVENT_SYMBOLS = 5
 ITEMS_PER_DOCUMENT = 200  # the upstream request limit per news fetch
+EVENTS_PER_FETCH = 1000  # event ids between two price fetches of a symbol
+DAYS_PER_FETCH = 100  # the upstream "compact" history of a price document
+FIRST_FETCH = "2024-01-11"  # ten days of history: the model has more rows than features
 
 
 # Declared schemas of the test tables this module reads (no inference job).
@@ -218,18 +221,38 @@ def event_price_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(last, ["symbol", "month"], "left")
 
 
-def price_documents(bars: DataFrame) -> DataFrame:
-    """Bars → (symbol, month, last_refreshed, value) price documents."""
+def event_price_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlapping price documents, as repeated fetches return them: one per
+    (symbol, block of event ids) with the bars of the DAYS_PER_FETCH days
+    before the fetch. ``seq`` is the block's last purchase event id."""
+    fetches = (
+        events(spark, sf_dir)
+        .filter(F.col("event_type") == BAR_TYPE)
+        .groupBy("symbol", F.floor(F.col("event_id") / F.lit(EVENTS_PER_FETCH)).alias("block"))
+        .agg(F.max("event_id").alias("seq"), F.max(F.to_date("ts")).alias("day"))
+        .filter(F.col("day") >= F.lit(FIRST_FETCH).cast("date"))
+    )
+    # one row per fetch and day back, so the bars join on (symbol, date)
+    back = F.explode(F.sequence(F.date_sub("day", DAYS_PER_FETCH), F.date_sub("day", 1)))
+    days = fetches.select("symbol", "seq", back.alias("date"))
+    return price_documents(days.join(event_bars(spark, sf_dir), ["symbol", "date"]), "seq")
+
+
+def price_documents(bars: DataFrame, part: str | None = None) -> DataFrame:
+    """Bars → (symbol, part, last_refreshed, value) price documents; the
+    default part is the month."""
+    if part is None:
+        part, bars = "month", bars.withColumn("month", F.date_trunc("month", F.col("date")).cast("date"))
     values = F.struct(
         *[F.col(name).cast("string").alias(src) for src, name in BAR_FIELDS]
     )
     entries = bars.select(
         "symbol",
-        F.date_trunc("month", F.col("date")).cast("date").alias("month"),
+        part,
         F.col("date"),
         F.struct(F.date_format("date", "yyyy-MM-dd").alias("k"), values.alias("v")).alias("e"),
     )
-    docs = entries.groupBy("symbol", "month").agg(
+    docs = entries.groupBy("symbol", part).agg(
         F.map_from_entries(F.collect_list("e")).alias("series"),
         F.max("date").alias("last_refreshed"),
     )
@@ -241,7 +264,7 @@ def price_documents(bars: DataFrame) -> DataFrame:
         F.lit(META_KEYS[4]), F.lit("US/Eastern"),
     )
     doc = F.struct(meta.alias("Meta Data"), F.col("series").alias("Time Series (Daily)"))
-    return docs.select("symbol", "month", "last_refreshed", F.to_json(doc).alias("value"))
+    return docs.select("symbol", part, "last_refreshed", F.to_json(doc).alias("value"))
 
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

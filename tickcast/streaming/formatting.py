@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tickcast.functions.scalar import parse_published, to_double, to_utc
 from tickcast.schemas import BAR_FIELDS, META_DATA, META_SYMBOL, TIME_SERIES
-from tickcast.sources.documents import parse_news, parse_prices, with_validity
+from tickcast.sources.documents import parse_news, parse_prices, valid_document
 from tickcast.streaming.sources import FORMAT_NEWS, FORMAT_PRICES, INGEST_NEWS, INGEST_PRICES
 
 
@@ -58,8 +58,11 @@ def rows_message(rows: Column) -> Column:
 
 def route(messages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """T6 + T7: (news, prices, quarantined) by topic and payload validity.
-    A malformed payload is set aside instead of stopping the stream."""
-    flagged = with_validity(messages)
+    A malformed payload, or one without the fields that formatting needs, is
+    set aside instead of stopping the stream."""
+    value = F.col("value")
+    ok = F.when(F.col("topic") == INGEST_NEWS, valid_document(value, "news")).otherwise(valid_document(value, "prices"))
+    flagged = messages.withColumn("valid", ok)
     good = flagged.filter(F.col("valid")).drop("valid")
     bad = flagged.filter(~F.col("valid")).drop("valid")
     return (
@@ -70,11 +73,13 @@ def route(messages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def format_news_messages(news: DataFrame) -> DataFrame:
-    """Ingest news message → format_news_topic message (key = ticker)."""
-    doc = news.select(parse_news("value").alias("d"), "offset", "timestamp")
-    rows = news_rows_array(F.col("d"), F.col("d.ticker"))
+    """Ingest news message → format_news_topic message (key = ticker, the
+    document's own or else the message's key)."""
+    doc = news.select(parse_news("value").alias("d"), "key", "offset", "timestamp")
+    ticker = F.coalesce(F.col("d.ticker"), F.col("key"))
+    rows = news_rows_array(F.col("d"), ticker)
     return doc.select(
-        F.col("d.ticker").alias("key"),
+        ticker.alias("key"),
         rows_message(rows).alias("value"),
         F.lit(FORMAT_NEWS).alias("topic"),
         F.col("offset"),

@@ -8,6 +8,8 @@
 * T8 ``run_available_now``: the periodic batch run as a streaming query with
   ``trigger(availableNow=True)``: only files landed since the last run are
   formatted; the combine then runs over the formatted tables.
+* C6 ``start_stream``: the whole streaming pipeline — ingest topics →
+  formatted topics → pairs → combined topic → documents.
 """
 
 from __future__ import annotations
@@ -25,9 +27,11 @@ from tickcast.operators.forecast import predict_next_close
 from tickcast.operators.formatting import format_news, format_prices, latest_articles
 from tickcast.operators.sentiment import daily_sentiment
 from tickcast.schemas import META_DATA, META_LAST_REFRESHED, NEWS, PRICES, RAW_NEWS, RAW_PRICES
-from tickcast.sources.documents import explode_row_batches
+from tickcast.sources.documents import combined_rows, explode_row_batches
 from tickcast.sources.sinks import to_messages, write_batch, write_documents, write_parquet
-from tickcast.streaming.sources import COMBINED
+from tickcast.streaming.formatting import format_stream
+from tickcast.streaming.pairing import pair_stream
+from tickcast.streaming.sources import COMBINED, FORMAT_NEWS, FORMAT_PRICES, INGEST_NEWS, INGEST_PRICES, topic_stream, write_topic
 
 PAIR_SEP = "#"
 
@@ -114,19 +118,23 @@ def combine_pairs(
     return out
 
 
-def combine_sink(documents: str, messages: str | None = None, quotes: DataFrame | None = None,
-                 as_of: str | None = None, now: str | None = None):
+def combine_sink(documents: str | None, messages: str | None = None, quotes: DataFrame | None = None,
+                 as_of: str | None = None, now: str | None = None, bootstrap_servers: str | None = None):
     """T5 (+S9): foreachBatch function writing the combined rows of each
-    micro-batch as per-symbol documents and, optionally, as messages."""
+    micro-batch as per-symbol documents, as message files, or both; with
+    ``bootstrap_servers`` the messages go to the combined topic instead."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()  # else each branch runs the pairing state again
         out = combine_pairs(batch, quotes, as_of, now).persist()
         try:
-            write_documents(out.drop("pair_seq"), documents, mode="append", batch_id=batch_id)
-            if messages:
-                msgs = to_messages(out.drop("pair_seq"), "symbol").withColumn("topic", F.lit(COMBINED))
-                write_batch(msgs, messages, batch_id, fmt="json")
+            if documents:
+                write_documents(out.drop("pair_seq"), documents, mode="append", batch_id=batch_id)
+            msgs = to_messages(out.drop("pair_seq"), "symbol")
+            if bootstrap_servers:
+                write_topic(msgs, COMBINED, bootstrap_servers)
+            elif messages:
+                write_batch(msgs.withColumn("topic", F.lit(COMBINED)), messages, batch_id, fmt="json")
         finally:
             out.unpersist()
             batch.unpersist()
@@ -134,6 +142,76 @@ def combine_sink(documents: str, messages: str | None = None, quotes: DataFrame
     return write
 
 
+# --------------------------------------------------------------------- C6
+@dataclass
+class StreamConfig:
+    """One streaming deployment. The topics are Kafka's with
+    ``bootstrap_servers``, else the folders <messages>/ingest, formatted and
+    combined of JSON message files; all paths are on shared storage."""
+
+    messages: str
+    documents: str
+    checkpoint: str
+    bootstrap_servers: str | None = None
+    quotes: DataFrame | None = None  # (symbol, current_price)
+    as_of: str | None = None
+    now: str | None = None
+    max_per_trigger: int | None = None  # bounds a micro-batch, the first one too
+
+
+def _folder(spark: SparkSession, path: str) -> str:
+    """``path``, created if need be: a file stream starts on an empty folder."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
+    return path
+
+
+def index_sink(documents: str):
+    """T5: foreachBatch function writing combined messages as documents, one
+    per message (append, as the reference)."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_documents(combined_rows(batch), documents, mode="append", batch_id=batch_id)
+
+    return write
+
+
+def start_stream(spark: SparkSession, cfg: StreamConfig, trigger: dict | None = None) -> list[StreamingQuery]:
+    """Start the four queries of the streaming pipeline (format,
+    quarantine, combine, index) and return them running. With
+    ``trigger={"availableNow": True}`` each one drains what the one before
+    wrote, and all are finished on return."""
+    drain = bool((trigger or {}).get("availableNow"))
+    started: list[StreamingQuery] = []
+
+    def source(topics: list[str], folder: str) -> DataFrame:
+        path = None if cfg.bootstrap_servers else _folder(spark, f"{cfg.messages}/{folder}")
+        return topic_stream(spark, topics, path, cfg.bootstrap_servers, max_per_trigger=cfg.max_per_trigger)
+
+    def start(writer, name: str) -> None:
+        writer = writer.option("checkpointLocation", f"{cfg.checkpoint}/{name}")
+        query = (writer.trigger(**trigger) if trigger else writer).start()
+        started.append(query)
+        if drain:
+            query.awaitTermination()
+
+    formatted, bad = format_stream(source([INGEST_NEWS, INGEST_PRICES], "ingest"))
+    if cfg.bootstrap_servers:
+        sink = formatted.select("topic", "key", "value").writeStream.format("kafka").option("kafka.bootstrap.servers", cfg.bootstrap_servers)
+    else:
+        sink = formatted.writeStream.format("json").option("path", f"{cfg.messages}/formatted")
+    start(sink, "format")
+    start(bad.writeStream.format("parquet").option("path", f"{cfg.messages}/quarantine"), "quarantine")
+
+    # offsets order one topic partition; the broker's time orders both topics
+    seq = F.unix_micros("timestamp") if cfg.bootstrap_servers else "offset"
+    pairs = pair_stream(source([FORMAT_NEWS, FORMAT_PRICES], "formatted"), seq=seq)
+    combined = combine_sink(None, f"{cfg.messages}/combined", cfg.quotes, cfg.as_of, cfg.now, cfg.bootstrap_servers)
+    start(pairs.writeStream.foreachBatch(combined), "combine")
+    start(source([COMBINED], "combined").writeStream.foreachBatch(index_sink(cfg.documents)), "index")
+    return started
+
+
 # --------------------------------------------------------------------- T8
 @dataclass
 class PipelineConfig:

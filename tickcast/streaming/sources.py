@@ -49,7 +49,7 @@ def topic_stream(
         )
     if path is None:
         raise ValueError("topic_stream needs bootstrap_servers or a message folder path")
-    reader = spark.readStream.schema(MESSAGE)
+    reader = spark.readStream.schema(MESSAGE).option("recursiveFileLookup", "true")
     if max_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_per_trigger))
     return reader.json(path).filter(F.col("topic").isin(topics))
