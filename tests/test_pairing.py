@@ -3,7 +3,9 @@ import random
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tickcast.operators.pairing import fold_pairs, pair_latest_reset
+from folds import fold_pairs
+
+from tickcast.operators.pairing import pair_latest_reset
 
 
 def run_window(spark, msgs, chunk_size=4):
@@ -49,3 +51,9 @@ def test_long_alternating_island_across_chunks(spark):
 def test_property_window_equals_fold(spark, seq):
     msgs = [(i, k, e) for i, (k, e) in enumerate(seq)]
     assert run_window(spark, msgs) == fold_pairs(msgs)
+
+
+def test_payloads_join_the_emitted_pairs(spark):
+    rows = [("A", 1, "news", '["n1"]'), ("A", 2, "news", '["n2"]'), ("A", 3, "prices", '["p3"]'), ("B", 3, "prices", '["x"]')]
+    df = spark.createDataFrame(rows, "symbol string, seq long, kind string, value string")
+    assert [tuple(r) for r in pair_latest_reset(df).collect()] == [("A", 3, 2, 3, '["n2"]', '["p3"]')]

@@ -1,10 +1,10 @@
 import random
 from datetime import date
 
+from folds import fold_pairs
 from pyspark.sql import functions as F
 
 from tickcast.operators.formatting import format_news
-from tickcast.operators.pairing import fold_pairs
 from tickcast.operators.sentiment import daily_sentiment
 from tickcast.session import scratch_path
 from tickcast.sources import proxy
@@ -12,7 +12,7 @@ from tickcast.sources.documents import news_rows, parse_news
 from tickcast.streaming.formatting import news_rows_array, route
 from tickcast.streaming.pairing import pair_stream
 from tickcast.streaming.jobs import daily_sentiment_stream
-from tickcast.streaming.sources import FORMAT_NEWS, FORMAT_PRICES, INGEST_NEWS, topic_stream
+from tickcast.streaming.sources import FORMAT_NEWS, FORMAT_PRICES, INGEST_NEWS, INGEST_PRICES, topic_stream
 from tickcast.schemas import MESSAGE
 
 SF = "/root/testdata/sf0.001"
@@ -49,10 +49,40 @@ def test_in_row_formatting_equals_batch_formatting(spark):
 
 def test_route_quarantines_malformed(spark):
     msgs = spark.createDataFrame(
-        [("A", '{"feed": []}', INGEST_NEWS, 1, None), ("A", '{"feed": [', INGEST_NEWS, 2, None)], MESSAGE
+        [("A", '{"feed": []}', INGEST_NEWS, 1, None), ("A", '{"feed": [', INGEST_NEWS, 2, None),
+         ("A", '{"Note": "limit"}', INGEST_NEWS, 3, None), ("A", '{"feed": [], "x": 1, "x": 2}', INGEST_NEWS, 4, None),
+         ("A", '{"Meta Data": {"2. Symbol": "A"}, "Time Series (Daily)": {}}', INGEST_PRICES, 5, None),
+         ("A", '{"Meta Data": {}, "Time Series (Daily)": {}}', INGEST_PRICES, 6, None), ("A", None, INGEST_PRICES, 7, None)], MESSAGE
     )
-    news, prices, bad = route(msgs)
-    assert (news.count(), prices.count(), bad.count()) == (1, 0, 1)
+    offsets = [sorted(r.offset for r in part.collect()) for part in route(msgs)]
+    assert offsets == [[1, 4], [5], [2, 3, 6, 7]]
+
+
+def test_malformed_landed_documents_are_listed(spark):
+    from tickcast.sources.documents import malformed_documents
+
+    base = scratch_path(spark, "test-malformed")
+    spark.createDataFrame([('{"feed": []}',), ('{"feed": [',), ('{"Note": "limit"}',)], "value string").write.text(base)
+    records = sorted((r.record for r in malformed_documents(spark, base, "news").collect()), key=str)
+    assert records == [None, '{"feed": [']
+
+
+def test_articles_without_a_time_are_counted(spark):
+    from tickcast.streaming.jobs import latest_rows, untimed_sentiment_stream, upsert_batches
+
+    base = scratch_path(spark, "test-untimed")
+    schema = ("time_published timestamp, ticker string, ticker_sentiment_score double, ticker_sentiment_label string, "
+              "relevance_score double, overall_sentiment_score double, overall_sentiment_label string")
+    for score in (0.5, 0.7):  # two files, read one per trigger
+        rows = spark.createDataFrame([(None, "A", score, "Bullish", 1.0, 0.1, "x")], schema)
+        rows.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    q = (untimed_sentiment_stream(stream).writeStream.outputMode("update").foreachBatch(upsert_batches(f"{base}/out"))
+         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = latest_rows(spark, f"{base}/out", ["symbol", "date"]).collect()
+    want = daily_sentiment(spark.read.schema(schema).parquet(f"{base}/in")).collect()
+    assert len(got) == 1 and got[0].date is None and got[0].positive_news_amount == want[0].positive_news_amount == 2
 
 
 def test_stream_daily_sentiment_equals_batch(spark):

@@ -64,8 +64,10 @@ def latest_articles(news: DataFrame, order_col: str, article: str = "url", ticke
     so each (ticker, article) is taken from the latest document that carries
     it; repeated mentions inside that document still count, as in the
     reference. A window per (ticker, article) — bounded by how often one
-    article is fetched. Articles without an identifier are all kept."""
-    w = Window.partitionBy(ticker, article)
+    article is fetched. Articles without an identifier are all kept, and
+    spread over as many groups as they have rows' hashes."""
+    spread = F.when(F.col(article).isNull(), F.xxhash64(*[c for c in news.columns if c != order_col]))
+    w = Window.partitionBy(ticker, article, spread)
     return (
         news.withColumn("_latest", F.max(order_col).over(w))
         .filter(F.col(article).isNull() | (F.col(order_col) == F.col("_latest")))

@@ -52,16 +52,17 @@ def pair_latest_reset(
     value: str = "value",
     empty: str | Column | None = None,
     chunk_size: int = DEFAULT_CHUNK,
+    payload: bool = True,
 ) -> DataFrame:
     """Messages (key, seq unique per key, kind news|prices, value) → one row
     per emitted pair: (key, seq of the emitting message, news_seq,
-    prices_seq, news_value, prices_value)."""
+    prices_seq) and, with ``payload``, news_value and prices_value. The scan
+    carries no payloads; they are joined to the emitted pairs by (key, seq)."""
     is_empty = empty_payload(value) if empty is None else (F.col(empty) if isinstance(empty, str) else empty)
     m = messages.select(
         F.col(key).alias("_k"),
         F.col(seq).cast("long").alias("_seq"),
         F.col(kind).alias("_kind"),
-        F.col(value).alias("_value"),
         is_empty.alias("_empty"),
         F.floor(F.col(seq) / F.lit(chunk_size)).alias("_chunk"),
     )
@@ -84,7 +85,7 @@ def pair_latest_reset(
         F.expr(f"sum({prices_empty}) AS _tot_ep"),
         F.expr(
             "max(CASE WHEN NOT _empty THEN named_struct("
-            "'seq', _seq, 'kind', _kind, 'value', _value, 'en', _en, 'ep', _ep) END) AS _last"
+            "'seq', _seq, 'kind', _kind, 'en', _en, 'ep', _ep) END) AS _last"
         ),
     )
     # 3. per symbol over chunk rows: empties before the chunk and the last
@@ -96,17 +97,17 @@ def pair_latest_reset(
     ).selectExpr(
         "_k", "_chunk", "_cum_en", "_cum_ep",
         "last(CASE WHEN _last IS NOT NULL THEN named_struct('seq', _last.seq, 'kind', _last.kind, "
-        "'value', _last.value, 'en', _cum_en + _last.en, 'ep', _cum_ep + _last.ep) END, true) "
+        "'en', _cum_en + _last.en, 'ep', _cum_ep + _last.ep) END, true) "
         f"{before} AS _carry",
     )
 
     # 4. non-empty rows with global empty counts; c_i from the previous
     #    non-empty message (in the chunk, else carried in)
     ne = m.filter("NOT _empty").join(chunks, ["_k", "_chunk"], "inner").selectExpr(
-        "_k", "_chunk", "_seq", "_kind", "_value",
+        "_k", "_chunk", "_seq", "_kind",
         "_cum_en + _en AS _gen",
         "_cum_ep + _ep AS _gep",
-        "coalesce(lag(named_struct('seq', _seq, 'kind', _kind, 'value', _value, "
+        "coalesce(lag(named_struct('seq', _seq, 'kind', _kind, "
         f"'en', _cum_en + _en, 'ep', _cum_ep + _ep)) OVER ({in_chunk}), _carry) AS _prev",
     )
     cleared = f"CASE WHEN _prev.kind = '{NEWS}' THEN _gen - _prev.en ELSE _gep - _prev.ep END"
@@ -133,24 +134,15 @@ def pair_latest_reset(
     position = "CASE WHEN _zeros = 0 THEN _pin + _pos ELSE _pos - 1 END"
     emits = ne.join(par, ["_k", "_chunk"], "inner").filter(f"_c AND ({position}) % 2 = 1")
     news_now = f"_kind = '{NEWS}'"
-    return emits.selectExpr(
+    pairs = emits.selectExpr(
         f"_k AS `{key}`",
         f"_seq AS `{seq}`",
         f"CASE WHEN {news_now} THEN _seq ELSE _prev.seq END AS news_seq",
         f"CASE WHEN {news_now} THEN _prev.seq ELSE _seq END AS prices_seq",
-        f"CASE WHEN {news_now} THEN _value ELSE _prev.value END AS news_value",
-        f"CASE WHEN {news_now} THEN _prev.value ELSE _value END AS prices_value",
     )
-
-
-def fold_pairs(rows: list[tuple]) -> list[tuple]:
-    """Reference state machine over (seq, kind, empty) in order, for tests:
-    returns [(emitting seq, news_seq, prices_seq)]."""
-    slots: dict[str, int | None] = {NEWS: None, PRICES: None}
-    out = []
-    for s, k, e in rows:
-        slots[k] = None if e else s
-        if slots[NEWS] is not None and slots[PRICES] is not None:
-            out.append((s, slots[NEWS], slots[PRICES]))
-            slots = {NEWS: None, PRICES: None}
-    return out
+    if not payload:
+        return pairs
+    for side in (NEWS, PRICES):
+        values = messages.select(key, F.col(seq).cast("long").alias(f"{side}_seq"), F.col(value).alias(f"{side}_value"))
+        pairs = pairs.join(values, [key, f"{side}_seq"])
+    return pairs.select(key, seq, "news_seq", "prices_seq", "news_value", "prices_value")

@@ -58,9 +58,6 @@ NOW_EARLIER_MILLIS = 1706659200000
 FALLBACK_SYMBOLS = ["S3"]  # bars removed for these symbols in combine_fallback
 RECENT_FROM = "2024-01-20 12:34:56"  # P15 bound: start of this day
 RECENT_LIMIT = 200  # L1: the upstream request limit
-# Sequence chunk of the two-level pair-and-reset scan: small enough that the
-# test tables span several chunks per symbol (results do not depend on it).
-PAIR_CHUNK = 1000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -268,7 +265,7 @@ def q_recent_news_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_pair_latest_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J6, T3 (batch form): latest news × latest prices message per symbol,
     emitted and reset; empty messages clear their slot."""
-    pairs = pair_latest_reset(proxy.event_messages(spark, sf_dir), chunk_size=PAIR_CHUNK)
+    pairs = pair_latest_reset(proxy.event_messages(spark, sf_dir), payload=False)
     return pairs.select("symbol", "seq", "news_seq", "prices_seq")
 
 

@@ -113,7 +113,7 @@ def q_stream_daily_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = news_rows(formatted.filter(F.col("topic") == FORMAT_NEWS))
     daily = daily_sentiment_stream(rows, watermark="1 day")
     q = (
-        daily.writeStream.outputMode("update").foreachBatch(upsert_batches(f"{base}/daily", ["symbol", "date"]))
+        daily.writeStream.outputMode("update").foreachBatch(upsert_batches(f"{base}/daily"))
         .option("checkpointLocation", f"{base}/ckpt/daily").trigger(availableNow=True).start()
     )
     _run(q)

@@ -12,6 +12,8 @@ orders  → symbol = customer market segment; lineitem ⋈ orders ⋈ customer m
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -319,7 +321,11 @@ def order_bars(spark: SparkSession, sf_dir: str, seg: DataFrame | None = None) -
     # many splits the lineitem files have. Never a forced broadcast.
     rows = li.join(seg.hint("merge"), li.l_orderkey == seg.o_orderkey, "inner")
     unit = F.col("l_extendedprice") / F.col("l_quantity")
-    key = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    # one decimal in the order of the four keys (13, 3, 11 and 11 digits): a
+    # fixed-width buffer, which a hash aggregate can hold
+    key = F.col("l_orderkey").cast("decimal(38,0)")
+    for name, digits in (("l_linenumber", 3), ("l_partkey", 11), ("l_suppkey", 11)):
+        key = key * F.lit(Decimal(10**digits)) + F.col(name)
     return _bars(rows, F.to_date("l_shipdate"), unit, F.col("l_quantity"), key)
 
 

@@ -21,11 +21,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickcast.functions.scalar import BEARISH, BULLISH, sentiment_label, symbol_from_path
+from tickcast.functions.scalar import symbol_from_path
 from tickcast.operators.combine import combine
 from tickcast.operators.forecast import predict_next_close
 from tickcast.operators.formatting import format_news, format_prices, latest_articles
-from tickcast.operators.sentiment import daily_sentiment
+from tickcast.operators.sentiment import daily_sentiment, labelled_daily, sentiment_aggregates
 from tickcast.schemas import META_DATA, META_LAST_REFRESHED, NEWS, PRICES, RAW_NEWS, RAW_PRICES
 from tickcast.sources.documents import combined_rows, explode_row_batches
 from tickcast.sources.sinks import to_messages, write_batch, write_documents, write_parquet
@@ -39,27 +39,25 @@ PAIR_SEP = "#"
 # --------------------------------------------------------------------- T9
 def daily_sentiment_stream(news_rows: DataFrame, watermark: str = "1 day") -> DataFrame:
     """Formatted news rows (streaming) → daily sentiment per (symbol, UTC
-    day), updated as articles arrive; run in ``update`` output mode."""
+    day), updated as articles arrive; run in ``update`` output mode. Rows
+    without a publication time have no window: :func:`untimed_sentiment_stream`
+    counts them."""
     rows = news_rows.withWatermark("time_published", watermark)
-    agg = rows.groupBy(F.col("ticker").alias("symbol"), F.window("time_published", "1 day").alias("w")).agg(
-        F.sum(F.when(F.col("ticker_sentiment_label") == BULLISH, 1).otherwise(0)).alias("positive_news_amount"),
-        F.sum(F.when(F.col("ticker_sentiment_label") == BEARISH, 1).otherwise(0)).alias("negative_news_amount"),
-        F.avg("ticker_sentiment_score").alias("ticker_sentiment_score_mean"),
-        F.avg("overall_sentiment_score").alias("overall_sentiment_score_mean"),
-    )
-    return agg.select(
-        "symbol",
-        F.to_date(F.col("w.start")).alias("date"),
-        "positive_news_amount",
-        "negative_news_amount",
-        "ticker_sentiment_score_mean",
-        sentiment_label("ticker_sentiment_score_mean").alias("ticker_sentiment_score_mean_label"),
-        "overall_sentiment_score_mean",
-        sentiment_label("overall_sentiment_score_mean").alias("overall_sentiment_score_mean_label"),
-    )
+    day = F.window("time_published", "1 day").alias("w")
+    agg = rows.groupBy(F.col("ticker").alias("symbol"), day).agg(*sentiment_aggregates())
+    return labelled_daily(agg.withColumn("date", F.to_date("w.start")))
+
+
+def untimed_sentiment_stream(news_rows: DataFrame) -> DataFrame:
+    """The NULL-date rows of daily sentiment on the stream: one per symbol
+    (the state is one row per symbol, so it needs no watermark); ``update``
+    output mode, into the same sink as :func:`daily_sentiment_stream`."""
+    rows = news_rows.filter(F.col("time_published").isNull())
+    agg = rows.groupBy(F.col("ticker").alias("symbol")).agg(*sentiment_aggregates())
+    return labelled_daily(agg.withColumn("date", F.lit(None).cast("date")))
 
 
-def upsert_batches(path: str, keys: list[str]):
+def upsert_batches(path: str):
     """foreachBatch sink for update-mode results: append each micro-batch
     with its batch id; readers keep the newest row per key (see
     :func:`latest_rows`)."""
