@@ -224,6 +224,27 @@ def test_near_duplicates(spark, odd, none):
     assert hyperminhash.near_duplicates(none).count() == 0
 
 
+def test_near_duplicates_crowded_buckets(spark, monkeypatch):
+    """Hundreds of texts about the threshold apart: whole buckets of them."""
+    monkeypatch.setattr(hyperminhash, "BLOCK", 32)
+    rnd = random.Random(11)
+    base = [f"w{rnd.randrange(10**6)}" for _ in range(160)]
+    docs = []
+    for i in range(300):
+        words = list(base)
+        for at in rnd.sample(range(160), rnd.randrange(3, 7)):
+            words[at] = f"v{rnd.randrange(10**6)}"
+        docs.append((i, " ".join(words)))
+    cells = []
+    crowded = hyperminhash.crowded_pairs
+    monkeypatch.setattr(hyperminhash, "crowded_pairs", lambda *a: cells.append(1) or crowded(*a))
+    want = brute_groups(docs)
+    assert len({top for _, top in want.values()}) > 20
+    with arrow_settings(spark):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in hyperminhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert cells and got == want
+
+
 def test_components(spark):
     rnd = random.Random(2)
     edges = [(rnd.randrange(400), rnd.randrange(400)) for _ in range(300)] + [(i, i + 1) for i in range(1000, 1060)]

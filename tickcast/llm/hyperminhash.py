@@ -11,9 +11,12 @@ keys of the second round and rules out most pairs before they are joined.
 
 The first round pairs a band bucket's classes with its smallest and confirms
 each class's best pair. The second takes the buckets that still hold several
-components: at most four centres, of the rarest components first, against
-the classes of other components. So a bucket of g classes gives at most 5 g
-pairs, and a small one all it needs.
+components. Where at most four classes lie outside a bucket's largest
+component, these centres meet the classes of other components in a join. The
+classes of larger buckets are dealt into blocks, and each two blocks meet in a
+cell that compares 4096 registers a class and gives out only the pairs that
+these don't rule out, each in the first band it shares. So every candidate
+pair of different components is judged.
 """
 
 from __future__ import annotations
@@ -21,7 +24,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickcast.llm.common import U64, arrow_settings, components, drop_stage, mix, shingle_sets, stage, text_bytes
@@ -30,6 +32,8 @@ BITS = 8  # 256 registers
 MANTISSA = 10
 BAND = 8  # a pair of similarity 0.85 shares none of the 32 bands with probability 4e-5, of 0.9 with 2e-8
 CENTRES = 4
+FINE = 12  # 4096 registers where many classes share a bucket
+BLOCK = 256  # classes of a block in such a bucket
 MARGIN = 5.0  # standard deviations of the estimate below the threshold
 EMPTY = np.uint16(0xFFFF)
 
@@ -110,6 +114,47 @@ def alike(s: str, t: str, percent: int, bits: int = BITS):
     return F.expr(f"({one}) + 4D / 3 * ({both}) <= {far!r}D * ({used}) + {MARGIN!r}D * sqrt({spread!r}D * ({used}))")
 
 
+def fine_sketches(batches):
+    """mapInArrow: (rep, text) -> (rep, fine), the sketch of 4096 registers."""
+    with np.errstate(over="ignore"):
+        for batch in batches:
+            data, off = text_bytes(batch.column("text"))
+            marks = [sketch(registers(s, FINE)).tobytes() for s in shingle_sets(data, off)]
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(marks, pa.binary())], names=["rep", "fine"])
+
+
+def cell(percent: int):
+    """applyInArrow: two blocks of a bucket -> (a, b) not ruled out by their
+    sketches, of different components, in the first band that they share."""
+    far = 1 - percent / 100
+
+    def run(table: pa.Table) -> pa.Table:
+        rep, n, comp, block = (table.column(c).to_numpy() for c in ("rep", "n", "comp", "block"))
+        key, lo, hi = (table.column(c)[0].as_py() for c in ("key", "lo", "hi"))
+        keys = np.array(table.column("bands").to_pylist(), np.int64)
+        fine = np.frombuffer(b"".join(table.column("fine").to_pylist()), U64).reshape(len(rep), 3, -1)
+        left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+        a, b = [], []
+        for i in left:
+            j = right[right > i] if lo == hi else right
+            j = j[(comp[j] != comp[i]) & (np.minimum(n[j], n[i]) * 100 >= percent * np.maximum(n[j], n[i]))]
+            shared = keys[j] == keys[i]
+            j = j[keys[i][shared.argmax(1)] == key]
+            x, y = fine[i], fine[j]
+            used = np.bitwise_count(y[:, 0] | x[0]).sum(1, dtype=np.int64)
+            one = np.bitwise_count(y[:, 0] ^ x[0]).sum(1, dtype=np.int64)
+            both = np.bitwise_count(y[:, 0] & x[0] & ((y[:, 1] ^ x[1]) | (y[:, 2] ^ x[2]))).sum(1, dtype=np.int64)
+            # registers sample the pair's shingles without replacement: few shingles, little spread
+            unseen = np.maximum(1 - used * (1 + percent / 100) / (n[i] + n[j]), 0)
+            j = j[one + 4 / 3 * both <= far * used + MARGIN * np.sqrt(far * (1 - far) * used * unseen + 4 / 9 * both)]
+            a.append(np.minimum(rep[i], rep[j]))
+            b.append(np.maximum(rep[i], rep[j]))
+        whole = lambda parts: pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64), pa.int64())
+        return pa.table({"a": whole(a), "b": whole(b)})
+
+    return run
+
+
 def signatures(batches):
     with np.errstate(over="ignore"):
         for batch in batches:
@@ -188,6 +233,24 @@ def involved_texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return stage(docs.join(reps.hint("shuffle_hash"), F.col("doc_id") == F.col("rep")).select("rep", "text").dropDuplicates(["rep"]), "texts")
 
 
+def crowded_pairs(crowded: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """(a, b): candidate pairs of different components in the buckets of
+    ``crowded`` (key, rep, n, comp, total), ``total`` being the bucket's classes.
+
+    Every two blocks of a bucket are a cell of their own, so a bucket of any
+    size is spread over the cluster and a cell holds about 2 * BLOCK classes.
+    """
+    reps = crowded.select("rep").distinct()
+    texts = docs.join(reps.hint("shuffle_hash"), F.col("doc_id") == F.col("rep")).select("rep", "text").dropDuplicates(["rep"])
+    fine = texts.mapInArrow(fine_sketches, "rep long, fine binary")
+    known = stage(fine.join(classes.select("rep", "bands"), "rep"), "fine")
+    blocks = crowded.withColumn("nb", F.ceil(F.col("total") / BLOCK).cast("int"))
+    blocks = blocks.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int"))
+    cells = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    cells = cells.select("key", "rep", "n", "comp", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+    return cells.join(known, "rep").groupBy("key", "lo", "hi").applyInArrow(cell(percent), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text).
 
@@ -219,15 +282,20 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     named = members.select("key", "rep", "n").join(now, "rep").withColumn("comp", F.coalesce("component", "rep"))
     named = stage(named.select("key", "rep", "n", "comp", "sketch"), "named")
     sizes = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("alike"))
-    mixed = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("key")
-    mixed = stage(named.join(mixed, "key").join(sizes, ["key", "comp"]), "mixed")
-    order = W.partitionBy("key").orderBy("alike", F.xxhash64("rep", "key"), "rep")
-    centres = mixed.withColumn("i", F.row_number().over(order)).filter(F.col("i") <= CENTRES).select("key", F.col("rep").alias("c"), F.col("n").alias("cn"), F.col("comp").alias("cc"), F.col("sketch").alias("csketch"))
-    second = mixed.join(centres, "key").filter((F.col("comp") != F.col("cc")) & near("n", "cn") & alike("sketch", "csketch", percent)).select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct()
-    second = second.join(best, ["a", "b"], "left_anti")
-    more_pairs = stage(promising(second, classes, percent), "pairs")
+    # the largest component of a bucket, and how many classes lie outside it
+    sizes = sizes.groupBy("key").agg(F.sum("alike").alias("total"), F.max(F.struct("alike", "comp")).alias("top"), F.count(F.lit(1)).alias("kinds"))
+    sizes = sizes.filter("kinds > 1").select("key", "total", F.col("top.comp").alias("main"), (F.col("total") - F.col("top.alike")).alias("outside"))
+    mixed = stage(named.join(sizes, "key"), "mixed")
+    few = mixed.filter(F.col("outside") <= CENTRES)
+    centres = few.filter("comp != main").select("key", F.col("rep").alias("c"), F.col("n").alias("cn"), F.col("comp").alias("cc"), F.col("sketch").alias("csketch"))
+    second = few.join(centres, "key").filter((F.col("comp") != F.col("cc")) & near("n", "cn") & alike("sketch", "csketch", percent)).select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct()
+    more_pairs = promising(second.join(best, ["a", "b"], "left_anti"), classes, percent).select("a", "b")
+    crowded = mixed.filter(F.col("outside") > CENTRES).select("key", "rep", "n", "comp", "total")
+    if crowded.limit(1).count():
+        more_pairs = more_pairs.unionByName(crowded_pairs(crowded, classes, docs, percent)).distinct()
+    more_pairs = stage(more_pairs, "pairs")
     more_texts = involved_texts(docs, more_pairs)
-    more = stage(confirm(more_pairs.select("a", "b"), more_texts, percent), "links")
+    more = stage(confirm(more_pairs, more_texts, percent), "links")
     if more.limit(1).count():
         comp = stage(components(links.unionByName(more)), "comp")
     for x in (members, named, mixed, pairs, texts, more_pairs, more_texts):
