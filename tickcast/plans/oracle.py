@@ -75,6 +75,16 @@ ORD_BARS = """bars AS (
   FROM lineitem JOIN seg ON l_orderkey = o_orderkey
   GROUP BY symbol, CAST(l_shipdate AS DATE))"""
 
+SUPP_BARS = """bars AS (
+  SELECT 'P' || CAST(l_suppkey AS VARCHAR) AS symbol, CAST(l_shipdate AS DATE) AS date,
+         arg_min(l_extendedprice / l_quantity, (l_orderkey, l_linenumber, l_partkey)) AS open,
+         max(l_extendedprice / l_quantity) AS high, min(l_extendedprice / l_quantity) AS low,
+         arg_max(l_extendedprice / l_quantity, (l_orderkey, l_linenumber, l_partkey)) AS close,
+         arg_max(l_extendedprice / l_quantity, (l_orderkey, l_linenumber, l_partkey)) AS adjusted_close,
+         sum(l_quantity) AS volume, CAST(0.0 AS DOUBLE) AS dividend_amount,
+         CAST(1.0 AS DOUBLE) AS split_coefficient
+  FROM lineitem GROUP BY 1, 2)"""
+
 ORD_NEWS = f"""news AS (
   SELECT CAST(o_orderdate AS TIMESTAMP) AS time_published, symbol AS ticker,
          (o_totalprice - 250000.0) / 250000.0 AS ticker_sentiment_score,

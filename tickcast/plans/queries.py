@@ -204,6 +204,14 @@ def q_predict_next_close(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_bars(pred, ["next_day_close", "prediction"])
 
 
+def q_predict_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1-M5, F4, J1 with one model per supplier: symbols grow with the table.
+    Most days have one line, so the features are nearly collinear: predictions
+    are reported to the hundredth."""
+    pred = predict_next_close(proxy.supplier_bars(spark, sf_dir), ORD_AS_OF)
+    return report_bars(pred.withColumn("prediction", snap("prediction", 1e2)), ["next_day_close", "prediction"])
+
+
 def q_shift_right_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calendar-day shift + right join, with the day's close as the
     prediction."""
@@ -342,6 +350,7 @@ QUERIES: dict[str, Query] = {
     "next_day_close": q_next_day_close,
     "train_score_split": q_train_score_split,
     "predict_next_close": q_predict_next_close,
+    "predict_suppliers": q_predict_suppliers,
     "shift_right_join": q_shift_right_join,
     "combine": q_combine,
     "combine_fallback": q_combine_fallback,
@@ -384,6 +393,11 @@ FROM daily_l GROUP BY 1, 2""",
 {O.bars_select('nx', ', ' + O.snap('next_day_close') + ' AS next_day_close')}""",
         "train_score_split": O.with_(O.EV, O.EV_BARS, O.labelled(EV_AS_OF))
         + f"SELECT symbol, {O.iso_date('date')} AS date, t AS is_train, date <= DATE '{EV_AS_OF}' AS is_score FROM lab",
+        "predict_suppliers": O.with_(O.SUPP_BARS, O.predicted(ORD_AS_OF))
+        + O.bars_select(
+            "pred",
+            f", {O.snap('next_day_close')} AS next_day_close, {O.snap('prediction', 1e2)} AS prediction",
+        ),
         "predict_next_close": O.with_(O.EV, O.EV_BARS, O.predicted(EV_AS_OF))
         + O.bars_select(
             "pred",

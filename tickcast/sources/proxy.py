@@ -308,6 +308,27 @@ def segment_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(cust, orders.o_custkey == cust.c_custkey, "inner")
 
 
+def line_order_key() -> Column:
+    """One decimal in the order of a line's four keys (13, 3, 11 and 11
+    digits): a fixed-width buffer, which a hash aggregate can hold."""
+    key = F.col("l_orderkey").cast("decimal(38,0)")
+    for name, digits in (("l_linenumber", 3), ("l_partkey", 11), ("l_suppkey", 11)):
+        key = key * F.lit(Decimal(10**digits)) + F.col(name)
+    return key
+
+
+def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily bars per supplier from lineitem: the number of symbols grows
+    with the table."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        "l_quantity", "l_extendedprice", "l_shipdate",
+    )
+    rows = li.withColumn("symbol", F.concat(F.lit("P"), F.col("l_suppkey").cast("string")))
+    unit = F.col("l_extendedprice") / F.col("l_quantity")
+    return _bars(rows, F.to_date("l_shipdate"), unit, F.col("l_quantity"), line_order_key())
+
+
 def order_bars(spark: SparkSession, sf_dir: str, seg: DataFrame | None = None) -> DataFrame:
     """Daily bars per market segment from lineitem ⋈ orders ⋈ customer."""
     li = table(spark, sf_dir, "lineitem").select(
@@ -321,12 +342,7 @@ def order_bars(spark: SparkSession, sf_dir: str, seg: DataFrame | None = None) -
     # many splits the lineitem files have. Never a forced broadcast.
     rows = li.join(seg.hint("merge"), li.l_orderkey == seg.o_orderkey, "inner")
     unit = F.col("l_extendedprice") / F.col("l_quantity")
-    # one decimal in the order of the four keys (13, 3, 11 and 11 digits): a
-    # fixed-width buffer, which a hash aggregate can hold
-    key = F.col("l_orderkey").cast("decimal(38,0)")
-    for name, digits in (("l_linenumber", 3), ("l_partkey", 11), ("l_suppkey", 11)):
-        key = key * F.lit(Decimal(10**digits)) + F.col(name)
-    return _bars(rows, F.to_date("l_shipdate"), unit, F.col("l_quantity"), key)
+    return _bars(rows, F.to_date("l_shipdate"), unit, F.col("l_quantity"), line_order_key())
 
 
 def order_news(spark: SparkSession, sf_dir: str, seg: DataFrame | None = None) -> DataFrame:

@@ -69,10 +69,12 @@ def upsert_batches(path: str):
 
 
 def latest_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The rows of each key's last micro-batch: the batch id is reduced by
+    hash, then the rows that carry it are taken."""
     df = spark.read.parquet(path)
-    rest = [c for c in df.columns if c not in keys and c != "_batch"]
-    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("_batch")).alias("_r"))
-    return latest.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
+    last = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max("_batch").alias("_last"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys] + [F.col("_batch") == F.col("_last")]
+    return df.join(last, same, "left_semi").drop("_batch")
 
 
 # --------------------------------------------------------------------- T4/T5
