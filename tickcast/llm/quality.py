@@ -22,7 +22,7 @@ MAX_CLASS_DISTANCE = 0.30
 MAX_WORD_DISTANCE = 0.24  # plus WORD_NOISE / sqrt(words): short histograms scatter
 WORD_NOISE = 0.9
 MIN_REFERENCE = 30  # documents behind a language's own reference
-LANGS = 64  # languages with a reference of their own, the most frequent: it bounds the broadcast
+LANGS = 64  # languages whose references are broadcast, the most frequent: no other has a large share of the rows
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -121,6 +121,21 @@ def mean_shares(rows: DataFrame, keys: list[str]) -> DataFrame:
     return out
 
 
+def with_references(rows: DataFrame, own: DataFrame) -> DataFrame:
+    """``rows`` with the reference of their language in ``own``, or null.
+
+    The most frequent languages, with a reference or not, are broadcast; rows
+    of the others, none of which is frequent, meet theirs in a shuffle join.
+    """
+    counts = rows.filter("lang is not null").groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    top = [r[0] for r in counts.orderBy(F.desc("_n"), "lang").limit(LANGS + 1).collect()]
+    if len(top) <= LANGS:
+        return rows.join(F.broadcast(own), "lang", "left")
+    frequent = F.col("lang").isin(top[:LANGS])
+    near = rows.filter(F.col("lang").isNull() | frequent).join(F.broadcast(own.filter(frequent)), "lang", "left")
+    return near.unionByName(rows.filter(~frequent).join(own.filter(~frequent).hint("shuffle_hash"), "lang", "left"))
+
+
 def quality(docs: DataFrame) -> DataFrame:
     """The verdict on every row of ``docs`` (doc_id, text, lang).
 
@@ -137,10 +152,10 @@ def quality(docs: DataFrame) -> DataFrame:
     rows = stage(rows.drop("classes", "frequent"), "counted")
     steady = rows.filter(~F.col("base_failed") & (F.col("word_chars") >= MIN_CHARS) & (F.col("n_words") >= MIN_COMMON_WORDS))
     own = mean_shares(steady.filter("lang is not null"), ["lang"]).filter(F.col("n_classes") >= MIN_REFERENCE)
-    own = F.broadcast(own.orderBy(F.desc("n_classes"), "lang").limit(LANGS).select("lang", "ref_classes", "ref_frequent"))
+    own = stage(own.select("lang", "ref_classes", "ref_frequent"), "references")
     every = steady.select(F.lit("").alias("_all"), "classes_share", "frequent_share")
     whole = mean_shares(every, ["_all"]).select("_all", F.col("ref_classes").alias("all_classes"), F.col("ref_frequent").alias("all_frequent"))
-    judged = rows.join(own, "lang", "left").withColumn("_all", F.lit("")).join(F.broadcast(whole), "_all", "left")
+    judged = with_references(rows, own).withColumn("_all", F.lit("")).join(F.broadcast(whole), "_all", "left")
     judged = judged.withColumn("rc", F.coalesce("ref_classes", "all_classes")).withColumn("rf", F.coalesce("ref_frequent", "all_frequent"))
     judged = judged.withColumn("class_distance", F.when(F.col("word_chars") >= MIN_CHARS, distance("classes_share", "rc")))
     judged = judged.withColumn("word_distance", F.when(F.col("n_words") >= MIN_COMMON_WORDS, distance("frequent_share", "rf")))
@@ -148,6 +163,7 @@ def quality(docs: DataFrame) -> DataFrame:
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     out = stage(judged.select(*names, (~F.col("base_failed") & ~far).alias("kept"), "class_distance", "word_distance"), "quality")
     drop_stage(rows)
+    drop_stage(own)
     return out
 
 
