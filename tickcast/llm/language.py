@@ -6,9 +6,9 @@ kernel of two texts is the cosine of their sets. Landmark texts give a Nyström
 map, and one ridge regression for each language is fitted on it. Scoring
 multiplies a batch's bit maps by the landmarks' in one matrix product.
 
-Training takes at most TRAIN_PER_LANG labelled rows of a language (the
-smallest text hashes) and LANGS languages (the most frequent); every text is
-read whole.
+Training takes every language, with at most TRAIN_PER_LANG labelled rows of
+each (the smallest text hashes); every text is read whole. The regressions are
+fitted from sums over the rows, taken where the rows are.
 """
 
 from __future__ import annotations
@@ -21,12 +21,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickcast.llm.bpe import LETTER, classes
-from tickcast.llm.common import U64, arrow_settings, mix, stage
+from tickcast.llm.common import U64, arrow_settings, drop_stage, mix, stage
 
 BITS = 15
 TRAIN_PER_LANG = 200
 LANDMARKS_PER_LANG = 24
-LANGS = 64
+LANDMARKS = 1536  # of all languages together; where they don't suffice each language has fewer
+ROWS = 64  # rows of the sum of products in one row of a table
 RIDGE = 1e-2
 BATCH = 64  # texts in one matrix product
 
@@ -76,25 +77,22 @@ class LanguageModel:
         self.landmarks = landmarks
 
     @classmethod
-    def fit(cls, langs: list[str], packed: np.ndarray, ridge: float = RIDGE, per_lang: int = LANDMARKS_PER_LANG) -> LanguageModel:
-        names = sorted(set(langs))
-        y = np.array([[float(x == n) for n in names] for x in langs])
-        seen: dict[str, int] = {}
-        pick = []
-        for i, x in enumerate(langs):
-            if seen.setdefault(x, 0) < per_lang:
-                seen[x] += 1
-                pick.append(i)
-        marks = packed[pick]
-        maps = np.unpackbits(packed, axis=1).astype(np.float32)
-        low = maps[pick]
-        cross = cls.kernel(maps, low)
+    def fit(cls, sample: DataFrame, ridge: float = RIDGE) -> LanguageModel:
+        """The model of the packed maps in ``sample`` (lang, bits)."""
+        packed = landmark_maps(sample)
+        marks = np.array([np.frombuffer(x, np.uint8) for x in packed])
+        low = np.unpackbits(marks, axis=1).astype(np.float32)
         value, vector = np.linalg.eigh(cls.kernel(low, low))
         good = value > 1e-6 * value.max()
         root = vector[:, good] / np.sqrt(value[good])
-        phi = cross @ root
-        solved = np.linalg.solve(phi.T @ phi + ridge * len(phi) * np.eye(phi.shape[1]), phi.T @ y)
-        return cls(names, marks, low, root @ solved)
+        size = root.shape[1]
+        got = sample.mapInArrow(products(marks, root), "lang string, at int, n long, total binary")
+        got = got.groupBy("lang", "at").applyInArrow(summed, "lang string, at int, n long, total binary").collect()
+        gram = np.concatenate([np.frombuffer(r.total).reshape(-1, size) for r in sorted((r for r in got if r.lang is None), key=lambda r: r.at)])
+        own = sorted((r for r in got if r.lang is not None), key=lambda r: r.lang)
+        n = sum(r.n for r in own)
+        solved = np.linalg.solve(gram + ridge * n * np.eye(size), np.array([np.frombuffer(r.total) for r in own]).T)
+        return cls([r.lang for r in own], marks, low, root @ solved)
 
     @staticmethod
     def kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -118,24 +116,67 @@ class LanguageModel:
         return self.__dict__ | {"landmarks": None}  # workers unpack the bits
 
 
+def landmark_maps(sample: DataFrame) -> list[bytes]:
+    """LANDMARKS_PER_LANG packed maps of each language, fewer if they are
+    more than LANDMARKS; every language has one before any has two."""
+    first = sample.withColumn("i", F.row_number().over(W.partitionBy("lang").orderBy("bits"))).filter(F.col("i") <= LANDMARKS_PER_LANG)
+    got = first.orderBy("i", F.xxhash64("bits"), "lang").limit(LANDMARKS).collect()
+    return [bytes(r.bits) for r in sorted(got, key=lambda r: (r.lang, r.i))]
+
+
+def products(marks: np.ndarray, root: np.ndarray):
+    """mapInArrow: packed maps -> sums of phi'phi (lang null, ROWS rows each)
+    and of phi'y (one row a language) of the batches."""
+
+    def run(batches):
+        low = np.unpackbits(marks, axis=1).astype(np.float32)
+        gram, own = np.zeros((root.shape[1],) * 2), {}
+        for batch in batches:
+            langs, bits = batch.column("lang").to_pylist(), batch.column("bits").to_pylist()
+            for i in range(0, len(bits), BATCH):
+                maps = np.unpackbits(np.array([np.frombuffer(x, np.uint8) for x in bits[i : i + BATCH]]), axis=1).astype(np.float32)
+                phi = LanguageModel.kernel(maps, low) @ root
+                gram += phi.T @ phi
+                for lang, x in zip(langs[i : i + BATCH], phi):
+                    n, total = own.get(lang, (0, 0.0))
+                    own[lang] = n + 1, total + x
+        if own:
+            for i in range(0, len(gram), ROWS):
+                yield sums([(None, i, 0, gram[i : i + ROWS])])
+            rows = [(lang, 0, n, total) for lang, (n, total) in own.items()]
+            for i in range(0, len(rows), ROWS):
+                yield sums(rows[i : i + ROWS])
+
+    return run
+
+
+def sums(rows: list[tuple]) -> pa.RecordBatch:
+    lang, at, n, total = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(at, pa.int32()), pa.array(n, pa.int64()), pa.array([x.tobytes() for x in total], pa.binary())], names=["lang", "at", "n", "total"])
+
+
+def summed(table: pa.Table) -> pa.Table:
+    """applyInArrow: the sum of the rows of one (lang, at)."""
+    total = np.sum([np.frombuffer(x) for x in table.column("total").to_pylist()], axis=0)
+    row = (table.column("lang")[0].as_py(), table.column("at")[0].as_py(), sum(table.column("n").to_pylist()), total)
+    return pa.Table.from_batches([sums([row])])
+
+
 def train(docs: DataFrame) -> LanguageModel | None:
     """A model of the rows (text, lang) with both present, on the bounded sample."""
     rows = docs.filter("lang is not null and text is not null").select("lang", "text")
-    langs = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS).collect()]
-    if not langs:
-        return None
-    ids = rows.filter(F.col("lang").isin(langs) & F.col("text").rlike(r"\p{L}")).withColumn("h", F.xxhash64("text"))
+    ids = rows.filter(F.col("text").rlike(r"\p{L}")).withColumn("h", F.xxhash64("text"))
     edge = ids.select("lang", "h").distinct()
     for parts in (256, 32, 4, 1):  # a frequent language is cut down in parts, of 8 x TRAIN_PER_LANG rows at most after the first cut
         order = W.partitionBy("lang", F.pmod("h", F.lit(parts))).orderBy("h")
         edge = edge.withColumn("i", F.row_number().over(order)).filter(F.col("i") <= TRAIN_PER_LANG).drop("i")
-    cut = {r[0]: r[1] for r in edge.groupBy("lang").agg(F.max("h")).collect()}
-    if not cut:
-        return None
-    last = F.create_map(*[F.lit(x) for kv in cut.items() for x in kv])
-    sample = ids.filter(F.col("h") <= last[F.col("lang")]).select("lang", "text").dropDuplicates(["lang", "text"])
-    got = sorted((r[0], bytes(r[1])) for r in sample.mapInArrow(packed_spectra, "lang string, bits binary").collect())
-    return LanguageModel.fit([x for x, _ in got], np.array([np.frombuffer(b, np.uint8) for _, b in got]))
+    cut = stage(edge.groupBy("lang").agg(F.max("h").alias("last")), "cut")
+    sample = ids.join(F.broadcast(cut), "lang").filter(F.col("h") <= F.col("last")).select("lang", "text").dropDuplicates(["lang", "text"])
+    sample = stage(sample.mapInArrow(packed_spectra, "lang string, bits binary"), "sample")
+    model = LanguageModel.fit(sample) if sample.limit(1).count() else None
+    drop_stage(cut)
+    drop_stage(sample)
+    return model
 
 
 def predictions(model: LanguageModel | None):
