@@ -21,6 +21,9 @@ from tickcast.llm.suffix_dedup import remove_repeats
 #: SQL can't express these stages; tests/llm hold them against brute force.
 ORACLE_SQL = None
 
+#: Similarity of five-word shingle sets from which documents are near copies.
+NEAR_PERCENT = 80
+
 
 def measured(docs: DataFrame) -> DataFrame:
     if "n_chars" not in docs.columns:
@@ -40,7 +43,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest doc_id of each near-duplicate group."""
-    return keep_one(docs)
+    return keep_one(docs, NEAR_PERCENT)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

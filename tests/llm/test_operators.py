@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -224,6 +225,36 @@ def test_near_duplicates(spark, odd, none):
     assert hyperminhash.near_duplicates(none).count() == 0
 
 
+def test_pipeline_near_dedup_at_80_percent(spark):
+    """Pairs of similarity 0.80 to 0.85 go, exactly 0.80 too; those below stay."""
+    import corpus_pipeline as P
+    from conftest import SCHEMA
+
+    rnd = random.Random(7)
+    docs = []
+    for i in range(40):
+        words = [f"w{rnd.randrange(10**6)}" for _ in range(184 + rnd.randrange(4))]
+        docs += [(2 * i, " ".join(words)), (2 * i + 1, " ".join([*words[:-20], *(f"v{rnd.randrange(10**6)}" for _ in range(15 + i % 8))]))]
+    docs += [(100, "a b c d e f g h"), (101, "a b c d e f g h i")]  # 4 of 5 shingles
+    tops = {i: top for i, (_, top) in brute_groups(docs, 80).items()}
+    want = {i for i, top in tops.items() if i == top}
+    assert 101 not in want and len(want) < len({top for _, top in brute_groups(docs).values()}) and 1 < sum(2 * i + 1 in want for i in range(40)) < 39
+    rows = [(i, t, "en", "s", len(t), "r", "z") for i, t in docs]
+    assert {r.doc_id for r in P.near_dedup(spark, spark.createDataFrame(rows, SCHEMA), "").collect()} == want
+
+
+def test_cell_keeps_a_pair_at_the_threshold():
+    """4 of 5 shingles in registers of their own: nothing is left to chance."""
+    texts = ["a b c d e f g h", "a b c d e f g h i"]
+    data, off = hyperminhash.text_bytes(pa.array(texts))
+    fine = []
+    with np.errstate(over="ignore"):
+        for s in hyperminhash.shingle_sets(data, off):
+            fine.append(hyperminhash.sketch(hyperminhash.registers(s, hyperminhash.FINE)).tobytes())
+    table = pa.table({"rep": [0, 1], "n": [4, 5], "comp": [0, 1], "block": [0, 0], "key": [9, 9], "lo": [0, 0], "hi": [0, 0], "bands": [[9], [9]], "fine": pa.array(fine, pa.binary())})
+    assert hyperminhash.cell(80)(table).to_pydict() == {"a": [0], "b": [1]}
+
+
 def test_near_duplicates_crowded_buckets(spark, monkeypatch):
     """Hundreds of texts about the threshold apart: whole buckets of them."""
     monkeypatch.setattr(hyperminhash, "BLOCK", 32)

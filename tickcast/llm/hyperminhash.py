@@ -2,8 +2,8 @@
 
 A document's shingle hashes fall into 256 buckets by their first bits; of each
 bucket's smallest hash a register keeps the count of leading zeros and the ten
-bits after them. Bands of eight registers are the candidate keys (an empty
-register borrows the next one and its distance). Documents with equal shingle
+bits after them. Bands of eight registers, of six below 85 percent, are the
+candidate keys (an empty register borrows the next one and its distance). Documents with equal shingle
 sets form one class first. Pairs whose collision-corrected Jaccard estimate
 lies far below the threshold go; the rest is confirmed on full shingle sets.
 A sketch of the registers, two mantissa bits of each, travels with the band
@@ -31,6 +31,7 @@ from tickcast.llm.common import U64, arrow_settings, components, drop_stage, mix
 BITS = 8  # 256 registers
 MANTISSA = 10
 BAND = 8  # a pair of similarity 0.85 shares none of the 32 bands with probability 4e-5, of 0.9 with 2e-8
+NARROW = 6  # below 85 percent: a pair of similarity 0.8 shares none of the 42 bands with probability 3e-6
 CENTRES = 4
 FINE = 12  # 4096 registers where many classes share a bucket
 BLOCK = 256  # classes of a block in such a bucket
@@ -67,6 +68,7 @@ def bands(reg: np.ndarray, width: int = BAND) -> np.ndarray:
     lead = full[near % len(full)]
     dist = (lead - np.arange(m)) % m
     value = reg[lead].astype(U64) | (dist.astype(U64) << U64(16))
+    value = value[: m // width * width]  # registers that fill no band are left to the estimate
     key = np.arange(m // width, dtype=U64)
     for i in range(width):
         key = mix(key * U64(0x9E3779B97F4A7C15) + value[i::width])
@@ -146,7 +148,8 @@ def cell(percent: int):
             both = np.bitwise_count(y[:, 0] & x[0] & ((y[:, 1] ^ x[1]) | (y[:, 2] ^ x[2]))).sum(1, dtype=np.int64)
             # registers sample the pair's shingles without replacement: few shingles, little spread
             unseen = np.maximum(1 - used * (1 + percent / 100) / (n[i] + n[j]), 0)
-            j = j[one + 4 / 3 * both <= far * used + MARGIN * np.sqrt(far * (1 - far) * used * unseen + 4 / 9 * both)]
+            over = 300 * one + 400 * both - 3 * (100 - percent) * used  # in integers: a pair at the threshold may leave no spread
+            j = j[over <= 300 * MARGIN * np.sqrt(far * (1 - far) * used * unseen + 4 / 9 * both)]
             a.append(np.minimum(rep[i], rep[j]))
             b.append(np.maximum(rep[i], rep[j]))
         whole = lambda parts: pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64), pa.int64())
@@ -155,23 +158,28 @@ def cell(percent: int):
     return run
 
 
-def signatures(batches):
-    with np.errstate(over="ignore"):
-        for batch in batches:
-            data, off = text_bytes(batch.column("text"))
-            n, ident, regs, keys, marks = [], [], [], [], []
-            for s in shingle_sets(data, off):
-                n.append(len(s))
-                ident.append(np.array([mix(s).sum(), mix(s ^ U64(0xD1B54A32D192ED03)).sum(), len(s)], U64).tobytes() if len(s) else None)
-                reg = registers(s)
-                regs.append(reg.tobytes() if len(s) else None)
-                keys.append(bands(reg) if len(s) else np.zeros(0, np.int64))
-                marks.append(sketch(reg).tolist() if len(s) else None)
-            start = np.append(0, np.cumsum([len(x) for x in keys])).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ident, pa.binary()), pa.array(regs, pa.binary()), pa.ListArray.from_arrays(pa.array(start), pa.array(np.concatenate(keys))), pa.array(marks, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "ident", "regs", "bands", "sketch"],
-            )
+def signatures(width: int):
+    """mapInArrow: documents -> SIGNATURE, with bands of ``width`` registers."""
+
+    def run(batches):
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                data, off = text_bytes(batch.column("text"))
+                n, ident, regs, keys, marks = [], [], [], [], []
+                for s in shingle_sets(data, off):
+                    n.append(len(s))
+                    ident.append(np.array([mix(s).sum(), mix(s ^ U64(0xD1B54A32D192ED03)).sum(), len(s)], U64).tobytes() if len(s) else None)
+                    reg = registers(s)
+                    regs.append(reg.tobytes() if len(s) else None)
+                    keys.append(bands(reg, width) if len(s) else np.zeros(0, np.int64))
+                    marks.append(sketch(reg).tolist() if len(s) else None)
+                start = np.append(0, np.cumsum([len(x) for x in keys])).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ident, pa.binary()), pa.array(regs, pa.binary()), pa.ListArray.from_arrays(pa.array(start), pa.array(np.concatenate(keys))), pa.array(marks, pa.list_(pa.int64()))],
+                    names=["doc_id", "n_shingles", "ident", "regs", "bands", "sketch"],
+                )
+
+    return run
 
 
 SIGNATURE = "doc_id long, n_shingles long, ident binary, regs binary, bands array<long>, sketch array<long>"
@@ -260,7 +268,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     component is null and it is kept. Other columns are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sig = stage(docs.mapInArrow(signatures, SIGNATURE), "signatures")
+    sig = stage(docs.mapInArrow(signatures(BAND if percent >= 85 else NARROW), SIGNATURE), "signatures")
     known = sig.filter("ident is not null and doc_id is not null")
     classes = stage(known.groupBy("ident").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("regs").alias("regs"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
     near = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)  # noqa: E731  sizes bound the similarity
