@@ -11,7 +11,9 @@ entry is rewritten a logarithmic number of times.
 
 An entry whose span hash occurs earlier is repeated as a whole. Entries that
 share a block but not the span are read again from the text and compared
-window by window, so partial matches are found to the byte.
+window by window, so partial matches are found to the byte. Their windows are
+dealt by the window's hash, after each map task has kept the earliest of each,
+so neither a common block nor a common window gathers its texts in a task.
 
 Order by hash instead of by raw bytes keeps an entry at about 20 bytes; raw
 100-byte keys would outgrow the disk several times.
@@ -279,7 +281,7 @@ def merge_scan(buckets: int, seq: int, merged: tuple[int, ...], keep: bool):
             unsure = (np.bincount(group)[group] > 1) & (np.bincount(group, ages == seq)[group] > 0)
             for a in np.unique(ages[unsure]):
                 pick = firsts[unsure & (ages == a)]
-                out += [(k, p, s, np.int32(part).tobytes() + x) for k, p, s, x in split(pick, doc_bucket(pick["doc"], buckets), UNSURE, int(a))]
+                out += split(pick, doc_bucket(pick["doc"], buckets), UNSURE, int(a))
             if keep:
                 for a in (*merged, seq):
                     level = firsts[ages == a]
@@ -326,40 +328,76 @@ class SuffixIndex:
             drop_stage(x)
 
 
-def unsure_texts(min_len: int):
-    """mapInArrow: documents with unsure entries -> their spans' bytes by key part."""
+def first_windows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The earliest row of each window hash, and the runs of the others."""
+    rows = rows[np.lexsort((rows["start"], rows["doc"], rows["age"], rows["code"]))]
+    first = np.append(True, rows["code"][1:] != rows["code"][:-1]) if len(rows) else np.zeros(0, bool)
+    lead = np.maximum.accumulate(np.where(first, np.arange(len(rows)), 0))
+    same = (rows["doc"] == rows["doc"][lead]) & (rows["start"] == rows["start"][lead])
+    later = rows[~first & ~same]
+    runs = np.ones(len(later), RUN)
+    runs["doc"], runs["start"] = later["doc"], later["start"]
+    return rows[first], merge_runs(runs)
+
+
+def windows_of(doc: int, data: np.ndarray, own: np.ndarray, min_len: int) -> np.ndarray:
+    """The windows of the unsure entries ``own`` of one text."""
+    n = own["n"].astype(np.int64)
+    size = n + min_len - 1
+    begin = np.cumsum(size) - size
+    text = data[np.arange(size.sum()) + np.repeat(own["start"] - begin, size)]
+    inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    pos = np.repeat(begin, n) + inner
+    rows = np.empty(len(pos), WINDOW)
+    rows["code"] = span_hash(prefix_sums(text), pos, pos + min_len)
+    rows["doc"], rows["start"], rows["age"] = doc, np.repeat(own["start"], n) + inner, np.repeat(own["seq"], n)
+    return rows
+
+
+def unsure_windows(parts: int, buckets: int, min_len: int):
+    """mapInArrow: documents with unsure entries -> the earliest of their
+    windows by window hash, the repeats by document."""
+
+    def flush(held):
+        rows, runs = first_windows(np.concatenate(held))
+        part = ((rows["code"] >> U64(32)) * U64(parts) >> U64(32)).astype(np.int64)
+        yield from sent(split(rows, part, UNSURE, 0))
+        yield from sent(split(runs, doc_bucket(runs["doc"], buckets), REMOVED, 0))
 
     def run(batches):
-        for batch in batches:
-            data, off = text_bytes(batch.column("text"))
-            docs = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            out: dict[tuple[int, int], list] = {}
-            for i, loads in enumerate(batch.column("loads").to_pylist()):
-                for x in loads:
-                    for seq, part, start, n in np.frombuffer(x, UNSURE_ROW):
-                        s = int(off[i]) + int(start)
-                        out.setdefault((int(part), int(seq)), []).append((docs[i], start, n, data[s : s + int(n) + min_len - 1].tobytes()))
-            rows = []
-            for (part, seq), own in out.items():
-                head = np.array([x[:3] for x in own], RUN_TUPLE).tobytes()
-                rows.append((UNSURE, part, seq, np.int64(len(own)).tobytes() + head + b"".join(x[3] for x in own)))
-            yield from sent(iter(rows))
+        held, total = [], 0
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                data, off = text_bytes(batch.column("text"))
+                docs = batch.column("doc_id").to_numpy(zero_copy_only=False)
+                for i, loads in enumerate(batch.column("loads").to_pylist()):
+                    own = np.frombuffer(b"".join(loads), UNSURE_ROW)
+                    # an entry has few windows; a long text's entries are taken in pieces
+                    piece = np.cumsum(own["n"], dtype=np.int64) // HELD
+                    for some in np.split(own, np.flatnonzero(np.diff(piece)) + 1):
+                        rows = windows_of(docs[i], data[off[i] : off[i + 1]], some, min_len)
+                        held.append(rows)
+                        total += len(rows)
+                        if total >= HELD:
+                            yield from flush(held)
+                            held, total = [], 0
+            if held:
+                yield from flush(held)
 
     return run
 
 
-UNSURE_ROW = np.dtype([("seq", "<i4"), ("part", "<i4"), ("start", "<u4"), ("n", "<u4")])
-RUN_TUPLE = RUN
+WINDOW = np.dtype([("code", "<u8"), ("doc", "<i8"), ("start", "<u4"), ("age", "<i4")])
+UNSURE_ROW = np.dtype([("seq", "<i4"), ("start", "<u4"), ("n", "<u4")])
 
 
 def unsure_by_doc(pdf: pd.DataFrame) -> pd.DataFrame:
     """A document bucket's unsure entries, one row a document."""
     got = []
     for seq, payload in zip(pdf.seq, pdf.payload):
-        rows = unpack(payload[4:], ENTRY)
-        part = int(np.frombuffer(payload, "<i4", 1)[0])
+        rows = unpack(payload, ENTRY)
         own = np.empty(len(rows), UNSURE_ROW)
-        own["seq"], own["part"], own["start"], own["n"] = seq, part, rows["start"], rows["n"]
+        own["seq"], own["start"], own["n"] = seq, rows["start"], rows["n"]
         got.append((rows["doc"], own))
     docs, rows = (np.concatenate(x) for x in zip(*got))
     order = np.argsort(docs, kind="stable")
@@ -368,36 +406,14 @@ def unsure_by_doc(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"doc_id": docs[cuts], "loads": [[x.tobytes()] for x in np.split(rows, cuts[1:])]})
 
 
-def window_scan(buckets: int, min_len: int):
-    """applyInPandas over a key part: windows that occur in an earlier window."""
+def window_scan(buckets: int):
+    """applyInPandas over a part of the window hashes: windows that occur earlier."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        heads, ages, texts = [], [], []
-        for seq, payload in zip(pdf.seq, pdf.payload):
-            n = int(np.frombuffer(payload, "<i8", 1)[0])
-            head = np.frombuffer(payload, RUN, n, 8)
-            heads.append(head)
-            ages.append(np.full(n, seq))
-            texts.append(np.frombuffer(payload, np.uint8, offset=8 + n * RUN.itemsize))
-        head, age = np.concatenate(heads), np.concatenate(ages)
-        text = np.concatenate(texts)
-        with np.errstate(over="ignore"):
-            n = head["n"].astype(np.int64)
-            at = np.cumsum(n + min_len - 1) - (n + min_len - 1)
-            item = np.repeat(np.arange(len(head)), n)
-            inner = np.arange(len(item)) - np.repeat(np.cumsum(n) - n, n)
-            pos = at[item] + inner
-            sums = prefix_sums(text)
-            code = span_hash(sums, pos, pos + min_len)
-        rows = np.empty(len(item), RUN)
-        rows["doc"], rows["start"], rows["n"] = head["doc"][item], head["start"][item] + inner, 1
-        order = np.lexsort((rows["start"], rows["doc"], age[item], code))
-        code, rows = code[order], rows[order]
-        first = np.append(True, code[1:] != code[:-1])
-        lead = np.maximum.accumulate(np.where(first, np.arange(len(rows)), 0))
-        same = (rows["doc"] == rows["doc"][lead]) & (rows["start"] == rows["start"][lead])
-        runs = merge_runs(rows[~first & ~same])
-        return pd.DataFrame(list(split(runs, doc_bucket(runs["doc"], buckets), REMOVED, 0)), columns=["kind", "part", "seq", "payload"])
+        out = [tuple(x) for x in pdf[pdf.kind == REMOVED][["kind", "part", "seq", "payload"]].itertuples(index=False)]
+        _, runs = first_windows(gather(pdf[pdf.kind == UNSURE].payload, WINDOW))
+        out += split(runs, doc_bucket(runs["doc"], buckets), REMOVED, 0)
+        return pd.DataFrame(out, columns=["kind", "part", "seq", "payload"])
 
     return run
 
@@ -448,8 +464,8 @@ def repeated_spans(docs: DataFrame, min_len: int = 100, batches: int = 2) -> Dat
         found = found.unionByName(x)
     unsure = found.filter(F.col("kind") == UNSURE).groupBy("part").applyInPandas(unsure_by_doc, "doc_id long, loads array<binary>")
     loads = unsure.groupBy("doc_id").agg(F.flatten(F.collect_list("loads")).alias("loads"))
-    texts = docs.filter("length(text) > 0").join(loads.hint("shuffle_hash"), "doc_id").mapInArrow(unsure_texts(min_len), PACKED)
-    partial = stage(texts.groupBy("part").applyInPandas(window_scan(index.buckets, min_len), PACKED), "windows")
+    texts = docs.filter("length(text) > 0").join(loads.hint("shuffle_hash"), "doc_id").mapInArrow(unsure_windows(index.parts, index.buckets, min_len), PACKED)
+    partial = stage(texts.groupBy("part").applyInPandas(window_scan(index.buckets), PACKED), "windows")
     removed = found.filter(F.col("kind") == REMOVED).unionByName(partial)
     out = stage(removed.groupBy("part").applyInPandas(spans_by_doc(min_len), "doc_id long, spans binary"), "spans")
     index.drop()
