@@ -8,6 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from tickcast.llm.bpe import op5_bpe
+from tickcast.llm.collocations import OP11, op11_collocations
 from tickcast.llm.hyperminhash import op7_hyperminhash
 from tickcast.llm.language import op10_string_kernel
 from tickcast.llm.licenses import op9_license_scan
@@ -48,10 +49,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_skip_chain": op8_skip_chain,
         "op9_license_scan": op9_license_scan,
         "op10_string_kernel": op10_string_kernel,
+        "op11_collocations": op11_collocations,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = {"op6_norm_buckets": OP6}
+    sql = {"op6_norm_buckets": OP6, "op11_collocations": OP11}
     return sql | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
