@@ -12,6 +12,7 @@ from tickcast.llm.collocations import OP11, op11_collocations
 from tickcast.llm.hyperminhash import op7_hyperminhash
 from tickcast.llm.language import op10_string_kernel
 from tickcast.llm.licenses import op9_license_scan
+from tickcast.llm.order_minhash import op12_order_minhash
 from tickcast.llm.packing import op3_best_fit_packing
 from tickcast.llm.pii import op8_skip_chain
 from tickcast.llm.quality import op2_divergence_rules
@@ -50,6 +51,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_license_scan": op9_license_scan,
         "op10_string_kernel": op10_string_kernel,
         "op11_collocations": op11_collocations,
+        "op12_order_minhash": op12_order_minhash,
         "pipeline": corpus_pipeline.run,
     }
 
