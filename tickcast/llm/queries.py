@@ -7,6 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
+from tickcast.llm.alignment import op13_alignment
 from tickcast.llm.bpe import op5_bpe
 from tickcast.llm.collocations import OP11, op11_collocations
 from tickcast.llm.hyperminhash import op7_hyperminhash
@@ -52,6 +53,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_string_kernel": op10_string_kernel,
         "op11_collocations": op11_collocations,
         "op12_order_minhash": op12_order_minhash,
+        "op13_alignment": op13_alignment,
         "pipeline": corpus_pipeline.run,
     }
 
