@@ -27,17 +27,22 @@ from pyspark.sql import functions as F
 from tickcast.llm.common import U64, arrow_settings, byte_codes, drop_stage, mix, powers, stage, text_bytes
 
 MIN_COUNT = 10
-SAMPLE_SHARE = 8  # one document of so many is in the sample
-SAMPLE_SUPPORT = 2  # count in the sample from which a phrase is proposed
+SAMPLE_SHARE = 16  # one document of so many is in the sample
+SAMPLE_SUPPORT = 3  # count in the sample from which a phrase is proposed
 FILTER_BITS = 24  # 2 MB; fuller filters let more phrases be counted, counts stay exact
 PER_LANG = 2000
 SALTS = 32
-CHUNK = 12 << 20  # bytes of text counted at once in a task
+CHUNK = 3 << 20  # words counted at once in a task
+PART_ROWS = 128  # texts cut into words at once
 SENT_ROWS = 1 << 16
 
 BLANK = pa.scalar(" ", pa.large_string())
 
-COUNTS = "lang string, phrase string, len int, c long"
+END = pa.scalar("\n", pa.large_string())  # in no phrase
+
+#: A phrase and its language in one column; a line end parts them. The empty
+#: phrase stands for all words of a language.
+COUNTS = "gram string, c long"
 
 
 def byte_classes() -> np.ndarray:
@@ -66,17 +71,30 @@ def words_of(data: np.ndarray, off: np.ndarray) -> Words:
     begin[1:] &= ~inside[:-1]
     heads = off[:-1][np.diff(off) > 0]
     begin[heads] = inside[heads]
+    stop = inside.copy()
+    stop[:-1] &= ~inside[1:]
+    tails = off[1:][np.diff(off) > 0] - 1
+    stop[tails] = inside[tails]
     start = np.flatnonzero(begin)
-    rank = np.cumsum(begin)[inside] - 1
-    size = np.bincount(rank, minlength=len(start))
+    bounds = np.append(0, np.cumsum(np.flatnonzero(stop) + 1 - start)).astype(np.int64)
     row = np.searchsorted(off, start, "right") - 1
-    ends = np.cumsum(kind == 2)[start] if len(start) else np.zeros(0, np.int64)
+    breaks = np.searchsorted(np.flatnonzero(kind == 2), start)
     follows = np.zeros(len(start), bool)
-    follows[1:] = (row[1:] == row[:-1]) & (ends[1:] == ends[:-1])
-    bounds = np.append(0, np.cumsum(size)).astype(np.int64)
-    text = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data[inside]))])
+    follows[1:] = (row[1:] == row[:-1]) & (breaks[1:] == breaks[:-1])
+    text = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(bounds), pa.py_buffer(data[inside])])
     named = text.dictionary_encode()
-    return Words(named.dictionary, named.indices.to_numpy(zero_copy_only=False).astype(np.int64), row, follows)
+    return Words(named.dictionary, named.indices.to_numpy(zero_copy_only=False), row, follows)
+
+
+def joined(parts: list[Words]) -> Words:
+    """The words of several texts' parts under one dictionary; rows number on."""
+    coded = pa.chunked_array([pa.DictionaryArray.from_arrays(pa.array(w.code), w.names) for w in parts]).unify_dictionaries()
+    return Words(
+        coded.chunk(0).dictionary,
+        np.concatenate([x.indices.to_numpy(zero_copy_only=False) for x in coded.chunks]),
+        np.concatenate([w.row for w in parts]),
+        np.concatenate([w.follows for w in parts]),
+    )
 
 
 def name_hashes(names: pa.Array) -> np.ndarray:
@@ -118,36 +136,34 @@ def distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return named.indices.to_numpy(zero_copy_only=False).astype(np.int64), named.dictionary.to_numpy(zero_copy_only=False)
 
 
-def count_chunk(texts: list[pa.Array], langs: list[pa.Array], level: int, now: Filter | None, before: Filter | None):
-    """(lang, phrase, len, c) columns of a chunk.
+def count_chunk(w: Words, langs: list[pa.Array], level: int, now: Filter | None, before: Filter | None):
+    """(gram, c) columns of a chunk.
 
     Level 1 counts words, level 2 pairs of words in ``now``, level 3 all of
     the border: words, pairs of words in ``now``, triples of pairs in ``now``.
     With ``before`` only what that filter did not let in is counted.
     """
-    column = pa.concat_arrays([x.cast(pa.large_string()) for x in texts])
     lang = pa.concat_arrays([x.cast(pa.string()) for x in langs]).dictionary_encode()
     lang_names, lang_code = lang.dictionary, lang.indices.to_numpy(zero_copy_only=False)
-    w = words_of(*text_bytes(column))
     if not len(w.code):
         return
     v = len(w.names)
     word, pairs_of = distinct(lang_code[w.row].astype(np.int64) * v + w.code)
     of_lang, of_name = np.divmod(pairs_of, v)
-    names = w.names.cast(pa.large_string())
+    names, wide = w.names.cast(pa.large_string()), lang_names.cast(pa.large_string())
 
     def column_of(place: np.ndarray) -> pa.Array:
         return names.take(pa.array(of_name[place]))
 
-    def out(first: np.ndarray, phrase: pa.Array, size: int, c: np.ndarray):
-        return lang_names.take(pa.array(of_lang[first])), phrase, size, c
+    def out(first: np.ndarray, phrase: pa.Array, c: np.ndarray):
+        return pc.binary_join_element_wise(phrase, wide.take(pa.array(of_lang[first])), END), c
 
     count = np.bincount(word, minlength=len(pairs_of))
     if before is None and level != 2:
         every = np.arange(len(pairs_of))
-        yield out(every, column_of(every), 1, count)
+        yield out(every, column_of(every), count)
         per = np.bincount(of_lang, count, len(lang_names)).astype(np.int64)
-        yield lang_names, pa.array([""] * len(lang_names), pa.large_string()), 0, per
+        yield pc.binary_join_element_wise(pa.scalar("", pa.large_string()), wide, END), per
     if level == 1:
         return
     hashed = mix(name_hashes(w.names)[of_name] ^ np.array([lang_hash(x) for x in lang_names.to_pylist()], U64)[of_lang])
@@ -162,7 +178,7 @@ def count_chunk(texts: list[pa.Array], langs: list[pa.Array], level: int, now: F
     new = np.flatnonzero(~(old[one] & old[two]))
     c = np.bincount(pair, minlength=len(pair_key))
     if len(new):
-        yield out(one[new], pc.binary_join_element_wise(column_of(one[new]), column_of(two[new]), BLANK), 2, c[new])
+        yield out(one[new], pc.binary_join_element_wise(column_of(one[new]), column_of(two[new]), BLANK), c[new])
     if level == 2:
         return
     h = pair_hash(hashed[one], hashed[two])
@@ -174,33 +190,35 @@ def count_chunk(texts: list[pa.Array], langs: list[pa.Array], level: int, now: F
         triple, key = distinct(pair[chain] * n + two[pair[chain + 1]])
         head, last = np.divmod(key, n)
         phrase = pc.binary_join_element_wise(column_of(one[head]), column_of(two[head]), column_of(last), BLANK)
-        yield out(one[head], phrase, 3, np.bincount(triple, minlength=len(key)))
+        yield out(one[head], phrase, np.bincount(triple, minlength=len(key)))
 
 
 def gram_counts(level: int, now, before):
     """mapInArrow: (lang, text) -> COUNTS, summed within chunks of text."""
 
-    def sent(texts, langs):
+    def sent(words, langs):
         with np.errstate(over="ignore"):
-            for lang, phrase, size, c in count_chunk(texts, langs, level, now and now.value, before and before.value):
+            for gram, c in count_chunk(joined(words), langs, level, now and now.value, before and before.value):
                 for s in range(0, len(c), SENT_ROWS):
                     part = slice(s, s + SENT_ROWS)
-                    yield pa.RecordBatch.from_arrays(
-                        [lang[part], phrase[part].cast(pa.string()), pa.array(np.full(len(c[part]), size, np.int32)), pa.array(c[part].astype(np.int64))],
-                        names=["lang", "phrase", "len", "c"],
-                    )
+                    yield pa.RecordBatch.from_arrays([gram[part].cast(pa.string()), pa.array(c[part].astype(np.int64))], names=["gram", "c"])
 
     def run(batches):
-        texts, langs, held = [], [], 0
+        words, langs, held, rows = [], [], 0, 0
         for batch in batches:
-            texts.append(batch.column("text"))
-            langs.append(batch.column("lang"))
-            held += batch.column("text").nbytes
-            if held >= CHUNK:
-                yield from sent(texts, langs)
-                texts, langs, held = [], [], 0
-        if texts:
-            yield from sent(texts, langs)
+            for s in range(0, batch.num_rows, PART_ROWS):
+                part = batch.slice(s, PART_ROWS)
+                w = words_of(*text_bytes(part.column("text")))
+                w.row += rows
+                rows += part.num_rows
+                words.append(w)
+                langs.append(part.column("lang"))
+                held += len(w.code)
+                if held >= CHUNK:
+                    yield from sent(words, langs)
+                    words, langs, held, rows = [], [], 0, 0
+        if words:
+            yield from sent(words, langs)
 
     return run
 
@@ -254,9 +272,17 @@ def with_phrases(phrases: DataFrame, known: Filter) -> Filter:
     return Filter(known.bits, words)
 
 
+def named(grams: DataFrame) -> DataFrame:
+    """(lang, phrase, len, c); words of a language have len 0."""
+    phrase = F.substring_index("gram", "\n", 1)
+    size = F.when(phrase == "", 0).otherwise(F.size(F.split(phrase, " ")))
+    return grams.select(F.expr("substr(gram, instr(gram, '\n') + 1)").alias("lang"), phrase.alias("phrase"), size.alias("len"), "c")
+
+
 def frequent_phrases(docs: DataFrame, min_count: int, share: int, support: int, bits: int) -> DataFrame:
-    """COUNTS of all phrases of one to three words that occur ``min_count``
-    times or more in a language, and rows of len 0: the words of a language."""
+    """(lang, phrase, len, c) of all phrases of one to three words that occur
+    ``min_count`` times or more in a language, and rows of len 0: the words of
+    a language (of ``min_count`` words or more; others have no phrases)."""
     spark = docs.sparkSession
     cast = spark.sparkContext.broadcast
     texts = docs.filter("length(text) > 0").select(F.coalesce("lang", F.lit("und")).alias("lang"), "text", F.xxhash64("doc_id", "text").alias("_h"))
@@ -264,21 +290,20 @@ def frequent_phrases(docs: DataFrame, min_count: int, share: int, support: int,
     texts = texts.select("lang", "text")
 
     def counted(rows: DataFrame, level: int, now=None, before=None) -> DataFrame:
-        got = rows.mapInArrow(gram_counts(level, now, before), COUNTS)
-        return got.groupBy("lang", "phrase", "len").agg(F.sum("c").alias("c"))
+        # chunks are summed already: the rows are dealt first, so that they are hashed once
+        got = rows.mapInArrow(gram_counts(level, now, before), COUNTS).repartition("gram")
+        return named(got.groupBy("gram").agg(F.sum("c").alias("c")).filter(F.col("c") >= (min_count if level == 3 else support)))
 
     # proposals, level by level
-    known = with_phrases(counted(sample, 1).filter((F.col("c") >= support) & (F.col("len") == 1)), Filter(bits))
-    held = cast(known)
-    known = with_phrases(counted(sample, 2, held).filter(F.col("c") >= support), known)
+    known = with_phrases(counted(sample, 1).filter("len = 1"), Filter(bits))
+    known = with_phrases(counted(sample, 2, cast(known)), known)
 
     # proposals and border, then what border failures let in, until closed
-    frequent = (F.col("c") >= min_count) | (F.col("len") == 0)
     found, before = [], None
     while True:
         now = cast(known)
-        found.append(stage(counted(texts, 3, now, before).filter(frequent), "phrases"))
-        failed = stage(found[-1].filter(F.col("len").isin(1, 2)).mapInArrow(unknown(now), COUNTS), "border")
+        found.append(stage(counted(texts, 3, now, before), "phrases"))
+        failed = stage(found[-1].filter(F.col("len").isin(1, 2)).mapInArrow(unknown(now), "lang string, phrase string, len int, c long"), "border")
         if not failed.limit(1).count():
             break
         known, before = with_phrases(failed, known), now
