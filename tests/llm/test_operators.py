@@ -357,3 +357,53 @@ def test_pipeline(spark, odd, none):
             assert not ids & {1, 2, 3, 4, 5, 9} and {0, 6, 7, 8, 12, 13} <= ids  # rejected; copies; kept
             assert "<EMAIL>" in next(r.text for r in rows if r.doc_id == 12)
         assert {r.doc_id for r in P.STAGES[-1][1](spark, docs, "").collect()} == ids
+
+
+def thue_morse(n, swap=0):
+    return "".join("ab"[(bin(i).count("1") + swap) & 1] for i in range(n))
+
+
+@pytest.mark.parametrize("size", [1024, 2048])
+def test_words_that_cancel_out_in_a_polynomial_hash(spark, size):
+    """Pairs of words that a hash modulo 2**64 with any odd base takes for one."""
+    from tokenizers import Tokenizer
+
+    texts = [thue_morse(size), thue_morse(size, 1)]
+    lib, own = Tokenizer.from_file(bpe.vocabulary()), bpe.Encoder(bpe.vocabulary())
+    for some in (texts, texts[::-1], texts[:1]):  # one call, then from the words met before
+        assert [x.tolist() for x in own.encode(some)] == [lib.encode(t, add_special_tokens=False).ids for t in some]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.component_id for r in hyperminhash.near_duplicates(df).orderBy("doc_id").collect()] == [0, 1]
+
+
+def test_words_of_one_hash_are_told_apart(monkeypatch):
+    """Even if every hash were equal, words are compared by their bytes."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(bpe, "mix", lambda x: x * 0)
+    lib, own = Tokenizer.from_file(bpe.vocabulary()), bpe.Encoder(bpe.vocabulary())
+    for t in ("one two three four", "four three six", "two two seven"):
+        assert own.encode([t])[0].tolist() == lib.encode(t, add_special_tokens=False).ids
+
+
+def test_exact_sets():
+    texts = ["a b c d e f", "A b c d e f a b c d e", "one two", "two one", "", "a b c d e", "a b c d", "x" * 300 + " y z"]
+    text, shingle = hyperminhash.exact_sets([pa.array(texts[:4]), pa.array(texts[4:])])
+    got = [set(shingle[text == i].tolist()) for i in range(len(texts))]
+    sets = []
+    for t in texts:
+        w = t.lower().split()
+        sets.append({tuple(w[j : j + 5]) for j in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set()))
+    for i, x in enumerate(sets):
+        assert len(got[i]) == len(x)
+        for j, y in enumerate(sets):
+            assert len(got[i] & got[j]) == len(x & y)
+
+
+def test_hub_is_dealt_to_several_keys(spark, monkeypatch):
+    monkeypatch.setattr(hyperminhash, "HUB", 4)
+    base = [f"w{i}" for i in range(300)]
+    docs = [(0, " ".join(base))] + [(i, " ".join(base[: 290 + i % 9] + [f"v{i}"])) for i in range(1, 60)]
+    with arrow_settings(spark):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in hyperminhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == brute_groups(docs)

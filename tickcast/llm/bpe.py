@@ -8,7 +8,7 @@ words without a mergeable pair leave the array.
 
 Results equal the tokenizers library on the same file with
 add_special_tokens=False; a special token's text becomes its id, as there.
-Equal words are recognised by a 64-bit hash.
+Equal words are recognised by their bytes; hashes only find the words met before.
 """
 
 from __future__ import annotations
@@ -23,11 +23,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tickcast.llm.common import U64, arrow_settings, byte_codes, mix, powers, stage
+from tickcast.llm.common import U64, arrow_settings, byte_codes, mix, powers, stage, text_bytes
 
 LETTER, NUMBER, SPACE = 1, 2, 3
 LONG_WORD = 1024  # bytes; longer words are merged one by one with a heap
 CACHED_WORDS = 1 << 19
+CACHED_BYTES = 1 << 24
 CHUNK = 1 << 20  # characters encoded at once
 NO_RANK = np.int32(2**31 - 1)
 WORD_BASE = 0x2545F4914F6CDD1D
@@ -86,6 +87,11 @@ def word_starts(cps: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start[:n])
 
 
+def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Places start, start + 1, ... of stretches of the given sizes."""
+    return np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
+
+
 class Encoder:
     """Encodes texts with a byte-level BPE vocabulary file."""
 
@@ -115,6 +121,9 @@ class Encoder:
         self.known_at = np.zeros(0, np.int64)
         self.known_len = np.zeros(0, np.int64)
         self.known_ids = np.zeros(0, np.int32)
+        self.known_data = np.zeros(0, np.uint8)  # their bytes
+        self.known_byte = np.zeros(0, np.int64)
+        self.known_size = np.zeros(0, np.int64)
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = (left.astype(np.int64) << 32) | right
@@ -229,35 +238,49 @@ class Encoder:
             width = 1 + (cps >= 0x80).astype(np.int8) + (cps >= 0x800) + (cps >= 0x10000)
             at = (np.cumsum(width, dtype=np.int64) - width)[start]
         size = np.diff(np.append(at, len(data)))
-        with np.errstate(over="ignore"):
-            inner = np.arange(len(data)) - np.repeat(at, size)
-            code = byte_codes(11)[data] * powers(WORD_BASE, int(size.max()))[inner]
-            code = mix(np.add.reduceat(code, at) + size.astype(U64))
-        uniq, first, word = np.unique(code, return_index=True, return_inverse=True)
-        u_at, u_len, ids = self.lookup(uniq, data, at[first], size[first])
+        bounds = np.append(at, len(data)).astype(np.int64)
+        named = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(bounds), pa.py_buffer(data)]).dictionary_encode()
+        word = named.indices.to_numpy(zero_copy_only=False)
+        u_at, u_len, ids = self.lookup(*text_bytes(named.dictionary))
         take, count = u_at[word], u_len[word]
         inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         flat = ids[np.repeat(take, count) + inner]
         bounds = np.append(0, np.cumsum(count))[np.searchsorted(start, np.append(0, ends))]
         return flat, np.diff(bounds)
 
-    def lookup(self, uniq, data, at, size):
-        """(position, count, ids) of words by hash, encoding the new ones."""
-        where = np.searchsorted(self.known, uniq)
+    def lookup(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(position, count, ids) of distinct words, encoding the new ones.
+
+        Known words are found by hash and compared by their bytes; a word whose
+        hash another one has is encoded anew each time.
+        """
+        at, size = off[:-1], np.diff(off)
+        with np.errstate(over="ignore"):
+            code = mix(np.add.reduceat(byte_codes(11)[data] * powers(WORD_BASE, int(size.max()))[spread(np.zeros(len(at), np.int64), size)], at) + size.astype(U64))
+        where = np.searchsorted(self.known, code)
         where[where == len(self.known)] = 0
-        have = self.known[where] == uniq if len(self.known) else np.zeros(len(uniq), bool)
+        have = self.known[where] == code if len(self.known) else np.zeros(len(code), bool)
+        have[have] = self.known_size[where[have]] == size[have]
+        if have.any():
+            own, other, some = at[have], self.known_byte[where[have]], size[have]
+            equal = data[spread(own, some)] == self.known_data[spread(other, some)]
+            have[have] = np.logical_and.reduceat(equal, np.cumsum(some) - some)
         new = np.flatnonzero(~have)
         ids, count = self.encode_unique(data, at[new], size[new]) if len(new) else (np.zeros(0, np.int32), np.zeros(0, np.int64))
         base = len(self.known_ids)
         all_ids = np.concatenate([self.known_ids, ids])
-        u_at, u_len = np.empty(len(uniq), np.int64), np.empty(len(uniq), np.int64)
+        u_at, u_len = np.empty(len(code), np.int64), np.empty(len(code), np.int64)
         u_at[have], u_len[have] = self.known_at[where[have]], self.known_len[where[have]]
         u_at[new], u_len[new] = base + np.cumsum(count) - count, count
-        if len(self.known) + len(new) <= CACHED_WORDS:
-            order = np.argsort(np.concatenate([self.known, uniq[new]]), kind="stable")
-            self.known = np.concatenate([self.known, uniq[new]])[order]
-            self.known_at = np.concatenate([self.known_at, u_at[new]])[order]
-            self.known_len = np.concatenate([self.known_len, u_len[new]])[order]
+        if len(self.known) + len(new) <= CACHED_WORDS and len(self.known_data) + size[new].sum() <= CACHED_BYTES:
+            first = new[np.unique(code[new], return_index=True)[1]]  # one word a hash
+            first = first[~np.isin(code[first], self.known)]
+            byte = len(self.known_data) + np.cumsum(size[first]) - size[first]
+            order = np.argsort(np.concatenate([self.known, code[first]]), kind="stable")
+            for name, more in (("known", code), ("known_at", u_at), ("known_len", u_len), ("known_size", size)):
+                setattr(self, name, np.concatenate([getattr(self, name), more[first]])[order])
+            self.known_byte = np.concatenate([self.known_byte, byte])[order]
+            self.known_data = np.concatenate([self.known_data, data[spread(at[first], size[first])]])
             self.known_ids = all_ids
         return u_at, u_len, all_ids
 

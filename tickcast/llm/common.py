@@ -7,6 +7,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -182,13 +183,31 @@ def word_hashes(data: np.ndarray, off: np.ndarray, lower: bool = True):
     tails = off[1:][np.diff(off) > 0] - 1
     stop[tails] = inside[tails]
     end = np.flatnonzero(stop) + 1
-    size = end - start
-    at = np.flatnonzero(inside)
-    inner = at - np.repeat(start, size)
+    return byte_hashes(data, start, end - start), np.searchsorted(off, start, "right") - 1, start, end
+
+
+LANES = 8  # words of up to so many 8-byte lanes are hashed in rounds, longer ones one by one
+
+
+def byte_hashes(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64-bit hashes of stretches of ``data``: eight bytes at a time go through
+    a full mixing step, so that no regular pattern of bytes cancels out."""
+    pad = np.concatenate([data, np.zeros(8, np.uint8)])
+    lanes = np.lib.stride_tricks.sliding_window_view(pad, 8)
+    out = mix(size.astype(U64) + U64(0x9E3779B97F4A7C15))
+    todo = np.flatnonzero(size <= 8 * LANES)
     with np.errstate(over="ignore"):
-        code = byte_codes(5)[data[at]] * powers(0x9FB21C651E98DF25, int(size.max()))[inner]
-        h = mix(np.add.reduceat(code, np.cumsum(size) - size) + size.astype(U64))
-    return h, np.searchsorted(off, start, "right") - 1, start, end
+        for k in range(LANES):
+            todo = todo[size[todo] > 8 * k]
+            if not len(todo):
+                break
+            lane = np.ascontiguousarray(lanes[start[todo] + 8 * k]).view("<u8").ravel()
+            left = np.minimum(size[todo] - 8 * k, 8).astype(U64)
+            lane &= U64(0xFFFFFFFFFFFFFFFF) >> (U64(64) - U64(8) * left)
+            out[todo] = mix((out[todo] ^ lane) * U64(0xC2B2AE3D27D4EB4F) + U64(k + 1))
+    for i in np.flatnonzero(size > 8 * LANES):
+        out[i] = xxhash.xxh3_64_intdigest(data[start[i] : start[i] + size[i]].tobytes(), 29)
+    return out
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray, k: int = 5) -> list[np.ndarray]:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickcast.llm.common import U64, arrow_settings, components, drop_stage, mix, shingle_sets, stage, text_bytes
+from tickcast.llm.common import U64, arrow_settings, components, drop_stage, mix, shingle_sets, stage, text_bytes, word_hashes
 
 BITS = 8  # 256 registers
 MANTISSA = 10
@@ -158,31 +158,53 @@ def cell(percent: int):
     return run
 
 
-def signatures(width: int):
-    """mapInArrow: documents -> SIGNATURE, with bands of ``width`` registers."""
+def signatures(batches):
+    """mapInArrow: documents -> SIGNATURE."""
+    with np.errstate(over="ignore"):
+        for batch in batches:
+            data, off = text_bytes(batch.column("text"))
+            n, ident, regs = [], [], []
+            for s in shingle_sets(data, off):
+                n.append(len(s))
+                ident.append(np.array([mix(s).sum(), mix(s ^ U64(0xD1B54A32D192ED03)).sum(), len(s)], U64).tobytes() if len(s) else None)
+                regs.append(registers(s).tobytes() if len(s) else None)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ident, pa.binary()), pa.array(regs, pa.binary())], names=["doc_id", "n_shingles", "ident", "regs"])
+
+
+SIGNATURE = "doc_id long, n_shingles long, ident binary, regs binary"
+
+
+def band_keys(width: int):
+    """mapInArrow: (rep, n, regs) -> (rep, n, key), a row for each band."""
 
     def run(batches):
         with np.errstate(over="ignore"):
             for batch in batches:
-                data, off = text_bytes(batch.column("text"))
-                n, ident, regs, keys, marks = [], [], [], [], []
-                for s in shingle_sets(data, off):
-                    n.append(len(s))
-                    ident.append(np.array([mix(s).sum(), mix(s ^ U64(0xD1B54A32D192ED03)).sum(), len(s)], U64).tobytes() if len(s) else None)
-                    reg = registers(s)
-                    regs.append(reg.tobytes() if len(s) else None)
-                    keys.append(bands(reg, width) if len(s) else np.zeros(0, np.int64))
-                    marks.append(sketch(reg).tolist() if len(s) else None)
-                start = np.append(0, np.cumsum([len(x) for x in keys])).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ident, pa.binary()), pa.array(regs, pa.binary()), pa.ListArray.from_arrays(pa.array(start), pa.array(np.concatenate(keys))), pa.array(marks, pa.list_(pa.int64()))],
-                    names=["doc_id", "n_shingles", "ident", "regs", "bands", "sketch"],
-                )
+                keys = [bands(np.frombuffer(x, np.uint16), width) for x in batch.column("regs").to_pylist()]
+                if keys:
+                    at = pa.array(np.repeat(np.arange(len(keys)), len(keys[0])))
+                    yield pa.RecordBatch.from_arrays([batch.column("rep").take(at), batch.column("n").take(at), pa.array(np.concatenate(keys))], names=["rep", "n", "key"])
 
     return run
 
 
-SIGNATURE = "doc_id long, n_shingles long, ident binary, regs binary, bands array<long>, sketch array<long>"
+def band_lists(width: int):
+    """mapInArrow: (rep, regs) -> (rep, bands)."""
+
+    def run(batches):
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                keys = [bands(np.frombuffer(x, np.uint16), width).tolist() for x in batch.column("regs").to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(keys, pa.list_(pa.int64()))], names=["rep", "bands"])
+
+    return run
+
+
+def sketches(batches):
+    """mapInArrow: (rep, regs) -> (rep, sketch)."""
+    for batch in batches:
+        marks = [sketch(np.frombuffer(x, np.uint16)).tolist() for x in batch.column("regs").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(marks, pa.list_(pa.int64()))], names=["rep", "sketch"])
 
 
 def likely(percent: int):
@@ -204,35 +226,74 @@ def likely(percent: int):
     return run
 
 
+def exact_sets(texts: list[pa.Array], k: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """(text, shingle) of the distinct shingles of some texts' columns, text by
+    text; shingles are numbered by their words, not by a hash of them."""
+    column = pa.concat_arrays([x.cast(pa.large_string()) for x in texts])
+    data, off = text_bytes(column)
+    _, row, start, end = word_hashes(data, off)
+    if not len(start):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    low = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
+    size = end - start
+    bounds = np.append(0, np.cumsum(size)).astype(np.int64)
+    inner = np.arange(bounds[-1]) + np.repeat(start - bounds[:-1], size)
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(bounds), pa.py_buffer(low[inner])])
+    word = words.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    count = np.bincount(row, minlength=len(column))
+    last = np.repeat(np.cumsum(count), count)  # end of each word's text
+    width = np.minimum(k, np.repeat(count, count))  # fewer words: the whole sequence
+    head = np.flatnonzero(np.arange(len(word)) + width <= last)
+    # one word more at a time; a missing one is number 0, so lengths differ too
+    code = word[head] + 1
+    for i in range(1, k):
+        more = np.where(i < width[head], word[np.minimum(head + i, len(word) - 1)] + 1, 0)
+        code = np.unique(code * (len(word) + 1) + more, return_inverse=True)[1].astype(np.int64)
+    pair = np.unique(row[head].astype(np.int64) * (len(word) + 1) + code)
+    return np.divmod(pair, len(word) + 1)
+
+
 def confirmed(percent: int):
     """mapInArrow: pairs with texts -> the pairs whose shingle sets are similar."""
 
     def run(batches):
         for batch in batches:
-            sets = {}
-            for side in ("ta", "tb"):
-                data, off = text_bytes(batch.column(side))
-                sets[side] = shingle_sets(data, off)
-            keep = []
-            for x, y in zip(sets["ta"], sets["tb"]):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            pick = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(pick), batch.column("b").filter(pick)], names=["a", "b"])
+            n = batch.num_rows
+            text, shingle = exact_sets([batch.column("ta"), batch.column("tb")])
+            size = np.bincount(text, minlength=2 * n)
+            left = (text % max(n, 1)) * (shingle.max(initial=0) + 1) + shingle
+            _, times = np.unique(left, return_counts=True)
+            both = np.bincount((np.unique(left)[times == 2] // (shingle.max(initial=0) + 1)), minlength=n)
+            keep = pa.array(100 * both >= percent * (size[:n] + size[n:] - both), pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
     return run
 
 
+HUB = 1024  # pairs of one document that go into one join key
+
+
+def with_both(pairs: DataFrame, rows: DataFrame, names: list[str]) -> DataFrame:
+    """Pairs with the columns ``names`` of their documents: x of ``rows`` is xa
+    and xb. A document with many pairs as ``a`` is copied to several join keys,
+    HUB pairs each, so no task holds all pairs of a hub."""
+    side = lambda x: rows.select(F.col("rep").alias(x), *(F.col(n).alias(f"{n}{x}") for n in names))
+    hubs = pairs.groupBy(F.col("a").alias("hub")).agg(F.count(F.lit(1)).alias("of")).filter(F.col("of") > HUB).select("hub", F.ceil(F.col("of") / HUB).alias("keys"))
+    dealt = pairs.join(hubs, F.col("a") == F.col("hub"), "left").drop("hub")
+    few = dealt.filter("keys is null").drop("keys").join(side("b"), "b").join(side("a"), "a")
+    many = dealt.filter("keys is not null").withColumn("salt", F.pmod(F.xxhash64("b"), "keys")).drop("keys").join(side("b"), "b")
+    copies = side("a").join(hubs, F.col("a") == F.col("hub")).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("keys") - 1))).drop("hub", "keys")
+    return few.unionByName(many.join(copies, ["a", "salt"]).drop("salt"))
+
+
 def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    left = pairs.join(texts.select(F.col("rep").alias("a"), F.col("text").alias("ta")), "a")
-    both = left.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("tb")), "b")
+    both = with_both(pairs, texts.select("rep", F.col("text").alias("t")), ["t"])
     return both.select("a", "b", "ta", "tb").mapInArrow(confirmed(percent), "a long, b long")
 
 
 def promising(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """(a, b, est) of the pairs whose registers don't rule out a link."""
-    side = lambda x: classes.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("regs").alias(f"r{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ra", "rb")
+    both = with_both(pairs.select("a", "b"), classes.select("rep", "n", F.col("regs").alias("r")), ["n", "r"]).select("a", "b", "na", "nb", "ra", "rb")
     return both.mapInArrow(likely(percent), "a long, b long, est double")
 
 
@@ -241,7 +302,7 @@ def involved_texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return stage(docs.join(reps.hint("shuffle_hash"), F.col("doc_id") == F.col("rep")).select("rep", "text").dropDuplicates(["rep"]), "texts")
 
 
-def crowded_pairs(crowded: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def crowded_pairs(crowded: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
     """(a, b): candidate pairs of different components in the buckets of
     ``crowded`` (key, rep, n, comp, total), ``total`` being the bucket's classes.
 
@@ -251,7 +312,8 @@ def crowded_pairs(crowded: DataFrame, classes: DataFrame, docs: DataFrame, perce
     reps = crowded.select("rep").distinct()
     texts = docs.join(reps.hint("shuffle_hash"), F.col("doc_id") == F.col("rep")).select("rep", "text").dropDuplicates(["rep"])
     fine = texts.mapInArrow(fine_sketches, "rep long, fine binary")
-    known = stage(fine.join(classes.select("rep", "bands"), "rep"), "fine")
+    keys = classes.select("rep", "regs").mapInArrow(band_lists(width), "rep long, bands array<long>")
+    known = stage(fine.join(keys, "rep"), "fine")
     blocks = crowded.withColumn("nb", F.ceil(F.col("total") / BLOCK).cast("int"))
     blocks = blocks.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int"))
     cells = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
@@ -268,11 +330,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     component is null and it is kept. Other columns are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sig = stage(docs.mapInArrow(signatures(BAND if percent >= 85 else NARROW), SIGNATURE), "signatures")
+    width = BAND if percent >= 85 else NARROW
+    sig = stage(docs.mapInArrow(signatures, SIGNATURE), "signatures")
     known = sig.filter("ident is not null and doc_id is not null")
-    classes = stage(known.groupBy("ident").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("regs").alias("regs"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
+    classes = stage(known.groupBy("ident").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("regs").alias("regs")), "classes")
+    # registers stay with the classes alone
+    idents = stage(sig.select("doc_id", "n_shingles", "ident"), "idents")
+    drop_stage(sig)
     near = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)  # noqa: E731  sizes bound the similarity
-    keys = classes.select("rep", "n", F.explode("bands").alias("key"))
+    keys = classes.select("rep", "n", "regs").mapInArrow(band_keys(width), "rep long, n long, key long")
     shared = keys.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("lo"), F.max("rep").alias("hi")).filter("lo.rep < hi")
     shared = shared.select("key", F.col("lo.rep").alias("lo"), F.col("lo.n").alias("lo_n"))
     members = stage(keys.join(shared, "key"), "members")
@@ -286,7 +352,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     comp = stage(components(links), "comp")
 
     # second round: buckets that still hold several components
-    now = classes.select("rep", "sketch").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
+    now = classes.select("rep", "regs").mapInArrow(sketches, "rep long, sketch array<long>").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
     named = members.select("key", "rep", "n").join(now, "rep").withColumn("comp", F.coalesce("component", "rep"))
     named = stage(named.select("key", "rep", "n", "comp", "sketch"), "named")
     sizes = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("alike"))
@@ -300,30 +366,32 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     more_pairs = promising(second.join(best, ["a", "b"], "left_anti"), classes, percent).select("a", "b")
     crowded = mixed.filter(F.col("outside") > CENTRES).select("key", "rep", "n", "comp", "total")
     if crowded.limit(1).count():
-        more_pairs = more_pairs.unionByName(crowded_pairs(crowded, classes, docs, percent)).distinct()
+        more_pairs = more_pairs.unionByName(crowded_pairs(crowded, classes, docs, percent, width)).distinct()
     more_pairs = stage(more_pairs, "pairs")
     more_texts = involved_texts(docs, more_pairs)
     more = stage(confirm(more_pairs, more_texts, percent), "links")
     if more.limit(1).count():
+        drop_stage(comp)
         comp = stage(components(links.unionByName(more)), "comp")
-    for x in (members, named, mixed, pairs, texts, more_pairs, more_texts):
+    for x in (members, named, mixed, pairs, texts, more_pairs, more_texts, links, more):
         drop_stage(x)
 
     whole = classes.select("ident", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
     whole = whole.select("ident", F.coalesce("component", "rep").alias("whole"))
-    out = sig.select("doc_id", "n_shingles", "ident").join(whole, "ident", "left")
+    out = idents.join(whole, "ident", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("whole", "doc_id")).alias("component_id")
     out = stage(out.select("doc_id", "n_shingles", component).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))), "groups")
-    for x in (sig, classes):
+    for x in (idents, classes, comp):
         drop_stage(x)
     return out
 
 
 def keep_one(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """``docs`` without the documents whose component has a smaller doc_id."""
+    """``docs`` without the documents whose component has a smaller doc_id; a
+    plan over ``docs`` and the staged groups, all columns stay."""
     with arrow_settings(docs.sparkSession):
         gone = near_duplicates(docs, percent).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-        return stage(docs.join(gone.hint("shuffle_hash"), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti"), "unique")
+        return docs.join(gone.hint("shuffle_hash"), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
 
 
 def op7_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
