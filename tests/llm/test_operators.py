@@ -48,6 +48,40 @@ def test_suffix_dedup(spark, batches):
         assert hashlib.sha256(left).hexdigest() == want[i][0]
 
 
+@pytest.mark.parametrize("size", [400, 512])
+def test_suffix_dedup_of_long_strings(spark, size):
+    """Entries of more than 255 windows; every repeated byte is found."""
+    rnd = random.Random(size)
+    words = ["".join(rnd.choice("abcdef ") for _ in range(500)) for _ in range(6)]
+    docs = [(i, "".join(rnd.choice(words) for _ in range(rnd.randrange(6)))) for i in range(20)] + [(20, words[0] * 3 + "x" + words[1][:380])]
+    with arrow_settings(spark):
+        spans = {r.doc_id: np.frombuffer(r.spans, "<i8").reshape(-1, 2) for r in suffix_dedup.repeated_spans(spark.createDataFrame(docs, "doc_id long, text string"), size).collect()}
+    seen = set()
+    for i, t in docs:
+        mask = bytearray(len(t))
+        for p in range(len(t) - size + 1):
+            if t[p : p + size] in seen:
+                mask[p : p + size] = b"\1" * size
+            seen.add(t[p : p + size])
+        assert sum(e - s for s, e in spans.get(i, ())) == sum(mask)
+    with pytest.raises(ValueError):
+        suffix_dedup.SuffixIndex(spark, 513)
+
+
+def test_suffix_dedup_rows_do_not_grow_with_the_parts(spark):
+    """Repeats are plain rows: four times the parts give no more of them."""
+    shared = ["".join(random.Random(i).choice("abcdefgh ") for _ in range(300)) for i in range(9)]
+    docs = spark.createDataFrame([(i, shared[i % 9] + str(i) * 40 + shared[i % 7]) for i in range(300)], "doc_id long, text string").repartition(4)
+    count = []
+    for parts in (16, 64):
+        with arrow_settings(spark):
+            index = suffix_dedup.SuffixIndex(spark, 100, parts)
+            count.append({r.kind: r["count"] for r in index.add(docs, keep=False).groupBy("kind").count().collect()})
+            index.drop()
+    # runs that touch are merged within a part
+    assert count[0] and all(abs(count[0][k] - count[1][k]) <= 0.02 * count[0][k] for k in count[0])
+
+
 def test_suffix_dedup_long_text_in_segments(spark, monkeypatch):
     rnd = random.Random(0)
     text = "".join(rnd.choice("abcdefgh") for _ in range(3000))

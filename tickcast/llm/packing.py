@@ -240,7 +240,10 @@ def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id:
     with arrow_settings(docs.sparkSession):
         pieces = stage(token_pieces(docs, path, capacity, end_id, with_ids), "pieces")
         places = assign(pieces, capacity)
-        return stage(pieces.join(places, "uid").drop("uid"), "packed")
+        out = stage(pieces.join(places, "uid").drop("uid"), "packed")
+        drop_stage(pieces)
+        drop_stage(places)
+        return out
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,8 +25,8 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,38 +41,43 @@ HELD = 1 << 19  # entries a map task gathers before it sends them
 ENTRY = np.dtype([("key", "<u4"), ("span", "<u8"), ("doc", "<i8"), ("start", "<u4"), ("n", "<u4")])
 RUN = np.dtype([("doc", "<i8"), ("start", "<u4"), ("n", "<u4")])
 ANCHOR, REMOVED, UNSURE, LEVEL = 0, 1, 2, 3
-PACKED = "kind int, part int, seq int, payload binary"
+# Entries on their way to a key part, and levels, are packed; repeats and
+# unsure entries are plain rows, as many as there are runs whatever the parts.
+ROWS = "kind int, part int, seq int, payload binary, doc long, start long, n long"
+MAX_LEN = 512  # longer spans would outgrow the hash's 64 bits (see span_hash)
+LEAST_BATCHES = 3  # the third batch meets two that were merged
+BATCH_BYTES = 1 << 40
 
 
 def pack(rows: np.ndarray) -> bytes:
     """Columns one after another, documents and counts narrowed: they compress."""
-    out = [np.array([len(rows), 0], "<i8").tobytes()]
+    low = int(rows["doc"].min()) if len(rows) else 0
+    wide = len(rows) and int(rows["doc"].max()) - low > 0xFFFFFFFF
+    many = rows.dtype == ENTRY and len(rows) and int(rows["n"].max()) > 255
+    out = [np.array([len(rows), low, bool(wide) + 2 * bool(many)], "<i8").tobytes()]
     for name in rows.dtype.names:
         col = np.ascontiguousarray(rows[name])
-        if name == "doc":
-            low = int(col.min()) if len(col) else 0
-            wide = len(col) and int(col.max()) - low > 0xFFFFFFFF
-            out[0] = np.array([-len(rows) - 1 if wide else len(rows), low], "<i8").tobytes()
-            col = col if wide else (col - low).astype("<u4")
-        elif name == "n" and rows.dtype == ENTRY:
+        if name == "doc" and not wide:
+            col = (col - low).astype("<u4")
+        elif name == "n" and rows.dtype == ENTRY and not many:
             col = col.astype("u1")
         out.append(col.tobytes())
     return b"".join(out)
 
 
 def unpack(payload: bytes, dtype: np.dtype) -> np.ndarray:
-    n, low = np.frombuffer(payload, "<i8", 2)
-    wide, n = n < 0, int(-n - 1 if n < 0 else n)
-    rows, at = np.empty(n, dtype), 16
+    n, low, flags = (int(x) for x in np.frombuffer(payload, "<i8", 3))
+    wide, many = flags & 1, flags & 2
+    rows, at = np.empty(n, dtype), 24
     for name in dtype.names:
         kind = dtype[name]
         if name == "doc" and not wide:
             kind = np.dtype("<u4")
-        elif name == "n" and dtype == ENTRY:
+        elif name == "n" and dtype == ENTRY and not many:
             kind = np.dtype("u1")
         col = np.frombuffer(payload, kind, n, at)
         at += n * kind.itemsize
-        rows[name] = col + low if name == "doc" and not wide else col
+        rows[name] = col.astype("<i8") + low if name == "doc" and not wide else col
     return rows
 
 
@@ -89,6 +94,8 @@ def prefix_sums(data: np.ndarray) -> np.ndarray:
 
 
 def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of stretches. Modulo 2**64 regular texts of 1024 bytes or
+    more can cancel out; spans of MAX_LEN windows stay below that."""
     back = powers(BASE_INV, len(sums))
     return mix((sums[end] - sums[start]) * back[start] + (end - start).astype(U64))
 
@@ -194,22 +201,19 @@ def merge_runs(rows: np.ndarray) -> np.ndarray:
     return out
 
 
-def split(rows: np.ndarray, bucket: np.ndarray, kind: int, seq: int) -> Iterator[tuple]:
-    order = np.argsort(bucket, kind="stable")
-    rows, bucket = rows[order], bucket[order]
-    cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
+def split(rows: np.ndarray, part: np.ndarray, kind: int, seq: int) -> Iterator[tuple]:
+    order = np.argsort(part, kind="stable")
+    rows, part = rows[order], part[order]
+    cuts = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part))
     for a, b in zip(cuts[:-1], cuts[1:]):
         for s in range(a, b, 1 << 19):
-            yield kind, int(bucket[s]), seq, pack(rows[s : min(b, s + (1 << 19))])
-
-
-def doc_bucket(docs: np.ndarray, parts: int) -> np.ndarray:
-    return (mix(docs.astype(np.int64).view(U64)) % U64(parts)).astype(np.int64)
+            yield kind, int(part[s]), seq, pack(rows[s : min(b, s + (1 << 19))])
 
 
 def packed_batch(rows: list[tuple]) -> pa.RecordBatch:
     kind, part, seq, payload = zip(*rows)
-    return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(part, pa.int32()), pa.array(seq, pa.int32()), pa.array(payload, pa.binary())], names=["kind", "part", "seq", "payload"])
+    none = pa.nulls(len(rows), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(part, pa.int32()), pa.array(seq, pa.int32()), pa.array(payload, pa.binary()), none, none, none], names=NAMES)
 
 
 def sent(rows: Iterator[tuple], limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
@@ -224,8 +228,26 @@ def sent(rows: Iterator[tuple], limit: int = 8 << 20) -> Iterator[pa.RecordBatch
         yield packed_batch(held)
 
 
-def suffix_entries(parts: int, buckets: int, seq: int, min_len: int):
-    """mapInArrow: documents -> packed entries by key part, repeats by document."""
+def plain(rows: np.ndarray, kind: int, seq, parts: int = 0) -> Iterator[pa.RecordBatch]:
+    """Runs or entries as plain rows; with ``parts`` they are dealt evenly."""
+    for s in range(0, len(rows), 1 << 16):
+        x = rows[s : s + (1 << 16)]
+        part = (mix(x["doc"].astype(np.int64).view(U64)) % U64(parts)).astype(np.int32) if parts else np.zeros(len(x), np.int32)
+        age = np.broadcast_to(seq, len(rows))[s : s + (1 << 16)].astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(part), pa.array(age), pa.nulls(len(x), pa.binary()), *(pa.array(x[c].astype(np.int64)) for c in ("doc", "start", "n"))], names=NAMES)
+
+
+NAMES = [x.split()[0] for x in ROWS.split(", ")]
+SCHEMA = pa.schema(list(zip(NAMES, [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64()])))
+
+
+def passed(table: pa.Table) -> list[pa.RecordBatch]:
+    """The plain repeats that came along with a part."""
+    return table.filter(pc.equal(table.column("kind"), REMOVED)).select(NAMES).cast(SCHEMA).to_batches()
+
+
+def suffix_entries(parts: int, seq: int, min_len: int):
+    """mapInArrow: documents -> packed entries by key part, repeats as plain rows."""
 
     def flush(held):
         rows, key = (np.concatenate(x) for x in zip(*held))
@@ -233,7 +255,7 @@ def suffix_entries(parts: int, buckets: int, seq: int, min_len: int):
         part = ((key >> U64(32)) * U64(parts) >> U64(32)).astype(np.int64)
         rows["key"] = key & U64(0xFFFFFFFF)
         yield from sent(split(rows, part, ANCHOR, seq))
-        yield from sent(split(runs, doc_bucket(runs["doc"], buckets), REMOVED, seq))
+        yield from plain(runs, REMOVED, seq, parts)
 
     def run(batches):
         held, n = [], 0
@@ -253,40 +275,37 @@ def suffix_entries(parts: int, buckets: int, seq: int, min_len: int):
     return run
 
 
-def merge_scan(buckets: int, seq: int, merged: tuple[int, ...], keep: bool):
-    """applyInPandas over a key part: scan the batch against all levels.
+def merge_scan(seq: int, merged: tuple[int, ...], keep: bool):
+    """applyInArrow over a key part: scan the batch against all levels.
 
     Rows with a smaller seq are levels. Gives repeats, unsure entries and,
     with ``keep``, the sorted suffix array of the batch and ``merged`` levels.
     """
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = [tuple(x) for x in pdf[pdf.kind == REMOVED][["kind", "part", "seq", "payload"]].itertuples(index=False)]
-        own = pdf[pdf.kind != REMOVED].sort_values("seq", kind="stable")
-        part = int(pdf.part.iloc[0])
-        if len(own):
-            loads = [unpack(p, ENTRY) for p in own.payload]
+    def run(table: pa.Table) -> pa.Table:
+        out = passed(table)
+        own = table.filter(pc.not_equal(table.column("kind"), REMOVED)).sort_by("seq")
+        if own.num_rows:
+            part = own.column("part")[0].as_py()
+            loads = [unpack(p, ENTRY) for p in own.column("payload").to_pylist()]
             rows = np.concatenate(loads)
-            age = np.repeat(own.seq.to_numpy(), [len(x) for x in loads])
+            age = np.repeat(own.column("seq").to_numpy(), [len(x) for x in loads])
             order = np.lexsort((rows["start"], rows["doc"], age, rows["span"], rows["key"]))
             rows, age = rows[order], age[order]
             new_key = np.append(True, rows["key"][1:] != rows["key"][:-1])
             new_span = new_key | np.append(True, rows["span"][1:] != rows["span"][:-1])
             lead = np.maximum.accumulate(np.where(new_span, np.arange(len(rows)), 0))
             same = (rows["doc"] == rows["doc"][lead]) & (rows["start"] == rows["start"][lead])
-            runs = as_runs(rows[~new_span & ~same & (age == seq)])
-            out += split(runs, doc_bucket(runs["doc"], buckets), REMOVED, seq)
+            out += plain(as_runs(rows[~new_span & ~same & (age == seq)]), REMOVED, seq)
             firsts, ages = rows[new_span], age[new_span]
             group = np.cumsum(new_key)[new_span] - 1
             unsure = (np.bincount(group)[group] > 1) & (np.bincount(group, ages == seq)[group] > 0)
-            for a in np.unique(ages[unsure]):
-                pick = firsts[unsure & (ages == a)]
-                out += split(pick, doc_bucket(pick["doc"], buckets), UNSURE, int(a))
+            out += plain(firsts[unsure], UNSURE, ages[unsure])
             if keep:
                 for a in (*merged, seq):
                     level = firsts[ages == a]
-                    out += [(LEVEL, part, int(a), pack(level[i : i + (1 << 19)])) for i in range(0, len(level), 1 << 19)]
-        return pd.DataFrame(out, columns=["kind", "part", "seq", "payload"])
+                    out += sent((LEVEL, part, int(a), pack(level[i : i + (1 << 19)])) for i in range(0, len(level), 1 << 19))
+        return pa.Table.from_batches(out, SCHEMA)
 
     return run
 
@@ -297,7 +316,8 @@ class SuffixIndex:
     def __init__(self, spark: SparkSession, min_len: int = 100, parts: int | None = None):
         self.spark, self.min_len = spark, min_len
         self.parts = parts or 2 * partitions(spark)
-        self.buckets = partitions(spark)
+        if min_len > MAX_LEN:
+            raise ValueError(f"min_len is at most {MAX_LEN}")
         self.levels: list[tuple[DataFrame, tuple[int, ...]] | None] = []
         self.seq = 0
         self.stages: list[DataFrame] = []
@@ -305,16 +325,15 @@ class SuffixIndex:
     def add(self, batch: DataFrame, keep: bool = True) -> DataFrame:
         """Scan a batch (doc_id, text) and merge it into the levels.
 
-        Gives the packed repeats and unsure entries of the batch; ``keep``
-        false leaves the levels as they are (a last batch)."""
+        Gives the repeats and unsure entries of the batch; ``keep`` false leaves the levels as they are (a last batch)."""
         docs = batch.filter("doc_id is not null and length(text) > 0").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        rows = docs.mapInArrow(suffix_entries(self.parts, self.buckets, self.seq, self.min_len), PACKED)
+        rows = docs.mapInArrow(suffix_entries(self.parts, self.seq, self.min_len), ROWS)
         carry = next((i for i, x in enumerate(self.levels) if x is None), len(self.levels))
         merged = tuple(s for x in self.levels[:carry] for s in x[1])
         for level in self.levels:
             if level:
                 rows = rows.unionByName(level[0].withColumn("kind", F.lit(ANCHOR)))
-        out = stage(rows.groupBy("part").applyInPandas(merge_scan(self.buckets, self.seq, merged, keep), PACKED), "suffix")
+        out = stage(rows.groupBy("part").applyInArrow(merge_scan(self.seq, merged, keep), ROWS), "suffix")
         self.stages.append(out)
         if keep:
             self.levels[:carry] = [None] * carry
@@ -354,7 +373,7 @@ def windows_of(doc: int, data: np.ndarray, own: np.ndarray, min_len: int) -> np.
     return rows
 
 
-def unsure_windows(parts: int, buckets: int, min_len: int):
+def unsure_windows(parts: int, min_len: int):
     """mapInArrow: documents with unsure entries -> the earliest of their
     windows by window hash, the repeats by document."""
 
@@ -362,7 +381,7 @@ def unsure_windows(parts: int, buckets: int, min_len: int):
         rows, runs = first_windows(np.concatenate(held))
         part = ((rows["code"] >> U64(32)) * U64(parts) >> U64(32)).astype(np.int64)
         yield from sent(split(rows, part, UNSURE, 0))
-        yield from sent(split(runs, doc_bucket(runs["doc"], buckets), REMOVED, 0))
+        yield from plain(runs, REMOVED, 0, parts)
 
     def run(batches):
         held, total = [], 0
@@ -370,8 +389,9 @@ def unsure_windows(parts: int, buckets: int, min_len: int):
             for batch in batches:
                 data, off = text_bytes(batch.column("text"))
                 docs = batch.column("doc_id").to_numpy(zero_copy_only=False)
-                for i, loads in enumerate(batch.column("loads").to_pylist()):
-                    own = np.frombuffer(b"".join(loads), UNSURE_ROW)
+                for i, own in enumerate(lists(batch.column("loads"))):
+                    own = np.rec.fromarrays([own & 0xFFF, own >> 32, (own >> 12) & 0xFFFFF], UNSURE_ROW)
+                    own = own[np.argsort(own["start"], kind="stable")]
                     # an entry has few windows; a long text's entries are taken in pieces
                     piece = np.cumsum(own["n"], dtype=np.int64) // HELD
                     for some in np.split(own, np.flatnonzero(np.diff(piece)) + 1):
@@ -391,62 +411,60 @@ WINDOW = np.dtype([("code", "<u8"), ("doc", "<i8"), ("start", "<u4"), ("age", "<
 UNSURE_ROW = np.dtype([("seq", "<i4"), ("start", "<u4"), ("n", "<u4")])
 
 
-def unsure_by_doc(pdf: pd.DataFrame) -> pd.DataFrame:
-    """A document bucket's unsure entries, one row a document."""
-    got = []
-    for seq, payload in zip(pdf.seq, pdf.payload):
-        rows = unpack(payload, ENTRY)
-        own = np.empty(len(rows), UNSURE_ROW)
-        own["seq"], own["start"], own["n"] = seq, rows["start"], rows["n"]
-        got.append((rows["doc"], own))
-    docs, rows = (np.concatenate(x) for x in zip(*got))
-    order = np.argsort(docs, kind="stable")
-    docs, rows = docs[order], rows[order]
-    cuts = np.flatnonzero(np.append(True, docs[1:] != docs[:-1]))
-    return pd.DataFrame({"doc_id": docs[cuts], "loads": [[x.tobytes()] for x in np.split(rows, cuts[1:])]})
-
+def lists(col: pa.Array) -> list[np.ndarray]:
+    """The rows of an array<long> column."""
+    off = col.offsets.to_numpy()
+    flat = col.values.to_numpy()
+    return [flat[a:b] for a, b in zip(off[:-1], off[1:])]
 
-def window_scan(buckets: int):
-    """applyInPandas over a part of the window hashes: windows that occur earlier."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = [tuple(x) for x in pdf[pdf.kind == REMOVED][["kind", "part", "seq", "payload"]].itertuples(index=False)]
-        _, runs = first_windows(gather(pdf[pdf.kind == UNSURE].payload, WINDOW))
-        out += split(runs, doc_bucket(runs["doc"], buckets), REMOVED, 0)
-        return pd.DataFrame(out, columns=["kind", "part", "seq", "payload"])
-
-    return run
+def window_scan(table: pa.Table) -> pa.Table:
+    """applyInArrow over a part of the window hashes: windows that occur earlier."""
+    out = passed(table)
+    own = table.filter(pc.not_equal(table.column("kind"), REMOVED))
+    _, runs = first_windows(gather(own.column("payload").to_pylist(), WINDOW))
+    out += plain(runs, REMOVED, 0)
+    return pa.Table.from_batches(out, SCHEMA)
 
 
 def spans_by_doc(min_len: int):
-    """applyInPandas over a document bucket: removed byte spans of each document."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        runs = merge_runs(gather(pdf.payload, RUN))
-        wide = runs.copy()
-        wide["n"] += min_len - 1
-        wide = merge_runs(wide)
-        cuts = np.flatnonzero(np.append(True, wide["doc"][1:] != wide["doc"][:-1]))
-        ends = np.append(cuts[1:], len(wide))
-        two = np.stack([wide["start"].astype(np.int64), wide["start"].astype(np.int64) + wide["n"]], 1)
-        return pd.DataFrame({"doc_id": wide["doc"][cuts], "spans": [two[a:b].astype("<i8").tobytes() for a, b in zip(cuts, ends)]})
+    """mapInArrow: the runs of each document -> its removed byte spans."""
+
+    def run(batches):
+        for batch in batches:
+            spans = []
+            for own in lists(batch.column("runs")):
+                rows = np.zeros(len(own), RUN)
+                rows["start"], rows["n"] = own >> 32, (own & 0xFFFFFFFF) + min_len - 1
+                rows = merge_runs(rows)
+                start = rows["start"].astype("<i8")
+                spans.append(np.stack([start, start + rows["n"]], 1).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(spans, pa.binary())], names=["doc_id", "spans"])
 
     return run
 
 
-def repeated_spans(docs: DataFrame, min_len: int = 100, batches: int = 2) -> DataFrame:
+def batches_for(docs: DataFrame) -> int:
+    """Batches of about BATCH_BYTES, so many at least that levels merge."""
+    total = docs.agg(F.sum(F.length(F.col("text").cast("binary")).cast("long"))).first()[0] or 0
+    return max(LEAST_BATCHES, -(-total // BATCH_BYTES))
+
+
+def repeated_spans(docs: DataFrame, min_len: int = 100, batches: int | None = None) -> DataFrame:
     """(doc_id, spans): the byte spans of each document covered by a string of
     ``min_len`` bytes that also starts earlier (smaller doc_id, or the same
     document further left); spans is an int64 array of (start, end) pairs.
 
     ``docs`` is fed to the index in ``batches`` ranges of doc_id, smallest
-    first. Null or empty texts and null ids have no spans; rows repeated with
+    first; by default as many as the bytes need and three at least, so that
+    levels merge. ``min_len`` is from 32 to 512 bytes. Null or empty texts and null ids have no spans; rows repeated with
     the same doc_id and text count once.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    batches = batches or batches_for(docs)
     if batches > 1:
-        cuts = docs.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.05)
+        cuts = docs.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01)
         cuts = sorted({int(x) for x in cuts})
     else:
         cuts = []
@@ -462,12 +480,13 @@ def repeated_spans(docs: DataFrame, min_len: int = 100, batches: int = 2) -> Dat
     found = index.stages[0]
     for x in index.stages[1:]:
         found = found.unionByName(x)
-    unsure = found.filter(F.col("kind") == UNSURE).groupBy("part").applyInPandas(unsure_by_doc, "doc_id long, loads array<binary>")
-    loads = unsure.groupBy("doc_id").agg(F.flatten(F.collect_list("loads")).alias("loads"))
-    texts = docs.filter("length(text) > 0").join(loads.hint("shuffle_hash"), "doc_id").mapInArrow(unsure_windows(index.parts, index.buckets, min_len), PACKED)
-    partial = stage(texts.groupBy("part").applyInPandas(window_scan(index.buckets), PACKED), "windows")
+    code = lambda more: F.shiftleft("start", 32).bitwiseOR(more)
+    loads = found.filter(F.col("kind") == UNSURE).groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list(code(F.shiftleft("n", 12)).bitwiseOR(F.col("seq").cast("long"))).alias("loads"))
+    texts = docs.filter("length(text) > 0").join(loads.hint("shuffle_hash"), "doc_id").mapInArrow(unsure_windows(index.parts, min_len), ROWS)
+    partial = stage(texts.groupBy("part").applyInArrow(window_scan, ROWS), "windows")
     removed = found.filter(F.col("kind") == REMOVED).unionByName(partial)
-    out = stage(removed.groupBy("part").applyInPandas(spans_by_doc(min_len), "doc_id long, spans binary"), "spans")
+    runs = removed.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list(code(F.col("n"))).alias("runs"))
+    out = stage(runs.mapInArrow(spans_by_doc(min_len), "doc_id long, spans binary"), "spans")
     index.drop()
     drop_stage(partial)
     return out
@@ -511,14 +530,14 @@ def kept_texts(batches):
         yield pa.RecordBatch.from_arrays(cols, names=[x for x in batch.schema.names if x != "__spans"])
 
 
-def remove_repeats(docs: DataFrame, min_len: int = 100, batches: int = 2) -> DataFrame:
+def remove_repeats(docs: DataFrame, min_len: int = 100, batches: int | None = None) -> DataFrame:
     """``docs`` with the repeated spans cut out of ``text`` (a character cut in
-    half goes too); all columns stay, a null text stays null."""
+    half goes too); all columns stay, a null text stays null. A plan over
+    ``docs`` and the staged spans."""
     with arrow_settings(docs.sparkSession):
         spans = repeated_spans(docs, min_len, batches)
         joined = docs.join(spans.withColumnRenamed("doc_id", "__doc").withColumnRenamed("spans", "__spans").hint("shuffle_hash"), F.col("doc_id").cast("long") == F.col("__doc"), "left")
-        schema = docs.schema
-        return stage(joined.drop("__doc").mapInArrow(kept_texts, schema), "kept")
+        return joined.drop("__doc").mapInArrow(kept_texts, docs.schema)
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
