@@ -34,7 +34,7 @@ BAND = 8  # a pair of similarity 0.85 shares none of the 32 bands with probabili
 NARROW = 6  # below 85 percent: a pair of similarity 0.8 shares none of the 42 bands with probability 3e-6
 CENTRES = 4
 FINE = 12  # 4096 registers where many classes share a bucket
-BLOCK = 256  # classes of a block in such a bucket
+BLOCK = 1024  # classes of a block in such a bucket; a class is copied once for each block of its bucket
 MARGIN = 5.0  # standard deviations of the estimate below the threshold
 EMPTY = np.uint16(0xFFFF)
 
