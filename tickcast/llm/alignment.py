@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickcast.llm.bpe import encoder
+from tickcast.llm.bpe import encoder, spread
 from tickcast.llm.common import arrow_settings, drop_stage, stage
 
 BLOCK = 10 << 20  # characters of a block
@@ -46,10 +46,15 @@ class Pieces:
             piece = self.model.id_to_piece(i)
             self.raw.append(bytes([int(piece[3:-1], 16)]) if self.model.is_byte(i) else piece.replace("▁", " ").encode())
         self.size = np.array([len(x) for x in self.raw], np.int64)
+        self.flat = np.frombuffer(b"".join(self.raw), np.uint8)
+        self.at = np.cumsum(self.size) - self.size
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
 
+    def decode_bytes(self, ids: np.ndarray) -> bytes:
+        return self.flat[spread(self.at[ids], self.size[ids])].tobytes()
+
 
 @lru_cache(2)
 def pieces(path: str) -> Pieces:
@@ -69,63 +74,62 @@ def probe(ea: list[int], eb: list[int], i: int, j: int) -> int:
     return run
 
 
-def align_window(ea: list[int], eb: list[int], cut_a: list, cut_b: list, link_a: list, link_b: list, i0: int, j0: int) -> tuple[int, int]:
-    """Align as far as whole groups reach; tokens are numbered from i0 and j0."""
+def align_window(ea: list[int], eb: list[int], runs: list, cuts: list, links: list) -> tuple[int, int]:
+    """Align as far as whole groups reach: one-to-one stretches go to ``runs``
+    (place in A, in B, tokens), ends and links of irregular groups to ``cuts``
+    and ``links`` (A and B in turn). Gives the tokens of A and B aligned."""
     n, m = len(ea), len(eb)
     i = j = 0
     while i < n and j < m:
-        if ea[i] == eb[j]:
+        x, y = ea[i], eb[j]
+        if x == y:
             run = probe(ea, eb, i, j)
-            link_a.extend(range(i0 + i, i0 + i + run))
-            link_b.extend(range(j0 + j, j0 + j + run))
+            runs += (i, j, run)
             i += run
             j += run
-            cut_a.extend(range(i0 + i - run + 1, i0 + i + 1))
-            cut_b.extend(range(j0 + j - run + 1, j0 + j + 1))
             continue
         # an irregular group: up to the next common end
-        a, b, had = i, j, len(link_a)
-        x, y = ea[a], eb[b]
-        while True:
-            link_a.append(i0 + a)
-            link_b.append(j0 + b)
+        a, b, had = i, j, len(links)
+        while x != y:
+            links += (a, b)
             if x < y:
                 a += 1
                 if a == n:
                     break
                 x = ea[a]
-            elif y < x:
+            else:
                 b += 1
                 if b == m:
                     break
                 y = eb[b]
-            else:
-                i, j = a + 1, b + 1
-                cut_a.append(i0 + i)
-                cut_b.append(j0 + j)
-                break
-        if a == n or b == m:  # the window ends inside the group
-            del link_a[had:], link_b[had:]
+        if x != y:  # the window ends inside the group
+            del links[had:]
             break
+        links += (a, b)
+        i, j = a + 1, b + 1
+        cuts += (i, j)
     return i, j
 
 
 def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(cuts in A, cuts in B, link tokens of A, of B): a cut is the number of
     tokens up to a common end. Both arrays rise and end at the same byte."""
-    done: list[tuple] = []
+    found: list[tuple] = []
     i = j = 0
     width = WINDOW
     while i < len(ends_a):
-        found = [], [], [], []
-        di, dj = align_window(ends_a[i : i + width].tolist(), ends_b[j : j + width].tolist(), *found, i, j)
-        done.append(tuple(np.array(x, np.int64) for x in found))
+        runs, cuts, links = [], [], []
+        di, dj = align_window(ends_a[i : i + width].tolist(), ends_b[j : j + width].tolist(), runs, cuts, links)
+        at, own, odd = (np.array(x, np.int64).reshape(-1, k) for x, k in ((runs, 3), (cuts, 2), (links, 2)))
+        inner = np.arange(at[:, 2].sum()) - np.repeat(np.cumsum(at[:, 2]) - at[:, 2], at[:, 2])
+        one_a, one_b = (np.repeat(at[:, k], at[:, 2]) + inner for k in (0, 1))
+        found.append((np.sort(np.concatenate([own[:, 0], one_a + 1])) + i, np.sort(np.concatenate([own[:, 1], one_b + 1])) + j, np.concatenate([one_a, odd[:, 0]]) + i, np.concatenate([one_b, odd[:, 1]]) + j))
         width = WINDOW if di else 2 * width  # a group longer than the window
         i, j = i + di, j + dj
-    return tuple(np.concatenate(x) for x in zip(*done)) if done else (np.zeros(0, np.int64),) * 4
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 4
 
 
-def groups_text(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray, words: list[str], n_a: int, n_b: int) -> str:
+def groups_text(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray, words: np.ndarray, n_a: int, n_b: int) -> str:
     """``a1,a2|b1;a3|b2,b3``. ``words`` holds ids with , and | of A, then with , and ; of B."""
     size_a, size_b = np.diff(cut_a, prepend=0), np.diff(cut_b, prepend=0)
     place_a = np.arange(len(a)) + np.repeat(cut_b - size_b, size_a)
@@ -135,7 +139,7 @@ def groups_text(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarr
     word_b[cut_b - 1] += n_b
     flat = np.empty(len(a) + len(b), np.int64)
     flat[place_a], flat[place_b] = word_a, word_b
-    return "".join([words[x] for x in flat.tolist()])[:-1]
+    return "".join(words.take(flat).tolist())[:-1]
 
 
 def varints(v: np.ndarray) -> bytes:
@@ -189,18 +193,17 @@ class Aligner:
         self.a, self.b = encoder(path_a), pieces(path_b)
         self.n_a, self.n_b = len(self.a.raw_len), len(self.b.size)
         ids = [str(i) for i in range(max(self.n_a, self.n_b))]
-        self.words = [x + "," for x in ids[: self.n_a]] + [x + "|" for x in ids[: self.n_a]] + [x + "," for x in ids[: self.n_b]] + [x + ";" for x in ids[: self.n_b]]
+        self.words = np.array([x + end for n, ends in ((self.n_a, ",|"), (self.n_b, ",;")) for end in ends for x in ids[:n]], object)
 
     def documents(self, texts: list[str]):
         """Of each text (n_a, n_b, n_groups, sha, linked pairs); None without tokens."""
         spaced = [" " + t for t in texts]
         flat, count = self.a.encode_plain(spaced)
         for text, ids_a, ids_b in zip(spaced, np.split(flat, np.cumsum(count)[:-1]), self.b.encode(texts)):
-            raw = text.encode()
-            if len(text) == 1 or self.a.decode_bytes(ids_a) != raw or b"".join([self.b.raw[x] for x in ids_b]) != raw:
+            raw, ids_b = text.encode(), np.array(ids_b, np.int64)
+            if len(text) == 1 or self.a.decode_bytes(ids_a) != raw or self.b.decode_bytes(ids_b) != raw:
                 yield None
                 continue
-            ids_b = np.array(ids_b, np.int64)
             cut_a, cut_b, link_a, link_b = align(np.cumsum(self.a.raw_len[ids_a]), np.cumsum(self.b.size[ids_b]))
             sha = hashlib.sha256(groups_text(ids_a, ids_b, cut_a, cut_b, self.words, self.n_a, self.n_b).encode()).hexdigest()
             yield len(ids_a), len(ids_b), len(cut_a), sha, ids_a[link_a].astype(np.int64) * self.n_b + ids_b[link_b]
@@ -209,7 +212,9 @@ class Aligner:
         """The record batches of a block: documents, then its distinct pairs."""
         none = np.zeros(0, np.int64)
         pairs = np.concatenate([x[4] if x else none for x in done] or [none])
-        own, place, count = np.unique(pairs, return_inverse=True, return_counts=True)
+        named = pa.array(pairs).dictionary_encode()
+        own, place = named.dictionary.to_numpy(), named.indices.to_numpy()
+        count = np.bincount(place, minlength=len(own))
         order = np.argsort(-count, kind="stable")
         rank = np.empty(len(own), np.int64)
         rank[order] = np.arange(len(own))
