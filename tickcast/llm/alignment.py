@@ -62,16 +62,24 @@ def pieces(path: str) -> Pieces:
 
 
 def probe(ea: list[int], eb: list[int], i: int, j: int) -> int:
-    """How many ends from i and j on are equal one to one."""
-    run, size = 0, 1
-    while (a := ea[i + run : i + run + size]) and a == eb[j + run : j + run + size]:
-        run += len(a)
+    """How many ends from i and j on are equal one to one (the first ones are)."""
+    i += 1
+    j += 1
+    begin, size = i, 4
+    while (a := ea[i : i + size]) and a == eb[j : j + size]:
+        i += len(a)
+        j += len(a)
         size *= 2
-    while size > 1:
+    while size > 16:
         size //= 2
-        if (a := ea[i + run : i + run + size]) and a == eb[j + run : j + run + size]:
-            run += len(a)
-    return run
+        if (a := ea[i : i + size]) and a == eb[j : j + size]:
+            i += len(a)
+            j += len(a)
+    for x, y in zip(ea[i : i + size], eb[j : j + size]):
+        if x != y:
+            break
+        i += 1
+    return i - begin + 1
 
 
 def align_window(ea: list[int], eb: list[int], runs: list, cuts: list, links: list) -> tuple[int, int]:
