@@ -24,14 +24,44 @@ from tickcast.functions.scalar import processing_time, quote_price
 from tickcast.schemas import COMBINED_COLUMNS
 
 
-def latest_quotes(quotes: DataFrame, order_col: str = "fetched_at", payload: str = "payload") -> DataFrame:
+def latest_quotes(quotes: DataFrame, order_col: str = "fetched_at", payload: str = "payload", as_of: str | Column | None = None) -> DataFrame:
     """J4 input: (symbol, current_price) from landed quote payloads — the
-    newest payload per symbol, price read with the F11 JSON path."""
+    newest payload per symbol, price read with the F11 JSON path. With
+    ``as_of`` (a replay's processing time) later payloads are left out."""
+    if as_of is not None:
+        quotes = quotes.filter(F.col(order_col) <= (F.lit(as_of) if isinstance(as_of, str) else as_of).cast(quotes.schema[order_col].dataType))
     return quotes.groupBy("symbol").agg(
         F.max_by(quote_price(payload), F.col(order_col)).alias("current_price")
     )
 
 
+def quotes_as_of(rows: DataFrame, quotes: DataFrame, at: str, fetched: str = "fetched_at", price: str = "price", chunk: int = 86400) -> DataFrame:
+    """J4 on a replay: ``rows`` (symbol, ``at``, ...) with ``current_price``, the
+    newest quote of the symbol fetched at ``at`` or before (NULL if none; of
+    quotes fetched at one time the highest price).
+
+    Rows and quotes meet by union, not by a range join. A running last value
+    runs inside (symbol, ``chunk`` seconds); the last quote before a chunk comes
+    from one summary row per symbol and chunk. So no window holds a symbol's
+    whole history, and a symbol of many rows is dealt over its chunks."""
+    cell = lambda c: F.floor(F.unix_micros(c) / F.lit(chunk * 1_000_000)).alias("_chunk")
+    when = lambda c: F.col(c).cast("timestamp")
+    have = quotes.select("symbol", when(fetched).alias("_t"), F.col(price).cast("double").alias("_price")).filter("_t is not null and _price is not null")
+    have = have.groupBy("symbol", "_t").agg(F.max("_price").alias("_price")).select("*", cell("_t"))
+    row = F.struct(*[F.col(c) for c in rows.columns])
+    asked = rows.select("symbol", when(at).alias("_t"), F.lit(None).cast("double").alias("_price"), cell(when(at)), row.alias("_row"))
+    both = asked.unionByName(have.withColumn("_row", F.lit(None).cast(asked.schema["_row"].dataType)))
+    run = Window.partitionBy("symbol", "_chunk").orderBy("_t", F.col("_row").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    inside = both.withColumn("_inside", F.last("_price", ignorenulls=True).over(run)).filter("_row is not null")
+    # what each chunk starts with
+    ends = both.groupBy("symbol", "_chunk").agg(F.max_by("_price", F.when(F.col("_price").isNotNull(), F.col("_t"))).alias("_end"))
+    before = Window.partitionBy("symbol").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ends.withColumn("_start", F.last("_end", ignorenulls=True).over(before)).select(F.col("symbol").alias("_s"), F.col("_chunk").alias("_c"), "_start")
+    same = F.col("symbol").eqNullSafe(F.col("_s")) & F.col("_chunk").eqNullSafe(F.col("_c"))
+    out = inside.join(starts, same, "left")
+    return out.select("_row.*", F.when(F.col("_t").isNotNull(), F.coalesce("_inside", "_start")).alias("current_price"))
+
+
 def combine(
     predicted: DataFrame | None,
     daily: DataFrame,

@@ -41,6 +41,14 @@ EV = """ev AS (
   SELECT *, 'S' || CAST(user_id % 5 AS VARCHAR) AS symbol
   FROM events)"""
 
+MIXED = """mixed AS (
+  SELECT symbol, CASE WHEN event_type = 'purchase' THEN 'ingest_prices_topic' ELSE 'ingest_news_topic' END AS topic,
+         CASE WHEN event_type = 'error' THEN 'broken'
+              WHEN event_type = 'signup' THEN 'no feed'
+              WHEN event_type = 'purchase' AND event_id % 4 = 0 THEN 'no series'
+              WHEN event_type = 'purchase' AND event_id % 4 = 1 THEN 'no symbol' END AS reason
+  FROM ev)"""
+
 EV_BARS = """bars AS (
   SELECT symbol, CAST(ts AS DATE) AS date,
          arg_min(value, event_id) AS open, max(value) AS high, min(value) AS low,

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickcast.functions.scalar import snap
-from tickcast.operators.combine import combine, latest_quotes, pair_by_symbol
+from tickcast.operators.combine import combine, latest_quotes, pair_by_symbol, quotes_as_of
 from tickcast.operators.forecast import (
     predict_next_close,
     next_day_close,
@@ -42,9 +42,11 @@ from tickcast.sources.documents import (
     parse_prices,
     read_raw_news,
     read_raw_prices,
-    with_validity,
+    malformed_documents,
+    read_stamps,
 )
 from tickcast.sources.sinks import land, read_documents, row_batches, write_documents
+from tickcast.streaming.formatting import route
 
 # Fixed parameters of the registered queries: the split dates inside each
 # proxy's date range and the processing clock (2024-02-01T00:00:00Z).
@@ -326,10 +328,39 @@ def q_upsert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Malformed payloads are flagged and counted per symbol instead of
-    stopping the consumer."""
-    flagged = with_validity(proxy.event_payloads(spark, sf_dir))
-    return flagged.groupBy("symbol", "valid").agg(F.count(F.lit(1)).alias("messages"))
+    """T6 + T7: messages routed as the stream routes them; those set aside are
+    counted by reason instead of stopping the consumer."""
+    news, prices, bad = route(proxy.mixed_messages(spark, sf_dir))
+    good = news.unionByName(prices).withColumn("reason", F.lit("ok"))
+    return good.unionByName(bad).groupBy("symbol", "topic", "reason").agg(F.count(F.lit(1)).alias("messages"))
+
+
+def q_landed_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed documents that formatting gets no rows from, by
+    kind, symbol of the path and reason."""
+    base = scratch_path(spark, "landing")
+    docs = proxy.mixed_messages(spark, sf_dir)
+    found = []
+    for kind in ("news", "prices"):
+        land(docs.filter(F.col("topic") == f"ingest_{kind}_topic"), base, kind)
+        bad = malformed_documents(spark, f"{base}/kind={kind}", kind)
+        found.append(bad.select(F.lit(kind).alias("kind"), symbol_from_path("path").alias("symbol"), "reason", "record"))
+    both = found[0].unionByName(found[1])
+    return both.groupBy("kind", "symbol", "reason").agg(F.count(F.lit(1)).alias("documents"), F.count("record").alias("records"))
+
+
+def q_landing_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticker and time of ingestion on every landed document."""
+    base = scratch_path(spark, "landing")
+    land(proxy.mixed_messages(spark, sf_dir), base, "any", ingested_at=NOW)
+    stamps = read_stamps(spark, f"{base}/kind=any").filter("ticker is not null")
+    return stamps.groupBy("ticker", F.date_format("ingest_ts", "yyyy-MM-dd HH:mm:ss").alias("ingest_ts")).agg(F.count(F.lit(1)).alias("documents"))
+
+
+def q_quotes_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 on a replay: each article with the price known when it was published."""
+    ev = proxy.events(spark, sf_dir).filter("event_type <> 'purchase'").select("symbol", "event_id", F.col("ts").cast("timestamp").alias("ts"))
+    return quotes_as_of(ev, proxy.event_quotes(spark, sf_dir), "ts").select("event_id", "symbol", snap("current_price").alias("current_price"))
 
 
 def _ensured(fn: Query) -> Query:
@@ -363,6 +394,9 @@ QUERIES: dict[str, Query] = {
     "documents": q_documents,
     "upsert_documents": q_upsert_documents,
     "quarantine": q_quarantine,
+    "landed_quarantine": q_landed_quarantine,
+    "landing_stamps": q_landing_stamps,
+    "quotes_as_of": q_quotes_as_of,
     "bench_combine": q_bench_combine,
 }
 
@@ -448,8 +482,20 @@ merged AS (
   SELECT * FROM first_load f
   WHERE NOT EXISTS (SELECT 1 FROM comb c WHERE c.symbol = f.symbol AND c.date IS NOT DISTINCT FROM f.date))
 {O.documents_select('merged')}""",
-        "quarantine": O.with_(O.EV)
-        + """SELECT symbol, event_type <> 'error' AS valid, count(*) AS messages FROM ev GROUP BY 1, 2""",
+        "quarantine": O.with_(O.EV, O.MIXED)
+        + """SELECT symbol, topic, coalesce(reason, 'ok') AS reason, count(*) AS messages FROM mixed GROUP BY ALL""",
+        "landed_quarantine": O.with_(O.EV, O.MIXED)
+        + """SELECT CASE WHEN topic = 'ingest_news_topic' THEN 'news' ELSE 'prices' END AS kind, symbol, reason,
+       count(*) AS documents, count(*) FILTER (reason = 'broken') AS records
+FROM mixed WHERE reason IS NOT NULL GROUP BY ALL""",
+        "landing_stamps": O.with_(O.EV, O.MIXED)
+        + f"""SELECT symbol AS ticker, '{NOW}' AS ingest_ts, count(*) AS documents
+FROM mixed WHERE reason IS DISTINCT FROM 'broken' GROUP BY 1""",
+        "quotes_as_of": O.with_(O.EV)
+        + f"""SELECT n.event_id AS event_id, n.symbol AS symbol, {O.snap('q.price')} AS current_price
+FROM (SELECT * FROM ev WHERE event_type <> 'purchase') n
+ASOF LEFT JOIN (SELECT symbol, ts, max(value) AS price FROM ev WHERE event_type = 'purchase' GROUP BY 1, 2) q
+ON n.symbol = q.symbol AND n.ts >= q.ts""",
         "bench_combine": O.with_(O.SEG, O.ORD_NEWS, O.DAILY, O.ORD_BARS, O.combined(ORD_AS_OF, NOW_MILLIS))
         + O.combined_select(),
     }

@@ -23,6 +23,12 @@ def read_raw_news(spark: SparkSession, path: str | list[str], multiline: bool =
     return df.withColumn("_path", F.col("_metadata.file_path"))
 
 
+def read_stamps(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(ticker, ingest_ts) that :func:`land` stamped on each document."""
+    raw = spark.read.schema("ticker string, ingest_ts string").json(path)
+    return raw.select("ticker", F.col("ingest_ts").try_cast("timestamp").alias("ingest_ts"))
+
+
 def read_raw_prices(spark: SparkSession, path: str | list[str], multiline: bool = False) -> DataFrame:
     """Price documents from JSON files; the daily series is a map, so
     files with different days share one schema. Pretty-printed upstream
@@ -36,29 +42,36 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
 
-def _lacks(get, kind: str) -> Column:
-    """Whether a parsed document is broken or without what formatting needs."""
+def _reason(get, kind: str) -> Column:
+    """Why a parsed document can't be formatted, NULL if it can."""
+    broken = F.when(get(CORRUPT).isNotNull(), F.lit("broken"))
     if kind == "news":
-        return get(CORRUPT).isNotNull() | get("feed").isNull()
-    return get(CORRUPT).isNotNull() | get(TIME_SERIES).isNull() | get(META_DATA)[META_SYMBOL].isNull()
+        return broken.when(get("feed").isNull(), F.lit("no feed"))
+    return broken.when(get(TIME_SERIES).isNull(), F.lit("no series")).when(get(META_DATA)[META_SYMBOL].isNull(), F.lit("no symbol"))
 
 
 def malformed_documents(spark: SparkSession, path: str | list[str], kind: str) -> DataFrame:
-    """S1/S2 quarantine: (path, record) of the landed documents of ``kind``
-    (news or prices) that formatting gets no rows from: broken JSON, or JSON
-    without a feed, or without a daily series and its symbol. ``record`` is
-    null where the JSON itself is whole."""
+    """S1/S2 quarantine: (path, reason, record) of the landed documents of
+    ``kind`` (news or prices) that formatting gets no rows from: broken JSON,
+    or JSON without a feed, or without a daily series and its symbol.
+    ``record`` is null where the JSON itself is whole."""
     schema = _with_corrupt(RAW_NEWS if kind == "news" else RAW_PRICES)
     raw = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).json(path)
-    bad = raw.withColumn("path", F.col("_metadata.file_path")).filter(_lacks(lambda c: F.col(f"`{c}`"), kind))
-    return bad.select("path", F.col(CORRUPT).alias("record"))
+    flagged = raw.withColumn("path", F.col("_metadata.file_path")).withColumn("reason", _reason(lambda c: F.col(f"`{c}`"), kind))
+    return flagged.filter(F.col("reason").isNotNull()).select("path", "reason", F.col(CORRUPT).alias("record"))
 
 
-def valid_document(value: Column, kind: str) -> Column:
-    """Whether a message holds a document of ``kind`` that can be formatted."""
+def rejection(value: Column, kind: str) -> Column:
+    """Why a message holds no document of ``kind`` that can be formatted;
+    NULL if it does. A NULL message is broken."""
     schema = _with_corrupt(RAW_NEWS if kind == "news" else RAW_PRICES)
     doc = F.from_json(value, schema, {"columnNameOfCorruptRecord": CORRUPT})
-    return F.coalesce(~_lacks(lambda c: doc[c], kind), F.lit(False))
+    return F.when(value.isNull(), F.lit("broken")).otherwise(_reason(lambda c: doc[c], kind))
+
+
+def valid_document(value: Column, kind: str) -> Column:
+    """Whether a message holds a document of ``kind`` that can be formatted."""
+    return rejection(value, kind).isNull()
 
 
 def combined_rows(df: DataFrame, value: str = "value", keep: list[str] | None = None) -> DataFrame:
@@ -105,9 +118,3 @@ def news_rows(df: DataFrame, value: str = "value", keep: list[str] | None = None
 
 def price_rows(df: DataFrame, value: str = "value", keep: list[str] | None = None) -> DataFrame:
     return explode_row_batches(df, PRICES, value, keep)
-
-
-def with_validity(df: DataFrame, value: str = "value") -> DataFrame:
-    """T7 helper: flag messages whose payload is not valid JSON."""
-    return df.withColumn("valid", F.try_parse_json(F.col(value)).isNotNull())
-

@@ -290,13 +290,35 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw message per event; error events carry a broken payload (an
-    unbalanced brace) — the input of the quarantine operator."""
+    unbalanced brace)."""
     ev = events(spark, sf_dir)
     body = row_json("event_id", "event_type", "value")
     value = F.when(F.col("event_type") == EMPTY_MENTION_TYPE, F.concat(F.lit("{"), body)).otherwise(body)
     return ev.select("symbol", F.col("event_id").alias("seq"), value.alias("value"))
 
 
+def mixed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One raw message per event for the quarantine: purchases are price
+    documents (of four, one lacks the series and one the symbol), the others
+    news (signups lack the feed, error events are an unbalanced brace)."""
+    ev = events(spark, sf_dir)
+    is_price = F.col("event_type") == "purchase"
+    four = F.col("event_id") % 4
+    meta, series = F.concat(F.lit('"Meta Data":{"2. Symbol":"'), "symbol", F.lit('"}')), F.lit('"Time Series (Daily)":{"2024-01-01":{"1. open":"1"}}')
+    price = F.when(four == 0, F.concat(F.lit("{"), meta, F.lit("}"))).when(four == 1, F.concat(F.lit('{"Meta Data":{},'), series, F.lit("}")))
+    price = price.otherwise(F.concat(F.lit("{"), meta, F.lit(","), series, F.lit("}")))
+    news = F.when(F.col("event_type") == "signup", F.lit('{"items":"0"}')).otherwise(F.lit('{"items":"0","feed":[]}'))
+    news = F.when(F.col("event_type") == EMPTY_MENTION_TYPE, F.concat(F.lit("{"), news)).otherwise(news)
+    topic = F.when(is_price, F.lit("ingest_prices_topic")).otherwise(F.lit("ingest_news_topic"))
+    return ev.select("symbol", F.col("event_id").alias("seq"), topic.alias("topic"), F.when(is_price, price).otherwise(news).alias("value"))
+
+
+def event_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(symbol, fetched_at, price): every purchase is a quote."""
+    ev = events(spark, sf_dir).filter("event_type = 'purchase'")
+    return ev.select("symbol", F.col("ts").cast("timestamp").alias("fetched_at"), F.col("value").alias("price"))
+
+
 # --------------------------------------------------------------------- orders
 def segment_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(

@@ -13,6 +13,17 @@ from tickcast.functions.scalar import index_name, row_json
 from tickcast.schemas import DOCUMENT
 
 
+def stamped(value: Column, symbol: Column, at: Column | str | None = None) -> Column:
+    """F17 + S11: a JSON document with ``ticker`` and ``ingest_ts`` as its last
+    fields, so they hold against fields of that name in the document. Text that
+    doesn't end like an object is landed as it is."""
+    when = F.current_timestamp() if at is None else (F.lit(at) if isinstance(at, str) else at).cast("timestamp")
+    stamp = F.to_json(F.struct(symbol.alias("ticker"), F.date_format(when, "yyyy-MM-dd HH:mm:ss").alias("ingest_ts")))
+    body = F.regexp_replace(value, r"\s*\}\s*$", "")
+    comma = F.when(body.rlike(r"\{\s*$"), F.lit("")).otherwise(F.lit(","))
+    return F.when(value.rlike(r"\}\s*$"), F.concat(body, comma, F.substring(stamp, 2, 1 << 30))).otherwise(value)
+
+
 def land(
     docs: DataFrame,
     path: str,
@@ -20,6 +31,7 @@ def land(
     value: str = "value",
     mode: str = "append",
     files_per_symbol: int | None = None,
+    ingested_at: Column | str | None = None,
 ) -> None:
     """S11 + F17: raw JSON documents to ``path/kind=<kind>/symbol=<s>/``.
 
@@ -27,8 +39,11 @@ def land(
     layout carries kind and symbol, and the document text is written as is
     (one document per line). For bulk landings, ``files_per_symbol`` bounds
     the files per symbol: documents are spread by a hash of their text over
-    that many writer tasks per symbol (a hot symbol still uses several)."""
-    rows = docs.select(F.col(value).alias("value"), F.lit(kind).alias("kind"), "symbol")
+    that many writer tasks per symbol (a hot symbol still uses several).
+
+    Every document gets its ticker and the time of ingestion (now, or
+    ``ingested_at``); see :func:`stamped`."""
+    rows = docs.select(stamped(F.col(value), F.col("symbol"), ingested_at).alias("value"), F.lit(kind).alias("kind"), "symbol")
     if files_per_symbol:
         salt = F.pmod(F.xxhash64("value"), F.lit(int(files_per_symbol)))
         rows = rows.repartition("kind", "symbol", salt)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tickcast.functions.scalar import parse_published, to_double, to_utc
 from tickcast.schemas import BAR_FIELDS, META_DATA, META_SYMBOL, TIME_SERIES
-from tickcast.sources.documents import parse_news, parse_prices, valid_document
+from tickcast.sources.documents import parse_news, parse_prices, rejection
 from tickcast.streaming.sources import FORMAT_NEWS, FORMAT_PRICES, INGEST_NEWS, INGEST_PRICES
 
 
@@ -59,16 +59,15 @@ def rows_message(rows: Column) -> Column:
 def route(messages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """T6 + T7: (news, prices, quarantined) by topic and payload validity.
     A malformed payload, or one without the fields that formatting needs, is
-    set aside instead of stopping the stream."""
+    set aside with its ``reason`` instead of stopping the stream."""
     value = F.col("value")
-    ok = F.when(F.col("topic") == INGEST_NEWS, valid_document(value, "news")).otherwise(valid_document(value, "prices"))
-    flagged = messages.withColumn("valid", ok)
-    good = flagged.filter(F.col("valid")).drop("valid")
-    bad = flagged.filter(~F.col("valid")).drop("valid")
+    why = F.when(F.col("topic") == INGEST_NEWS, rejection(value, "news")).otherwise(rejection(value, "prices"))
+    flagged = messages.withColumn("reason", why)
+    good = flagged.filter(F.col("reason").isNull()).drop("reason")
     return (
         good.filter(F.col("topic") == INGEST_NEWS),
         good.filter(F.col("topic") == INGEST_PRICES),
-        bad,
+        flagged.filter(F.col("reason").isNotNull()),
     )
 
 
