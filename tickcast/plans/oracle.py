@@ -165,12 +165,41 @@ def ols(features: list[str] | None = None, src: str = "lab", out: str = "fit") -
     return ",\n".join(ctes)
 
 
-def predicted(as_of: str) -> str:
+def ols_grouped(features: list[str] | None = None, src: str = "lab", out: str = "fit") -> str:
+    """The fit of :func:`ols` for many symbols: every moment is one grouped
+    aggregate that is joined back, each step materialised once."""
+    features = list(features or FEATURES)
+
+    def slope(a: str, j: int) -> str:
+        return f"CASE WHEN any_value(a_{j}) THEN covar_pop({a}, z_{j}) FILTER (t) / var_pop(z_{j}) FILTER (t) ELSE 0 END"
+
+    means = ", ".join(f"avg({f}) FILTER (t) AS m_{i}" for i, f in enumerate(features))
+    ctes = [
+        f"o_m AS MATERIALIZED (SELECT symbol, avg(y) FILTER (t) AS m_y, {means} FROM {src} GROUP BY symbol)",
+        f"o_0 AS MATERIALIZED (SELECT * FROM {src} JOIN o_m USING (symbol))",
+    ]
+    for j, f in enumerate(features):
+        prev = f"o_{j}"
+        known = "".join(f", {slope(f, i)} AS k_{j}_{i}" for i in range(j))
+        ctes.append(f"c_{j} AS MATERIALIZED (SELECT symbol{known} FROM {prev} GROUP BY symbol)")
+        resid = f"({f} - m_{j})" + "".join(f" - k_{j}_{i} * z_{i}" for i in range(j))
+        ctes.append(f"r_{j} AS MATERIALIZED (SELECT *, {resid} AS z_{j} FROM {prev} JOIN c_{j} USING (symbol))")
+        ctes.append(f"v_{j} AS MATERIALIZED (SELECT symbol, coalesce(var_pop(z_{j}) FILTER (t) > 1e-12 * var_pop({f}) FILTER (t), false) AS a_{j} FROM r_{j} GROUP BY symbol)")
+        ctes.append(f"o_{j + 1} AS MATERIALIZED (SELECT * FROM r_{j} JOIN v_{j} USING (symbol))")
+    last = f"o_{len(features)}"
+    slopes = ", ".join(f"{slope('y', j)} AS b_{j}" for j in range(len(features)))
+    ctes.append(f"c_y AS MATERIALIZED (SELECT symbol, {slopes} FROM {last} GROUP BY symbol)")
+    yhat = "m_y" + "".join(f" + b_{j} * z_{j}" for j in range(len(features)))
+    ctes.append(f"{out} AS MATERIALIZED (SELECT *, {yhat} AS yhat FROM {last} JOIN c_y USING (symbol))")
+    return ",\n".join(ctes)
+
+
+def predicted(as_of: str, fit=ols) -> str:
     """``pred``: the reference's right join of prices to predictions moved
     one calendar day forward (ON symbol and date)."""
     measures = ", ".join(f"lab.{m} AS {m}" for m in PRICE_MEASURES)
     return f"""{labelled(as_of)},
-{ols()},
+{fit()},
 shifted AS (SELECT symbol, date + 1 AS date, yhat AS prediction FROM fit WHERE date <= DATE '{as_of}'),
 pred AS (
   SELECT shifted.symbol AS symbol, shifted.date AS date, {measures},

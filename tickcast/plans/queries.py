@@ -427,7 +427,7 @@ FROM daily_l GROUP BY 1, 2""",
 {O.bars_select('nx', ', ' + O.snap('next_day_close') + ' AS next_day_close')}""",
         "train_score_split": O.with_(O.EV, O.EV_BARS, O.labelled(EV_AS_OF))
         + f"SELECT symbol, {O.iso_date('date')} AS date, t AS is_train, date <= DATE '{EV_AS_OF}' AS is_score FROM lab",
-        "predict_suppliers": O.with_(O.SUPP_BARS, O.predicted(ORD_AS_OF))
+        "predict_suppliers": O.with_(O.SUPP_BARS, O.predicted(ORD_AS_OF, O.ols_grouped))
         + O.bars_select(
             "pred",
             f", {O.snap('next_day_close')} AS next_day_close, {O.snap('prediction', 1e2)} AS prediction",
