@@ -31,11 +31,12 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickcast.schemas import FEATURES, PRICE_MEASURES
+from tickcast.sources.sinks import write_batch
 
 LABEL = "next_day_close"
 _NEXT = "_nx_"
@@ -147,19 +148,9 @@ def solve_moments(pdf: pd.DataFrame, k: int, rel_tol: float = 1e-12) -> np.ndarr
     return np.column_stack([intercept, beta])
 
 
-def fit_next_close(
-    labelled: DataFrame,
-    as_of: str | Column | None = None,
-    features: list[str] | None = None,
-    label: str = LABEL,
-) -> DataFrame:
-    """M3: one least-squares model per symbol → (symbol, n_train, intercept,
-    b_<feature>...). Runs as an aggregate plus an Arrow batch solve over the
-    aggregated rows only (one row per symbol)."""
-    features = list(features or FEATURES)
+def solved(stats: DataFrame, features: list[str]) -> DataFrame:
+    """(symbol, n_train, intercept, b_<feature>...) from moments."""
     k = len(features)
-    stats = moments(training_rows(labelled, as_of), features, label)
-    schema = coefficient_schema(features)
 
     def solve(batches):
         for pdf in batches:
@@ -172,7 +163,73 @@ def fit_next_close(
                 out[f"b_{f}"] = coef[:, i + 1]
             yield out
 
-    return stats.mapInPandas(solve, schema)
+    return stats.mapInPandas(solve, coefficient_schema(features))
+
+
+def fit_next_close(
+    labelled: DataFrame,
+    as_of: str | Column | None = None,
+    features: list[str] | None = None,
+    label: str = LABEL,
+) -> DataFrame:
+    """M3: one least-squares model per symbol → (symbol, n_train, intercept,
+    b_<feature>...). Runs as an aggregate plus an Arrow batch solve over the
+    aggregated rows only (one row per symbol)."""
+    features = list(features or FEATURES)
+    return solved(moments(training_rows(labelled, as_of), features, label), features)
+
+
+def merged_moments(parts: DataFrame, features: list[str]) -> DataFrame:
+    """The moments of several row sets as one per symbol: counts add, means are
+    weighted, and a co-moment gains the product of the shifts of its means."""
+    k = len(features)
+    n = "CAST(n_train AS double)"
+    means = [f"sum({n} * `{c}`) / sum({n}) AS _t{c}" for c in ["_my", *(f"_mx_{i}" for i in range(k))]]
+    total = parts.groupBy(F.col("symbol").alias("_s")).agg(*[F.expr(m) for m in means])
+    both = parts.join(total, F.col("symbol").eqNullSafe(F.col("_s")))
+
+    def gap(i: int) -> str:
+        c = "_my" if i == k else f"_mx_{i}"
+        return f"(`{c}` - `_t{c}`)"
+
+    pairs = [(i, j) for i in range(k) for j in range(i, k + 1)]
+    aggs = ["sum(n_train) AS n_train", "first(_t_my) AS _my", *(f"first(_t_mx_{i}) AS _mx_{i}" for i in range(k))]
+    aggs += [f"sum({n} * (`{_pair(i, j)}` + {gap(i)} * {gap(j)})) / sum({n}) AS `{_pair(i, j)}`" for i, j in pairs]
+    return both.groupBy("symbol").agg(*[F.expr(a) for a in aggs])
+
+
+def update_fit(
+    spark: SparkSession,
+    path: str,
+    bars: DataFrame,
+    batch_id: int,
+    as_of: str | Column | None = None,
+    features: list[str] | None = None,
+) -> DataFrame:
+    """M3 on growing prices: add the ``bars`` of new days (each after the
+    symbol's days of earlier batches) and give the coefficients as a refit of
+    all history would.
+
+    ``path`` keeps one row of moments per symbol and batch, and the open bars:
+    those without a next day yet (their label comes with the next batch) and
+    those not before ``as_of``. A batch reads these two and its own bars, never
+    the history. Both are written per batch id, so a repeated batch replaces
+    itself; ``as_of`` must not go back. Batch ids rise from 0."""
+    features = list(features or FEATURES)
+    columns = ["symbol", "date", *PRICE_MEASURES]
+    own = bars.select("symbol", F.to_date("date").alias("date"), *PRICE_MEASURES)
+    batch = T.StructField("_batch", T.LongType())
+    if batch_id:
+        schema = T.StructType([*own.schema.fields, batch])
+        last = spark.read.schema(schema).parquet(f"{path}/open").filter(F.col("_batch") == batch_id - 1)
+        own = last.select(*columns).unionByName(own)
+    labelled = with_next_rows(own)
+    ready = labelled.filter(F.col(f"{_NEXT}date").isNotNull() & (F.col("date") < as_of_date(as_of)))
+    write_batch(labelled.filter(F.col(f"{_NEXT}date").isNull() | (F.col("date") >= as_of_date(as_of))).select(*columns), f"{path}/open", batch_id)
+    fresh = moments(training_rows(ready, as_of), features)
+    write_batch(fresh, f"{path}/moments", batch_id)
+    parts = spark.read.schema(T.StructType([*fresh.schema.fields, batch])).parquet(f"{path}/moments").filter(F.col("_batch") <= batch_id)
+    return solved(merged_moments(parts.drop("_batch"), features), features)
 
 
 def score(rows: DataFrame, coefficients: DataFrame, features: list[str] | None = None) -> DataFrame:

@@ -20,9 +20,11 @@ from tickcast.operators.combine import combine, latest_quotes, pair_by_symbol, q
 from tickcast.operators.forecast import (
     predict_next_close,
     next_day_close,
+    score,
     scoring_rows,
     shift_right_join,
     training_condition,
+    update_fit,
     with_next_rows,
     as_of_date,
 )
@@ -206,6 +208,20 @@ def q_predict_next_close(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_bars(pred, ["next_day_close", "prediction"])
 
 
+def q_predict_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3, M5: the fit of ``predict_next_close`` from bars that come in three
+    batches of days, none of which reads the days before."""
+    path = scratch_path(spark, "fit")
+    bars = proxy.event_bars(spark, sf_dir)
+    days = [None, "2024-01-10", "2024-01-20", None]
+    for i, (a, b) in enumerate(zip(days[:-1], days[1:])):
+        some = bars.filter(F.col("date") >= F.lit(a).cast("date")) if a else bars
+        some = some.filter(F.col("date") < F.lit(b).cast("date")) if b else some
+        coefficients = update_fit(spark, path, some, i, EV_AS_OF)
+    scored = score(scoring_rows(with_next_rows(bars), EV_AS_OF), coefficients)
+    return report_bars(shift_right_join(scored), ["next_day_close", "prediction"])
+
+
 def q_predict_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1-M5, F4, J1 with one model per supplier: symbols grow with the table.
     Most days have one line, so the features are nearly collinear: predictions
@@ -381,6 +397,7 @@ QUERIES: dict[str, Query] = {
     "next_day_close": q_next_day_close,
     "train_score_split": q_train_score_split,
     "predict_next_close": q_predict_next_close,
+    "predict_incremental": q_predict_incremental,
     "predict_suppliers": q_predict_suppliers,
     "shift_right_join": q_shift_right_join,
     "combine": q_combine,
@@ -509,6 +526,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     o = _oracles()
+    o["predict_incremental"] = o["predict_next_close"]
     o["stream_format_news"] = o["format_news"]
     o["stream_format_prices"] = o["format_prices"]
     o["stream_daily_sentiment"] = o["daily_sentiment"]
