@@ -344,6 +344,23 @@ def test_pii_patterns():
     assert pii.base_spans("9" * 100000 + "a" * 100000 + "@") == []
 
 
+def test_pii_candidates_of_long_texts():
+    """Whole words, and a sweep over the spans instead of all pairs of them."""
+    import time
+
+    text = "y" * 600 + "@" + "z" * 10
+    assert pii.candidates(text, []) == [(0, len(text), 0)]
+    rnd = random.Random(9)
+    for _ in range(300):
+        t = "".join(rnd.choice(["4111 1111 1111 1111 ", "10.0.0.1 ", "555-123-4567 ", "a@b.c ", "q@ ", "+1 425 555 9684 ", "x "]) for _ in range(8))
+        base = pii.base_spans(t)
+        for s, e, label in pii.candidates(t, base):
+            assert label or not any(a < e and s < b for a, _, b in base)
+    many = ", ".join(f"{i:012d}" for i in range(150000))
+    began = time.process_time()
+    assert len(pii.candidates(many, pii.base_spans(many))) > 1000 and time.process_time() - began < 30
+
+
 def test_pii_field(spark, odd, none):
     with arrow_settings(spark):
         model = pii.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))

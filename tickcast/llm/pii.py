@@ -17,7 +17,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left
 from collections import Counter
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -95,9 +97,11 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     """(start, end, label) of the nodes: base spans and what else may be one."""
     nodes = [(s, e, k + 1) for s, k, e in base]
     edges = sorted((s, e) for s, e, _ in nodes)
+    starts, reach = [s for s, _ in edges], list(accumulate((e for _, e in edges), max))
 
     def free(s: int, e: int) -> bool:
-        return not any(a < e and s < b for a, b in edges)
+        n = bisect_left(starts, e)  # base spans that begin before the end
+        return not n or reach[n - 1] <= s
 
     for m in NUMBER.finditer(text):
         if m.end() - m.start() >= 7 and 7 <= len(NOT_DIGIT.sub("", m[0])) <= 19:
@@ -107,9 +111,9 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     at = text.find("@")
     while at >= 0:
         s, e = at, at + 1
-        while s and not text[s - 1].isspace() and at - s < 256:
+        while s and not text[s - 1].isspace():
             s -= 1
-        while e < len(text) and not text[e].isspace() and e - at < 256:
+        while e < len(text) and not text[e].isspace():
             e += 1
         if free(s, e) and e - s > 2:
             nodes.append((s, e, 0))
