@@ -59,15 +59,19 @@ def format_news(
     )
 
 
-def latest_articles(news: DataFrame, order_col: str, article: str = "url", ticker: str = "ticker") -> DataFrame:
+def latest_articles(
+    news: DataFrame, order_col: str, article: str = "url", ticker: str = "ticker", day: str | None = None
+) -> DataFrame:
     """Re-delivered articles: hourly fetches return the same article again,
     so each (ticker, article) is taken from the latest document that carries
     it; repeated mentions inside that document still count, as in the
     reference. A window per (ticker, article) — bounded by how often one
     article is fetched. Articles without an identifier are all kept, and
-    spread over as many groups as they have rows' hashes."""
+    spread over as many groups as they have rows' hashes. ``day`` names a column
+    that is part of an article's identity: then a day's articles depend on the
+    rows of that day only."""
     spread = F.when(F.col(article).isNull(), F.xxhash64(*[c for c in news.columns if c != order_col]))
-    w = Window.partitionBy(ticker, article, spread)
+    w = Window.partitionBy(ticker, article, spread, *([day] if day else []))
     return (
         news.withColumn("_latest", F.max(order_col).over(w))
         .filter(F.col(article).isNull() | (F.col(order_col) == F.col("_latest")))

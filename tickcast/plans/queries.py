@@ -533,6 +533,7 @@ def oracle_sql() -> dict[str, str]:
     o["stream_pair"] = o["pair_latest_reset"]
     o["run_batch_available_now"] = o["documents"]
     o["run_batch"] = o["documents"]
+    o["periodic_runs"] = o["documents"]
     o["stream_combine"] = O.stream_combined(
         STREAM_AS_OF, NOW, proxy.ITEMS_PER_DOCUMENT, proxy.EVENTS_PER_FETCH, proxy.DAYS_PER_FETCH, proxy.FIRST_FETCH
     )

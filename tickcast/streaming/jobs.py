@@ -7,7 +7,8 @@
   each pair, then per-symbol documents and combined messages.
 * T8 ``run_available_now``: the periodic batch run as a streaming query with
   ``trigger(availableNow=True)``: only files landed since the last run are
-  formatted; the combine then runs over the formatted tables.
+  formatted, only the news days they touch are read again, and only the
+  symbols they touch are combined, from daily tables.
 * C6 ``start_stream``: the whole streaming pipeline — ingest topics →
   formatted topics → pairs → combined topic → documents.
 """
@@ -19,16 +20,18 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickcast.functions.scalar import symbol_from_path
 from tickcast.operators.combine import combine
-from tickcast.operators.forecast import predict_next_close
+from tickcast.operators.forecast import as_of_date, predict_next_close
 from tickcast.operators.formatting import format_news, format_prices, latest_articles
 from tickcast.operators.sentiment import daily_sentiment, labelled_daily, sentiment_aggregates
 from tickcast.schemas import META_DATA, META_LAST_REFRESHED, NEWS, PRICES, RAW_NEWS, RAW_PRICES
 from tickcast.sources.documents import combined_rows, explode_row_batches
 from tickcast.sources.sinks import to_messages, write_batch, write_documents, write_parquet
+from tickcast.sources.snapshots import drop_old, merge_snapshot
 from tickcast.streaming.formatting import format_stream
 from tickcast.streaming.pairing import pair_stream
 from tickcast.streaming.sources import COMBINED, FORMAT_NEWS, FORMAT_PRICES, INGEST_NEWS, INGEST_PRICES, topic_stream, write_topic
@@ -271,12 +274,18 @@ def format_landed(spark: SparkSession, cfg: PipelineConfig) -> tuple[DataFrame,
     return _format_landed_news(news, landed_ticker()), format_prices(_fetch_order(prices), keep=[FETCHED])
 
 
+def landed_sentiment(news: DataFrame) -> DataFrame:
+    """Daily sentiment of news rows of many fetches: each article of a day from
+    its latest document (one published anew under another day counts there too)."""
+    news = news.withColumn("_day", F.to_date("time_published"))
+    return daily_sentiment(latest_articles(news, FETCHED, day="_day"))
+
+
 def combine_formatted(spark: SparkSession, cfg: PipelineConfig, news: DataFrame, prices: DataFrame) -> DataFrame:
     """Combine over formatted tables that hold many fetches: each article
     from its latest document, each price day from its latest document."""
     predicted = predict_next_close(prices, cfg.as_of, dedup_by=FETCHED)
-    daily = daily_sentiment(latest_articles(news, FETCHED))
-    return combine(predicted, daily, cfg.quotes, "millis", cfg.now)
+    return combine(predicted, landed_sentiment(news), cfg.quotes, "millis", cfg.now)
 
 
 def load_number(load_id: int | None) -> int:
@@ -297,39 +306,114 @@ def run_batch(spark: SparkSession, cfg: PipelineConfig, load_id: int | None = No
     write_documents(combine_formatted(spark, cfg, news, prices), cfg.documents, cfg.documents_mode, load_number(load_id))
 
 
+TOUCHED = "kind string, symbol string, day date, _batch long"
+RUNS = "run long, news long, prices long, as_of date"
+
+
+def _landed_rows(raw: DataFrame, kind: str) -> DataFrame:
+    """Formatted rows of landed documents (the document order is carried)."""
+    if kind == "news":
+        rows = format_news(raw, ticker=landed_ticker(), keep=[FETCHED], article_fields=["url"])
+        return rows.withColumn("day", F.to_date("time_published"))
+    return format_prices(raw, keep=[FETCHED]).withColumn("date", F.to_date("date"))
+
+
 def _append_formatted(path: str, kind: str):
+    """foreachBatch function: the formatted rows of new files, news in folders
+    of a day, and the (symbol, day) of every row as a table of its own."""
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        if kind == "news":  # the stream already carries the document order
-            rows = format_news(batch, ticker=landed_ticker(), keep=[FETCHED], article_fields=["url"])
-        else:
-            rows = format_prices(batch, keep=[FETCHED])
-        write_batch(rows, path, batch_id)
+        rows = _landed_rows(batch, kind).persist()
+        try:
+            # else every task leaves a file in every day it touches; large days are split
+            out = rows.hint("rebalance", F.col("day")) if kind == "news" else rows
+            write_batch(out, f"{path}/{kind}", batch_id, ["day"] if kind == "news" else None)
+            symbol, day = ("ticker", "day") if kind == "news" else ("symbol", "date")
+            seen = rows.select(F.lit(kind).alias("kind"), F.col(symbol).alias("symbol"), F.col(day).alias("day")).distinct()
+            write_batch(seen.drop("kind"), f"{path}/touched/kind={kind}", batch_id)
+        finally:
+            rows.unpersist()
 
     return write
 
 
+def touched_articles(spark: SparkSession, news: DataFrame, touched: DataFrame) -> DataFrame:
+    """The rows of ``news`` (partitioned by ``day``) of the touched (symbol, day)
+    pairs. The days are a partition filter; there are as many as the calendar has."""
+    days = [r.day for r in touched.select("day").distinct().collect()]
+    known = F.col("day").isin([d for d in days if d is not None])
+    rows = news.filter(known | F.col("day").isNull() if None in days else known)
+    pairs = touched.select(F.col("symbol").alias("_s"), F.col("day").alias("_d")).distinct()
+    return rows.join(pairs, F.col("ticker").eqNullSafe(F.col("_s")) & F.col("day").eqNullSafe(F.col("_d")), "left_semi")
+
+
+def combine_touched(spark: SparkSession, cfg: PipelineConfig, schemas: dict[str, T.StructType], load_id: int | None) -> None:
+    """The combine of a periodic run: the news of touched days become rows of
+    the daily sentiment table, new price rows rows of the bars table (both
+    :mod:`tickcast.sources.snapshots`, a part a month), and the touched symbols'
+    documents are made from these two daily tables. A symbol's model changes
+    with any of its bars, hence all its documents; no article of an untouched
+    day is read. Documents of an earlier run stay unless a newer one of their
+    day replaces them: fallback rows of a symbol whose first prices come later
+    are not taken back, as in the reference's append. With another split date every symbol counts as touched. A run
+    that failed is taken up by the next one: the batches since the last
+    finished run are its input."""
+    path = cfg.formatted
+    split = spark.range(1).select(as_of_date(cfg.as_of).alias("d")).first().d
+    last = spark.read.schema(RUNS).parquet(_folder(spark, f"{path}/runs")).orderBy(F.desc("run")).limit(1).collect()
+    run, seen = (last[0].run + 1, {"news": last[0].news, "prices": last[0].prices}) if last else (1, {"news": -1, "prices": -1})
+    fresh = (F.col("_batch") > F.when(F.col("kind") == "news", seen["news"]).otherwise(seen["prices"]))
+    touched = spark.read.schema(TOUCHED).parquet(_folder(spark, f"{path}/touched")).filter(fresh).persist()
+    try:
+        top = {r.kind: r.top for r in touched.groupBy("kind").agg(F.max("_batch").alias("top")).collect()}
+        moved = not last or last[0].as_of != split
+        if not top and not moved:
+            return
+        news = spark.read.schema(T.StructType([*schemas["news"].fields, T.StructField("_batch", T.LongType())])).parquet(_folder(spark, f"{path}/news"))
+        prices = spark.read.schema(T.StructType([*schemas["prices"].fields, T.StructField("_batch", T.LongType())])).parquet(_folder(spark, f"{path}/prices"))
+        day_news = touched_articles(spark, news.drop("_batch"), touched.filter("kind = 'news'"))
+        month = F.date_format("date", "yyyy-MM")
+        daily = merge_snapshot(spark, f"{path}/daily", landed_sentiment(day_news).withColumn("_run", F.lit(run).cast("long")),
+                               ["symbol", "date"], "_run", month, run)
+        new_bars = prices.filter(F.col("_batch") > seen["prices"]).drop("_batch")
+        bars = merge_snapshot(spark, f"{path}/bars", new_bars, ["symbol", "date"], FETCHED, month, run)
+        daily = daily.drop("_run")
+        if not moved:
+            own = touched.select(F.col("symbol").alias("_s")).distinct()
+            same = F.col("symbol").eqNullSafe(F.col("_s"))
+            daily, bars = daily.join(own, same, "left_semi"), bars.join(own, same, "left_semi")
+        # the bars table holds one row a symbol and day already
+        predicted = predict_next_close(bars.drop(FETCHED), cfg.as_of, persist=False)
+        out = combine(predicted, daily, cfg.quotes, "millis", cfg.now)
+        write_documents(out, cfg.documents, cfg.documents_mode, load_number(load_id))
+        done = [(run, top.get("news", seen["news"]), top.get("prices", seen["prices"]), split)]
+        spark.createDataFrame(done, RUNS).coalesce(1).write.mode("append").parquet(f"{path}/runs")
+        for name in ("daily", "bars"):
+            drop_old(spark, f"{path}/{name}")
+    finally:
+        touched.unpersist()
+
+
 def run_available_now(spark: SparkSession, cfg: PipelineConfig, load_id: int | None = None) -> list[StreamingQuery]:
     """Format only newly landed files (availableNow file streams with
-    checkpoints), then combine over the formatted tables and write
-    documents. Returns the finished streaming queries."""
-    done = []
+    checkpoints), then combine what they touched (:func:`combine_touched`) and
+    write documents. Returns the finished streaming queries."""
+    done, schemas = [], {}
     for kind, schema in (("news", RAW_NEWS), ("prices", RAW_PRICES)):
         src = (
             spark.readStream.schema(schema)
-            .json(f"{cfg.landing}/kind={kind}")
+            .json(_folder(spark, f"{cfg.landing}/kind={kind}"))
             .withColumn("_path", F.col("_metadata.file_path"))
         )
         src = _fetch_order(src) if kind == "prices" else _news_order(src)
+        schemas[kind] = _landed_rows(src, kind).schema
         q = (
-            src.writeStream.foreachBatch(_append_formatted(f"{cfg.formatted}/{kind}", kind))
+            src.writeStream.foreachBatch(_append_formatted(cfg.formatted, kind))
             .option("checkpointLocation", f"{cfg.checkpoint}/format_{kind}")
             .trigger(availableNow=True)
             .start()
         )
         q.awaitTermination()
         done.append(q)
-    news = spark.read.parquet(f"{cfg.formatted}/news")
-    prices = spark.read.parquet(f"{cfg.formatted}/prices")
-    write_documents(combine_formatted(spark, cfg, news, prices), cfg.documents, cfg.documents_mode, load_number(load_id))
+    combine_touched(spark, cfg, schemas, load_id)
     return done
-
