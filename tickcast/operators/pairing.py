@@ -53,11 +53,15 @@ def pair_latest_reset(
     empty: str | Column | None = None,
     chunk_size: int = DEFAULT_CHUNK,
     payload: bool = True,
+    held: list[DataFrame] | None = None,
 ) -> DataFrame:
     """Messages (key, seq unique per key, kind news|prices, value) → one row
     per emitted pair: (key, seq of the emitting message, news_seq,
     prices_seq) and, with ``payload``, news_value and prices_value. The scan
-    carries no payloads; they are joined to the emitted pairs by (key, seq)."""
+    carries no payloads; they are joined to the emitted pairs by (key, seq).
+    Frames persisted on the way are appended to ``held`` for the caller to
+    release once the pairs are written."""
+    held = [] if held is None else held
     is_empty = empty_payload(value) if empty is None else (F.col(empty) if isinstance(empty, str) else empty)
     m = messages.select(
         F.col(key).alias("_k"),
@@ -78,6 +82,7 @@ def pair_latest_reset(
     #    so they are persisted: the log is scanned and shuffled once.
     m = m.selectExpr("*", f"sum({news_empty}) {run} AS _en", f"sum({prices_empty}) {run} AS _ep")
     m = m.persist(StorageLevel.MEMORY_AND_DISK)
+    held.append(m)
 
     # 2. per chunk: empty totals and its last non-empty message
     chunks = m.groupBy("_k", "_chunk").agg(
@@ -115,6 +120,7 @@ def pair_latest_reset(
     ne = ne.selectExpr("*", f"sum(CAST(NOT _c AS BIGINT)) {run} AS _zeros")
     ne = ne.selectExpr("*", "row_number() OVER (PARTITION BY _k, _chunk, _zeros ORDER BY _seq) AS _pos")
     ne = ne.persist(StorageLevel.MEMORY_AND_DISK)
+    held.append(ne)
 
     # 5. island parity entering each chunk: position of the previous
     #    non-empty chunk's last message inside its island (mod 2)

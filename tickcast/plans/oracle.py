@@ -373,3 +373,23 @@ comb AS (
          '{now}' AS timestamp, q.current_price AS current_price
   FROM inner_rows i LEFT JOIN quotes q ON split_part(i.pkey, '#', 1) = q.symbol)
 {documents_select('comb')}"""
+
+
+def late_articles(daily: str, items: int) -> str:
+    """Daily sentiment with the articles in time and late, where the articles
+    come in three portions of document blocks and a day's watermark."""
+    return (
+        with_(EV, EV_NEWS, f"""part AS (
+  SELECT *, (event_id // {items}) % 3 AS portion FROM news),
+marks AS (
+  SELECT p.portion, (SELECT max(time_published) FROM part e WHERE e.portion < p.portion) AS latest
+  FROM (SELECT DISTINCT portion FROM part) p),
+split AS (
+  SELECT ticker, CAST(time_published AS DATE) AS day,
+         coalesce(CAST(time_published AS DATE) + INTERVAL 1 DAY <= latest - INTERVAL 1 DAY, false) AS is_late
+  FROM part JOIN marks USING (portion))""")
+        + f"""SELECT d.*, c.in_time, c.late
+FROM ({daily}) d JOIN (
+  SELECT ticker, {iso_date('day')} AS day, count(*) FILTER (NOT is_late) AS in_time, count(*) FILTER (is_late) AS late
+  FROM split GROUP BY ALL) c ON d.symbol = c.ticker AND d.date = c.day"""
+    )

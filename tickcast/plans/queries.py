@@ -530,6 +530,7 @@ def oracle_sql() -> dict[str, str]:
     o["stream_format_news"] = o["format_news"]
     o["stream_format_prices"] = o["format_prices"]
     o["stream_daily_sentiment"] = o["daily_sentiment"]
+    o["stream_late"] = O.late_articles(o["daily_sentiment"], proxy.ITEMS_PER_DOCUMENT)
     o["stream_pair"] = o["pair_latest_reset"]
     o["run_batch_available_now"] = o["documents"]
     o["run_batch"] = o["documents"]

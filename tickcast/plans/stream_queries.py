@@ -23,9 +23,11 @@ from tickcast.plans.queries import (
 from tickcast.session import scratch_path, session_conf, stream_settings
 from tickcast.sources import proxy
 from tickcast.sources.documents import news_rows, price_rows
-from tickcast.sources.sinks import DOCUMENT_STORED, land, read_documents
+from tickcast.schemas import MESSAGE
+from tickcast.sources.sinks import DOCUMENT_STORED, land, read_documents, write_batch
 from tickcast.streaming.formatting import format_stream
-from tickcast.streaming.pairing import pair_stream
+from tickcast.streaming.late import late_sink, partial_daily, read_daily, read_late, read_partials
+from tickcast.streaming.pairing import pair_batches
 from tickcast.streaming.jobs import (
     PipelineConfig,
     StreamConfig,
@@ -120,30 +122,48 @@ def q_stream_daily_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_daily(latest_rows(spark, f"{base}/daily", ["symbol", "date"]))
 
 
-def _pair_messages(spark: SparkSession, sf_dir: str, path: str) -> None:
-    log = proxy.event_messages(spark, sf_dir).withColumn(
-        "topic", F.when(F.col("kind") == "news", F.lit(FORMAT_NEWS)).otherwise(F.lit(FORMAT_PRICES))
-    )
-    msgs = log.select(
-        F.col("symbol").alias("key"), "value", "topic", F.col("seq").alias("offset"), "timestamp"
-    )
-    write_message_files(msgs, path)
+def q_stream_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The message log in three portions, each a run of micro-batches that
+    take up the open slots of the ones before; equals the batch pair-and-reset."""
+    base = scratch_path(spark, "stream")
+    topic = F.when(F.col("kind") == "news", F.lit(FORMAT_NEWS)).otherwise(F.lit(FORMAT_PRICES))
+    log = proxy.event_messages(spark, sf_dir).withColumn("topic", topic)
+    msgs = log.select(F.col("symbol").alias("key"), "value", "topic", F.col("seq").alias("offset"), "timestamp")
+    end = msgs.agg(F.max("offset")).first()[0] or 0
 
+    def keep(pairs: DataFrame, batch_id: int) -> None:
+        write_batch(pairs.select("symbol", "seq", "news_seq", "prices_seq"), f"{base}/pairs", batch_id)
 
-def q_stream_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keyed two-slot state (applyInPandasWithState) over the message
-    log; equals the batch pair-and-reset."""
+    for i in range(3):
+        part = F.least(F.floor(F.col("offset") * 3 / F.lit(end + 1)), F.lit(2)) == i
+        write_message_files(msgs.filter(part), f"{base}/messages")
+        src = topic_stream(spark, [FORMAT_NEWS, FORMAT_PRICES], path=f"{base}/messages")
+        pairs = pair_batches(f"{base}/slots", keep)
+        _run(src.writeStream.foreachBatch(pairs).option("checkpointLocation", f"{base}/ckpt/pairs").trigger(availableNow=True).start())
+    schema = "symbol string, seq long, news_seq long, prices_seq long"
+    return spark.read.schema(schema).parquet(f"{base}/pairs").select("symbol", "seq", "news_seq", "prices_seq")
+
+
+def q_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """News messages out of order in three portions; articles of days closed
+    by a day's watermark go to the late table. Daily sentiment over both, and
+    how many articles were in time and late."""
     base = scratch_path(spark, "stream")
-    _pair_messages(spark, sf_dir, f"{base}/messages")
-    src = topic_stream(spark, [FORMAT_NEWS, FORMAT_PRICES], path=f"{base}/messages")
-    pairs = pair_stream(src)
-    q = (
-        pairs.writeStream.format("parquet").option("path", f"{base}/pairs")
-        .option("checkpointLocation", f"{base}/ckpt/pairs").outputMode("append")
-        .trigger(availableNow=True).start()
-    )
-    _run(q)
-    return spark.read.parquet(f"{base}/pairs").select("symbol", "seq", "news_seq", "prices_seq")
+    docs = proxy.event_news_documents(spark, sf_dir)
+    sink = late_sink(f"{base}/news", "1 day")
+    for i in range(3):
+        part = docs.filter(F.col("block") % 3 == i)
+        write_message_files(as_messages(part, INGEST_NEWS, "symbol", "value", "seq", "fetched_at"), f"{base}/ingest")
+        # one micro-batch a portion
+        formatted, _ = format_stream(topic_stream(spark, [INGEST_NEWS], path=f"{base}/ingest", max_per_trigger=1 << 30))
+        rows = news_rows(formatted)
+        _run(rows.writeStream.foreachBatch(sink).option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+    daily = report_daily(read_daily(spark, f"{base}/news", with_late=True))
+    late = partial_daily(read_late(spark, f"{base}/news").drop("_batch"))
+    both = read_partials(spark, f"{base}/news").select("symbol", "date", F.col("articles").alias("in_time"), F.lit(0).alias("late"))
+    both = both.unionByName(late.select("symbol", "date", F.lit(0).alias("in_time"), F.col("articles").alias("late")))
+    counts = both.groupBy(F.col("symbol").alias("_s"), F.date_format("date", "yyyy-MM-dd").alias("_d")).agg(F.sum("in_time").alias("in_time"), F.sum("late").alias("late"))
+    return daily.join(counts, F.col("symbol").eqNullSafe(F.col("_s")) & F.col("date").eqNullSafe(F.col("_d"))).drop("_s", "_d")
 
 
 def q_stream_combine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,9 +174,9 @@ def q_stream_combine(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "stream")
     quotes = latest_quotes(proxy.quote_payloads(proxy.event_bars(spark, sf_dir)))
     src = topic_stream(spark, [FORMAT_NEWS, FORMAT_PRICES], path=formatted)
+    combined = combine_sink(f"{base}/documents", f"{base}/combined", quotes, STREAM_AS_OF, NOW)
     q = (
-        pair_stream(src).writeStream
-        .foreachBatch(combine_sink(f"{base}/documents", f"{base}/combined", quotes, STREAM_AS_OF, NOW))
+        src.writeStream.foreachBatch(pair_batches(f"{base}/slots", combined))
         .option("checkpointLocation", f"{base}/ckpt/combine").trigger(availableNow=True).start()
     )
     _run(q)
@@ -170,11 +190,16 @@ def _streamed_documents(spark: SparkSession, path: str) -> DataFrame:
 
 def q_stream_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole streaming pipeline over message files;
-    documents come from the combined messages."""
+    documents come from the combined messages. These are then all written once
+    more, as a repeated micro-batch does to a topic, which changes no document."""
     base = scratch_path(spark, "stream")
     _ingest_messages(spark, sf_dir, f"{base}/messages/ingest", proxy.event_price_fetches(spark, sf_dir))
     quotes = latest_quotes(proxy.quote_payloads(proxy.event_bars(spark, sf_dir)))
     cfg = StreamConfig(f"{base}/messages", f"{base}/documents", f"{base}/ckpt", quotes=quotes, as_of=STREAM_AS_OF, now=NOW)
+    for q in start_stream(spark, cfg, {"availableNow": True}):
+        _run(q)
+    again = spark.read.schema(MESSAGE).json(f"{cfg.messages}/combined")
+    again.write.mode("append").json(f"{cfg.messages}/combined/_batch=-1")
     for q in start_stream(spark, cfg, {"availableNow": True}):
         _run(q)
     return _streamed_documents(spark, cfg.documents)
@@ -246,6 +271,7 @@ STREAM_QUERIES = {
     "stream_format_prices": _sized(q_stream_format_prices),
     "stream_daily_sentiment": _sized(q_stream_daily_sentiment),
     "stream_pair": _sized(q_stream_pair),
+    "stream_late": _sized(q_stream_late),
     "stream_combine": _sized(q_stream_combine),
     "stream_pipeline": _sized(q_stream_pipeline),
     "run_batch_available_now": _sized(q_run_batch_available_now),

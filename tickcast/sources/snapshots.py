@@ -32,15 +32,15 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
-    """Versions with a complete manifest, rising."""
-    names = [n for n in children(spark, f"{path}/manifest") if n.startswith("v=")]
-    return sorted(int(n[2:]) for n in names if "_SUCCESS" in children(spark, f"{path}/manifest/{n}"))
+    """The n of completely written ``path/v=<n>`` folders, rising."""
+    names = [n for n in children(spark, path) if n.startswith("v=")]
+    return sorted(int(n[2:]) for n in names if "_SUCCESS" in children(spark, f"{path}/{n}"))
 
 
 def manifest(spark: SparkSession, path: str, version: int | None = None) -> dict[str, int]:
     """{part: version that holds it} of the newest version, or of the newest
     one up to ``version``. One entry a part, so its size is the calendar's."""
-    known = [v for v in versions(spark, path) if version is None or v <= version]
+    known = [v for v in versions(spark, f"{path}/manifest") if version is None or v <= version]
     if not known:
         return {}
     rows = spark.read.schema("part string, held long").parquet(f"{path}/manifest/v={known[-1]}").collect()
@@ -97,7 +97,7 @@ def merge_snapshot(
 def drop_old(spark: SparkSession, path: str, keep: int = 2) -> None:
     """Remove what no manifest of the last ``keep`` versions names; a reader
     that began under one of these still finds its files."""
-    known = versions(spark, path)
+    known = versions(spark, f"{path}/manifest")
     used = {(v, p) for n in known[-keep:] for p, v in manifest(spark, path, n).items()}
     for name in children(spark, f"{path}/data"):
         v = int(name.split("=", 1)[1])

@@ -33,7 +33,7 @@ from tickcast.sources.documents import combined_rows, explode_row_batches
 from tickcast.sources.sinks import to_messages, write_batch, write_documents, write_parquet
 from tickcast.sources.snapshots import drop_old, merge_snapshot
 from tickcast.streaming.formatting import format_stream
-from tickcast.streaming.pairing import pair_stream
+from tickcast.streaming.pairing import pair_batches
 from tickcast.streaming.sources import COMBINED, FORMAT_NEWS, FORMAT_PRICES, INGEST_NEWS, INGEST_PRICES, topic_stream, write_topic
 
 PAIR_SEP = "#"
@@ -125,7 +125,9 @@ def combine_sink(documents: str | None, messages: str | None = None, quotes: Dat
                  as_of: str | None = None, now: str | None = None, bootstrap_servers: str | None = None):
     """T5 (+S9): foreachBatch function writing the combined rows of each
     micro-batch as per-symbol documents, as message files, or both; with
-    ``bootstrap_servers`` the messages go to the combined topic instead."""
+    ``bootstrap_servers`` the messages go to the combined topic instead. A
+    message carries its ``pair_seq``: a repeated micro-batch writes to a topic
+    again, and the consumer drops the copies (:func:`once`)."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()  # else each branch runs the pairing state again
@@ -133,7 +135,7 @@ def combine_sink(documents: str | None, messages: str | None = None, quotes: Dat
         try:
             if documents:
                 write_documents(out.drop("pair_seq"), documents, mode="append", batch_id=batch_id)
-            msgs = to_messages(out.drop("pair_seq"), "symbol")
+            msgs = to_messages(out, "symbol").withColumn("timestamp", F.current_timestamp())
             if bootstrap_servers:
                 write_topic(msgs, COMBINED, bootstrap_servers)
             elif messages:
@@ -159,7 +161,8 @@ class StreamConfig:
     quotes: DataFrame | None = None  # (symbol, current_price)
     as_of: str | None = None
     now: str | None = None
-    max_per_trigger: int | None = None  # bounds a micro-batch, the first one too
+    max_per_trigger: int | None = None  # bounds a micro-batch, the first one too (None: topic_stream's default)
+    replay_within: str = "1 hour"  # how late a topic message may come again
 
 
 def _folder(spark: SparkSession, path: str) -> str:
@@ -169,6 +172,18 @@ def _folder(spark: SparkSession, path: str) -> str:
     return path
 
 
+def once(messages: DataFrame, within: str = "1 hour") -> DataFrame:
+    """Combined messages (streaming), each (symbol, pair, date) once: copies
+    that follow within ``within`` of the first, by message time, are dropped.
+    State is one key a message, for that long. Messages without a ``pair_seq``
+    have no identity and all pass."""
+    field = lambda name: F.get_json_object("value", f"$.{name}")
+    ident = F.to_json(F.array(field("symbol"), field("pair_seq"), field("date")))
+    own = F.when(field("pair_seq").isNull(), F.uuid()).otherwise(ident)
+    timed = messages.withColumn("timestamp", F.coalesce("timestamp", F.current_timestamp())).withColumn("_id", own)
+    return timed.withWatermark("timestamp", within).dropDuplicatesWithinWatermark(["_id"]).drop("_id")
+
+
 def index_sink(documents: str):
     """T5: foreachBatch function writing combined messages as documents, one
     per message (append, as the reference)."""
@@ -208,10 +223,11 @@ def start_stream(spark: SparkSession, cfg: StreamConfig, trigger: dict | None =
 
     # offsets order one topic partition; the broker's time orders both topics
     seq = F.unix_micros("timestamp") if cfg.bootstrap_servers else "offset"
-    pairs = pair_stream(source([FORMAT_NEWS, FORMAT_PRICES], "formatted"), seq=seq)
     combined = combine_sink(None, f"{cfg.messages}/combined", cfg.quotes, cfg.as_of, cfg.now, cfg.bootstrap_servers)
-    start(pairs.writeStream.foreachBatch(combined), "combine")
-    start(source([COMBINED], "combined").writeStream.foreachBatch(index_sink(cfg.documents)), "index")
+    pairs = pair_batches(f"{cfg.checkpoint}/slots", combined, seq=seq)
+    start(source([FORMAT_NEWS, FORMAT_PRICES], "formatted").writeStream.foreachBatch(pairs), "combine")
+    messages = once(source([COMBINED], "combined"), cfg.replay_within)
+    start(messages.writeStream.foreachBatch(index_sink(cfg.documents)), "index")
     return started
 
 

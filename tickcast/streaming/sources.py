@@ -21,6 +21,12 @@ FORMAT_PRICES = "format_prices_topic"
 COMBINED = "combine_data_topic"
 
 
+# A micro-batch takes at most this many messages of a topic, or message files,
+# the first one over a long log too.
+MAX_OFFSETS = 1_000_000
+MAX_FILES = 1000
+
+
 def topic_stream(
     spark: SparkSession,
     topics: list[str],
@@ -29,7 +35,8 @@ def topic_stream(
     starting_offsets: str = "earliest",
     max_per_trigger: int | None = None,
 ) -> DataFrame:
-    """One streaming frame over several topics."""
+    """One streaming frame over several topics. ``max_per_trigger`` bounds a
+    micro-batch in messages (topics) or files; default MAX_OFFSETS, MAX_FILES."""
     if bootstrap_servers:
         reader = (
             spark.readStream.format("kafka")
@@ -37,8 +44,7 @@ def topic_stream(
             .option("subscribe", ",".join(topics))
             .option("startingOffsets", starting_offsets)
         )
-        if max_per_trigger:
-            reader = reader.option("maxOffsetsPerTrigger", str(max_per_trigger))
+        reader = reader.option("maxOffsetsPerTrigger", str(max_per_trigger or MAX_OFFSETS))
         raw = reader.load()
         return raw.select(
             F.col("key").cast("string").alias("key"),
@@ -50,8 +56,7 @@ def topic_stream(
     if path is None:
         raise ValueError("topic_stream needs bootstrap_servers or a message folder path")
     reader = spark.readStream.schema(MESSAGE).option("recursiveFileLookup", "true")
-    if max_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_per_trigger))
+    reader = reader.option("maxFilesPerTrigger", str(max_per_trigger or MAX_FILES))
     return reader.json(path).filter(F.col("topic").isin(topics))
 
 
