@@ -361,6 +361,29 @@ def test_pii_candidates_of_long_texts():
     assert len(pii.candidates(many, pii.base_spans(many))) > 1000 and time.process_time() - began < 30
 
 
+def test_pii_finds_hidden_marks_of_held_out_texts():
+    import pyarrow.parquet as pq
+
+    texts = sorted({t for t in pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"])["text"].to_pylist() if t})
+    held = [t for t in texts if zlib.crc32(t.encode()) % 2]
+    nodes = [pii.training_nodes(t) for t in texts if not zlib.crc32(t.encode()) % 2]
+    model = pii.SkipChain.fit([n for n in nodes if n][: pii.TRAIN_DOCS])
+    assert model.skip[1, 1] > 0.2 and model.skip[4, 4] > 0.2  # learned
+    assert not any(model.added(t, pii.base_spans(t)) for t in held)  # decoys stay
+    found = {"place": 0, "repeat": 0}
+    total = wrong = 0
+    for n, text in enumerate(held):
+        spans = [x for x in pii.base_spans(text) if x[1] in (0, 3)]
+        if spans:
+            s, kind, e = spans[n % len(spans)]
+            bare, total = pii.unmarked(text[s:e], kind, n), total + 1
+            for way, new, at in (("place", text[:s] + bare + text[e:], s), ("repeat", f"{text} und {bare} so", len(text) + 5)):
+                got = model.added(new, pii.base_spans(new))
+                hit = (at, kind, at + len(bare)) in got
+                found[way], wrong = found[way] + hit, wrong + len(got) - hit
+    assert total > 100 and found["place"] >= 0.85 * total and found["repeat"] >= 0.97 * total and wrong <= 0.03 * total
+
+
 def test_pii_field(spark, odd, none):
     with arrow_settings(spark):
         model = pii.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))

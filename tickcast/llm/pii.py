@@ -9,8 +9,16 @@ neighbours; skip edges join a candidate to the next one with the same key
 gives the marginals; a candidate whose best kind is sure becomes a span, so a
 number written once with its marks is found where it stands without them.
 
-The field is trained on the base spans of at most TRAIN_DOCS documents (the
-smallest text hashes with a candidate); every text is read whole.
+The patterns can't teach what they miss. So training hides the marks of half of
+the phones and e-mails among the base spans (the plus sign, the separators, the
+end of the domain): a hidden one keeps its label, has the features of the
+unmarked form, and stands in place of the span or beside it as a repeat. Node
+weights and skip potentials are fitted together by pseudo-likelihood on these
+and on the candidates that are no base spans.
+
+The field is trained on at most TRAIN_DOCS documents (the smallest text hashes
+with a candidate), the first TRAIN_NODES nodes of each; a document to be searched
+is read whole, with all its nodes.
 """
 
 from __future__ import annotations
@@ -31,6 +39,7 @@ from tickcast.llm.common import arrow_settings, stage
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
 TRAIN_DOCS = 2000
+TRAIN_NODES = 256
 FEATURES = 256
 SURE = 0.9
 ROUNDS = 12
@@ -133,26 +142,46 @@ def possible(own: str, kind: int) -> bool:
 
 def features(text: str, start: int, end: int) -> list[int]:
     """Hashed feature numbers of a node."""
-    own = text[start:end]
-    digits = NOT_DIGIT.sub("", own)
-    before = text[max(0, start - 40) : start].split()
+    return features_of(text[start:end], text[max(0, start - 40) : start])
+
+
+def features_of(own: str, before: str) -> list[int]:
+    digits, words = NOT_DIGIT.sub("", own), before.split()
     names = [
         "bias",
         f"digits {len(digits)}",
-        f"signs {''.join(sorted(set(re.sub('[0-9A-Za-z]', '', own[:64]))))}",
+        f"signs {''.join(sorted(set(re.sub('[0-9A-Za-z]', '', own))))}",
         f"at {own.count('@')}",
         f"dots {min(own.count('.'), 4)}",
-        f"luhn {bool(digits) and luhn(digits[:32])}",
+        f"luhn {bool(digits) and luhn(digits)}",
         f"first {own[0] if not own[0].isalnum() else 'x'}",
-        f"before {before[-1].lower() if before else ''}",
+        f"before {words[-1].lower() if words else ''}",
     ]
     return [zlib.crc32(x.encode()) % FEATURES for x in names]
 
 
-def key_of(text: str, start: int, end: int) -> str:
-    own = text[start:end].lower()
+def key_of(own: str) -> str:
+    """What repeats of a node have in common: the name before the @, the last
+    nine digits of a number, else the text."""
+    if "@" in own:
+        name = own.partition("@")[0]
+        at = len(name)
+        while at and name[at - 1] in LOCAL_CHARS:
+            at -= 1
+        return name[at:].lower() + "@"
+    digits = NOT_DIGIT.sub("", own)
+    return digits[-9:] if len(digits) >= 7 else own.lower()
+
+
+def unmarked(own: str, kind: int, form: int) -> str | None:
+    """A phone or e-mail as it may stand without its marks; None for others."""
+    if kind == 0:
+        name, _, domain = own.partition("@")
+        return f"{name}@{domain.partition('.')[0]}"
+    if kind != 3:
+        return None
     digits = NOT_DIGIT.sub("", own)
-    return digits[-9:] if len(digits) >= 7 else own
+    return [own[1:], digits, f"{digits[-10:-7]}-{digits[-7:-4]}-{digits[-4:]}"][form % 3 if len(digits) >= 10 else form % 2]
 
 
 class SkipChain:
@@ -162,33 +191,48 @@ class SkipChain:
         self.weights, self.chain, self.skip = weights, chain, skip
 
     @classmethod
-    def fit(cls, docs: list[list[tuple[list[int], int, str]]], steps: int = 200) -> SkipChain:
-        """From nodes (features, label, key) of labelled documents."""
+    def fit(cls, docs: list[list[tuple[list[int], int, str, bool]]], steps: int = 300, rate: float = 2.0) -> SkipChain:
+        """From nodes (features, label, key, hidden) of labelled documents. Nodes
+        that a text to be searched may hold unlabelled are fitted: hidden base
+        spans and candidates of label none; the labels beside them are given."""
         n = len(LABELS)
-        nodes = [x for d in docs for x in d]
-        if not nodes:
+        flat, labels, beside, chained = [], [], [], []
+        pairs, prior = Counter(), np.ones(n)
+        for d in docs:
+            pairs.update((a[1], b[1]) for a, b in zip(d, d[1:]))
+            at: dict[str, list[int]] = {}
+            for i, (_, label, key, _) in enumerate(d):
+                prior[label] += 1
+                at.setdefault(key, []).append(i)
+            near: dict[int, list[int]] = {}
+            for same in at.values():
+                for a, b in zip(same, same[1:]):
+                    near.setdefault(a, []).append(b)
+                    near.setdefault(b, []).append(a)
+            for i, (f, label, _, hidden) in enumerate(d):
+                if hidden or not label:
+                    flat.append(f)
+                    labels.append(label)
+                    beside.append([d[j][1] for j in near.get(i, [])])
+                    chained.append((d[i - 1][1] if i else -1, d[i + 1][1] if i + 1 < len(d) else -1))
+        if not flat:
             return cls(np.zeros((FEATURES, n)), np.zeros((n, n)), np.zeros((n, n)))
-        x = np.zeros((len(nodes), FEATURES))
-        for i, (f, _, _) in enumerate(nodes):
+        table = np.array([[pairs[a, b] + 1.0 for b in range(n)] for a in range(n)])
+        chain = np.clip(np.log(table / table.sum()) - np.log(np.outer(prior, prior) / prior.sum() ** 2), -1, 1)
+        x, k, given = np.zeros((len(flat), FEATURES)), np.zeros((len(flat), n)), np.zeros((len(flat), n))
+        for i, f in enumerate(flat):
             x[i, f] = 1
-        y = np.eye(n)[[label for _, label, _ in nodes]]
-        w = np.zeros((FEATURES, n))
-        rate = 4.0
+            for label in beside[i]:
+                k[i, label] += 1
+            left, right = chained[i]
+            given[i] = (chain[left] if left >= 0 else 0) + (chain[:, right] if right >= 0 else 0)
+        y = np.eye(n)[labels]
+        w, s = np.zeros((FEATURES, n)), np.zeros(n)
         for _ in range(steps):
-            z = x @ w
-            p = np.exp(z - z.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
+            p = softmax(x @ w + k * s + given)
             w -= rate * (x.T @ (p - y) / len(x) + 1e-3 * w)
-        pairs, prior = Counter(), y.sum(0) + 1
-        for d in docs:
-            pairs.update((a[1], b[1]) for a, b in zip(d, d[1:]))
-        table = np.array([[pairs[a, b] + 1.0 for b in range(n)] for a in range(n)])
-        chain = np.log(table / table.sum()) - np.log(np.outer(prior, prior) / prior.sum() ** 2)
-        # the same key has the same kind; an observed kind outweighs the missing marks
-        skip = np.full((n, n), 0.0)
-        np.fill_diagonal(skip, 1.0)
-        skip[1:, 1:] += np.eye(n - 1) * 11.0
-        return cls(w, np.clip(chain, -1, 1), skip)
+            s -= rate * ((k * (p - y)).sum(0) / len(x) + 1e-3 * s)
+        return cls(w, chain, np.diag(s))
 
     def marginals(self, feats: list[list[int]], labels: list[int], keys: list[str]) -> np.ndarray:
         """Loopy message passing; an observed label (> 0) is clamped."""
@@ -227,7 +271,7 @@ class SkipChain:
         nodes = candidates(text, base)
         if all(x[2] for x in nodes):
             return []
-        p = self.marginals([features(text, s, e) for s, e, _ in nodes], [x[2] for x in nodes], [key_of(text, s, e) for s, e, _ in nodes])
+        p = self.marginals([features(text, s, e) for s, e, _ in nodes], [x[2] for x in nodes], [key_of(text[s:e]) for s, e, _ in nodes])
         best = p.argmax(1)
         return [(s, int(b) - 1, e) for (s, e, label), b, q in zip(nodes, best, p) if not label and b and q[b] >= SURE and possible(text[s:e], int(b) - 1)]
 
@@ -242,18 +286,35 @@ def log_sum(x: np.ndarray) -> np.ndarray:
     return top + np.log(np.exp(x - top[:, None, :]).sum(1))
 
 
+def training_nodes(text: str) -> list[tuple[list[int], int, str, bool]]:
+    """(features, label, key, hidden) of the nodes of a training text."""
+    out = []
+    for start, end, label in candidates(text, base_spans(text))[:TRAIN_NODES]:
+        own, before = text[start:end], text[max(0, start - 40) : start]
+        code = zlib.crc32(f"{own} {start}".encode())
+        bare = unmarked(own, label - 1, code >> 2) if label else None
+        if bare is None or code % 4:  # stands as it is
+            out.append((features_of(own, before), label, key_of(own), False))
+        if bare is not None and code % 4 < 2:  # hidden in its place (0), or a repeat beside it (1)
+            out.append((features_of(bare, before), label, key_of(bare), True))
+    return out
+
+
 def labelled_nodes(batches):
     """mapInArrow: texts -> nodes of those that have any, for training."""
     for batch in batches:
-        h, feats, labels, keys = [], [], [], []
+        h, feats, labels, keys, hidden = [], [], [], [], []
         for code, text in zip(batch.column("h").to_pylist(), batch.column("text").to_pylist()):
-            nodes = candidates(text, base_spans(text))[:256]  # of one training text
+            nodes = training_nodes(text)
             if nodes:
                 h.append(code)
-                feats.append([x for s, e, _ in nodes for x in features(text, s, e)])
-                labels.append([x for _, _, x in nodes])
-                keys.append([zlib.crc32(key_of(text, s, e).encode()) for s, e, _ in nodes])
-        yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(feats, pa.list_(pa.int32())), pa.array(labels, pa.list_(pa.int32())), pa.array(keys, pa.list_(pa.int64()))], names=["h", "feats", "labels", "keys"])
+                feats.append([x for f, _, _, _ in nodes for x in f])
+                labels.append([x for _, x, _, _ in nodes])
+                keys.append([zlib.crc32(x.encode()) for _, _, x, _ in nodes])
+                hidden.append([x for _, _, _, x in nodes])
+        types = (pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.bool_()))
+        cols = [pa.array(v, t) for v, t in zip((h, feats, labels, keys, hidden), types)]
+        yield pa.RecordBatch.from_arrays(cols, names=["h", "feats", "labels", "keys", "hidden"])
 
 
 def train(docs: DataFrame) -> SkipChain:
@@ -261,9 +322,12 @@ def train(docs: DataFrame) -> SkipChain:
     low = texts.select("h").distinct().orderBy("h").limit(TRAIN_DOCS).agg(F.max("h")).first()[0]
     if low is None:
         return SkipChain.fit([])
-    rows = texts.filter(F.col("h") <= low).dropDuplicates(["h"]).mapInArrow(labelled_nodes, "h long, feats array<int>, labels array<int>, keys array<long>")
-    got = sorted((r.h, r.feats, r.labels, r.keys) for r in rows.collect())
-    return SkipChain.fit([[(f[8 * i : 8 * i + 8], x, str(k)) for i, (x, k) in enumerate(zip(labels, keys))] for _, f, labels, keys in got])
+    schema = "h long, feats array<int>, labels array<int>, keys array<long>, hidden array<boolean>"
+    rows = texts.filter(F.col("h") <= low).dropDuplicates(["h"]).mapInArrow(labelled_nodes, schema)
+    got = sorted((r.h, r.feats, r.labels, r.keys, r.hidden) for r in rows.collect())
+    return SkipChain.fit(
+        [[(f[8 * i : 8 * i + 8], x, str(k), m) for i, (x, k, m) in enumerate(zip(labels, keys, hidden))] for _, f, labels, keys, hidden in got]
+    )
 
 
 def written(spans: list[tuple[int, int, int]]) -> str:
