@@ -38,6 +38,7 @@ from tickcast.functions.scalar import symbol_from_path
 from tickcast.operators.pairing import pair_latest_reset
 from tickcast.operators.recent import recent_news
 from tickcast.session import scratch_path
+from tickcast.sources.compaction import compact_documents
 from tickcast.sources.documents import (
     news_rows,
     parse_news,
@@ -343,6 +344,25 @@ def q_upsert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_combined(docs, keep=["index"])
 
 
+def q_compacted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loads of ``upsert_documents``, the full one in three parts by
+    date, with a compaction after each load but the last."""
+    bars = proxy.event_bars(spark, sf_dir)
+    quotes = latest_quotes(proxy.quote_payloads(bars))
+    daily = daily_sentiment(proxy.event_news(spark, sf_dir))
+    path = scratch_path(spark, "documents")
+    first = combine(None, daily, quotes, processing="millis", now=NOW_EARLIER)
+    write_documents(first, path, mode="upsert", load_id=1)
+    compact_documents(spark, path)
+    second = combine(predict_next_close(bars, EV_AS_OF), daily, quotes, processing="millis", now=NOW)
+    part = F.coalesce(F.pmod(F.dayofmonth("date"), F.lit(3)), F.lit(0))
+    for i in range(3):
+        write_documents(second.filter(part == i), path, mode="upsert", load_id=2 + i)
+        if i < 2:
+            compact_documents(spark, path)
+    return report_combined(read_documents(spark, path), keep=["index"])
+
+
 def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T6 + T7: messages routed as the stream routes them; those set aside are
     counted by reason instead of stopping the consumer."""
@@ -410,6 +430,7 @@ QUERIES: dict[str, Query] = {
     "ticker_from_path": q_ticker_from_path,
     "documents": q_documents,
     "upsert_documents": q_upsert_documents,
+    "compacted_documents": q_compacted_documents,
     "quarantine": q_quarantine,
     "landed_quarantine": q_landed_quarantine,
     "landing_stamps": q_landing_stamps,
@@ -526,12 +547,15 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     o = _oracles()
+    o["compacted_documents"] = o["upsert_documents"]
     o["predict_incremental"] = o["predict_next_close"]
     o["stream_format_news"] = o["format_news"]
     o["stream_format_prices"] = o["format_prices"]
     o["stream_daily_sentiment"] = o["daily_sentiment"]
     o["stream_late"] = O.late_articles(o["daily_sentiment"], proxy.ITEMS_PER_DOCUMENT)
     o["stream_pair"] = o["pair_latest_reset"]
+    o["stream_reorder"] = o["pair_latest_reset"]
+    o["stream_recent"] = o["recent_news_topk"]
     o["run_batch_available_now"] = o["documents"]
     o["run_batch"] = o["documents"]
     o["periodic_runs"] = o["documents"]

@@ -14,6 +14,8 @@ from tickcast.plans.queries import (
     EV_AS_OF,
     STREAM_AS_OF,
     NOW,
+    RECENT_FROM,
+    RECENT_LIMIT,
     iso_time,
     report_bars,
     report_combined,
@@ -28,6 +30,8 @@ from tickcast.sources.sinks import DOCUMENT_STORED, land, read_documents, write_
 from tickcast.streaming.formatting import format_stream
 from tickcast.streaming.late import late_sink, partial_daily, read_daily, read_late, read_partials
 from tickcast.streaming.pairing import pair_batches
+from tickcast.streaming.recent import read_recent, recent_sink
+from tickcast.streaming.reorder import flush, reorder_batches
 from tickcast.streaming.jobs import (
     PipelineConfig,
     StreamConfig,
@@ -144,6 +148,46 @@ def q_stream_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{base}/pairs").select("symbol", "seq", "news_seq", "prices_seq")
 
 
+def q_stream_reorder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The message log in three portions with every message moved by up
+    to 400 places, put in order by time again ahead of pairing; equals the batch
+    pair-and-reset. A message's time is its place in the log, in seconds."""
+    base = scratch_path(spark, "stream")
+    topic = F.when(F.col("kind") == "news", F.lit(FORMAT_NEWS)).otherwise(F.lit(FORMAT_PRICES))
+    log = proxy.event_messages(spark, sf_dir).withColumn("topic", topic)
+    msgs = log.select(F.col("symbol").alias("key"), "value", "topic", F.col("seq").alias("offset"), F.timestamp_seconds("seq").alias("timestamp"))
+    end = msgs.agg(F.max("offset")).first()[0] or 0
+    place = F.col("offset") + F.pmod(F.xxhash64("offset"), F.lit(400))
+
+    def keep(pairs: DataFrame, batch_id: int) -> None:
+        write_batch(pairs.select("symbol", "seq", "news_seq", "prices_seq"), f"{base}/pairs", batch_id)
+
+    pairs = pair_batches(f"{base}/slots", keep)
+    for i in range(3):
+        part = F.least(F.floor(place * 3 / F.lit(end + 400)), F.lit(2)) == i
+        write_message_files(msgs.filter(part), f"{base}/messages")
+        src = topic_stream(spark, [FORMAT_NEWS, FORMAT_PRICES], path=f"{base}/messages")
+        ordered = reorder_batches(f"{base}/buffer", pairs, "400 seconds")
+        _run(src.writeStream.foreachBatch(ordered).option("checkpointLocation", f"{base}/ckpt/pairs").trigger(availableNow=True).start())
+    flush(spark, f"{base}/buffer", pairs)
+    schema = "symbol string, seq long, news_seq long, prices_seq long"
+    return spark.read.schema(schema).parquet(f"{base}/pairs").select("symbol", "seq", "news_seq", "prices_seq")
+
+
+def q_stream_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles in three portions in no order of time; the newest 200
+    of each ticker since the start of a day from the lists kept by day."""
+    base = scratch_path(spark, "stream")
+    news = proxy.event_news(spark, sf_dir, with_id=True)
+    sink = recent_sink(f"{base}/recent", "event_id", RECENT_LIMIT, days=14)
+    for i in range(3):
+        news.filter(F.pmod(F.xxhash64("event_id"), F.lit(3)) == i).write.mode("append").parquet(f"{base}/news")
+        src = spark.readStream.schema(news.schema).parquet(f"{base}/news")
+        _run(src.writeStream.foreachBatch(sink).option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+    top = read_recent(spark, f"{base}/recent", "event_id", RECENT_LIMIT, RECENT_FROM)
+    return top.select("ticker", "event_id", iso_time("time_published").alias("time_published"), F.col("rank").cast("long").alias("rank"))
+
+
 def q_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """News messages out of order in three portions; articles of days closed
     by a day's watermark go to the late table. Daily sentiment over both, and
@@ -271,6 +315,8 @@ STREAM_QUERIES = {
     "stream_format_prices": _sized(q_stream_format_prices),
     "stream_daily_sentiment": _sized(q_stream_daily_sentiment),
     "stream_pair": _sized(q_stream_pair),
+    "stream_reorder": _sized(q_stream_reorder),
+    "stream_recent": _sized(q_stream_recent),
     "stream_late": _sized(q_stream_late),
     "stream_combine": _sized(q_stream_combine),
     "stream_pipeline": _sized(q_stream_pipeline),

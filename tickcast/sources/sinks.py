@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tickcast.functions.scalar import index_name, row_json
 from tickcast.schemas import DOCUMENT
+from tickcast.sources.compaction import load_documents, newest
 
 
 def stamped(value: Column, symbol: Column, at: Column | str | None = None) -> Column:
@@ -155,19 +156,11 @@ def read_documents(
     newest load per (symbol, date) as one aggregate (map-side partial).
     Appended data (no load id) keeps every row: two pairs of one symbol and
     day in a micro-batch are two documents.
-    A declared ``schema`` also reads a collection that is still empty."""
-    reader = spark.read.format(fmt)
-    if schema:
-        reader = reader.schema(schema)
-    docs = reader.load(path)
-    if "_batch" in docs.columns:  # micro-batch partitions: later batch = later load
-        if "_load" in docs.columns:
-            docs = docs.withColumn("_load", F.struct("_load", "_batch"))
-        docs = docs.drop("_batch")
-    if not resolve or "_load" not in docs.columns:
-        return docs
-    rest = [c for c in docs.columns if c not in ("symbol", "date", "_load")]
-    latest = docs.groupBy("symbol", "date").agg(
-        F.max_by(F.struct(*[F.col(c) for c in rest]), F.col("_load")).alias("_r")
-    )
-    return latest.select("symbol", "date", *[F.col(f"_r.{c}").alias(c) for c in rest])
+    A declared ``schema`` also reads a collection that is still empty.
+    A compacted collection (:mod:`tickcast.sources.compaction`) reads alike."""
+    docs = load_documents(spark, path, fmt, schema)
+    if resolve:
+        docs = newest(docs)
+    elif "_load" in docs.columns and "_batch" in docs.columns:
+        docs = docs.withColumn("_load", F.struct("_load", "_batch"))
+    return docs.drop("_batch", "_load") if resolve else docs.drop("_batch")

@@ -33,7 +33,9 @@ from tickcast.sources.documents import combined_rows, explode_row_batches
 from tickcast.sources.sinks import to_messages, write_batch, write_documents, write_parquet
 from tickcast.sources.snapshots import drop_old, merge_snapshot
 from tickcast.streaming.formatting import format_stream
+from tickcast.operators.pairing import DEFAULT_CHUNK
 from tickcast.streaming.pairing import pair_batches
+from tickcast.streaming.reorder import TIME_CHUNK, broker_order, flush, reorder_batches
 from tickcast.streaming.sources import COMBINED, FORMAT_NEWS, FORMAT_PRICES, INGEST_NEWS, INGEST_PRICES, topic_stream, write_topic
 
 PAIR_SEP = "#"
@@ -163,6 +165,7 @@ class StreamConfig:
     now: str | None = None
     max_per_trigger: int | None = None  # bounds a micro-batch, the first one too (None: topic_stream's default)
     replay_within: str = "1 hour"  # how late a topic message may come again
+    reorder_within: str | None = None  # formatted messages this far out of order are put in order ahead of pairing
 
 
 def _folder(spark: SparkSession, path: str) -> str:
@@ -222,10 +225,15 @@ def start_stream(spark: SparkSession, cfg: StreamConfig, trigger: dict | None =
     start(bad.writeStream.format("parquet").option("path", f"{cfg.messages}/quarantine"), "quarantine")
 
     # offsets order one topic partition; the broker's time orders both topics
-    seq = F.unix_micros("timestamp") if cfg.bootstrap_servers else "offset"
+    by_time = bool(cfg.bootstrap_servers or cfg.reorder_within)
+    seq, chunk = (broker_order(), TIME_CHUNK) if by_time else ("offset", DEFAULT_CHUNK)
     combined = combine_sink(None, f"{cfg.messages}/combined", cfg.quotes, cfg.as_of, cfg.now, cfg.bootstrap_servers)
-    pairs = pair_batches(f"{cfg.checkpoint}/slots", combined, seq=seq)
-    start(source([FORMAT_NEWS, FORMAT_PRICES], "formatted").writeStream.foreachBatch(pairs), "combine")
+    pairs = pair_batches(f"{cfg.checkpoint}/slots", combined, seq=seq, chunk_size=chunk)
+    buffer = f"{cfg.checkpoint}/buffer"
+    ordered = reorder_batches(buffer, pairs, cfg.reorder_within) if cfg.reorder_within else pairs
+    start(source([FORMAT_NEWS, FORMAT_PRICES], "formatted").writeStream.foreachBatch(ordered), "combine")
+    if drain and cfg.reorder_within:
+        flush(spark, buffer, pairs)  # the log has ended
     messages = once(source([COMBINED], "combined"), cfg.replay_within)
     start(messages.writeStream.foreachBatch(index_sink(cfg.documents)), "index")
     return started
