@@ -28,10 +28,11 @@ def broker_order(news_topic: str = FORMAT_NEWS) -> Column:
     """A sequence number over both topics: the message's time in milliseconds
     (broker times are no finer), at equal times news before prices, then the
     offset. Different for all messages of a symbol, whose messages of a topic
-    are in one topic partition, unless 2**20 of them have one millisecond."""
+    are in one topic partition, unless 2**20 of them have one millisecond. A
+    message without a time comes first."""
     topic = F.when(F.col("topic") == news_topic, F.lit(0)).otherwise(F.lit(1))
     low = F.shiftleft(topic.cast("long"), OFFSET_BITS) + F.col("offset").bitwiseAND((1 << OFFSET_BITS) - 1)
-    return F.shiftleft(F.unix_millis("timestamp"), OFFSET_BITS + 1) + low
+    return F.shiftleft(F.coalesce(F.unix_millis("timestamp"), F.lit(0).cast("long")), OFFSET_BITS + 1) + low
 
 
 def _latest(spark: SparkSession, path: str):
