@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import functions as F
 
 from tickcast.schemas import BAR_FIELDS
-from tickcast.sources.sinks import land, read_documents
+from tickcast.sources.sinks import land, read_documents, stamped
 from tickcast.sources.snapshots import children, drop_old, manifest, merge_snapshot, read_snapshot
 from tickcast.streaming.jobs import TOUCHED, PipelineConfig, run_available_now, run_batch, touched_articles
 
@@ -112,3 +112,53 @@ def test_snapshots(spark, tmp_path):
     drop_old(spark, path)
     assert held(read_snapshot(spark, path, kind)) == [(1, "A"), (2, "b"), (3, "n"), (4, "x")]
     assert manifest(spark, path) == {"2024-01": 2, "2024-02": 4, "none": 1} and children(spark, f"{path}/manifest") == ["v=3", "v=4"]
+
+
+def event_table(spark, base):
+    day = "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, id % 30)"
+    kinds = "array('view', 'click', 'signup', 'error', 'purchase')"
+    rows = spark.range(2000).selectExpr("id AS event_id", f"{day} AS ts", "id % 7 AS user_id", f"{kinds}[id % 5] AS event_type", "id % 90 + 0.5D AS value", "'{\"k\": 3}' AS props")
+    rows.coalesce(2).write.parquet(f"{base}/events.parquet")
+    return base
+
+
+def test_upstream_documents_are_made_once(spark, tmp_path, monkeypatch):
+    from tickcast.plans import stream_queries as Q
+    from tickcast.sources import proxy
+
+    sf, read, landed = event_table(spark, str(tmp_path)), [], []
+
+    def land(docs, path, kind):
+        read.extend(docs.inputFiles())
+        landed.extend((kind, r.symbol, r.value) for r in docs.select("symbol", "value").collect())
+
+    runs = iter(range(3))
+    monkeypatch.setattr(Q, "land", land)
+    monkeypatch.setattr(Q, "run_available_now", lambda spark, cfg, load_id: (read.extend(cfg.quotes.inputFiles()), next(runs) == 2 and 1 / 0))
+    try:
+        Q.q_periodic_runs(spark, sf)
+        raise AssertionError("stopped at the last run")
+    except ZeroDivisionError:
+        pass
+    assert read and not [f for f in read if "events.parquet" in f]
+    items = lambda v: (json.loads(v)["ticker"], sorted(json.dumps(a, sort_keys=True) for a in json.loads(v)["feed"]))
+    docs = [r.value for r in proxy.event_news_documents(spark, sf).collect()]
+    assert sorted(map(items, docs)) == sorted(items(v) for k, _, v in landed if k == "news") and len(docs) == 50
+    assert {v for k, _, v in landed if k == "prices"} == {r.value for r in proxy.event_price_documents(spark, sf).collect()}
+
+
+def test_news_documents_take_one_shuffle(spark, tmp_path):
+    from tickcast.sources import proxy
+
+    docs = proxy.event_news_documents(spark, event_table(spark, str(tmp_path)))
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_stamps_follow_every_ending(spark):
+    stamp = '"ticker":"A","ingest_ts":"2024-01-01 00:00:00"}'
+    want = {'{"a":1}': '{"a":1,' + stamp, "{}": "{" + stamp, " { } \n": " {" + stamp, '{"a":{}}\t': '{"a":{},' + stamp, '{"a":1 }': '{"a":1,' + stamp,
+            "}": "," + stamp, "": "", "{": "{", "[1]": "[1]", "{ }": "{ " + stamp}
+    rows = spark.createDataFrame([(v,) for v in want] + [(None,)], "value string")
+    out = {r.value: r.out for r in rows.select("value", stamped(F.col("value"), F.lit("A"), "2024-01-01 00:00:00").alias("out")).collect()}
+    assert out == want | {None: None}

@@ -26,6 +26,7 @@ from tickcast.session import scratch_path, session_conf, stream_settings
 from tickcast.sources import proxy
 from tickcast.sources.documents import news_rows, price_rows
 from tickcast.schemas import MESSAGE
+from tickcast.sources.snapshots import remove
 from tickcast.sources.sinks import DOCUMENT_STORED, land, read_documents, write_batch
 from tickcast.streaming.formatting import format_stream
 from tickcast.streaming.late import late_sink, partial_daily, read_daily, read_late, read_partials
@@ -264,22 +265,32 @@ def q_run_batch_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_combined(read_documents(spark, cfg.documents), keep=["index"])
 
 
+def _kept(df: DataFrame, path: str, *parts: str) -> DataFrame:
+    """``df`` written once and read back: every use of it is a scan."""
+    df.write.partitionBy(*parts).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def q_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three periodic runs over a growing landing folder (price documents
     are fetched again); each combines only what its files touch. Documents equal
     those of one run over all."""
     base = scratch_path(spark, "pipeline")
-    quotes = latest_quotes(proxy.quote_payloads(proxy.event_bars(spark, sf_dir)))
+    # what upstream holds: the documents of all portions and the quotes, made once
+    upstream = f"{base}/upstream"
+    part = F.pmod(F.xxhash64("symbol", "seq"), F.lit(3)).alias("part")
+    news = _kept(proxy.event_news_documents(spark, sf_dir).select("symbol", "value", part), f"{upstream}/news", "part")
+    prices = _kept(proxy.event_price_documents(spark, sf_dir).select("symbol", "value", part), f"{upstream}/prices", "part")
+    quotes = _kept(latest_quotes(proxy.quote_payloads(proxy.event_bars(spark, sf_dir))), f"{upstream}/quotes")
     cfg = PipelineConfig(
         landing=f"{base}/landing", formatted=f"{base}/formatted", documents=f"{base}/documents",
         checkpoint=f"{base}/ckpt", quotes=quotes, as_of=EV_AS_OF, now=NOW,
     )
-    news, prices = proxy.event_news_documents(spark, sf_dir), proxy.event_price_documents(spark, sf_dir)
-    part = F.pmod(F.xxhash64("symbol", "seq"), F.lit(3))
     for i in range(3):
-        land(news.filter(part == i), cfg.landing, "news")
-        land(prices.filter(part == i) if i else prices, cfg.landing, "prices")
+        land(news.filter(F.col("part") == i), cfg.landing, "news")
+        land(prices.filter(F.col("part") == i) if i else prices, cfg.landing, "prices")
         run_available_now(spark, cfg, load_id=i)
+    remove(spark, upstream)
     return report_combined(read_documents(spark, cfg.documents), keep=["index"])
 
 

@@ -36,6 +36,7 @@ EMPTY_MENTION_TYPE = "error"
 BAR_TYPE = "purchase"
 N_EVENT_SYMBOLS = 5
 ITEMS_PER_DOCUMENT = 200  # the upstream request limit per news fetch
+BYTES_PER_PARTITION = 4 << 20  # of the events table: about 100 MB of news documents
 EVENTS_PER_FETCH = 1000  # event ids between two price fetches of a symbol
 DAYS_PER_FETCH = 100  # the upstream "compact" history of a price document
 FIRST_FETCH = "2024-01-11"  # ten days of history: the model has more rows than features
@@ -106,8 +107,9 @@ def event_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bars(ev, F.to_date("ts"), F.col("value"), F.col("value"), F.col("event_id"))
 
 
-def _event_scores(ev: DataFrame) -> DataFrame:
+def _event_scores(ev: DataFrame, *keep: str) -> DataFrame:
     return ev.select(
+        *keep,
         "event_id",
         "event_type",
         "symbol",
@@ -135,9 +137,9 @@ def event_news(spark: SparkSession, sf_dir: str, with_id: bool = False) -> DataF
     )
 
 
-def _articles(ev: DataFrame) -> DataFrame:
-    """One article struct per non-purchase event, with its mention list."""
-    e = _event_scores(ev)
+def _article(symbol: Column, e: Column) -> Column:
+    """The article struct of a non-purchase event, with its mention list; ``e``
+    holds the event's scores (:func:`_event_scores`), ``symbol`` is its own."""
 
     def mention(ticker: Column, score: Column, relevance: Column) -> Column:
         return F.struct(
@@ -147,61 +149,67 @@ def _articles(ev: DataFrame) -> DataFrame:
             article_label(score).alias("ticker_sentiment_label"),
         )
 
-    own = mention(F.col("symbol"), F.col("ticker_score"), F.col("relevance"))
-    other = mention(F.col("other_symbol"), -F.col("ticker_score"), F.lit(0.1))
+    own = mention(symbol, e["ticker_score"], e["relevance"])
+    other = mention(e["other_symbol"], -e["ticker_score"], F.lit(0.1))
     mentions = (
-        F.when(F.col("event_type") == EMPTY_MENTION_TYPE, F.array().cast("array<struct<ticker:string,relevance_score:string,ticker_sentiment_score:string,ticker_sentiment_label:string>>"))
-        .when(F.col("event_type") == "signup", F.array(own))
+        F.when(e["event_type"] == EMPTY_MENTION_TYPE, F.array().cast("array<struct<ticker:string,relevance_score:string,ticker_sentiment_score:string,ticker_sentiment_label:string>>"))
+        .when(e["event_type"] == "signup", F.array(own))
         .otherwise(F.array(own, other))
     )
-    article = F.struct(
-        F.col("event_type").alias("title"),
-        F.concat(F.lit("event/"), F.col("event_id").cast("string")).alias("url"),
-        F.date_format("ts", PUBLISHED_FORMAT).alias("time_published"),
-        F.array(F.col("event_type")).alias("authors"),
+    return F.struct(
+        e["event_type"].alias("title"),
+        F.concat(F.lit("event/"), e["event_id"].cast("string")).alias("url"),
+        F.date_format(e["ts"], PUBLISHED_FORMAT).alias("time_published"),
+        F.array(e["event_type"]).alias("authors"),
         F.lit(None).cast("string").alias("summary"),
         F.lit(None).cast("string").alias("banner_image"),
         F.lit("events").alias("source"),
-        F.col("event_type").alias("category_within_source"),
+        e["event_type"].alias("category_within_source"),
         F.lit("events").alias("source_domain"),
         F.array(
             F.struct(
-                F.col("relevance").cast("string").alias("relevance_score"),
-                F.col("event_type").alias("topic"),
+                e["relevance"].cast("string").alias("relevance_score"),
+                e["event_type"].alias("topic"),
             )
         ).alias("topics"),
-        F.col("overall_score").alias("overall_sentiment_score"),
-        article_label(F.col("overall_score")).alias("overall_sentiment_label"),
+        e["overall_score"].alias("overall_sentiment_score"),
+        article_label(e["overall_score"]).alias("overall_sentiment_label"),
         mentions.alias("ticker_sentiment"),
     )
-    return e.select("symbol", "event_id", "ts", article.alias("article"))
+
+
+def _partitions(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Shuffle partitions for rows that grow into documents: they follow the
+    table's size on disk, so a task's share of the text does not grow with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    return max(spark.sparkContext.defaultParallelism, -(-size // BYTES_PER_PARTITION))
 
 
 def event_news_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw news documents, one per (symbol, block of ≤200 event ids) — the
     upstream per-fetch limit — as (symbol, fetched_at, value JSON)."""
     # Collecting a list does not shrink anything map-side, so the narrow raw
-    # event rows are shuffled by document key first and the article structs
-    # are built after the shuffle; the grouping reuses that partitioning.
+    # event rows are shuffled by document key, once, and collected as they are;
+    # the article structs are built inside the finished documents.
     ev = (
         events(spark, sf_dir)
         .filter(F.col("event_type") != BAR_TYPE)
         .withColumn("block", F.floor(F.col("event_id") / F.lit(ITEMS_PER_DOCUMENT)))
-        .repartition("symbol", "block")
-    )
-    arts = _articles(ev).withColumn(
-        "block", F.floor(F.col("event_id") / F.lit(ITEMS_PER_DOCUMENT))
+        .repartition(_partitions(spark, sf_dir, "events"), "symbol", "block")
     )
-    docs = arts.groupBy("symbol", "block").agg(
-        F.collect_list("article").alias("feed"),
+    scores = _event_scores(ev, "block")
+    event = F.struct(*[c for c in scores.columns if c not in ("symbol", "block")])
+    docs = scores.groupBy("symbol", "block").agg(
+        F.collect_list(event).alias("events"),
         F.max("ts").alias("fetched_at"),
         F.max("event_id").alias("seq"),
     )
     doc = F.struct(
-        F.size("feed").cast("string").alias("items"),
+        F.size("events").cast("string").alias("items"),
         F.lit("x <= -0.35: Bearish; x >= 0.35: Bullish").alias("sentiment_score_definition"),
         F.lit("0 < x <= 1").alias("relevance_score_definition"),
-        F.col("feed"),
+        F.transform("events", lambda e: _article(F.col("symbol"), e)).alias("feed"),
         F.col("symbol").alias("ticker"),
     )
     return docs.select(

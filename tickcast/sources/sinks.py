@@ -20,9 +20,13 @@ def stamped(value: Column, symbol: Column, at: Column | str | None = None) -> Co
     doesn't end like an object is landed as it is."""
     when = F.current_timestamp() if at is None else (F.lit(at) if isinstance(at, str) else at).cast("timestamp")
     stamp = F.to_json(F.struct(symbol.alias("ticker"), F.date_format(when, "yyyy-MM-dd HH:mm:ss").alias("ingest_ts")))
+    rest = F.substring(stamp, 2, 1 << 30)
+    # most texts end in their brace after a value: these are not searched through
+    plain = F.right(value, F.lit(2)).rlike(r"^[^\s{\x85\u2028\u2029]\}$")
     body = F.regexp_replace(value, r"\s*\}\s*$", "")
     comma = F.when(body.rlike(r"\{\s*$"), F.lit("")).otherwise(F.lit(","))
-    return F.when(value.rlike(r"\}\s*$"), F.concat(body, comma, F.substring(stamp, 2, 1 << 30))).otherwise(value)
+    other = F.when(value.rlike(r"\}\s*$"), F.concat(body, comma, rest)).otherwise(value)
+    return F.when(plain, F.concat(F.left(value, F.length(value) - 1), F.lit(","), rest)).otherwise(other)
 
 
 def land(

@@ -347,16 +347,16 @@ def _append_formatted(path: str, kind: str):
     of a day, and the (symbol, day) of every row as a table of its own."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = _landed_rows(batch, kind).persist()
-        try:
-            # else every task leaves a file in every day it touches; large days are split
-            out = rows.hint("rebalance", F.col("day")) if kind == "news" else rows
-            write_batch(out, f"{path}/{kind}", batch_id, ["day"] if kind == "news" else None)
-            symbol, day = ("ticker", "day") if kind == "news" else ("symbol", "date")
-            seen = rows.select(F.lit(kind).alias("kind"), F.col(symbol).alias("symbol"), F.col(day).alias("day")).distinct()
-            write_batch(seen.drop("kind"), f"{path}/touched/kind={kind}", batch_id)
-        finally:
-            rows.unpersist()
+        rows = _landed_rows(batch, kind)
+        # else every task leaves a file in every day it touches; large days are split
+        out = rows.hint("rebalance", F.col("day")) if kind == "news" else rows
+        write_batch(out, f"{path}/{kind}", batch_id, ["day"] if kind == "news" else None)
+        # the documents are parsed once: the touched days come from the rows written
+        symbol, day = ("ticker", "day") if kind == "news" else ("symbol", "date")
+        spark = batch.sparkSession
+        written = spark.read.schema(f"{symbol} string, {day} date, _batch long").parquet(_folder(spark, f"{path}/{kind}"))
+        seen = written.filter(F.col("_batch") == batch_id).select(F.col(symbol).alias("symbol"), F.col(day).alias("day")).distinct()
+        write_batch(seen, f"{path}/touched/kind={kind}", batch_id)
 
     return write
 
