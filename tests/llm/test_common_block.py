@@ -27,13 +27,11 @@ def test_a_common_line_spreads_by_window():
     with np.errstate(over="ignore"):
         for d in data:
             rows = np.concatenate([r for r, _ in S.entries(np.array([0]), d, np.array([0, len(d)]), 100)])
-            load = np.zeros(len(rows), S.UNSURE_ROW)
-            load["start"], load["n"] = rows["start"], rows["n"]
-            own.append([load.tobytes()])
+            own.append(rows["start"].astype(np.int64) << 32 | rows["n"].astype(np.int64) << 12)
     ids, texts = zip(*docs)
-    batch = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts), pa.array(own, pa.list_(pa.binary()))], names=["doc_id", "text", "loads"])
+    batch = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts), pa.array(own, pa.list_(pa.int64()))], names=["doc_id", "text", "loads"])
     count, codes = Counter(), Counter()
-    for out in S.unsure_windows(16, 4, 100)([batch]):
+    for out in S.unsure_windows(16, 100)([batch]):
         for row in out.to_pylist():
             if row["kind"] == S.UNSURE:
                 rows = S.unpack(row["payload"], S.WINDOW)
